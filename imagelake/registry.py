@@ -15,6 +15,7 @@ ORACLE: dict[str, str] = {}
 
 MODULES = [
     "imagelake.plans.checks_core",
+    "imagelake.plans.checks_eval",
 ]
 
 
