@@ -16,6 +16,7 @@ ORACLE: dict[str, str] = {}
 MODULES = [
     "imagelake.plans.checks_core",
     "imagelake.plans.checks_eval",
+    "imagelake.plans.checks_tensors",
 ]
 
 
