@@ -17,6 +17,7 @@ MODULES = [
     "imagelake.plans.checks_core",
     "imagelake.plans.checks_eval",
     "imagelake.plans.checks_tensors",
+    "imagelake.plans.checks_io",
 ]
 
 
