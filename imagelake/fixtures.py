@@ -84,7 +84,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.avg(F.when(~train, 1 - F.col("confidence"))).alias("val_loss")))
     long = daily.select("run_id", "epoch", F.expr(
         "stack(4, 'accuracy', accuracy, 'val_accuracy', val_accuracy, "
-        "'loss', loss, 'val_loss', val_loss) AS (metric, value)"))
+        "'loss', loss, 'val_loss', val_loss) AS (metric, value)")).where(F.col("value").isNotNull())
+    # a metric without rows that day is not measured: no history row
     return lit.unionByName(long)
 
 
