@@ -18,6 +18,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# column types for a table created by the JDBC sink (strings as VARCHAR so that
+# filters on them push down to any database)
+JDBC_TYPES = {"id": "VARCHAR(64)", "session_id": "VARCHAR(100)", "filename": "VARCHAR(255)",
+              "image_url": "VARCHAR(2048)", "fruit": "VARCHAR(50)", "error": "VARCHAR(1024)"}
+
 LOG_COLUMNS = ["id", "session_id", "filename", "image_url", "fruit", "confidence",
                "received_at", "processed_at"]
 ERROR_COLUMNS = ["id", "session_id", "filename", "image_url", "error", "received_at", "processed_at"]
@@ -58,7 +63,9 @@ def write_jdbc_idempotent(rows: DataFrame, jdbc: dict, table: str) -> None:
         fresh = rows.join(existing, "id", "left_anti")
     except Exception:  # noqa: BLE001 - the table does not exist yet
         fresh = rows
-    fresh.write.format("jdbc").options(**jdbc).option("dbtable", table).mode("append").save()
+    types = ", ".join(f"{c} {t}" for c, t in JDBC_TYPES.items() if c in rows.columns)
+    (fresh.write.format("jdbc").options(**jdbc).option("dbtable", table)
+          .option("createTableColumnTypes", types).mode("append").save())
 
 
 def predictions_sink(target: str | None = None, errors_target: str | None = None,
@@ -74,8 +81,7 @@ def predictions_sink(target: str | None = None, errors_target: str | None = None
             ok, bad = log_rows(scored), error_rows(scored)
             if jdbc is not None:
                 write_jdbc_idempotent(ok, jdbc, table)
-                if errors_target is not None or errors_table:
-                    write_jdbc_idempotent(bad, jdbc, errors_table)
+                write_jdbc_idempotent(bad, jdbc, errors_table)
             else:
                 ok.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
                 if errors_target is not None:
