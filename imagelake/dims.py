@@ -60,10 +60,27 @@ PRICE_SCHEMA = T.StructType([
 ])
 
 
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    if isinstance(v, Decimal):
+        return f"CAST('{v}' AS DECIMAL(6,2))"
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
+    return f"CAST({int(v)} AS INT)"
+
+
+def local_table(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """A small literal table as SQL ``VALUES``: a JVM-side local relation (no Python
+    worker, folded into the plan, broadcast when joined)."""
+    body = ", ".join("(" + ", ".join(_sql_lit(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
+
+
 def class_dim(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
     """``class_dim(class_id INT, name STRING)``; ids follow list order."""
     names = CLASS_NAMES if names is None else names
-    return spark.createDataFrame(list(enumerate(names)), CLASS_SCHEMA)
+    return local_table(spark, list(enumerate(names)), ["class_id", "name"])
 
 
 def price_dim(spark: SparkSession) -> DataFrame:
@@ -72,7 +89,7 @@ def price_dim(spark: SparkSession) -> DataFrame:
     for catalog, prices in (("app", PRICES_APP), ("webcam", PRICES_WEBCAM)):
         for name, text in prices.items():
             rows.append((catalog, name, text, Decimal(text.split(" ")[-1])))
-    return spark.createDataFrame(rows, PRICE_SCHEMA)
+    return local_table(spark, rows, ["catalog", "name", "price_text", "price"])
 
 
 def dims_sql_values() -> str:

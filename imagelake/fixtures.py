@@ -72,7 +72,8 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     one run per event type with the 30 days of January as epochs."""
     lit_rows = [("reference", e, m, float(v))
                 for m, vals in REFERENCE_HISTORY.items() for e, v in enumerate(vals)]
-    lit = spark.createDataFrame(lit_rows, "run_id string, epoch int, metric string, value double")
+    from .dims import local_table
+    lit = local_table(spark, lit_rows, ["run_id", "epoch", "metric", "value"])
     log = pred_log(spark, sf_dir)
     train = (F.col("k") % 2) == 0
     hit = (F.col("y_true") == F.col("y_pred")).cast("double")

@@ -76,8 +76,8 @@ def classify_inputs(requests: DataFrame, images: DataFrame, key: str = "object_i
 
 def reason_counts(classified: DataFrame) -> DataFrame:
     """Count per reason (C4), zero rows kept for every reason."""
-    spark = classified.sparkSession
-    reasons = F.broadcast(spark.createDataFrame([(r,) for r in REASONS], "reason string"))
+    from ..dims import local_table
+    reasons = F.broadcast(local_table(classified.sparkSession, [(r,) for r in REASONS], ["reason"]))
     counts = classified.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     return reasons.join(counts, "reason", "left").select(
         "reason", F.coalesce("n", F.lit(0)).cast("long").alias("n"))

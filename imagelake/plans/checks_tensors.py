@@ -206,3 +206,14 @@ FROM frames
 WINDOW w AS (PARTITION BY stream_id ORDER BY frame_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_e7(spark, sf):
     return sampled_inference(fx.frames(spark, sf), 10)
+
+
+@register("E8_train_head")
+def q_e8(spark, sf):
+    """Train the 128-128 head on the embedding vectors (Spark ML, distributed
+    L-BFGS) and score every row; rows-only check (labels are not learnable)."""
+    from ..operators.training import head_predictions, train_head
+    emb = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("item_id"), F.col("embedding").alias("features"), "label")
+    model, x = train_head(emb, hidden=(128, 128), n_classes=10, max_iter=15, seed=0)
+    return head_predictions(model, x, ["item_id", "label"])

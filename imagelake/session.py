@@ -12,16 +12,21 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on for correct results (UTC timestamps, ANSI
-# casts) and for skew handling at scale (adaptive execution).
-SQL_DEFAULTS = {
+# Settings every job relies on for correct results: UTC timestamps, ANSI casts.
+REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+}
+# Settings for scale (adaptive execution re-plans joins and splits skewed
+# partitions at runtime; Arrow moves batches to Python). A cluster's own values
+# win: ``tune`` sets these only where the session has none.
+PREFERRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+SQL_DEFAULTS = {**REQUIRED, **PREFERRED}
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -41,9 +46,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply SQL_DEFAULTS that are safe to set at runtime (session zone, AQE)."""
-    for k, v in SQL_DEFAULTS.items():
+    """Apply REQUIRED always and PREFERRED where the session has no explicit value."""
+    for k, v in REQUIRED.items():
         spark.conf.set(k, v)
+    explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for k, v in PREFERRED.items():
+        if k not in explicit:
+            spark.conf.set(k, v)
     return spark
 
 
