@@ -120,3 +120,24 @@ def test_augment_dataset_is_repeatable(spark):
     rb = sorted((r.vec_id, r.variant, tuple(r.pixels)) for r in b.collect())
     assert len(ra) == 12 and ra == rb
     assert all(0 <= v <= 255 for _, _, px in ra for v in px)
+
+
+def test_sql_and_numpy_picture_engines_agree(spark):
+    from conftest import SF_SMALL
+    from imagelake import fixtures as fx
+    from imagelake.operators.resize import prepare_pictures, resize_bilinear_array
+    both = (fx.pix3(spark, SF_SMALL).withColumn("src", F.lit(3))
+            .unionByName(fx.pix8(spark, SF_SMALL).withColumn("src", F.lit(8))))
+    steps = ["to_rgb", "resize", "flip", "standardize"]
+    a = {(r.vec_id, r.src): (r.height, r.width, r.n_channels, tuple(r.pixels)) for r in
+         prepare_pictures(both, steps, (5, 7), engine="sql").collect()}
+    b = {(r.vec_id, r.src): (r.height, r.width, r.n_channels, tuple(r.pixels)) for r in
+         prepare_pictures(both, steps, (5, 7), engine="numpy").collect()}
+    assert len(a) == 2 * fx.pix8(spark, SF_SMALL).count()
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][:3] == b[k][:3] == (5, 7, 3)
+        assert np.allclose(a[k][3], b[k][3], rtol=0, atol=1e-12)
+    img = np.arange(16, dtype=float).reshape(4, 4, 1)
+    assert np.allclose(resize_bilinear_array(img, 4, 4), img)
+    assert resize_bilinear_array(img, 8, 8).shape == (8, 8, 1)
