@@ -12,6 +12,12 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def norm_path(c) -> Column:
+    """One spelling per local file: ``file:///x`` (image source) and ``file:/x``
+    (file listings) both become ``file:/x``; other schemes are unchanged."""
+    return F.regexp_replace(_c(c), r"^file:/+", "file:/")
+
+
 def basename(c) -> Column:
     """Last path segment."""
     return F.element_at(F.split(_c(c), PATH_SEP), -1)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import PATH_SEP, basename
+from ..functions.names import PATH_SEP, basename, norm_path
 from ..operators.datasets import catalog_from_paths
 from ..operators.validate import integrity
 
@@ -29,7 +29,8 @@ def image_catalog(spark: SparkSession, root: str, glob: str = "*.jpg",
     under ``root`` (A1). The label is the parent folder; the split is ``split`` when
     given, else the folder above the label (``root/<split>/<label>/<file>``)."""
     files = _files(spark, root, glob).select(
-        "path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_at"))
+        norm_path("path").alias("path"), F.col("length").alias("size_bytes"),
+        F.col("modificationTime").alias("modified_at"))
     cat = catalog_from_paths(files).withColumn("file_name", basename("path"))
     parts = F.split(F.col("path"), PATH_SEP)
     sp = F.lit(split) if split is not None else F.when(F.size(parts) >= 3, F.try_element_at(parts, F.lit(-3)))
@@ -38,6 +39,6 @@ def image_catalog(spark: SparkSession, root: str, glob: str = "*.jpg",
 
 def integrity_manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Size, modification time and SHA-256 of every file under ``root``."""
-    files = _files(spark, root, glob).select("path", "modificationTime", "content")
+    files = _files(spark, root, glob).select(norm_path("path").alias("path"), "modificationTime", "content")
     return integrity(files, "content").select(
         "path", "size_bytes", F.col("modificationTime").alias("modified_at"), "sha256")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.names import norm_path
 from ..functions.tensors import to_rgb
 
 
@@ -35,7 +36,7 @@ def image_scan(spark: SparkSession, root: str, drop_invalid: bool = False, rgb:
     if drop_invalid:
         r = r.option("dropInvalid", "true")
     img = r.load(root).select(
-        F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
+        norm_path("image.origin").alias("path"), F.col("image.height").alias("height"),
         F.col("image.width").alias("width"), F.col("image.nChannels").alias("n_channels"),
         F.col("image.mode").alias("mode"), F.col("image.data").alias("_data"))
     img = img.withColumn("pixels", F.when(F.col("height") > 0, bytes_to_floats("_data"))).drop("_data")

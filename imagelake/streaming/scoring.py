@@ -75,7 +75,8 @@ def score_requests(requests: DataFrame, landed: DataFrame, spec: ModelSpec, clas
     good = fetched.where(F.col("fetch_error").isNull() & ok_shape)
     bad = fetched.where(F.col("fetch_error").isNotNull() | ~ok_shape).select(
         "session_id", "filename", "image_url", "received_at",
-        F.coalesce("fetch_error", F.lit("bad shape")).alias("error"))
+        F.coalesce("fetch_error", F.when(F.col("height") < 0, F.lit("processing error")),
+                   F.lit("bad shape")).alias("error"))
     feats = good.withColumn("features", SCALERS.get(spec.scaling, lambda x: F.col(x))("pixels"))
     keep = ["session_id", "filename", "image_url", "received_at"]
     scored = score_batch(feats, spec, "features", keep=keep, input_scaling=spec.scaling)
