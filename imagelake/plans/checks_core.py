@@ -238,7 +238,7 @@ LOG_CTE = _priced_cte()
 @register("G1_session_results", LOG_CTE + """
 SELECT filename, fruit, confidence, processed_at,
   concat('uploads/', strftime(received_at, '%Y%m%d'), '/', session_id, '/', filename) AS image_url
-FROM priced WHERE session_id = 'u41-20240101'""")
+FROM priced WHERE session_id = 'u41-20240101'""", ts_cols=('processed_at',))
 def q_g1(spark, sf):
     log = priced_results(spark, sf).withColumn(
         "image_url", F.concat_ws("/", F.lit("uploads"), F.date_format("received_at", "yyyyMMdd"),
@@ -248,7 +248,7 @@ def q_g1(spark, sf):
 
 @register("G2_latest_predictions", LOG_CTE + """
 SELECT event_id, session_id, filename, fruit, confidence, processed_at
-FROM priced ORDER BY processed_at DESC, event_id DESC LIMIT 10""")
+FROM priced ORDER BY processed_at DESC, event_id DESC LIMIT 10""", ts_cols=('processed_at',))
 def q_g2(spark, sf):
     log = priced_results(spark, sf).select("event_id", "session_id", "filename", "fruit",
                                            "confidence", "processed_at")
@@ -258,7 +258,7 @@ def q_g2(spark, sf):
 @register("G3_session_stats", LOG_CTE + """
 SELECT session_id, count(*) AS n_predictions, avg(confidence) AS avg_confidence,
   max(processed_at) AS last_processed_at
-FROM priced GROUP BY session_id ORDER BY last_processed_at DESC, session_id""")
+FROM priced GROUP BY session_id ORDER BY last_processed_at DESC, session_id""", ts_cols=('last_processed_at',))
 def q_g3(spark, sf):
     return sessions.session_stats(priced_results(spark, sf))
 
@@ -296,7 +296,7 @@ FROM (SELECT event_id, session_id, concat(event_type, '.jpg') AS filename, fruit
 LEFT JOIN firsts f ON r.session_id = f.session_id AND r.filename = f.filename"""
 
 
-@register("G6_match_uploads", G6_SQL)
+@register("G6_match_uploads", G6_SQL, ts_cols=('uploaded_at',))
 def q_g6(spark, sf):
     log = fx.pred_log(spark, sf)
     uploads = log.select("session_id", F.concat("event_type", F.lit(".jpg")).alias("filename"),
@@ -327,7 +327,7 @@ def _g7(spark, sf):
 
 
 @register("G7_request_completeness", G7_SQL + """
-SELECT request_id, session_id, received_at, processed_at, error, status FROM per_request""")
+SELECT request_id, session_id, received_at, processed_at, error, status FROM per_request""", ts_cols=('received_at', 'processed_at'))
 def q_g7(spark, sf):
     return _g7(spark, sf).select("request_id", "session_id", "received_at", "processed_at", "error", "status")
 

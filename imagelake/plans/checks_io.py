@@ -101,7 +101,7 @@ def q_a4(spark, sf):
 
 
 @register("A5_type_messages", MSG_SQL + """
-SELECT event_id, timestamp, try_cast(timestamp AS TIMESTAMP) AS received_at FROM msgs""")
+SELECT event_id, timestamp, try_cast(timestamp AS TIMESTAMP) AS received_at FROM msgs""", ts_cols=('received_at',))
 def q_a5(spark, sf):
     parsed = parse_messages(_msgs(spark, sf))
     return type_messages(parsed).select("event_id", "timestamp", "received_at")

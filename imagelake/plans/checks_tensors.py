@@ -203,7 +203,7 @@ SELECT stream_id, frame_no, ts, CAST(floor(frame_no / 10) * 10 AS BIGINT) AS sou
   last_value(CASE WHEN frame_no % 10 = 0 THEN is_error END IGNORE NULLS) OVER w AS is_error,
   frame_no % 10 = 0 AS scored
 FROM frames
-WINDOW w AS (PARTITION BY stream_id ORDER BY frame_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+WINDOW w AS (PARTITION BY stream_id ORDER BY frame_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", ts_cols=('ts',))
 def q_e7(spark, sf):
     return sampled_inference(fx.frames(spark, sf), 10)
 
