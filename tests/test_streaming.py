@@ -137,3 +137,37 @@ def test_sampled_inference_stream_equals_batch(spark, scratch):
 
 def test_request_schema_is_four_strings():
     assert [f.name for f in REQUEST_SCHEMA.fields] == ["image_url", "session_id", "filename", "timestamp"]
+
+
+def test_scoring_stream_restarts_from_checkpoint(spark, scratch):
+    df, landing = _landing(spark, scratch)
+    rows = df.select("image_url", "session_id", "filename",
+                     F.date_format("uploaded_at", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp")).collect()
+    src = os.path.join(scratch, "requests")
+    os.makedirs(src)
+
+    def deliver(k, part):
+        with open(os.path.join(src, f"part-{k}.json"), "w") as f:
+            for r in part:
+                f.write(json.dumps(r.asDict()) + "\n")
+
+    deliver(0, rows[:8])
+    deliver(1, rows[8:12])
+    job = ScoringJob(source_options={"path": src}, landing_root=landing,
+                     target=os.path.join(scratch, "log"), errors_target=os.path.join(scratch, "errors"),
+                     checkpoint=os.path.join(scratch, "ckpt"), spec=rule_head(48, 15), shape=(4, 4, 3),
+                     source_format="text", max_per_trigger=1)
+    q = start_scoring(spark, job, class_dim(spark))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    first = spark.read.parquet(job.target).count() + spark.read.parquet(job.errors_target).count()
+    deliver(2, rows[12:20])  # later requests arrive while the job is down
+    deliver(3, rows[20:])
+    q = start_scoring(spark, job, class_dim(spark))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    log = spark.read.parquet(job.target)
+    errors = spark.read.parquet(job.errors_target)
+    assert first == 12
+    assert log.count() + errors.count() == 24
+    assert log.select("id").distinct().count() == log.count()
