@@ -92,19 +92,21 @@ def split_valid_rejected(df: DataFrame, ok_col: str = "reason",
 
 
 def confidence_guard(df: DataFrame, col: str = "confidence") -> DataFrame:
-    """Keep 0 <= confidence <= 1 (C6); null and NaN are rejected."""
-    c = F.col(col)
-    return df.where(c.isNotNull() & ~F.isnan(c) & c.between(0.0, 1.0))
+    """Keep 0 <= confidence <= 1 (C6); null and NaN are rejected (a null
+    comparison is unknown and Spark orders NaN above every number, so the range
+    test alone rejects both without evaluating the column again)."""
+    return df.where(F.col(col).between(0.0, 1.0))
 
 
 def decode_outcome(df: DataFrame, col: str = "outcome") -> DataFrame:
     """Split ``fruit|confidence`` / ``error|message`` text into typed columns (C7):
     ``fruit``, ``confidence`` (``try_cast``), ``error``. A confidence that does not
     parse becomes an error instead of failing the batch."""
-    head = F.split_part(F.col(col), F.lit("|"), F.lit(1))
-    tail = F.split_part(F.col(col), F.lit("|"), F.lit(2))
+    parts = F.split(F.col(col), r"\|", 2)  # the text is split once
+    head = F.element_at(parts, 1)
+    tail = F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))
     is_err = head == "error"
-    conf = F.expr(f"try_cast(split_part({col}, '|', 2) AS DOUBLE)")
+    conf = tail.try_cast("double")
     return (df.withColumn("fruit", F.when(~is_err, head))
               .withColumn("confidence", F.when(~is_err, conf))
               .withColumn("error", F.when(is_err, tail)
