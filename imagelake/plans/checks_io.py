@@ -203,3 +203,77 @@ FROM p""")
 def q_d15b(spark, sf):
     return apply_flip_bc(_aug(spark, sf)).select(
         "vec_id", F.col("variant").cast("int").alias("variant"), "pixels")
+
+
+# --- A7 and E6 (batch core of the scoring stream) ----------------------------
+
+@register("A7_predictions_scan", """
+SELECT event_id, user_id, event_type, value FROM events WHERE user_id = 8 AND event_type <> 'error'""")
+def q_a7(spark, sf):
+    """Scan with pushed filters (PushedFilters on user_id and event_type)."""
+    from ..sources.fetch import predictions_scan
+    df = predictions_scan(spark, f"{sf}/events.parquet",
+                          predicate=(F.col("user_id") == 8) & (F.col("event_type") != "error"))
+    return df.select("event_id", "user_id", "event_type", "value")
+
+
+def _e6_inputs(spark, sf):
+    """Requests: one message per log row, pointing at picture ``event_id % 600``;
+    landed pictures: the 4x4x3 pix3 pictures (ids >= the embedding count are
+    never landed, so some requests miss)."""
+    log = fx.pred_log(spark, sf)
+    url = F.concat(F.lit("https://store.example/uploads/20240101/cam/"),
+                   (F.col("event_id") % 600).cast("string"), F.lit(".png"))
+    msgs = log.select("event_id", url.alias("image_url"), "session_id", "filename", "received_at")
+    vals = message_value(msgs, ts_col="received_at", keep=["event_id"]).drop("key")
+    reqs = type_messages(parse_messages(vals))
+    landed = fx.pix3(spark, sf).select(
+        F.lit("20240101").alias("upload_date"),
+        F.concat(F.lit("uploads/20240101/cam/"), F.col("vec_id").cast("string"), F.lit(".png")).alias("object_key"),
+        "height", "width", "n_channels", "pixels")
+    return reqs, landed
+
+
+E6_SCORES = """list_transform(range(0, 15), lambda k: list_reduce(list_transform(pixels, lambda x, j:
+    x * (((7 * (j - 1) + 13 * k) % 17 - 8) / CAST(8 AS DOUBLE))), lambda a, y: a + y, CAST(0 AS DOUBLE)))"""
+
+
+@register("E6_score_requests", cte("pred_log", "pix3", "class_dim") + f"""
+, reqs AS (SELECT event_id, session_id, filename, CAST(event_id % 600 AS BIGINT) AS vec_id FROM pred_log),
+fetched AS (SELECT r.*, p.pixels FROM reqs r LEFT JOIN pix3 p ON r.vec_id = p.vec_id),
+scored AS (
+  SELECT event_id, list_transform(e, lambda x: x / list_reduce(e, lambda a, y: a + y, CAST(0 AS DOUBLE))) AS probs
+  FROM (SELECT event_id, list_transform(s, lambda x: exp(x - list_max(s))) AS e
+        FROM (SELECT event_id, {E6_SCORES} AS s FROM fetched WHERE pixels IS NOT NULL)))
+SELECT f.session_id, f.filename, c.name AS fruit,
+  round(list_max(s.probs), 6) AS confidence,
+  CASE WHEN f.pixels IS NULL THEN 'not found' END AS error
+FROM fetched f LEFT JOIN scored s ON f.event_id = s.event_id
+LEFT JOIN class_dim c ON c.class_id = CAST(list_position(s.probs, list_max(s.probs)) - 1 AS INTEGER)""")
+def q_e6(spark, sf):
+    """The per-batch core of the scoring stream (E6) on whole tables: fetch (A6),
+    shape check (D7), score (E1), argmax (E3), label (E4)."""
+    from ..operators.scoring import rule_head
+    from ..streaming.scoring import score_requests
+    reqs, landed = _e6_inputs(spark, sf)
+    out = score_requests(reqs, landed, rule_head(48, 15), class_dim(spark), (4, 4, 3))
+    return out.select("session_id", "filename", "fruit", F.round("confidence", 6).alias("confidence"), "error")
+
+
+@register("D13_affine_warp")
+def q_d13(spark, sf):
+    """Seeded rotations of the 4x4x3 pictures (NumPy inverse map per Arrow batch)."""
+    from ..operators.augment import affine
+    p3 = fx.pix3(spark, sf).withColumn("split", F.lit("train"))
+    params = augment_params(p3, 2, seed=5)
+    return affine(params, "angle").select("vec_id", F.col("variant").cast("int").alias("variant"), "angle", "pixels")
+
+
+@register("D14_hsv_shift")
+def q_d14(spark, sf):
+    """Seeded hue / saturation / value shifts of the 4x4x3 pictures (NumPy per Arrow batch)."""
+    from ..operators.augment import hsv_shift
+    p3 = fx.pix3(spark, sf).withColumn("split", F.lit("train"))
+    params = augment_params(p3, 2, seed=6)
+    return hsv_shift(params).select("vec_id", F.col("variant").cast("int").alias("variant"), "hue", "sat", "val",
+                                    "pixels")

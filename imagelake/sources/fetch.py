@@ -27,10 +27,11 @@ def landed_images(spark: SparkSession, landing_root: str, dates: list[str]) -> D
 
 
 def predictions_scan(spark: SparkSession, path: str | None = None, jdbc: dict | None = None,
-                     session_id: str | None = None, num_partitions: int = 8) -> DataFrame:
+                     session_id: str | None = None, num_partitions: int = 8,
+                     predicate=None) -> DataFrame:
     """Read the prediction log from Parquet or JDBC (A7). For JDBC the read is split
-    on ``processed_at`` bounds when given (``lowerBound``/``upperBound`` in
-    ``jdbc``); the session filter is pushed to the source either way."""
+    on ``partitionColumn`` bounds when given (``lowerBound``/``upperBound`` in
+    ``jdbc``); the session filter and ``predicate`` are pushed to the source."""
     if jdbc is not None:
         opts = dict(jdbc)
         r = spark.read.format("jdbc").options(**opts)
@@ -41,4 +42,6 @@ def predictions_scan(spark: SparkSession, path: str | None = None, jdbc: dict |
         df = spark.read.parquet(path)
     if session_id is not None:
         df = df.where(F.col("session_id") == session_id)
+    if predicate is not None:
+        df = df.where(predicate)
     return df
