@@ -144,14 +144,15 @@ PAGE_CLASSES = ["de", "en", "es", "fr"]
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``frames(stream_id, frame_no, ts, y_pred, confidence, is_error)``: one camera per
     user, frames numbered from 0 by event_id (fixture numbering only)."""
+    from .functions.ranks import group_row_number
     log = pred_log(spark, sf_dir)
-    # The camera supplies frame_no in production; here it is derived once from
-    # event order per user (150 users, bounded groups).
-    from pyspark.sql import Window
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    return log.select(
+    # The camera supplies frame_no in production; here it is derived from event
+    # order per user with distributed row numbers (no per-user window task).
+    numbered = group_row_number(log.select("user_id", "event_id", "received_at", "y_pred", "confidence",
+                                           "is_error"), ["user_id"], ["event_id"], out_col="frame_no")
+    return numbered.select(
         F.concat(F.lit("cam"), F.col("user_id").cast("string")).alias("stream_id"),
-        (F.row_number().over(w) - 1).cast("long").alias("frame_no"),
+        F.col("frame_no").cast("long").alias("frame_no"),
         F.col("received_at").alias("ts"), "y_pred", "confidence", "is_error")
 
 

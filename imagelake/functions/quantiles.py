@@ -4,40 +4,28 @@ Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a run holding a third of all rows would sit in one task.
 Here ranks are computed the distributed way instead:
 
-1. range-partition on (group keys, value) and sort within partitions, so a hot
-   group is spread over many partitions by value;
-2. count rows per (partition, group) - a small table - and turn the counts into
-   starting offsets with a window over that small table;
-3. rank = offset + position within the partition (``monotonically_increasing_id``
-   taken right after the sort);
-4. keep only the rows whose rank is a target rank and interpolate linearly
+1. number the values of each group in order with ``ranks.group_row_number``
+   (range partitioning spreads a hot group over many partitions by value);
+2. keep only the rows whose number is a target rank and interpolate linearly
    (same definition as ``percentile`` / DuckDB ``quantile_cont``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import group_row_number, group_sizes
+
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str,
                     probs: dict[str, float]) -> DataFrame:
     """One row per group with a column per entry of ``probs`` (name -> p in [0, 1]).
     Nulls are ignored; groups without values do not appear."""
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = (v.repartitionByRange(*keys, "_v").sortWithinPartitions(*keys, "_v")
-               .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_mid", F.monotonically_increasing_id()))
-    parts = ranked.groupBy(*keys, "_pid").agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_mid0"))
-    # windows below run over `parts`: one row per (group, partition it spans)
-    wk = Window.partitionBy(*keys)
-    offsets = (parts.withColumn("_off", F.sum("_cnt").over(wk.orderBy("_pid")) - F.col("_cnt"))
-                    .withColumn("_n", F.sum("_cnt").over(wk)))
-    rows = (ranked.join(offsets, [*keys, "_pid"])
-                  .select(*keys, "_v", "_n", (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("_rank")))
+    rows = group_row_number(v, keys, ["_v"], out_col="_rank")
+    sizes = group_sizes(v, keys, out_col="_n")
     # target ranks per group: floor and ceil of p * (n - 1)
-    sizes = offsets.select(*keys, "_n").distinct()
     tgt_cols = []
     for name, p in probs.items():
         pos = F.lit(float(p)) * (F.col("_n") - 1)

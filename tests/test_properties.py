@@ -109,3 +109,16 @@ def test_exact_quantiles_with_a_hot_group(spark):
     assert set(got) == set(want)
     for k, vs in want.items():
         assert got[k] == pytest.approx(tuple(np.percentile(vs, [25, 50, 75])), abs=1e-12)
+
+
+def test_group_row_number_equals_window_with_hot_key(spark):
+    from pyspark.sql import Window
+    from imagelake.functions.ranks import group_row_number
+    rng = np.random.default_rng(9)
+    rows = [("hot", int(i)) for i in rng.permutation(5000)] + \
+           [(f"k{i % 40}", int(i)) for i in range(5000, 5600)]
+    df = spark.createDataFrame(rows, "key string, t long").repartition(9)
+    got = {(r.key, r.t): r.row_no for r in group_row_number(df, ["key"], ["t"]).collect()}
+    w = Window.partitionBy("key").orderBy("t")
+    want = {(r.key, r.t): r.rn for r in df.select("key", "t", (F.row_number().over(w) - 1).alias("rn")).collect()}
+    assert got == want
