@@ -1,7 +1,9 @@
 """Batch scoring and feature extraction.
 
-The network runs in ``mapInPandas`` on Arrow record batches (batch size from
-``spark.sql.execution.arrow.maxRecordsPerBatch``), never per row. Weights travel
+The network runs in ``mapInPandas`` on Arrow record batches, never per row;
+a batch is bounded both in rows (``spark.sql.execution.arrow.maxRecordsPerBatch``)
+and in bytes (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by default),
+so full-size pictures arrive a few dozen at a time. Weights travel
 once as a broadcast variable - their size is fixed by the model, not by the
 data - and each Python worker builds the model once (module-level cache). A
 dense head runs in NumPy; a full network can be given as an ONNX file on shared
