@@ -9,8 +9,6 @@ from __future__ import annotations
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- fixed values (must equal the reference's) -------------------------------
 # Class names in class-id order (alphabetical; the spelling "jalepeno" is kept
@@ -47,19 +45,6 @@ IMAGENET_MEAN = [0.485, 0.456, 0.406]
 IMAGENET_STD = [0.229, 0.224, 0.225]
 # -----------------------------------------------------------------------------
 
-CLASS_SCHEMA = T.StructType([
-    T.StructField("class_id", T.IntegerType(), False),
-    T.StructField("name", T.StringType(), False),
-])
-
-PRICE_SCHEMA = T.StructType([
-    T.StructField("catalog", T.StringType(), False),
-    T.StructField("name", T.StringType(), False),
-    T.StructField("price_text", T.StringType(), False),
-    T.StructField("price", T.DecimalType(6, 2), True),
-])
-
-
 def _sql_lit(v) -> str:
     if isinstance(v, str):
         return "'" + v.replace("'", "''") + "'"
@@ -90,13 +75,3 @@ def price_dim(spark: SparkSession) -> DataFrame:
         for name, text in prices.items():
             rows.append((catalog, name, text, Decimal(text.split(" ")[-1])))
     return local_table(spark, rows, ["catalog", "name", "price_text", "price"])
-
-
-def dims_sql_values() -> str:
-    """The class list as a SQL array literal (shared by Spark and DuckDB text)."""
-    return ", ".join("'" + n + "'" for n in CLASS_NAMES)
-
-
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a dimension whose size is fixed by the class count."""
-    return F.broadcast(df)

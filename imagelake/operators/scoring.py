@@ -18,7 +18,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ACTIVATIONS = ("linear", "relu", "sigmoid", "softmax")
@@ -174,8 +173,3 @@ def rule_mlp(n_in: int, n_hidden: int, n_out: int) -> ModelSpec:
     w1 = ((5 * j + 3 * h) % 11 - 5) / 10.0
     w2 = ((np.arange(n_hidden)[:, None] + 2 * np.arange(n_out)[None, :]) % 7 - 3) / 3.0
     return dense_spec("rule_mlp", [(w1, np.zeros(n_hidden), "relu"), (w2, np.zeros(n_out), "softmax")])
-
-
-def scored_frame(df: DataFrame) -> DataFrame:
-    """Round confidences to 6 digits (the reference's wire format)."""
-    return df.withColumn("confidence", F.round("confidence", 6))

@@ -16,7 +16,6 @@ from ..oracle import cte
 from ..registry import register
 from ..session import table
 
-DBL = "CAST({} AS DOUBLE)".format
 MEAN = "([0.485, 0.456, 0.406]::DOUBLE[])"
 STD = "([0.229, 0.224, 0.225]::DOUBLE[])"
 

@@ -19,13 +19,6 @@ def image_fetch(requests: DataFrame, images: DataFrame, key: str = "object_key")
     return j.withColumn("fetch_error", F.when(F.col(marker).isNull(), F.lit("not found")))
 
 
-def landed_images(spark: SparkSession, landing_root: str, dates: list[str]) -> DataFrame:
-    """Pictures of the given ``upload_date`` partitions of the landing table written
-    by ``sinks.uploads.write_uploads`` (Parquet, partitioned by upload_date)."""
-    df = spark.read.parquet(landing_root)
-    return df.where(F.col("upload_date").isin(dates))
-
-
 def predictions_scan(spark: SparkSession, path: str | None = None, jdbc: dict | None = None,
                      session_id: str | None = None, num_partitions: int = 8,
                      predicate=None) -> DataFrame:
