@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import exact_quantiles
+from ..functions.skew import salted_join
 
 # fixed values: accuracy tiers and confidence bands of the evaluation report.
 TIER_GREEN = 0.95
@@ -175,12 +176,15 @@ def confidence_by_correctness(ev: DataFrame) -> DataFrame:
 def confidence_histogram(ev: DataFrame, bins: int = HIST_BINS) -> DataFrame:
     """``bins`` equal-width bins over [min, max] per run, last bin closed (I9);
     empty bins kept. A zero range puts every value in the middle bin."""
-    rng = ev.groupBy("run_id").agg(F.min("confidence").alias("_lo"), F.max("confidence").alias("_hi"))
+    rng = ev.groupBy("run_id").agg(F.min("confidence").alias("_lo"), F.max("confidence").alias("_hi"),
+                                   F.count(F.lit(1)).alias("_rows"))
     width = F.col("_hi") - F.col("_lo")
     b = F.when(width > 0, F.least(F.floor((F.col("confidence") - F.col("_lo")) / width * bins),
                                   F.lit(bins - 1))).otherwise(F.lit(bins // 2)).cast("int")
-    counts = (ev.select("run_id", "confidence").join(rng, "run_id")
-                .select("run_id", b.alias("bin")).groupBy("run_id", "bin").agg(F.count(F.lit(1)).alias("n")))
+    # every row meets its run's range: a hot run is salted over many tasks
+    joined = salted_join(ev.select("run_id", "confidence"), rng, ["run_id"], "inner", size_col="_rows")
+    counts = (joined.select("run_id", b.alias("bin")).groupBy("run_id", "bin")
+                    .agg(F.count(F.lit(1)).alias("n")))
     grid = rng.select("run_id", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     edge = lambda k: F.col("_lo") + (F.col("_hi") - F.col("_lo")) * k / bins
     return (grid.join(counts, ["run_id", "bin"], "left")
@@ -197,7 +201,9 @@ def box_stats(ev: DataFrame) -> DataFrame:
     lo_fence = F.col("q1") - 1.5 * F.col("iqr")
     hi_fence = F.col("q3") + 1.5 * F.col("iqr")
     c = F.col("confidence")
-    out = x.join(q, ["run_id", "correct"]).groupBy("run_id", "correct", "q1", "median", "q3", "iqr").agg(
+    sizes = x.groupBy("run_id", "correct").agg(F.count(F.lit(1)).alias("_rows"))
+    joined = salted_join(x, q, ["run_id", "correct"], "inner", size_col="_rows", sizes=sizes)
+    out = joined.groupBy("run_id", "correct", "q1", "median", "q3", "iqr").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(c >= lo_fence, c)).alias("whisker_lo"),
         F.max(F.when(c <= hi_fence, c)).alias("whisker_hi"),

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.skew import salted_join
+
 RESULT_TIMEOUT_S = 60  # fixed value: the result wait limit of the upload app
 
 
@@ -76,7 +78,8 @@ def match_uploads(results: DataFrame, uploads: DataFrame,
     order = F.struct(*[F.col(c) for c in order_cols])
     first = uploads.groupBy(*keys).agg(
         F.min_by(F.struct(*[F.col(c) for c in payload]), order).alias("_u")).select(*keys, "_u.*")
-    return results.join(first, keys, "left")
+    sizes = results.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return salted_join(results, first, keys, "left", size_col="_rows", sizes=sizes)
 
 
 def request_completeness(requests: DataFrame, results: DataFrame, key: str = "request_id",

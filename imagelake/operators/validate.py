@@ -42,10 +42,13 @@ def session_counts(df: DataFrame, session_col: str = "session_id") -> DataFrame:
 def session_cap(df: DataFrame, n: int = SESSION_FILE_CAP,
                 session_col: str = "session_id") -> DataFrame:
     """Drop every session with more than ``n`` files (C3). Whole sessions are
-    rejected, never truncated. The per-session count is aggregated first and
-    joined back on the key (AQE broadcasts it when small, splits skew otherwise)."""
-    ok = session_counts(df, session_col).where(F.col("n_files") <= n).select(session_col)
-    return df.join(ok, session_col, "left_semi")
+    rejected, never truncated. The per-session count is a partial aggregate; it
+    is joined back with ``salted_join``, so a session holding a large share of
+    all rows is spread over many tasks instead of one."""
+    from ..functions.skew import salted_join
+    counts = session_counts(df, session_col)
+    ok = counts.where(F.col("n_files") <= n)
+    return salted_join(df, ok, [session_col], "left_semi", size_col="n_files", sizes=counts)
 
 
 def rejected_sessions(df: DataFrame, n: int = SESSION_FILE_CAP,
@@ -64,9 +67,11 @@ def classify_inputs(requests: DataFrame, images: DataFrame, key: str = "object_i
     when the picture could not be decoded (height -1), ``bad shape`` when the
     decoded size differs from ``shape``, else ``ok``."""
     h, w, c = shape
+    from ..functions.skew import salted_join
     img = images.select(key, F.col("height").alias("_h"), F.col("width").alias("_w"),
                         F.col("n_channels").alias("_c"))
-    j = requests.join(img, key, "left")
+    sizes = requests.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    j = salted_join(requests, img, [key], "left", size_col="_rows", sizes=sizes)
     reason = (F.when(F.col("_h").isNull(), "not found")
               .when(F.col("_h") < 0, "processing error")
               .when((F.col("_h") != h) | (F.col("_w") != w) | (F.col("_c") != c), "bad shape")

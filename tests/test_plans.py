@@ -47,3 +47,33 @@ def test_log_scan_pushes_session_filter(spark, scratch):
     one = predictions_scan(spark, scratch + "/log", session_id="u8-20240101")
     plan = _plan(one)
     assert "PushedFilters: [IsNotNull(session_id), EqualTo(session_id,u8-20240101)]" in plan
+
+
+def _hot_sessions(spark, n=30000):
+    # one session holds a third of all rows
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+         .otherwise(F.concat(F.lit("s"), (F.col("id") % 5000).cast("string"))).alias("session_id"), "id")
+
+
+def test_salted_join_splits_a_hot_group_and_keeps_the_answer(spark):
+    from imagelake.functions.skew import hot_keys, salted_join
+    df = _hot_sessions(spark)
+    counts = df.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+    assert [r.session_id for r in hot_keys(counts, ["session_id"], "n", share=0.01).collect()] == ["hot"]
+    stats = counts.withColumn("stat", F.col("n") * 2)
+    a = salted_join(df, stats, ["session_id"], "inner", size_col="n", share=0.01, salts=8)
+    b = df.join(stats, "session_id")
+    assert sorted(a.select("id", "stat").collect()) == sorted(b.select("id", "stat").collect())
+    assert "_salt" in _plan(a)
+    left = sorted(r.id for r in salted_join(df, stats.where("n < 10"), ["session_id"], "left_anti",
+                                            size_col="n", share=0.01, sizes=counts).collect())
+    assert left == sorted(r.id for r in df.join(stats.where("n < 10"), "session_id", "left_anti").collect())
+
+
+def test_session_cap_rejects_a_hot_session_whole(spark):
+    from imagelake.operators.validate import session_cap
+    df = _hot_sessions(spark)
+    kept = session_cap(df, n=10)
+    assert kept.where("session_id = 'hot'").count() == 0
+    assert kept.count() == df.where("session_id != 'hot'").count()
