@@ -77,3 +77,42 @@ def test_session_cap_rejects_a_hot_session_whole(spark):
     kept = session_cap(df, n=10)
     assert kept.where("session_id = 'hot'").count() == 0
     assert kept.count() == df.where("session_id != 'hot'").count()
+
+
+# Windows allowed over raw rows, and why.
+RAW_WINDOWS = {
+    "G8_session_preview": "row_number() <= k, planned with a partial WindowGroupLimit",
+    "E9_early_stop": "per-run training history, bounded by the epoch count",
+}
+
+
+def _windows_over_raw_rows(plan) -> int:
+    """Window nodes of an optimized logical plan with no Aggregate below them."""
+    def name(node):
+        return node.getClass().getSimpleName()
+
+    def children(node):
+        ch = node.children()
+        return [ch.apply(i) for i in range(ch.size())]
+
+    def has_agg(node):
+        return name(node) == "Aggregate" or any(has_agg(c) for c in children(node))
+
+    def walk(node):
+        own = 1 if name(node) == "Window" and not has_agg(node) else 0
+        return own + sum(walk(c) for c in children(node))
+
+    return walk(plan)
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_windows_run_over_aggregates(spark, name):
+    if name in RAW_WINDOWS or name in ("E8_train_head",):
+        pytest.skip(RAW_WINDOWS.get(name, "model training"))
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan()
+    assert _windows_over_raw_rows(plan) == 0
+
+
+def test_window_detector_sees_raw_windows(spark):
+    plan = E.queries()["G8_session_preview"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan()
+    assert _windows_over_raw_rows(plan) >= 1
