@@ -60,6 +60,30 @@ def augment_params(df: DataFrame, n: int, seed: int = 0, key_col: str = "vec_id"
              .withColumn("val", F.when(on("hsv_on", r["hsv_p"]), sym("val", r["val_limit"])).otherwise(F.lit(0.0))))
 
 
+GEN_SLOTS = ["g_flip", "g_rotate", "g_shift_x", "g_shift_y", "g_zoom_x", "g_zoom_y", "g_shear"]
+
+
+def generator_params(df: DataFrame, n: int, seed: int = 0, key_col: str = "vec_id",
+                     split_col: str | None = "split", recipe: dict | None = None) -> DataFrame:
+    """``n`` variants per training row with generator-style parameters (D13):
+    ``angle`` in [-rotation, rotation] degrees, ``shift_x``/``shift_y`` in
+    [-range, range] of the size, ``zoom_x``/``zoom_y`` in [1 - zoom, 1 + zoom],
+    ``shear`` in [-shear, shear] degrees and ``flip`` with probability 1/2."""
+    r = {**GENERATOR_RECIPE, **(recipe or {})}
+    src = df.where(F.col(split_col) == "train") if split_col else df
+    v = src.withColumn("variant", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    u = {s: uniform(F.col(key_col), F.col("variant"), seed, s) for s in GEN_SLOTS}
+    sym = lambda s, lim: (u[s] * 2 - 1) * lim
+    flip = (u["g_flip"] < 0.5) if r["horizontal_flip"] else F.lit(False)
+    return (v.withColumn("flip", flip)
+             .withColumn("angle", sym("g_rotate", r["rotation_range"]))
+             .withColumn("shift_x", sym("g_shift_x", r["width_shift_range"]))
+             .withColumn("shift_y", sym("g_shift_y", r["height_shift_range"]))
+             .withColumn("zoom_x", 1 + sym("g_zoom_x", r["zoom_range"]))
+             .withColumn("zoom_y", 1 + sym("g_zoom_y", r["zoom_range"]))
+             .withColumn("shear", sym("g_shear", r["shear_range"])))
+
+
 def apply_flip_bc(params: DataFrame, px: str = "pixels") -> DataFrame:
     """Column-expression part of a variant: flip, then brightness/contrast."""
     flipped = F.when(F.col("flip"), flip_h(px, "height", "width", "n_channels")).otherwise(F.col(px))
@@ -150,17 +174,31 @@ def _pictures_udf(df: DataFrame, fn, px: str = "pixels") -> DataFrame:
 
 
 def affine(df: DataFrame, angle: str = "angle", shift_x: str | None = None, shift_y: str | None = None,
-           zoom: str | None = None, shear: str | None = None, px: str = "pixels") -> DataFrame:
-    """Rotate / shift / zoom / shear every picture by its row's parameters."""
+           zoom_x: str | None = None, zoom_y: str | None = None, shear: str | None = None,
+           px: str = "pixels") -> DataFrame:
+    """Rotate / shift / zoom / shear every picture by its row's parameters (D13);
+    parameters left as None are neutral."""
+    def get(r, col, neutral):
+        v = r.get(col) if col else None
+        return neutral if v is None else float(v)
+
     def fn(img, r):
-        m = affine_matrix(r.get(angle, 0.0) or 0.0, r.get(shift_x, 0.0) if shift_x else 0.0,
-                          r.get(shift_y, 0.0) if shift_y else 0.0,
-                          r.get(zoom, 1.0) if zoom else 1.0, r.get(zoom, 1.0) if zoom else 1.0,
-                          r.get(shear, 0.0) if shear else 0.0, img.shape[0], img.shape[1])
+        m = affine_matrix(get(r, angle, 0.0), get(r, shift_x, 0.0), get(r, shift_y, 0.0),
+                          get(r, zoom_x, 1.0), get(r, zoom_y, 1.0), get(r, shear, 0.0),
+                          img.shape[0], img.shape[1])
         return warp(img, m)
     return _pictures_udf(df, fn, px)
 
 
+def generator_augment(df: DataFrame, n: int, seed: int = 0, key_col: str = "vec_id",
+                      split_col: str | None = "split", px: str = "pixels") -> DataFrame:
+    """Generator-style variants (D13): optional flip, then one affine map per variant."""
+    p = generator_params(df, n, seed, key_col, split_col)
+    p = p.withColumn(px, F.when(F.col("flip"), flip_h(px, "height", "width", "n_channels"))
+                     .otherwise(F.col(px).cast("array<double>")))
+    return affine(p, "angle", "shift_x", "shift_y", "zoom_x", "zoom_y", "shear", px=px)
+
+
 def hsv_shift(df: DataFrame, hue: str = "hue", sat: str = "sat", val: str = "val",
               px: str = "pixels") -> DataFrame:
     """Shift hue, saturation and value of every RGB picture by its row's parameters."""

@@ -17,6 +17,20 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.frames import SAMPLE_EVERY
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark) -> str:
+    """Keep streaming state in RocksDB (off-heap, spills to local disk, checkpointed
+    with the query) unless the session already names a provider; returns the
+    provider in force. Must run before the query starts."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    if key not in explicit:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+    return spark.conf.get(key)
+
+
 OUT_SCHEMA = T.StructType([
     T.StructField("stream_id", T.StringType()),
     T.StructField("frame_no", T.LongType()),

@@ -141,3 +141,18 @@ def test_sql_and_numpy_picture_engines_agree(spark):
     img = np.arange(16, dtype=float).reshape(4, 4, 1)
     assert np.allclose(resize_bilinear_array(img, 4, 4), img)
     assert resize_bilinear_array(img, 8, 8).shape == (8, 8, 1)
+
+
+def test_generator_params_in_range_and_warp_runs(spark):
+    from imagelake.operators.augment import generator_augment, generator_params
+    rng = np.random.default_rng(8)
+    imgs = [rng.integers(0, 255, (6, 6, 3)).astype(float) for _ in range(10)]
+    df = _pics(spark, imgs).withColumn("split", F.lit("train"))
+    p = generator_params(df, n=4, seed=2).collect()
+    assert len(p) == 40
+    assert all(-30 <= r.angle <= 30 and -0.2 <= r.shift_x <= 0.2 and -0.2 <= r.shift_y <= 0.2
+               and 0.85 <= r.zoom_x <= 1.15 and 0.85 <= r.zoom_y <= 1.15 and -0.15 <= r.shear <= 0.15 for r in p)
+    out = generator_augment(df, n=4, seed=2).collect()
+    assert len(out) == 40 and all(len(r.pixels) == 108 for r in out)
+    again = sorted((r.vec_id, r.variant, tuple(r.pixels)) for r in generator_augment(df, n=4, seed=2).collect())
+    assert again == sorted((r.vec_id, r.variant, tuple(r.pixels)) for r in out)

@@ -121,6 +121,8 @@ def test_completeness_stream_equals_batch(spark, scratch):
 
 
 def test_sampled_inference_stream_equals_batch(spark, scratch):
+    from imagelake.streaming.frames import ROCKSDB_PROVIDER, use_rocksdb_state
+    assert use_rocksdb_state(spark) == ROCKSDB_PROVIDER
     frames = fx.frames(spark, SF_SMALL)
     folder = os.path.join(scratch, "frames")
     _write_stream_files(frames, folder, "ts", range(1, 31))
