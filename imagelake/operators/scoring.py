@@ -27,10 +27,16 @@ ACTIVATIONS = ("linear", "relu", "sigmoid", "softmax")
 class ModelSpec:
     """A model to score with. ``layers`` is a tuple of ``(W[in, out], b[out], activation)``;
     ``scaling`` records how training inputs were scaled (``unit`` = x/255,
-    ``signed`` = x/127.5-1, ``raw``) so mismatched inputs are refused."""
+    ``signed`` = x/127.5-1, ``raw``) so mismatched inputs are refused.
+    ``exact_sums`` adds each unit's inputs in input order with plain products
+    instead of a BLAS product: scores are then bit-identical on every machine,
+    thread count and retried task (and equal to the same sum written in SQL), at
+    the cost of memory per batch proportional to inputs x units - meant for heads,
+    not full networks."""
     name: str
     layers: tuple = ()
     scaling: str = "raw"
+    exact_sums: bool = False
     onnx_path: str | None = None
     onnx_output: str | None = None
     meta: dict = field(default_factory=dict, hash=False, compare=False)
@@ -43,17 +49,19 @@ class ModelSpec:
             h.update(np.ascontiguousarray(b).tobytes())
             h.update(act.encode())
         h.update(str(self.onnx_path).encode())
+        h.update(b"exact" if self.exact_sums else b"blas")
         return h.hexdigest()
 
 
-def dense_spec(name: str, weights: list[tuple[np.ndarray, np.ndarray, str]], scaling: str = "raw") -> ModelSpec:
+def dense_spec(name: str, weights: list[tuple[np.ndarray, np.ndarray, str]], scaling: str = "raw",
+               exact_sums: bool = False) -> ModelSpec:
     for w, b, act in weights:
         if act not in ACTIVATIONS:
             raise ValueError(f"unknown activation {act}")
         if w.shape[1] != b.shape[0]:
             raise ValueError("weight and bias shapes differ")
     return ModelSpec(name=name, layers=tuple((np.asarray(w, np.float64), np.asarray(b, np.float64), a)
-                                             for w, b, a in weights), scaling=scaling)
+                                             for w, b, a in weights), scaling=scaling, exact_sums=exact_sums)
 
 
 # per-Python-worker cache: spec key -> callable(batch ndarray) -> ndarray
@@ -81,10 +89,15 @@ def _build(spec: ModelSpec, upto: int | None):
         return lambda x: np.asarray(sess.run(out, {inp: x.astype(np.float32)})[0], np.float64)
     layers = spec.layers if upto is None else spec.layers[:upto]
 
+    def affine_map(h, w, b):
+        if spec.exact_sums:  # running sum over inputs in index order
+            return np.cumsum(h[:, :, None] * w[None, :, :], axis=1)[:, -1, :] + b
+        return h @ w + b
+
     def forward(x):
         h = x.astype(np.float64, copy=False)
         for w, b, act in layers:
-            h = _activate(h @ w + b, act)
+            h = _activate(affine_map(h, w, b), act)
         return h
     return forward
 
@@ -166,10 +179,11 @@ def rule_head(n_in: int, n_out: int) -> ModelSpec:
     return dense_spec("rule_head", [(w, np.zeros(n_out), "softmax")])
 
 
-def rule_mlp(n_in: int, n_hidden: int, n_out: int) -> ModelSpec:
+def rule_mlp(n_in: int, n_hidden: int, n_out: int, exact_sums: bool = False) -> ModelSpec:
     """Two-layer rule-based network (ReLU hidden layer) for feature extraction checks."""
     j = np.arange(n_in)[:, None]
     h = np.arange(n_hidden)[None, :]
     w1 = ((5 * j + 3 * h) % 11 - 5) / 10.0
     w2 = ((np.arange(n_hidden)[:, None] + 2 * np.arange(n_out)[None, :]) % 7 - 3) / 3.0
-    return dense_spec("rule_mlp", [(w1, np.zeros(n_hidden), "relu"), (w2, np.zeros(n_out), "softmax")])
+    return dense_spec("rule_mlp", [(w1, np.zeros(n_hidden), "relu"), (w2, np.zeros(n_out), "softmax")],
+                      exact_sums=exact_sums)

@@ -189,10 +189,17 @@ def q_e1(spark, sf):
     return scored.select("item_id", "class_id", F.round("confidence", 6).alias("confidence"))
 
 
-@register("E2_extract_features")
+E2_FEATURES = """CAST(list_transform(range(0, 16), lambda h: greatest(list_reduce(list_transform(embedding, lambda x, j:
+    CAST(x AS DOUBLE) * (((5 * (j - 1) + 3 * h) % 11 - 5) / CAST(10 AS DOUBLE))), lambda a, y: a + y, CAST(0 AS DOUBLE)),
+    CAST(0 AS DOUBLE))) AS FLOAT[])"""
+
+
+@register("E2_extract_features", f"""
+SELECT vec_id, {E2_FEATURES} AS features FROM embeddings""")
 def q_e2(spark, sf):
     emb = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("pixels"))
-    return extract_features(emb, rule_mlp(64, 16, len(CLASS_NAMES)), upto=1, keep=["vec_id"])
+    # exact sums: the hidden layer adds its inputs in order, as the SQL twin does
+    return extract_features(emb, rule_mlp(64, 16, len(CLASS_NAMES), exact_sums=True), upto=1, keep=["vec_id"])
 
 
 @register("E7_sampled_inference", cte("frames") + """

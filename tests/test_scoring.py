@@ -156,3 +156,22 @@ def test_generator_params_in_range_and_warp_runs(spark):
     assert len(out) == 40 and all(len(r.pixels) == 108 for r in out)
     again = sorted((r.vec_id, r.variant, tuple(r.pixels)) for r in generator_augment(df, n=4, seed=2).collect())
     assert again == sorted((r.vec_id, r.variant, tuple(r.pixels)) for r in out)
+
+
+def test_exact_sums_add_inputs_in_order(spark):
+    x, df = _features(spark, n=20, d=12)
+    rng = np.random.default_rng(12)
+    w = rng.normal(size=(12, 4))
+    exact = dense_spec("e", [(w, np.zeros(4), "linear")], exact_sums=True)
+    blas = dense_spec("b", [(w, np.zeros(4), "linear")])
+    got = {r.item_id: r.probs for r in score_batch(df, exact, keep=["item_id"]).collect()}
+    for i, probs in got.items():
+        want = []
+        for k in range(4):
+            acc = 0.0
+            for j in range(12):
+                acc = acc + x[i, j] * w[j, k]
+            want.append(acc)
+        assert list(probs) == want
+    near = {r.item_id: r.probs for r in score_batch(df, blas, keep=["item_id"]).collect()}
+    assert all(np.allclose(near[i], got[i], atol=1e-12) for i in got)
