@@ -85,14 +85,15 @@ def match_uploads(results: DataFrame, uploads: DataFrame,
 def request_completeness(requests: DataFrame, results: DataFrame, key: str = "request_id",
                          timeout_s: int = RESULT_TIMEOUT_S) -> DataFrame:
     """Status per request (G7): ``done`` / ``error`` when a result arrived within
-    ``timeout_s`` of the request, else ``timed out``. Results are reduced to the
-    first one per request before the join."""
+    ``timeout_s`` after the request, else ``timed out`` (the same interval as the
+    streaming form). Results are reduced to the first one per request before the
+    join."""
     first = results.groupBy(key).agg(
         F.min_by(F.struct("processed_at", "error"), F.col("processed_at")).alias("_r")
     ).select(key, F.col("_r.processed_at").alias("processed_at"), F.col("_r.error").alias("error"))
     j = requests.join(first, key, "left")
     deadline = F.col("received_at") + F.make_dt_interval(secs=F.lit(timeout_s))
-    in_time = F.col("processed_at").isNotNull() & (F.col("processed_at") <= deadline)
+    in_time = F.col("processed_at").between(F.col("received_at"), deadline)
     status = (F.when(in_time & F.col("error").isNotNull(), "error")
               .when(in_time, "done").otherwise("timed out"))
     return j.withColumn("status", status)

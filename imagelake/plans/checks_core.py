@@ -312,8 +312,8 @@ G7_SQL = cte("pred_log") + """
 , per_request AS (
   SELECT event_id AS request_id, session_id, received_at, processed_at,
     CASE WHEN is_error THEN 'bad image' END AS error,
-    CASE WHEN processed_at <= received_at + INTERVAL 60 SECOND AND is_error THEN 'error'
-         WHEN processed_at <= received_at + INTERVAL 60 SECOND THEN 'done'
+    CASE WHEN processed_at BETWEEN received_at AND received_at + INTERVAL 60 SECOND AND is_error THEN 'error'
+         WHEN processed_at BETWEEN received_at AND received_at + INTERVAL 60 SECOND THEN 'done'
          ELSE 'timed out' END AS status
   FROM pred_log)"""
 
