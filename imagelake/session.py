@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,16 +47,42 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply REQUIRED always and PREFERRED where the session has no explicit value."""
+    """Apply REQUIRED always and PREFERRED where the session has no explicit value,
+    and make sure Python workers can import this package."""
     for k, v in REQUIRED.items():
         spark.conf.set(k, v)
     explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
     for k, v in PREFERRED.items():
         if k not in explicit:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers once per application
+    (what ``spark-submit --py-files`` does), so Arrow-batched functions that
+    run there can import it whatever the driver's working directory is."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="imagelake-pkg-"), "imagelake.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("imagelake", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster; a scratch folder only when unset."""
     sc = spark.sparkContext
