@@ -78,8 +78,8 @@ def match_uploads(results: DataFrame, uploads: DataFrame,
     order = F.struct(*[F.col(c) for c in order_cols])
     first = uploads.groupBy(*keys).agg(
         F.min_by(F.struct(*[F.col(c) for c in payload]), order).alias("_u")).select(*keys, "_u.*")
-    sizes = results.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return salted_join(results, first, keys, "left", size_col="_rows", sizes=sizes)
+    # group sizes for hot-key detection are estimated from a sample of the results
+    return salted_join(results, first, keys, "left", size_col="_rows")
 
 
 def request_completeness(requests: DataFrame, results: DataFrame, key: str = "request_id",

@@ -11,16 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.skew import salted_join
-
 
 def image_fetch(requests: DataFrame, images: DataFrame, key="object_key") -> DataFrame:
     """Left join of requests to pictures on ``key`` (a column or a list); adds
-    ``fetch_error``. Many requests may name one picture, so the join is salted
-    for pictures requested by a large share of all requests."""
+    ``fetch_error``. Both sides are shuffled for this join, so when many requests
+    name one picture, adaptive execution splits that skewed partition of the
+    request side and replicates the picture's partition (skew join)."""
     keys = [key] if isinstance(key, str) else list(key)
-    sizes = requests.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    j = salted_join(requests, images, keys, "left", size_col="_rows", sizes=sizes)
+    j = requests.join(images, keys, "left")
     marker = "height" if "height" in images.columns else [c for c in images.columns if c != key][0]
     return j.withColumn("fetch_error", F.when(F.col(marker).isNull(), F.lit("not found")))
 

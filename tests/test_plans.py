@@ -60,14 +60,22 @@ def test_salted_join_splits_a_hot_group_and_keeps_the_answer(spark):
     from imagelake.functions.skew import hot_keys, salted_join
     df = _hot_sessions(spark)
     counts = df.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
-    assert [r.session_id for r in hot_keys(counts, ["session_id"], "n", share=0.01).collect()] == ["hot"]
+    assert [r.session_id for r in hot_keys(counts, ["session_id"], "n", share=0.01, min_rows=1000).collect()] == ["hot"]
+    assert hot_keys(counts, ["session_id"], "n", share=0.01).count() == 0  # below the row floor
     stats = counts.withColumn("stat", F.col("n") * 2)
-    a = salted_join(df, stats, ["session_id"], "inner", size_col="n", share=0.01, salts=8)
+    a = salted_join(df, stats, ["session_id"], "inner", size_col="n", share=0.01, min_rows=1000, salts=8)
     b = df.join(stats, "session_id")
     assert sorted(a.select("id", "stat").collect()) == sorted(b.select("id", "stat").collect())
     assert "_salt" in _plan(a)
     left = sorted(r.id for r in salted_join(df, stats.where("n < 10"), ["session_id"], "left_anti",
-                                            size_col="n", share=0.01, sizes=counts).collect())
+                                            size_col="n", share=0.01, min_rows=1000, sizes=counts).collect())
+    # sizes estimated from a sample find the same hot group
+    from imagelake.functions.skew import estimated_sizes
+    est = estimated_sizes(df, ["session_id"], "n", fraction=0.1)
+    assert [r.session_id for r in hot_keys(est, ["session_id"], "n", share=0.01, min_rows=1000).collect()] == ["hot"]
+    c = salted_join(df, stats.drop("n"), ["session_id"], "inner", size_col="n", share=0.01, min_rows=1000,
+                    salts=8, sample=0.1)
+    assert sorted(c.select("id", "stat").collect()) == sorted(b.select("id", "stat").collect())
     assert left == sorted(r.id for r in df.join(stats.where("n < 10"), "session_id", "left_anti").collect())
 
 
@@ -116,3 +124,29 @@ def test_windows_run_over_aggregates(spark, name):
 def test_window_detector_sees_raw_windows(spark):
     plan = E.queries()["G8_session_preview"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan()
     assert _windows_over_raw_rows(plan) >= 1
+
+
+def test_hot_picture_is_split_by_adaptive_skew_join(spark):
+    from imagelake.sources.fetch import image_fetch
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        reqs = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).alias("object_key"), "id")
+        imgs = spark.range(5000).select(F.col("id").alias("object_key"), F.lit(4).alias("height"))
+        j = image_fetch(reqs, imgs)
+        assert j.where("fetch_error IS NULL").count() == 30000
+        j.collect()
+        assert "SortMergeJoin(skew=true)" in _plan(j)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
