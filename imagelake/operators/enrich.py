@@ -54,10 +54,11 @@ def percent_2(c) -> F.Column:
 
 
 def results_table(df: DataFrame) -> DataFrame:
-    """Display rows (F4): image, fruit, confidence as a percentage, price, time."""
+    """Display rows (F4): image, fruit (as stored in the log), confidence as a
+    percentage, price, time."""
     return df.select(
         F.col("filename").alias("image"),
-        capitalize("fruit").alias("fruit"),
+        F.col("fruit"),
         percent_2("confidence").alias("confidence"),
         F.col("price_text").alias("price"),
         F.date_format("processed_at", "HH:mm:ss").alias("processed"))

@@ -205,7 +205,7 @@ def q_f3(spark, sf):
 
 
 @register("F4_results_table", _priced_cte() + """
-SELECT filename AS image, concat(upper(left(fruit, 1)), lower(substr(fruit, 2))) AS fruit,
+SELECT filename AS image, fruit,
   concat(CAST(CAST(round(confidence * 10000) AS BIGINT) // 100 AS VARCHAR), '.',
          lpad(CAST(CAST(round(confidence * 10000) AS BIGINT) % 100 AS VARCHAR), 2, '0'), '%') AS confidence,
   price_text AS price, strftime(processed_at, '%H:%M:%S') AS processed
