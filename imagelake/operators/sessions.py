@@ -33,8 +33,8 @@ def latest(log: DataFrame, n: int = 10, order_col: str = "processed_at",
 def session_stats(log: DataFrame) -> DataFrame:
     """Count and mean confidence per session, newest first."""
     return (log.groupBy("session_id")
-               .agg(F.count(F.lit(1)).alias("n_predictions"),
-                    F.avg("confidence").alias("avg_confidence"),
+               .agg(F.count(F.lit(1)).alias("total"),
+                    F.avg("confidence").alias("avg_conf"),
                     F.max("processed_at").alias("last_processed_at"))
                .orderBy(F.col("last_processed_at").desc(), "session_id"))
 

@@ -256,7 +256,7 @@ def q_g2(spark, sf):
 
 
 @register("G3_session_stats", LOG_CTE + """
-SELECT session_id, count(*) AS n_predictions, avg(confidence) AS avg_confidence,
+SELECT session_id, count(*) AS total, avg(confidence) AS avg_conf,
   max(processed_at) AS last_processed_at
 FROM priced GROUP BY session_id ORDER BY last_processed_at DESC, session_id""", ts_cols=('last_processed_at',))
 def q_g3(spark, sf):
