@@ -36,17 +36,51 @@ def report_columns(ev: DataFrame, history: DataFrame, class_names: list[str]) ->
     return acc.join(med, "run_id", "left").join(per, "run_id").join(train, "run_id", "left")
 
 
+def lit_value(v) -> F.Column:
+    """A nested Python value (dict / list / scalar) as a literal column."""
+    if isinstance(v, dict):
+        if not v:
+            return F.create_map().cast("map<string,string>")  # written as {}
+        return F.struct(*[lit_value(x).alias(k) for k, x in v.items()])
+    if isinstance(v, (list, tuple)):
+        return F.array(*[lit_value(x) for x in v])
+    return F.lit(v)
+
+
 def model_report(ev: DataFrame, history: DataFrame, class_names: list[str],
-                 config: dict | None = None) -> DataFrame:
-    """``(run_id, report STRUCT)``; ``report_sink`` writes it as JSON."""
-    cfg = config or {}
+                 config: dict | None = None, model_path: str | None = None) -> DataFrame:
+    """``(run_id, report STRUCT)`` with the eight sections of a model report:
+    model_info, dataset_info, training_config, data_augmentation,
+    model_architecture, performance_metrics, statistical_analysis, integrity.
+    ``config`` supplies the descriptive sections (keys ``model_info``,
+    ``training_config``, ``model_architecture``, ``dataset_info`` extras and
+    ``data_augmentation``; the generator recipe by default). With ``model_path``
+    the integrity section carries the file's SHA-256 (C9). ``report_sink``
+    writes the result as JSON."""
+    from .augment import GENERATOR_RECIPE
+    cfg = dict(config or {})
     flat = report_columns(ev, history, class_names)
-    cfg_struct = F.struct(*[F.lit(v).alias(k) for k, v in cfg.items()]) if cfg else F.lit(None)
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    checksum = F.lit(None).cast("string")
+    size = F.lit(None).cast("long")
+    if model_path is not None:
+        from ..sources.catalog import integrity_manifest
+        m = integrity_manifest(flat.sparkSession, model_path).first()  # one file: one small row
+        checksum, size = F.lit(m["sha256"]), F.lit(m["size_bytes"])
+    info = cfg.get("model_info", {})
+    dataset_extra = cfg.get("dataset_info", {})
+    aug = cfg.get("data_augmentation", {**GENERATOR_RECIPE, "fill_mode": "nearest"})
+    model_file = info.get("model_file", model_path.rsplit("/", 1)[-1] if model_path else None)
     return flat.select("run_id", F.struct(
-        cfg_struct.alias("config"),
+        F.struct(*[lit_value(v).alias(k) for k, v in info.items()],
+                 now.alias("creation_date")).alias("model_info"),
         F.struct(F.lit(len(class_names)).alias("total_classes"),
                  F.array(*[F.lit(n) for n in class_names]).alias("classes"),
+                 *[lit_value(v).alias(k) for k, v in dataset_extra.items()],
                  F.col("predictions_total").alias("test_samples")).alias("dataset_info"),
+        lit_value(cfg.get("training_config", {})).alias("training_config"),
+        lit_value(aug).alias("data_augmentation"),
+        lit_value(cfg.get("model_architecture", {})).alias("model_architecture"),
         F.struct(
             F.struct(F.col("final_accuracy"), F.col("final_loss"), F.col("best_epoch")).alias("training"),
             F.struct(F.col("final_val_accuracy").alias("final_accuracy"),
@@ -60,4 +94,6 @@ def model_report(ev: DataFrame, history: DataFrame, class_names: list[str],
                      F.col("conf_std").alias("std"), F.col("conf_min").alias("min"),
                      F.col("conf_max").alias("max")).alias("confidence_scores"),
             F.col("per_class_accuracy")).alias("statistical_analysis"),
+        F.struct(F.lit(model_file).cast("string").alias("model_file"), size.alias("model_size_bytes"),
+                 now.alias("timestamp"), checksum.alias("checksum")).alias("integrity"),
     ).alias("report"))

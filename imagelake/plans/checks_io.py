@@ -148,7 +148,7 @@ SELECT run_id, sum(CAST(y_true = y_pred AS BIGINT)) / count(*) AS test_accuracy,
 FROM eval GROUP BY run_id""")
 def q_b6(spark, sf):
     rep = report_json(model_report(fx.eval_rows(spark, sf), fx.history(spark, sf), CLASS_NAMES,
-                                   {"epochs": 10, "batch_size": 32}))
+                                   REPORT_CONFIG))
     j = F.col("value")
     return rep.select(
         "run_id",
@@ -159,6 +159,20 @@ def q_b6(spark, sf):
                            "map<string,double>")).cast("long").alias("n_per_class"))
 
 
+# fixed values: descriptive sections of the model report.
+REPORT_CONFIG = {
+    "model_info": {"name": "fruit_head", "version": "1.0", "architecture": "frozen base + dense head",
+                   "framework": "Spark ML / NumPy"},
+    "training_config": {"epochs": 10, "batch_size": 32, "optimizer": "adam",
+                        "loss_function": "categorical_crossentropy", "metrics": ["accuracy"],
+                        "early_stopping": {"monitor": "val_loss", "patience": 3, "restore_best_weights": True}},
+    "model_architecture": {"base_trainable": False, "pooling": "avg",
+                           "custom_layers": [{"type": "Dense", "units": 128, "activation": "relu"},
+                                             {"type": "Dense", "units": 128, "activation": "relu"},
+                                             {"type": "Dense", "units": 15, "activation": "softmax"}]},
+}
+
+
 # --- D15: augmentation parameters and the expression part -------------------
 
 U = """CAST(('0x' || substr(md5(concat_ws(':', CAST(vec_id AS VARCHAR), CAST(variant AS VARCHAR), '3', '{slot}')), 1, 8))

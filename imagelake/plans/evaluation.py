@@ -49,7 +49,8 @@ def eval_rows_from_folder(spark: SparkSession, root: str, spec: ModelSpec, class
 
 def evaluate_folder(spark: SparkSession, root: str, spec: ModelSpec, class_names: list[str],
                     size: tuple[int, int], history: DataFrame, report_path: str | None = None,
-                    run_id: str = "run", glob: str = "*.jpg") -> dict[str, DataFrame]:
+                    run_id: str = "run", glob: str = "*.jpg", config: dict | None = None,
+                    model_path: str | None = None) -> dict[str, DataFrame]:
     """All evaluation outputs for one run; writes the report when ``report_path`` is given."""
     ev = eval_rows_from_folder(spark, root, spec, class_names, size, run_id, glob)
     out = {
@@ -60,7 +61,7 @@ def evaluate_folder(spark: SparkSession, root: str, spec: ModelSpec, class_names
         "class_accuracy": ev_ops.class_accuracy(ev, class_names),
         "confidence": ev_ops.confidence_describe(ev),
         "bands": ev_ops.confidence_bands(ev),
-        "model_report": model_report(ev, history, class_names),
+        "model_report": model_report(ev, history, class_names, config, model_path),
     }
     if report_path is not None:
         report_sink(out["model_report"], report_path)

@@ -54,8 +54,13 @@ def test_evaluate_folder_writes_report(spark, scratch):
             for i in range(4):
                 write_png(os.path.join(d, f"{i}.png"), rng.integers(0, 255, (6, 6, 3)))
     hist = fx.history(spark, SF_SMALL).where("run_id = 'reference'").withColumn("run_id", F.lit("r1"))
+    model_file = os.path.join(scratch, "head.npz")
+    np.savez(model_file, w=np.arange(6.0))
     out = evaluate_folder(spark, root, rule_head(48, 3), names, (4, 4), hist,
-                          report_path=os.path.join(scratch, "report"), run_id="r1", glob="*.png")
+                          report_path=os.path.join(scratch, "report"), run_id="r1", glob="*.png",
+                          config={"model_info": {"name": "head", "version": "1.0"},
+                                  "training_config": {"epochs": 10, "batch_size": 32}},
+                          model_path=model_file)
     acc = out["accuracy"].first()
     assert acc.total == 12  # the unknown folder is filtered out
     cm = out["confusion"].agg(F.sum("n")).first()[0]
@@ -65,3 +70,8 @@ def test_evaluate_folder_writes_report(spark, scratch):
     assert doc["performance_metrics"]["test"]["predictions_total"] == 12
     assert doc["performance_metrics"]["training"]["best_epoch"] == 7
     assert set(doc["statistical_analysis"]["per_class_accuracy"]) == set(names)
+    assert list(doc) == ["model_info", "dataset_info", "training_config", "data_augmentation",
+                         "model_architecture", "performance_metrics", "statistical_analysis", "integrity"]
+    import hashlib
+    assert doc["integrity"]["checksum"] == hashlib.sha256(open(model_file, "rb").read()).hexdigest()
+    assert doc["data_augmentation"]["rotation_range"] == 30.0 and doc["training_config"]["epochs"] == 10
