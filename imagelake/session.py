@@ -66,8 +66,11 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers once per application
     (what ``spark-submit --py-files`` does), so Arrow-batched functions that
     run there can import it whatever the driver's working directory is."""
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext here (e.g. a remote session)
+        return
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -79,7 +82,10 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.join("imagelake", os.path.relpath(full, pkg)))
-    sc.addPyFile(out)
+    try:
+        sc.addPyFile(out)
+    except Exception:  # noqa: BLE001 - workers then need the package installed
+        return
     _SHIPPED.add(app)
 
 
