@@ -223,3 +223,12 @@ def q_e8(spark, sf):
         F.col("vec_id").alias("item_id"), F.col("embedding").alias("features"), "label")
     model, x = train_head(emb, hidden=(128, 128), n_classes=10, max_iter=15, seed=0)
     return head_predictions(model, x, ["item_id", "label"])
+
+
+@register("D6_resize_bilinear")
+def q_d6b(spark, sf):
+    """Bilinear resize of the 4x4x3 pictures to 6x5 (NumPy per Arrow batch; the SQL
+    engine covers nearest-neighbour only)."""
+    from ..operators.resize import prepare_pictures
+    return prepare_pictures(fx.pix3(spark, sf).select("vec_id", "height", "width", "n_channels", "pixels"),
+                            ["resize"], (6, 5), engine="numpy", bilinear=True)

@@ -31,3 +31,17 @@ def completeness_stream(requests: DataFrame, results: DataFrame, key: str = "req
     return j.select(F.col("q." + key).alias(key), F.col("q.session_id").alias("session_id"),
                     F.col("q.received_at").alias("received_at"), F.col("r.processed_at").alias("processed_at"),
                     F.col("r.error").alias("error"), status.alias("status"))
+
+
+def start_completeness(requests: DataFrame, results: DataFrame, target: str, checkpoint: str,
+                       available_now: bool = True, key: str = "request_id",
+                       timeout_s: int = RESULT_TIMEOUT_S, delay: str = "2 minutes"):
+    """Run ``completeness_stream`` into a Parquet table through Spark's file sink,
+    which commits each micro-batch exactly once (its own metadata log), so a
+    restart neither loses nor duplicates statuses. Per-session completeness is
+    then ``operators.sessions.session_completeness`` over that table."""
+    w = (completeness_stream(requests, results, key, timeout_s, delay).writeStream
+         .format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+         .outputMode("append"))
+    w = w.trigger(availableNow=True) if available_now else w
+    return w.start()

@@ -18,7 +18,7 @@ from imagelake.operators.sessions import request_completeness
 from imagelake.sinks.predictions import predictions_sink
 from imagelake.sinks.uploads import land_uploads, write_uploads
 from imagelake.sources.messages import REQUEST_SCHEMA, parse_messages, type_messages
-from imagelake.streaming.completeness import completeness_stream
+from imagelake.streaming.completeness import completeness_stream, start_completeness
 from imagelake.streaming.frames import sampled_inference_stream
 from imagelake.streaming.scoring import ScoringJob, score_requests, start_scoring
 
@@ -173,3 +173,22 @@ def test_scoring_stream_restarts_from_checkpoint(spark, scratch):
     assert first == 12
     assert log.count() + errors.count() == 24
     assert log.select("id").distinct().count() == log.count()
+
+
+def test_completeness_file_sink_and_session_rollup(spark, scratch):
+    from imagelake.operators.sessions import session_completeness
+    log = fx.pred_log(spark, SF_SMALL)
+    req = log.select(F.col("event_id").alias("request_id"), "session_id", "received_at")
+    res = log.select(F.col("event_id").alias("request_id"), "processed_at",
+                     F.when(F.col("is_error"), F.lit("bad image")).alias("error"))
+    rq, rs = os.path.join(scratch, "req"), os.path.join(scratch, "res")
+    _write_stream_files(req, rq, "received_at", range(1, 31))
+    _write_stream_files(res, rs, "processed_at", range(1, 31))
+    q = start_completeness(spark.readStream.schema(req.schema).option("maxFilesPerTrigger", 10).parquet(rq),
+                           spark.readStream.schema(res.schema).option("maxFilesPerTrigger", 10).parquet(rs),
+                           os.path.join(scratch, "status"), os.path.join(scratch, "ck"))
+    q.awaitTermination(300)
+    status = spark.read.parquet(os.path.join(scratch, "status"))
+    assert status.count() == status.select("request_id").distinct().count() > 0
+    per_session = session_completeness(status)
+    assert per_session.where("n_requests != n_done + n_error + n_timed_out").count() == 0
