@@ -52,15 +52,24 @@ def sampled_inference_stream(frames: DataFrame, n: int = SAMPLE_EVERY) -> DataFr
     """Streaming twin of ``operators.frames.sampled_inference``."""
 
     def step(key, batches, state):
-        last = state.get if state.exists else (None, None, None, None)
-        out = []
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values("frame_no")
-        for r in pdf.itertuples(index=False):
-            if r.frame_no % n == 0:
-                last = (int(r.frame_no), int(r.y_pred), float(r.confidence), bool(r.is_error))
-            out.append((key[0], int(r.frame_no), *last, r.frame_no % n == 0))
-        state.update(last)
-        yield pd.DataFrame(out, columns=[f.name for f in OUT_SCHEMA.fields])
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values("frame_no", kind="stable")
+        prev = state.get if state.exists else (None, None, None, None)
+        scored = (pdf["frame_no"] % n == 0).to_numpy()
+        out = pd.DataFrame({"stream_id": key[0], "frame_no": pdf["frame_no"].astype("int64").to_numpy()})
+        # carry the last scored frame's result forward (vectorised forward fill),
+        # starting from the result kept in state by earlier micro-batches
+        carried = {"source_frame": pdf["frame_no"], "y_pred": pdf["y_pred"],
+                   "confidence": pdf["confidence"], "is_error": pdf["is_error"]}
+        for i, (name, col) in enumerate(carried.items()):
+            v = pd.Series(col.to_numpy(), dtype="object").where(scored).ffill()
+            out[name] = v.where(v.notna(), prev[i]).to_numpy()
+        out["scored"] = scored
+        last = out.iloc[-1]
+        if last["source_frame"] is not None and not pd.isna(last["source_frame"]):
+            state.update((int(last["source_frame"]), int(last["y_pred"]), float(last["confidence"]),
+                          bool(last["is_error"])))
+        yield out.astype({"source_frame": "Int64", "y_pred": "Int32", "confidence": "Float64",
+                          "is_error": "boolean"})
 
     cols = frames.select("stream_id", "frame_no", "y_pred", "confidence", "is_error")
     return cols.groupBy("stream_id").applyInPandasWithState(
