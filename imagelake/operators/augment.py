@@ -4,7 +4,8 @@ Random parameters are derived from ``md5(key:variant:seed:slot)`` instead of
 ``rand()``, so a retried task draws exactly the same values and the training
 table is reproducible. Flip and brightness/contrast are column expressions;
 the affine warp and the HSV shift need per-picture index maps and run in
-``mapInPandas`` with NumPy, one Arrow batch at a time.
+``mapInPandas`` with NumPy: within each Arrow batch, pictures of one shape are
+transformed together as one stacked array.
 """
 
 from __future__ import annotations
@@ -156,16 +157,35 @@ def hsv_shift_array(img: np.ndarray, dh: float, ds: float, dv: float) -> np.ndar
     return np.clip(hsv_to_rgb(hsv), 0, 255)
 
 
-def _pictures_udf(df: DataFrame, fn, px: str = "pixels") -> DataFrame:
-    """Run ``fn(img[h, w, c], row) -> img`` over every picture, one Arrow batch at a time."""
+def warp_batch(imgs: np.ndarray, mats: np.ndarray) -> np.ndarray:
+    """``warp`` for a stack of same-shape pictures ``[N, h, w, c]`` with one
+    output->source map each (``mats`` ``[N, 3, 3]``)."""
+    n, h, w = imgs.shape[:3]
+    yy, xx = np.meshgrid(np.arange(h), np.arange(w), indexing="ij")
+    pts = np.stack([yy.ravel(), xx.ravel(), np.ones(h * w)])           # [3, h*w]
+    src = mats @ pts                                                     # [N, 3, h*w]
+    sy = np.clip(np.rint(src[:, 0]), 0, h - 1).astype(int)
+    sx = np.clip(np.rint(src[:, 1]), 0, w - 1).astype(int)
+    return imgs[np.arange(n)[:, None], sy, sx].reshape(imgs.shape)
+
+
+def _pictures_batch(df: DataFrame, fn, params: list[str], px: str = "pixels") -> DataFrame:
+    """Run ``fn(imgs[N, h, w, c], {param: array[N]}) -> imgs`` over every picture:
+    within each Arrow batch, pictures of one shape are transformed as one stack."""
     def run(batches):
         for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                r = row._asdict()
-                a = np.asarray(r[px], dtype=np.float64).reshape(r["height"], r["width"], r["n_channels"])
-                out.append(np.asarray(fn(a, r), dtype=np.float64).ravel())
             pdf = pdf.copy()
+            out = [None] * len(pdf)
+            shapes = list(zip(pdf["height"], pdf["width"], pdf["n_channels"]))
+            groups: dict[tuple, list[int]] = {}
+            for i, s in enumerate(shapes):
+                groups.setdefault(tuple(int(x) for x in s), []).append(i)
+            for (h, w, c), idx in groups.items():
+                imgs = np.stack([np.asarray(pdf[px].iat[i], dtype=np.float64) for i in idx]).reshape(-1, h, w, c)
+                vals = {p: pdf[p].to_numpy()[idx] for p in params}
+                res = fn(imgs, vals)
+                for j, i in enumerate(idx):
+                    out[i] = res[j].ravel()
             pdf[px] = out
             yield pdf
 
@@ -178,16 +198,49 @@ def affine(df: DataFrame, angle: str = "angle", shift_x: str | None = None, shif
            px: str = "pixels") -> DataFrame:
     """Rotate / shift / zoom / shear every picture by its row's parameters (D13);
     parameters left as None are neutral."""
-    def get(r, col, neutral):
-        v = r.get(col) if col else None
-        return neutral if v is None else float(v)
+    cols = {"angle": angle, "shift_x": shift_x, "shift_y": shift_y, "zoom_x": zoom_x, "zoom_y": zoom_y,
+            "shear": shear}
+    neutral = {"angle": 0.0, "shift_x": 0.0, "shift_y": 0.0, "zoom_x": 1.0, "zoom_y": 1.0, "shear": 0.0}
+    used = [c for c in cols.values() if c]
+
+    def fn(imgs, vals):
+        n, h, w = imgs.shape[:3]
+
+        def get(name, k):
+            col = cols[name]
+            v = vals[col][k] if col else None
+            return neutral[name] if v is None or v != v else float(v)
+
+        mats = np.stack([affine_matrix(get("angle", k), get("shift_x", k), get("shift_y", k),
+                                       get("zoom_x", k), get("zoom_y", k), get("shear", k), h, w)
+                         for k in range(n)])
+        return warp_batch(imgs, mats)
+
+    return _pictures_batch(df, fn, used, px)
+
+
+def hsv_shift_batch(imgs: np.ndarray, dh: np.ndarray, ds: np.ndarray, dv: np.ndarray) -> np.ndarray:
+    """``hsv_shift_array`` for a stack of RGB pictures with one shift per picture."""
+    if imgs.shape[-1] != 3:
+        return imgs
+    hsv = rgb_to_hsv(imgs)
+    b = (slice(None),) + (None,) * (imgs.ndim - 2)
+    hsv[..., 0] = (hsv[..., 0] + dh[b]) % 360.0
+    hsv[..., 1] = np.clip(hsv[..., 1] + ds[b], 0, 255)
+    hsv[..., 2] = np.clip(hsv[..., 2] + dv[b], 0, 255)
+    out = np.clip(hsv_to_rgb(hsv), 0, 255)
+    keep = (dh == 0) & (ds == 0) & (dv == 0)       # no shift: the picture as it is
+    out[keep] = imgs[keep]
+    return out
 
-    def fn(img, r):
-        m = affine_matrix(get(r, angle, 0.0), get(r, shift_x, 0.0), get(r, shift_y, 0.0),
-                          get(r, zoom_x, 1.0), get(r, zoom_y, 1.0), get(r, shear, 0.0),
-                          img.shape[0], img.shape[1])
-        return warp(img, m)
-    return _pictures_udf(df, fn, px)
+
+def hsv_shift(df: DataFrame, hue: str = "hue", sat: str = "sat", val: str = "val",
+              px: str = "pixels") -> DataFrame:
+    """Shift hue, saturation and value of every RGB picture by its row's parameters."""
+    def fn(imgs, vals):
+        f = lambda c: np.asarray(vals[c], dtype=np.float64)
+        return hsv_shift_batch(imgs, f(hue), f(sat), f(val))
+    return _pictures_batch(df, fn, [hue, sat, val], px)
 
 
 def generator_augment(df: DataFrame, n: int, seed: int = 0, key_col: str = "vec_id",
@@ -199,12 +252,6 @@ def generator_augment(df: DataFrame, n: int, seed: int = 0, key_col: str = "vec_
     return affine(p, "angle", "shift_x", "shift_y", "zoom_x", "zoom_y", "shear", px=px)
 
 
-def hsv_shift(df: DataFrame, hue: str = "hue", sat: str = "sat", val: str = "val",
-              px: str = "pixels") -> DataFrame:
-    """Shift hue, saturation and value of every RGB picture by its row's parameters."""
-    return _pictures_udf(df, lambda img, r: hsv_shift_array(img, r[hue], r[sat], r[val]), px)
-
-
 def augment_dataset(df: DataFrame, n: int, seed: int = 0, key_col: str = "vec_id",
                     split_col: str | None = "split", recipe: dict | None = None,
                     px: str = "pixels") -> DataFrame:

@@ -175,3 +175,17 @@ def test_exact_sums_add_inputs_in_order(spark):
         assert list(probs) == want
     near = {r.item_id: r.probs for r in score_batch(df, blas, keep=["item_id"]).collect()}
     assert all(np.allclose(near[i], got[i], atol=1e-12) for i in got)
+
+
+def test_stacked_transforms_equal_single_picture_ones():
+    from imagelake.operators.augment import affine_matrix, hsv_shift_batch, warp, warp_batch
+    rng = np.random.default_rng(21)
+    imgs = rng.integers(0, 255, (5, 7, 6, 3)).astype(float)
+    mats = np.stack([affine_matrix(a, 0.1, -0.1, 1.1, 0.9, 5.0, 7, 6) for a in (0, 15, -30, 90, 7)])
+    got = warp_batch(imgs, mats)
+    for k in range(5):
+        assert np.array_equal(got[k], warp(imgs[k], mats[k]))
+    dh, ds, dv = np.array([0, 10, -5, 0, 3.0]), np.array([0, 5, 0, -20, 2.0]), np.array([0, 0, 8, 3, -1.0])
+    hs = hsv_shift_batch(imgs, dh, ds, dv)
+    for k in range(5):
+        assert np.allclose(hs[k], hsv_shift_array(imgs[k], dh[k], ds[k], dv[k]), atol=1e-9)
