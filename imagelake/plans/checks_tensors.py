@@ -225,7 +225,24 @@ def q_e8(spark, sf):
     return head_predictions(model, x, ["item_id", "label"])
 
 
-@register("D6_resize_bilinear")
+def _bilinear_sql(h: int, w: int, c: int, oh: int, ow: int) -> str:
+    """DuckDB text of the bilinear resize for fixed shapes (same operation order)."""
+    fy = f"least(greatest(((CAST(j // {ow * c} AS DOUBLE) + 0.5) * {h}) / {oh} - 0.5, CAST(0 AS DOUBLE)), {h - 1})"
+    fx = f"least(greatest(((CAST((j // {c}) % {ow} AS DOUBLE) + 0.5) * {w}) / {ow} - 0.5, CAST(0 AS DOUBLE)), {w - 1})"
+    y0, x0 = f"CAST(floor({fy}) AS BIGINT)", f"CAST(floor({fx}) AS BIGINT)"
+    y1, x1 = f"least({y0} + 1, {h - 1})", f"least({x0} + 1, {w - 1})"
+    wy, wx = f"({fy} - {y0})", f"({fx} - {x0})"
+
+    def at(y, x):
+        return f"pixels[({y} * {w} + {x}) * {c} + j % {c} + 1]"
+
+    return (f"list_transform(range(0, {oh * ow * c}), lambda j: "
+            f"({at(y0, x0)} * (1 - {wx}) + {at(y0, x1)} * {wx}) * (1 - {wy}) + "
+            f"({at(y1, x0)} * (1 - {wx}) + {at(y1, x1)} * {wx}) * {wy})")
+
+
+@register("D6_resize_bilinear", cte("pix3") + f"""
+SELECT vec_id, 6 AS height, 5 AS width, 3 AS n_channels, {_bilinear_sql(4, 4, 3, 6, 5)} AS pixels FROM pix3""")
 def q_d6b(spark, sf):
     """Bilinear resize of the 4x4x3 pictures to 6x5 (NumPy per Arrow batch; the SQL
     engine covers nearest-neighbour only)."""
