@@ -282,7 +282,55 @@ def q_d13(spark, sf):
     return affine(params, "angle").select("vec_id", F.col("variant").cast("int").alias("variant"), "angle", "pixels")
 
 
-@register("D14_hsv_shift")
+def _u_seed(slot: str, seed: int) -> str:
+    return (f"CAST(('0x' || substr(md5(concat_ws(':', CAST(vec_id AS VARCHAR), CAST(variant AS VARCHAR), "
+            f"'{seed}', '{slot}')), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE)")
+
+
+def _floor_mod(a: str, b: str) -> str:
+    """NumPy's ``%`` on doubles: fmod, then shifted into the divisor's sign."""
+    return f"(CASE WHEN fmod({a}, {b}) < 0 THEN fmod({a}, {b}) + {b} ELSE fmod({a}, {b}) END)"
+
+
+D14_SQL = cte("pix3") + f"""
+, params AS (
+  SELECT vec_id, CAST(variant AS INTEGER) AS variant, pixels,
+    CASE WHEN {_u_seed('hsv_on', 6)} < 0.5 THEN ({_u_seed('hue', 6)} * 2 - 1) * 10.0 ELSE 0.0 END AS hue,
+    CASE WHEN {_u_seed('hsv_on', 6)} < 0.5 THEN ({_u_seed('sat', 6)} * 2 - 1) * 20.0 ELSE 0.0 END AS sat,
+    CASE WHEN {_u_seed('hsv_on', 6)} < 0.5 THEN ({_u_seed('val', 6)} * 2 - 1) * 10.0 ELSE 0.0 END AS val
+  FROM pix3, range(1, 3) t(variant)),
+px AS (
+  SELECT vec_id, variant, hue, sat, val, p,
+    pixels[3 * p + 1] AS r0, pixels[3 * p + 2] AS g0, pixels[3 * p + 3] AS b0,
+    pixels[3 * p + 1] / 255.0 AS r, pixels[3 * p + 2] / 255.0 AS g, pixels[3 * p + 3] / 255.0 AS b
+  FROM params, range(0, 16) q(p)),
+h1 AS (SELECT *, greatest(r, g, b) AS v, greatest(r, g, b) - least(r, g, b) AS c FROM px),
+h2 AS (SELECT *, CASE WHEN v > 0 THEN c / v ELSE 0.0 END AS s,
+         CASE WHEN c > 0 THEN c ELSE 1.0 END AS safe FROM h1),
+h3 AS (SELECT *, CASE WHEN c > 0 THEN (CASE WHEN v = r THEN {_floor_mod('(g - b) / safe', '6.0')}
+                                          WHEN v = g THEN (b - r) / safe + 2
+                                          ELSE (r - g) / safe + 4 END) * 60.0 ELSE 0.0 END AS h FROM h2),
+sh AS (SELECT *, {_floor_mod('h + hue', '360.0')} AS hh,
+         least(greatest(s * 255.0 + sat, 0.0), 255.0) AS ss,
+         least(greatest(v * 255.0 + val, 0.0), 255.0) AS vv FROM h3),
+b1 AS (SELECT *, fmod(hh, 360.0) AS h4, ss / 255.0 AS s4, vv / 255.0 AS v4 FROM sh),
+b2 AS (SELECT *, v4 * s4 AS cc, h4 / 60.0 AS hp FROM b1),
+b3 AS (SELECT *, cc * (1 - abs(fmod(hp, 2.0) - 1)) AS xx, CAST(floor(hp) AS INTEGER) % 6 AS sector,
+         v4 - cc AS m FROM b2),
+out AS (
+  SELECT vec_id, variant, hue, sat, val, p,
+    CASE WHEN hue = 0 AND sat = 0 AND val = 0 THEN r0 ELSE least(greatest(((CASE sector WHEN 0 THEN cc
+      WHEN 1 THEN xx WHEN 2 THEN 0.0 WHEN 3 THEN 0.0 WHEN 4 THEN xx ELSE cc END) + m) * 255.0, 0.0), 255.0) END AS ro,
+    CASE WHEN hue = 0 AND sat = 0 AND val = 0 THEN g0 ELSE least(greatest(((CASE sector WHEN 0 THEN xx
+      WHEN 1 THEN cc WHEN 2 THEN cc WHEN 3 THEN xx ELSE 0.0 END) + m) * 255.0, 0.0), 255.0) END AS go,
+    CASE WHEN hue = 0 AND sat = 0 AND val = 0 THEN b0 ELSE least(greatest(((CASE sector WHEN 0 THEN 0.0
+      WHEN 1 THEN 0.0 WHEN 2 THEN xx WHEN 3 THEN cc WHEN 4 THEN cc ELSE xx END) + m) * 255.0, 0.0), 255.0) END AS bo
+  FROM b3)
+SELECT vec_id, variant, hue, sat, val, flatten(list([ro, go, bo] ORDER BY p)) AS pixels
+FROM out GROUP BY vec_id, variant, hue, sat, val"""
+
+
+@register("D14_hsv_shift", D14_SQL)
 def q_d14(spark, sf):
     """Seeded hue / saturation / value shifts of the 4x4x3 pictures (NumPy per Arrow batch)."""
     from ..operators.augment import hsv_shift
