@@ -105,3 +105,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One TESTDATA table by name."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Target bytes per task for scans and (after AQE coalescing) shuffles: large
+# enough to amortise task overhead, small enough to sort/aggregate in executor
+# memory without heavy spilling.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 65536
+
+
+def partition_plan(input_bytes: int, total_cores: int,
+                   target: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Partition settings for a job reading ``input_bytes`` on ``total_cores``:
+    scan splits of ``target`` bytes, an initial shuffle width of one partition per
+    ``target`` bytes (at least two waves of tasks, at most 65,536) that adaptive
+    execution then coalesces towards ``target``."""
+    width = max(2 * total_cores, -(-int(input_bytes) // target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(min(width, MAX_SHUFFLE_PARTITIONS)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+    }
+
+
+def size_for(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Apply ``partition_plan`` for this cluster where the session has no explicit
+    value; returns the settings in force."""
+    sc = spark.sparkContext
+    plan = partition_plan(input_bytes, sc.defaultParallelism)
+    explicit = {k for k, _ in sc.getConf().getAll()}
+    for k, v in plan.items():
+        if k not in explicit:
+            spark.conf.set(k, v)
+    return {k: spark.conf.get(k) for k in plan}

@@ -150,3 +150,14 @@ def test_hot_picture_is_split_by_adaptive_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_partition_plan_scales_with_input():
+    from imagelake.session import MAX_SHUFFLE_PARTITIONS, partition_plan
+    small = partition_plan(10 * 1024 ** 2, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"          # two waves of 8 cores
+    tb100 = partition_plan(100 * 1024 ** 4, total_cores=8000)
+    assert int(tb100["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
+    mid = partition_plan(1024 ** 4, total_cores=1000)                # 1 TiB / 256 MiB = 4096
+    assert mid["spark.sql.shuffle.partitions"] == "4096"
+    assert mid["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
