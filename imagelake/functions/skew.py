@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_SHARE = 1e-3        # a group above 0.1 % of all rows may be split (at most 1000 hot groups)
 HOT_MIN_ROWS = 1_000_000  # ... if it also has more rows than one task handles comfortably
@@ -64,7 +65,8 @@ def salted_join(rows: DataFrame, stats: DataFrame, keys: list[str], how: str = "
     hot = F.broadcast(hot_keys(sizes.select(*keys, size_col), keys, size_col, share, min_rows)
                       .withColumn("_hot", F.lit(True)))
     flagged = rows.join(hot, keys, "left")
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)))
+    hashable = [F.col(f.name) for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(salts)))
     left = flagged.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int")).drop("_hot")
     right = stats.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))

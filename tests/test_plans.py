@@ -161,3 +161,11 @@ def test_partition_plan_scales_with_input():
     mid = partition_plan(1024 ** 4, total_cores=1000)                # 1 TiB / 256 MiB = 4096
     assert mid["spark.sql.shuffle.partitions"] == "4096"
     assert mid["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+
+
+def test_salted_join_with_map_columns(spark):
+    from imagelake.functions.skew import salted_join
+    df = _hot_sessions(spark, 3000).withColumn("m", F.create_map(F.lit("k"), F.col("id")))
+    counts = df.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+    out = salted_join(df, counts, ["session_id"], "inner", size_col="n", share=0.01, min_rows=100, salts=4)
+    assert out.count() == 3000
