@@ -1,6 +1,6 @@
 """Evaluate a model on a labelled picture folder as one Spark job graph.
 
-catalogue (A1) -> decode (A2) -> class filter (C1) -> prepare (D1-D6) -> score
+decode (A2) with labels from paths (A1) -> class filter (C1) -> prepare (D1-D6) -> score
 (E1, E3) -> evaluation rows -> I1-I12 -> model report (I13) -> JSON (B6).
 
 Scoring is the expensive step and every evaluation query reads its output, so
@@ -22,7 +22,7 @@ from ..operators.scoring import ModelSpec, score_batch
 from ..operators.validate import class_filter
 from ..session import checkpoint_dir
 from ..sinks.reports import report_sink
-from ..sources.catalog import image_catalog
+from ..operators.datasets import catalog_from_paths
 from ..sources.images import image_scan
 
 
@@ -32,10 +32,10 @@ def eval_rows_from_folder(spark: SparkSession, root: str, spec: ModelSpec, class
     """``eval(run_id, item_id, y_true, y_pred, confidence)`` for every decodable
     picture under ``root`` whose folder is a known class; checkpointed."""
     classes = class_dim(spark, class_names)
-    cat = class_filter(image_catalog(spark, root, glob=glob), classes)
-    imgs = image_scan(spark, root, drop_invalid=True, glob=glob).select("path", "height", "width",
-                                                                         "n_channels", "pixels")
-    labelled = cat.join(imgs, "path").join(
+    # one pass over the folder: decoded pictures carry their path, hence their label (A1)
+    imgs = catalog_from_paths(image_scan(spark, root, drop_invalid=True, glob=glob).select(
+        "path", "height", "width", "n_channels", "pixels"))
+    labelled = class_filter(imgs, classes).join(
         F.broadcast(classes.select(F.col("name").alias("label"), F.col("class_id").alias("y_true"))), "label")
     steps = ["resize"] + {"unit": ["scale_unit"], "signed": ["scale_signed"]}.get(spec.scaling, [])
     prepared = prepare_pictures(labelled, steps, size, engine=engine)
