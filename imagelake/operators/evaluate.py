@@ -71,19 +71,21 @@ def classification_report(ev: DataFrame, class_names: list[str]) -> DataFrame:
     per = per.withColumn("f1_score", F.when(F.col("precision") + F.col("recall") > 0,
                                             2 * F.col("precision") * F.col("recall")
                                             / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0)))
-    r = lambda c: F.round(c, AVG_DIGITS)
+    rnd = lambda c: F.round(c, AVG_DIGITS)
     tot = F.sum("support")
     avgs = per.groupBy("run_id").agg(
-        r(F.avg("precision")).alias("m_p"), r(F.avg("recall")).alias("m_r"), r(F.avg("f1_score")).alias("m_f"),
-        r(F.sum(F.col("precision") * F.col("support")) / tot).alias("w_p"),
-        r(F.sum(F.col("recall") * F.col("support")) / tot).alias("w_r"),
-        r(F.sum(F.col("f1_score") * F.col("support")) / tot).alias("w_f"),
+        rnd(F.avg("precision")).alias("m_p"), rnd(F.avg("recall")).alias("m_r"),
+        rnd(F.avg("f1_score")).alias("m_f"),
+        rnd(F.sum(F.col("precision") * F.col("support")) / tot).alias("w_p"),
+        rnd(F.sum(F.col("recall") * F.col("support")) / tot).alias("w_r"),
+        rnd(F.sum(F.col("f1_score") * F.col("support")) / tot).alias("w_f"),
         tot.alias("n"))
     acc = accuracy(ev).select("run_id", "accuracy")
-    def row(label, p, r, f):
-        return F.struct(F.lit(label).alias("label"), p.cast("double").alias("precision"),
-                        r.cast("double").alias("recall"), F.col("n").alias("support"),
-                        f.cast("double").alias("f1_score"))
+
+    def row(label, precision, recall, f1):
+        return F.struct(F.lit(label).alias("label"), precision.cast("double").alias("precision"),
+                        recall.cast("double").alias("recall"), F.col("n").alias("support"),
+                        f1.cast("double").alias("f1_score"))
 
     summary = avgs.join(acc, "run_id").select("run_id", F.inline(F.array(
         row("accuracy", F.lit(None), F.lit(None), F.col("accuracy")),
