@@ -1,8 +1,8 @@
 """Resolve requests to landed pictures (A6) and read the prediction log.
 
-Instead of one HTTP GET per request, the landing area is read in bulk (only
-the ``upload_date`` partitions the requests mention, so partition pruning
-applies) and joined to the requests on the object key. A missing object is an
+Instead of one HTTP GET per request, the landing area is read in bulk and
+joined to the requests on the object key (``landed_for`` restricts it to the
+``upload_date`` partitions the requests mention). A missing object is an
 ``error='not found'`` row, never a dropped one.
 """
 
@@ -18,9 +18,24 @@ def image_fetch(requests: DataFrame, images: DataFrame, key="object_key") -> Dat
     name one picture, adaptive execution splits that skewed partition of the
     request side and replicates the picture's partition (skew join)."""
     keys = [key] if isinstance(key, str) else list(key)
-    j = requests.join(images, keys, "left")
-    marker = "height" if "height" in images.columns else [c for c in images.columns if c != key][0]
-    return j.withColumn("fetch_error", F.when(F.col(marker).isNull(), F.lit("not found")))
+    j = requests.join(images.withColumn("_found", F.lit(True)), keys, "left")
+    return j.withColumn("fetch_error", F.when(F.col("_found").isNull(), F.lit("not found"))).drop("_found")
+
+
+MAX_DATES = 400  # distinct upload dates read back to the driver for partition pruning
+
+
+def landed_for(requests: DataFrame, landed: DataFrame, date_col: str = "upload_date",
+               max_dates: int = MAX_DATES) -> DataFrame:
+    """The landing table restricted to the dates the requests mention. The distinct
+    dates of a micro-batch are a handful of values (at most ``max_dates`` are read
+    back), and filtering on them as literals prunes the landing table's
+    ``upload_date`` partitions at planning time. With more dates than that, a
+    broadcast semi-join on the dates gives the same rows without pruning."""
+    found = [r[0] for r in requests.select(date_col).distinct().limit(max_dates + 1).collect()]
+    if len(found) <= max_dates:
+        return landed.where(F.col(date_col).isin(found))
+    return landed.join(F.broadcast(requests.select(date_col).distinct()), date_col, "left_semi")
 
 
 def predictions_scan(spark: SparkSession, path: str | None = None, jdbc: dict | None = None,

@@ -5,9 +5,10 @@ requests (A3) -> parse (A4) -> type (A5) -> foreachBatch:
     -> label (E4) -> prediction log + error log (B3, B5).
 
 The stream itself is stateless. Pictures are looked up inside each micro-batch
-with a join on ``(upload_date, object_key)``; ``upload_date`` is the partition
-column of the landing table, so dynamic partition pruning reads only the dates
-the batch mentions, and uploads that landed after the stream started are seen.
+with a join on ``(upload_date, object_key)``. ``upload_date`` is the partition
+column of the landing table and the batch's dates are semi-joined to it first,
+so dynamic partition pruning reads only the dates the batch mentions; uploads
+that landed after the stream started are seen.
 A request whose picture is not there yet becomes ``error='not found'``.
 """
 
@@ -23,7 +24,7 @@ from ..functions.tensors import has_shape, scale_signed, scale_unit
 from ..operators.enrich import decode_label
 from ..operators.scoring import ModelSpec, score_batch
 from ..sinks.predictions import predictions_sink
-from ..sources.fetch import image_fetch
+from ..sources.fetch import image_fetch, landed_for
 from ..sources.messages import message_stream, parse_messages, type_messages
 
 SCALERS = {"unit": scale_unit, "signed": scale_signed}
@@ -69,7 +70,7 @@ def score_requests(requests: DataFrame, landed: DataFrame, spec: ModelSpec, clas
     reqs = (requests.where(~F.col("is_malformed"))
                     .withColumn("object_key", object_key())
                     .withColumn("upload_date", F.regexp_extract("object_key", r"^uploads/(\d{8})/", 1)))
-    imgs = landed.select("upload_date", "object_key", "height", "width", "n_channels", "pixels")
+    imgs = landed_for(reqs, landed).select("upload_date", "object_key", "height", "width", "n_channels", "pixels")
     fetched = image_fetch(reqs, imgs, key=["upload_date", "object_key"])
     ok_shape = has_shape("pixels", h, w, c)
     good = fetched.where(F.col("fetch_error").isNull() & ok_shape)

@@ -169,3 +169,19 @@ def test_salted_join_with_map_columns(spark):
     counts = df.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
     out = salted_join(df, counts, ["session_id"], "inner", size_col="n", share=0.01, min_rows=100, salts=4)
     assert out.count() == 3000
+
+
+def test_landing_scan_is_pruned_to_the_batch_dates(spark, scratch):
+    from imagelake.sources.fetch import image_fetch, landed_for
+    spark.range(300).select(
+        (F.col("id") % 30).cast("string").alias("object_key"),
+        F.concat(F.lit("2024010"), (F.col("id") % 9 + 1).cast("string")).alias("upload_date"),
+        F.lit(4).alias("height")).write.partitionBy("upload_date").parquet(scratch + "/landed")
+    landed = spark.read.parquet(scratch + "/landed")
+    reqs = spark.createDataFrame([("1", "20240103"), ("2", "20240103"), ("3", "20240105")],
+                                 "object_key string, upload_date string")
+    pruned = image_fetch(reqs, landed_for(reqs, landed), ["upload_date", "object_key"])
+    filters = [ln for ln in _plan(pruned).splitlines() if "PartitionFilters" in ln]
+    assert filters and all("20240103" in ln and "20240105" in ln for ln in filters)
+    unpruned = image_fetch(reqs, landed_for(reqs, landed, max_dates=1), ["upload_date", "object_key"])
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, unpruned.collect()))
