@@ -273,15 +273,6 @@ def q_e6(spark, sf):
     return out.select("session_id", "filename", "fruit", F.round("confidence", 6).alias("confidence"), "error")
 
 
-@register("D13_affine_warp")
-def q_d13(spark, sf):
-    """Seeded rotations of the 4x4x3 pictures (NumPy inverse map per Arrow batch)."""
-    from ..operators.augment import affine
-    p3 = fx.pix3(spark, sf).withColumn("split", F.lit("train"))
-    params = augment_params(p3, 2, seed=5)
-    return affine(params, "angle").select("vec_id", F.col("variant").cast("int").alias("variant"), "angle", "pixels")
-
-
 def _u_seed(slot: str, seed: int) -> str:
     return (f"CAST(('0x' || substr(md5(concat_ws(':', CAST(vec_id AS VARCHAR), CAST(variant AS VARCHAR), "
             f"'{seed}', '{slot}')), 1, 8)) AS BIGINT) / CAST(4294967296 AS DOUBLE)")
@@ -292,6 +283,30 @@ def _floor_mod(a: str, b: str) -> str:
     return f"(CASE WHEN fmod({a}, {b}) < 0 THEN fmod({a}, {b}) + {b} ELSE fmod({a}, {b}) END)"
 
 
+D13_SQL = cte("pix3") + f"""
+, params AS (
+  SELECT vec_id, CAST(variant AS INTEGER) AS variant, pixels,
+    CASE WHEN {_u_seed('rotate_on', 5)} < 0.7 THEN ({_u_seed('rotate', 5)} * 2 - 1) * 15.0 ELSE 0.0 END AS angle
+  FROM pix3, range(1, 3) t(variant)),
+m AS (SELECT *, cos(angle * (pi() / 180.0)) AS ca, sin(angle * (pi() / 180.0)) AS sa FROM params)
+SELECT vec_id, variant, angle,
+  list_transform(range(0, 48), lambda j: pixels[(
+      CAST(least(greatest(round_even(ca * (j // 12) - sa * ((j // 3) % 4) + (1.5 - ca * 1.5 + sa * 1.5), 0), 0), 3)
+           AS BIGINT) * 4
+    + CAST(least(greatest(round_even(sa * (j // 12) + ca * ((j // 3) % 4) + (1.5 - sa * 1.5 - ca * 1.5), 0), 0), 3)
+           AS BIGINT)) * 3 + j % 3 + 1]) AS pixels
+FROM m"""
+
+
+@register("D13_affine_warp", D13_SQL)
+def q_d13(spark, sf):
+    """Seeded rotations of the 4x4x3 pictures (NumPy inverse map per Arrow batch)."""
+    from ..operators.augment import affine
+    p3 = fx.pix3(spark, sf).withColumn("split", F.lit("train"))
+    params = augment_params(p3, 2, seed=5)
+    return affine(params, "angle").select("vec_id", F.col("variant").cast("int").alias("variant"), "angle", "pixels")
+
+
 D14_SQL = cte("pix3") + f"""
 , params AS (
   SELECT vec_id, CAST(variant AS INTEGER) AS variant, pixels,
