@@ -77,7 +77,10 @@ def predictions_sink(target: str | None = None, errors_target: str | None = None
     into scored rows (``error`` null for valid ones) inside the batch."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        scored = score(batch_df, batch_id) if score is not None else batch_df
+        # the raw micro-batch is read once: scoring may look at it more than once
+        # (e.g. the upload dates it mentions) before the scored rows are written
+        raw = batch_df.persist() if score is not None else batch_df
+        scored = score(raw, batch_id) if score is not None else batch_df
         scored = scored.persist()
         try:
             ok, bad = log_rows(scored), error_rows(scored)
@@ -91,5 +94,7 @@ def predictions_sink(target: str | None = None, errors_target: str | None = None
                     bad.write.mode("overwrite").parquet(f"{errors_target}/batch_id={batch_id}")
         finally:
             scored.unpersist()
+            if raw is not batch_df:
+                raw.unpersist()
 
     return write
