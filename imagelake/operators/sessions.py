@@ -62,8 +62,8 @@ def class_distribution(log: DataFrame, by: list[str] | None = None,
         # fruit, bounded by the class count), not over raw rows.
         k = F.count(F.col("fruit")).over(Window.partitionBy())
         return counts.withColumn("_k", k).where(F.col("_k") > 1).drop("_k")
-    mixed =(counts.where(F.col("fruit").isNotNull()).groupBy(*by)
-             .agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") > 1).select(*by))
+    mixed = (counts.where(F.col("fruit").isNotNull()).groupBy(*by)
+              .agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") > 1).select(*by))
     return counts.join(mixed, by, "left_semi")
 
 
@@ -77,9 +77,11 @@ def match_uploads(results: DataFrame, uploads: DataFrame,
     payload = [c for c in uploads.columns if c not in keys]
     order = F.struct(*[F.col(c) for c in order_cols])
     first = uploads.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in payload]), order).alias("_u")).select(*keys, "_u.*")
-    # group sizes for hot-key detection are estimated from a sample of the results
-    return salted_join(results, first, keys, "left", size_col="_rows")
+        F.min_by(F.struct(*[F.col(c) for c in payload]), order).alias("_u"),
+        F.count(F.lit(1)).alias("_rows")).select(*keys, "_u.*", "_rows")
+    # every result comes from an upload, so the upload count per key (computed in
+    # the same aggregate) sizes the result groups for hot-key detection
+    return salted_join(results, first, keys, "left", size_col="_rows").drop("_rows")
 
 
 def request_completeness(requests: DataFrame, results: DataFrame, key: str = "request_id",
