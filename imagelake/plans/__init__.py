@@ -1,0 +1 @@
+"""Composed jobs (flagship, uploads, folder evaluation) and the registered queries."""

@@ -1,0 +1 @@
+"""Structured Streaming jobs: scoring stream, request completeness, sampled frames."""
