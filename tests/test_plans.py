@@ -186,3 +186,15 @@ def test_landing_scan_is_pruned_to_the_batch_dates(spark, scratch):
     assert filters and all("20240103" in ln and "20240105" in ln for ln in filters)
     unpruned = image_fetch(reqs, landed_for(reqs, landed, max_dates=1), ["upload_date", "object_key"])
     assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, unpruned.collect()))
+
+
+def test_size_for_keeps_explicit_cluster_settings(spark):
+    from imagelake.session import size_for
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = size_for(spark, 10 * 1024 ** 2)
+    # the test session sets shuffle partitions explicitly, so it is kept
+    assert "spark.sql.shuffle.partitions" in explicit
+    assert got["spark.sql.shuffle.partitions"] == before
+    assert got["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 ** 2))
