@@ -179,11 +179,11 @@ def q_f1w(spark, sf):
         "event_id", "fruit", "price_text", F.col("price").cast("double").alias("price"))
 
 
-@register("F2_display_name", cte("class_dim") + """
+@register("F2_display_name", cte("class_dim", "pred_log") + """
 SELECT class_id, concat(upper(left(name, 1)), lower(substr(name, 2))) AS capitalized,
   list_aggregate(list_transform(string_split(name, ' '),
       lambda w: concat(upper(left(w, 1)), lower(substr(w, 2)))), 'string_agg', ' ') AS titled
-FROM class_dim""")
+FROM class_dim WHERE class_id IN (SELECT y_pred FROM pred_log)""")
 def q_f2(spark, sf):
     # class names are the only display names; read through the log so the work
     # scales with it: one row per class actually predicted.
