@@ -257,10 +257,10 @@ fetched AS (SELECT r.*, p.pixels FROM reqs r LEFT JOIN pix3 p ON r.vec_id = p.ve
 scored AS (
   SELECT event_id, list_transform(e, lambda x: x / list_reduce(e, lambda a, y: a + y, CAST(0 AS DOUBLE))) AS probs
   FROM (SELECT event_id, list_transform(s, lambda x: exp(x - list_max(s))) AS e
-        FROM (SELECT event_id, {E6_SCORES} AS s FROM fetched WHERE pixels IS NOT NULL)))
+        FROM (SELECT event_id, {E6_SCORES} AS s FROM fetched WHERE pixels IS NOT NULL AND len(pixels) = 48)))
 SELECT f.session_id, f.filename, c.name AS fruit,
   round(list_max(s.probs), 6) AS confidence,
-  CASE WHEN f.pixels IS NULL THEN 'not found' END AS error
+  CASE WHEN f.pixels IS NULL THEN 'not found' WHEN len(f.pixels) <> 48 THEN 'bad shape' END AS error
 FROM fetched f LEFT JOIN scored s ON f.event_id = s.event_id
 LEFT JOIN class_dim c ON c.class_id = CAST(list_position(s.probs, list_max(s.probs)) - 1 AS INTEGER)""")
 def q_e6(spark, sf):
