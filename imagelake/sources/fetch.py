@@ -31,11 +31,12 @@ def landed_for(requests: DataFrame, landed: DataFrame, date_col: str = "upload_d
     dates of a micro-batch are a handful of values (at most ``max_dates`` are read
     back), and filtering on them as literals prunes the landing table's
     ``upload_date`` partitions at planning time. With more dates than that, a
-    broadcast semi-join on the dates gives the same rows without pruning."""
+    semi-join on the dates gives the same rows without pruning (adaptive
+    execution picks its strategy from the measured size)."""
     found = [r[0] for r in requests.select(date_col).distinct().limit(max_dates + 1).collect()]
     if len(found) <= max_dates:
         return landed.where(F.col(date_col).isin(found))
-    return landed.join(F.broadcast(requests.select(date_col).distinct()), date_col, "left_semi")
+    return landed.join(requests.select(date_col).distinct(), date_col, "left_semi")
 
 
 def predictions_scan(spark: SparkSession, path: str | None = None, jdbc: dict | None = None,
