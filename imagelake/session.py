@@ -1,8 +1,9 @@
 """Session settings shared by jobs, tests and the bench.
 
 On a cluster the session comes from the launcher; ``tune`` only fills in what
-is unset. ``checkpoint_dir`` reads ``spark.checkpoint.dir`` and falls back to a
-scratch folder only when the cluster names none (local tests).
+is unset. ``checkpoint_dir`` reads ``spark.checkpoint.dir``; only a local-mode
+session (tests) without one gets a scratch folder, a cluster without one is an
+error.
 """
 
 from __future__ import annotations
@@ -97,6 +98,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(d)
         return sc.getCheckpointDir() or d
+    if not sc.master.startswith("local"):
+        # a machine-local folder would scatter checkpoint files over executors
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares")
     d = tempfile.mkdtemp(prefix="imagelake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
