@@ -19,29 +19,33 @@ from ..functions import tensors as D
 STEPS = ("to_rgb", "resize", "scale_unit", "scale_signed", "standardize", "flip")
 
 
+# The NumPy steps work on one picture [h, w, c] or a stack [N, h, w, c] alike
+# (axes counted from the end).
+
 def _np_to_rgb(img):
-    if img.shape[2] == 1:
-        return np.repeat(img, 3, axis=2)
-    return img[:, :, 2::-1] if img.shape[2] >= 3 else img
+    if img.shape[-1] == 1:
+        return np.repeat(img, 3, axis=-1)
+    return img[..., 2::-1] if img.shape[-1] >= 3 else img
 
 
 def _np_resize_nearest(img, oh, ow):
-    h, w = img.shape[:2]
+    h, w = img.shape[-3], img.shape[-2]
     ys = (np.arange(oh) * h) // oh
     xs = (np.arange(ow) * w) // ow
-    return img[ys][:, xs]
+    return np.take(np.take(img, ys, axis=-3), xs, axis=-2)
 
 
 def resize_bilinear_array(img: np.ndarray, oh: int, ow: int) -> np.ndarray:
     """Bilinear resize with half-pixel centres and clamped edges."""
-    h, w = img.shape[:2]
+    h, w = img.shape[-3], img.shape[-2]
     fy = np.clip((np.arange(oh) + 0.5) * h / oh - 0.5, 0, h - 1)
     fx = np.clip((np.arange(ow) + 0.5) * w / ow - 0.5, 0, w - 1)
     y0, x0 = np.floor(fy).astype(int), np.floor(fx).astype(int)
     y1, x1 = np.minimum(y0 + 1, h - 1), np.minimum(x0 + 1, w - 1)
     wy, wx = (fy - y0)[:, None, None], (fx - x0)[None, :, None]
-    a, b = img[y0][:, x0], img[y0][:, x1]
-    c, d = img[y1][:, x0], img[y1][:, x1]
+    rows0, rows1 = np.take(img, y0, axis=-3), np.take(img, y1, axis=-3)
+    a, b = np.take(rows0, x0, axis=-2), np.take(rows0, x1, axis=-2)
+    c, d = np.take(rows1, x0, axis=-2), np.take(rows1, x1, axis=-2)
     return (a * (1 - wx) + b * wx) * (1 - wy) + (c * (1 - wx) + d * wx) * wy
 
 
@@ -55,12 +59,12 @@ def _np_step(img, step, size, bilinear):
     if step == "scale_signed":
         return img / 127.5 - 1.0
     if step == "standardize":
-        c = img.shape[2]
+        c = img.shape[-1]
         mean = np.array(IMAGENET_MEAN)[np.arange(c) % 3]
         std = np.array(IMAGENET_STD)[np.arange(c) % 3]
         return (img / 255.0 - mean) / std
     if step == "flip":
-        return img[:, ::-1]
+        return img[..., ::-1, :]
     raise ValueError(step)
 
 
@@ -97,13 +101,18 @@ def prepare_pictures(df: DataFrame, steps: list[str], size: tuple[int, int] | No
     def run(batches):
         for pdf in batches:
             pdf = pdf.copy()
-            pics, hs, ws, cs = [], [], [], []
-            for p, h, w, c in zip(pdf[px], pdf["height"], pdf["width"], pdf["n_channels"]):
-                img = np.asarray(p, dtype=np.float64).reshape(h, w, c)
+            n = len(pdf)
+            pics, hs, ws, cs = [None] * n, [0] * n, [0] * n, [0] * n
+            groups: dict[tuple, list[int]] = {}
+            for i, shape in enumerate(zip(pdf["height"], pdf["width"], pdf["n_channels"])):
+                groups.setdefault(tuple(int(v) for v in shape), []).append(i)
+            for (h, w, c), idx in groups.items():  # one stack per picture shape
+                imgs = np.stack([np.asarray(pdf[px].iat[i], dtype=np.float64) for i in idx]).reshape(-1, h, w, c)
                 for s in steps:
-                    img = _np_step(img, s, size, bilinear)
-                pics.append(img.ravel())
-                hs.append(img.shape[0]), ws.append(img.shape[1]), cs.append(img.shape[2])
+                    imgs = _np_step(imgs, s, size, bilinear)
+                for j, i in enumerate(idx):
+                    pics[i] = imgs[j].ravel()
+                    hs[i], ws[i], cs[i] = imgs.shape[1:]
             pdf[px], pdf["height"], pdf["width"], pdf["n_channels"] = pics, hs, ws, cs
             yield pdf
 

@@ -189,3 +189,14 @@ def test_stacked_transforms_equal_single_picture_ones():
     hs = hsv_shift_batch(imgs, dh, ds, dv)
     for k in range(5):
         assert np.allclose(hs[k], hsv_shift_array(imgs[k], dh[k], ds[k], dv[k]), atol=1e-9)
+
+
+def test_numpy_picture_steps_on_stacks_equal_single_pictures():
+    from imagelake.operators.resize import _np_step
+    rng = np.random.default_rng(31)
+    imgs = rng.integers(0, 255, (4, 5, 6, 3)).astype(float)
+    for step, size, bil in [("to_rgb", None, False), ("resize", (3, 7), False), ("resize", (7, 4), True),
+                            ("flip", None, False), ("standardize", None, False), ("scale_signed", None, False)]:
+        batch = _np_step(imgs, step, size, bil)
+        for k in range(4):
+            assert np.array_equal(batch[k], _np_step(imgs[k], step, size, bil)), step
