@@ -198,3 +198,26 @@ def test_size_for_keeps_explicit_cluster_settings(spark):
     assert got["spark.sql.shuffle.partitions"] == before
     assert got["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 ** 2))
+
+
+def test_checkpoint_dir_refuses_local_folders_on_a_cluster():
+    from imagelake.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
