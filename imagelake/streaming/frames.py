@@ -3,13 +3,15 @@
 Keyed by ``stream_id`` with ``applyInPandasWithState``: the state holds the last
 scored frame's result, every n-th frame (by frame counter) replaces it, and
 every frame is emitted with the result in force. State is one small row per
-camera, kept in the state store (RocksDB when configured). Frames of one
-camera are expected in counter order, as a camera produces them; the batch
-form (``operators.frames``) is exact for any arrival order.
+camera, kept in the state store (RocksDB when configured). A camera delivers
+frames in counter order; a frame that arrives before its scored frame gets no
+result rather than an older frame's (the batch form, ``operators.frames``, is
+exact for any arrival order).
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -63,11 +65,21 @@ def sampled_inference_stream(frames: DataFrame, n: int = SAMPLE_EVERY) -> DataFr
         for i, (name, col) in enumerate(carried.items()):
             v = pd.Series(col.to_numpy(), dtype="object").where(scored).ffill()
             out[name] = v.where(v.notna(), prev[i]).to_numpy()
+        # a result counts only for the frames its scored frame covers; a frame whose
+        # scored frame has not been seen (late delivery) gets no result, as in the
+        # batch form, instead of an older frame's result
+        expected = (out["frame_no"] // n) * n
+        known = out["source_frame"].notna() & (out["source_frame"] == expected)
+        for name in ("y_pred", "confidence", "is_error"):
+            out[name] = out[name].where(known, None)
+        out["source_frame"] = expected.to_numpy()
         out["scored"] = scored
-        last = out.iloc[-1]
-        if last["source_frame"] is not None and not pd.isna(last["source_frame"]):
-            state.update((int(last["source_frame"]), int(last["y_pred"]), float(last["confidence"]),
-                          bool(last["is_error"])))
+        if scored.any():  # remember the newest scored frame seen so far
+            i = int(np.flatnonzero(scored)[-1])
+            newest = (int(pdf["frame_no"].iat[i]), int(pdf["y_pred"].iat[i]), float(pdf["confidence"].iat[i]),
+                      bool(pdf["is_error"].iat[i]))
+            if prev[0] is None or newest[0] > prev[0]:
+                state.update(newest)
         yield out.astype({"source_frame": "Int64", "y_pred": "Int32", "confidence": "Float64",
                           "is_error": "boolean"})
 

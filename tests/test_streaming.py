@@ -192,3 +192,25 @@ def test_completeness_file_sink_and_session_rollup(spark, scratch):
     assert status.count() == status.select("request_id").distinct().count() > 0
     per_session = session_completeness(status)
     assert per_session.where("n_requests != n_done + n_error + n_timed_out").count() == 0
+
+
+def test_frame_stream_gives_no_stale_result_to_late_frames(spark, scratch):
+    from datetime import datetime
+    rows = lambda frames: [("camA", f, datetime(2024, 1, 1, 0, 0, f), f % 15, 0.5 + f / 100, False)
+                           for f in frames]
+    schema = "stream_id string, frame_no long, ts timestamp, y_pred int, confidence double, is_error boolean"
+    folder = os.path.join(scratch, "frames")
+    for k, frames in enumerate([[0, 1, 2, 4, 5], [3, 6]]):  # 4 and 5 arrive before frame 3
+        spark.createDataFrame(rows(frames), schema).coalesce(1).write.mode("append").parquet(folder)
+        for f in os.listdir(folder):
+            if f.endswith(".parquet") and k == 0:
+                os.utime(os.path.join(folder, f), (1_700_000_000, 1_700_000_000))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    q = (sampled_inference_stream(stream, 3).writeStream.format("memory").queryName("e7_late")
+         .outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = {r.frame_no: (r.source_frame, r.y_pred) for r in spark.table("e7_late").collect()}
+    assert got[1] == (0, 0) and got[2] == (0, 0) and got[3] == (3, 3)
+    assert got[4] == (3, None) and got[5] == (3, None)   # scored frame 3 not seen yet
+    assert got[6] == (6, 6)
