@@ -30,3 +30,87 @@ def op2_exact_dedup(spark, sf_dir):
     from imagelake.llm.exact_dedup import exact_dedup
     return exact_dedup(spark, table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+#: Word pattern and space characters in DuckDB's regular expressions.
+_SPACES = r"[\x20\x09-\x0D]+"
+_SYMBOLS = r"[#*$%&|<>]"
+_CELL = "(({r} >> greatest(length(bin({r})) - 6, 0)) << greatest(length(bin({r})) - 6, 0))"
+
+
+def _op3_sql() -> str:
+    from imagelake.llm.quality_rules import RATES
+    rates = " UNION ALL ".join(
+        f"SELECT doc_id, lang, source, '{r}' AS rate, {r} AS v, {f} AS floor_, {_CELL.format(r=r)} AS cell FROM rated"
+        for r, f in RATES.items())
+    quart = ("min(cell) FILTER (4 * cum >= n) AS q1, min(cell) FILTER (4 * cum >= 3 * n) AS q3, max(n) AS n FROM "
+             "(SELECT *, count(*) OVER (PARTITION BY {k}) AS n, count(*) OVER (PARTITION BY {k} ORDER BY cell) AS cum "
+             "FROM long_) AS x GROUP BY {k}")
+    return f"""
+WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '{_SPACES}'), lambda x: x <> '') AS ws,
+      list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '{_SPACES}', '', 'g') <> '') AS ls FROM t),
+win AS (SELECT doc_id, i, array_to_string(ws[i : i + 4], ' ') AS g
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w) AS x),
+rep AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) AS x WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest([0, 1, 2, 3, 4]) AS k) AS y GROUP BY doc_id),
+counts AS (SELECT w.doc_id, lang, source, len(ws) AS n_words, len(ls) AS n_lines,
+  length(regexp_replace(text, '{_SPACES}', '', 'g')) AS word_chars,
+  length(text) - length(regexp_replace(text, '{_SYMBOLS}', '', 'g')) AS n_symbols,
+  length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_upper,
+  len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
+rated AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  n_symbols * 1000 // greatest(word_chars, 1) AS symbol_rate, n_upper * 1000 // greatest(word_chars, 1) AS upper_rate,
+  word_chars * 100 // greatest(n_words, 1) AS word_length, n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_line_rate
+  FROM counts),
+long_ AS ({rates}),
+own AS (SELECT lang, source, rate, {quart.format(k='lang, source, rate')}),
+by_lang AS (SELECT lang, rate, {quart.format(k='lang, rate')}),
+top AS (SELECT rate, {quart.format(k='rate')}),
+bad AS (SELECT DISTINCT doc_id FROM (SELECT l.doc_id, l.v, l.floor_,
+    CASE WHEN o.n >= 100 THEN o.q1 WHEN b.n >= 100 THEN b.q1 ELSE t.q1 END AS q1,
+    CASE WHEN o.n >= 100 THEN o.q3 WHEN b.n >= 100 THEN b.q3 ELSE t.q3 END AS q3
+  FROM long_ l JOIN own o ON l.lang IS NOT DISTINCT FROM o.lang AND l.source IS NOT DISTINCT FROM o.source AND l.rate = o.rate
+  JOIN by_lang b ON l.lang IS NOT DISTINCT FROM b.lang AND l.rate = b.rate JOIN top t ON l.rate = t.rate) AS z
+  WHERE v < q1 - 3 * greatest(q3 - q1, floor_) OR v > q3 + 3 * greatest(q3 - q1, floor_))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM rated
+"""
+
+
+@register("op3_quality_rules", _op3_sql())
+def op3_quality_rules(spark, sf_dir):
+    from imagelake.llm.quality_rules import quality_rules
+    return quality_rules(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register("op5_mixing", f"""
+WITH units AS (SELECT doc_id, coalesce('s' || source, 't') AS skey,
+    len(list_filter(string_split_regex(coalesce(text, ''), '{_SPACES}'), lambda x: x <> '')) AS size,
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM documents),
+sources AS (SELECT skey, CAST(sum(size) AS BIGINT) AS source_size,
+    (row_number() OVER (ORDER BY skey) - 1) % 3 + 1 AS weight FROM units GROUP BY skey),
+levels AS (SELECT *, 3 * source_size AS cap, CAST(3 * source_size AS DOUBLE) / weight AS level FROM sources),
+sums AS (SELECT *, sum(cap) OVER w - cap AS caps, sum(weight) OVER w - weight AS weights,
+    sum(source_size) OVER () AS budget, sum(weight) OVER () AS every
+    FROM levels WINDOW w AS (ORDER BY level, skey ROWS UNBOUNDED PRECEDING)),
+filled AS (SELECT *, CAST(caps AS DOUBLE) + level * CAST(every - weights AS DOUBLE) <= CAST(budget AS DOUBLE) AS is_full FROM sums),
+rest AS (SELECT CAST(max(budget) - sum(CASE WHEN is_full THEN cap ELSE 0 END) AS DOUBLE)
+    / CAST(sum(CASE WHEN is_full THEN 0 ELSE weight END) AS DOUBLE) AS level FROM filled),
+t AS (SELECT skey, weight, source_size, CAST(budget AS BIGINT) AS budget,
+    CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE weight * rest.level END AS target FROM filled, rest),
+line AS (SELECT u.*, t.weight, t.source_size, t.target, t.budget, sum(size) OVER
+    (PARTITION BY u.skey ORDER BY place, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM units u JOIN t ON u.skey = t.skey),
+copies AS (SELECT line.*, epoch, CAST(epoch * source_size + upto AS DOUBLE) / weight AS finish
+    FROM line, (SELECT unnest([0, 1, 2]) AS epoch) AS e WHERE size > 0),
+queue AS (SELECT *, sum(size) OVER (ORDER BY finish, skey, place, doc_id, epoch ROWS UNBOUNDED PRECEDING) AS upto_all FROM copies),
+took AS (SELECT doc_id, skey, count(*) AS n FROM queue WHERE upto_all <= budget GROUP BY doc_id, skey)
+SELECT l.doc_id, l.size, l.source_size, l.target, CAST(l.size * coalesce(n, 0) AS BIGINT) AS taken
+FROM line l LEFT JOIN took ON l.doc_id = took.doc_id AND l.skey = took.skey
+""")
+def op5_mixing(spark, sf_dir):
+    from imagelake.llm.mixing import mix_counts
+    return mix_counts(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
