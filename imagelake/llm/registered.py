@@ -114,3 +114,15 @@ def op5_mixing(spark, sf_dir):
     from imagelake.llm.mixing import mix_counts
     return mix_counts(spark, table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@register("op4_best_fit_packing")
+def op4_best_fit_packing(spark, sf_dir):
+    from imagelake.llm.packing import pack_documents
+    return pack_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path()).select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
