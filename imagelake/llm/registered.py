@@ -126,3 +126,10 @@ def op4_best_fit_packing(spark, sf_dir):
     from imagelake.llm.packing import pack_documents
     return pack_documents(spark, table(spark, sf_dir, "documents"), tokenizer_path()).select(
         "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
+@register("op6_substring_dedup")
+def op6_substring_dedup(spark, sf_dir):
+    from imagelake.llm.substring_dedup import substring_dedup
+    return substring_dedup(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
