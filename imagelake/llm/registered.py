@@ -133,3 +133,9 @@ def op6_substring_dedup(spark, sf_dir):
     from imagelake.llm.substring_dedup import substring_dedup
     return substring_dedup(spark, table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op10_minhash_near_dedup")
+def op10_minhash_near_dedup(spark, sf_dir):
+    from imagelake.llm.near_dedup import near_dedup
+    return near_dedup(spark, table(spark, sf_dir, "documents"), shingle=2)
