@@ -19,10 +19,10 @@ Buckets of a band are never expanded into all pairs. First each member meets the
 smallest of its bucket. From what is confirmed, components follow. A bucket whose
 members are all in one component is settled. In the others the members outside the
 bucket's most common component meet the members of other components, a sample of
-four, sixteen, ... of them at a time until all have, or all are in one component.
+16, 256, ... of them at a time until all have, or all are in one component.
 So every candidate pair is compared or already linked, and a bucket of n copies
 takes about n comparisons. Confirming runs in turns, too: each document checks its
-most likely partner of another component first, and pairs within a component go.
+most likely partner first, then its next sixteen, and so on, of other components.
 
 Defined cases: null, empty and blank texts have no shingle and link with nothing;
 null doc_id counts as the largest id; rows that share a doc_id share its verdict;
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from imagelake.llm.common import materialize, release_shuffles, split_join
@@ -202,7 +202,6 @@ class Linker:
         wanted = members.select("doc_id").distinct()
         texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         self.sets = materialize(spark, full_sets(texts, shingle), "full-sets")
-        self.edges = spark.createDataFrame([], "a long, b long")
         self.labels = spark.createDataFrame([], "node long, component long")
         self.seen: DataFrame | None = None
 
@@ -210,6 +209,16 @@ class Linker:
         n = self.labels.select(F.col("node").alias(col), F.col("component").alias(out))
         return df.join(n, col, "left").withColumn(out, F.coalesce(out, col))
 
+    def link(self, links: DataFrame) -> None:
+        """Merge the components that the confirmed pairs (a, b) connect."""
+        spark = self.spark
+        named = self.labelled(self.labelled(links, "a", "la"), "b", "lb")
+        merged = materialize(spark, components(spark, named.select(F.col("la").alias("a"), F.col("lb").alias("b"))), "merged")
+        known = self.labels.unionByName(merged.select("node", F.col("node").alias("component"))).groupBy("node").agg(
+            F.min("component").alias("was"))
+        renamed = known.join(merged.select(F.col("node").alias("was"), F.col("component").alias("now")), "was", "left")
+        self.labels = materialize(spark, renamed.select("node", F.coalesce("now", "was").alias("component")), "labels")
+
     def compare(self, pairs: DataFrame) -> None:
         """Link the pairs (a < b, distinct) that are similar; each is looked at once."""
         spark = self.spark
@@ -219,16 +228,19 @@ class Linker:
                                              F.col("registers").alias("r" + x))
         likely = materialize(spark, likeliest(pairs.join(side("a"), "a").join(side("b"), "b"))
                              .where(F.col("estimate") >= MIN_ESTIMATE), "likely")
+        sets, most = self.sets, 1
+        by_estimate = Window.partitionBy("b").orderBy(F.desc("estimate"), "a")
         while not likely.isEmpty():
-            best = likely.groupBy("b").agg(F.max_by("a", F.struct("estimate", -F.col("a"))).alias("a"))
+            best = likely.withColumn("nth", F.row_number().over(by_estimate)).where(F.col("nth") <= most)
             best = materialize(spark, best.select("a", "b"), "best")
-            sets = self.sets
             linked = best.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("sa")), "a").join(
                 sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("sb")), "b")
-            self.edges = materialize(spark, self.edges.unionByName(confirmed(linked)), "links")
-            self.labels = materialize(spark, components(spark, self.edges), "labels")
+            links = materialize(spark, confirmed(linked), "links")
+            if not links.isEmpty():
+                self.link(links)
             rest = self.labelled(self.labelled(likely.join(best, ["a", "b"], "left_anti"), "a", "la"), "b", "lb")
             likely = materialize(spark, rest.where("la <> lb").select("a", "b", "estimate"), "likely")
+            most *= 16
 
 
 def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
@@ -252,7 +264,7 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, shing
             "key", "doc_id", "n", "label", "main", (F.col("all") - F.col("most")).alias("others")), "open")
         # a member's place in the sampling order, the same in every turn
         place = F.pmod(F.xxhash64("key", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        share = F.lit(4.0 ** turn) / F.col("others")
+        share = F.lit(16.0 ** turn) / F.col("others")
         centres = open_.where((F.col("label") != F.col("main")) & (place < share)).select(
             "key", F.col("doc_id").alias("c"), F.col("n").alias("cn"), F.col("label").alias("cl"))
         x, y = F.col("c"), F.col("doc_id")
