@@ -139,3 +139,16 @@ def op6_substring_dedup(spark, sf_dir):
 def op10_minhash_near_dedup(spark, sf_dir):
     from imagelake.llm.near_dedup import near_dedup
     return near_dedup(spark, table(spark, sf_dir, "documents"), shingle=2)
+
+
+@register("op8_quality_classifier")
+def op8_quality_classifier(spark, sf_dir):
+    from imagelake.llm.quality_classifier import quality_scores
+    scores = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    from imagelake.llm.toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
