@@ -152,3 +152,24 @@ def op8_quality_classifier(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     from imagelake.llm.toxicity import toxicity
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op7_line_dedup")
+def op7_line_dedup(spark, sf_dir):
+    from imagelake.llm.line_dedup import line_dedup
+    return line_dedup(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", "emptied", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op1_url_filters")
+def op1_url_filters(spark, sf_dir):
+    from imagelake.llm.url_filter import host_and_path, url_filter
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    # the last number of a path is the document that the page shows
+    _, path = host_and_path(F.col("url"))
+    number = F.regexp_extract(path, r"(\d{1,18})\D*$", 1)
+    shown = pages.select("page_id", number.try_cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(bad).alias("bad"))
+    rules = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+    return url_filter(spark, pages, shown.join(labels, "doc_id").select("page_id", "bad"), rules)
