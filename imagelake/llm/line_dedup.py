@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imagelake.llm.common import SPACES, SPACE_RUN, materialize, release_shuffles
+from imagelake.llm.common import SPACES, materialize, release_shuffles
 
 SITES = 10
 MIN_WORDS = 4
@@ -42,7 +42,7 @@ def _line_hash(line: Column) -> Column:
 
 def _counts(line: Column) -> Column:
     """Whether a line has MIN_WORDS words."""
-    return F.size(F.split(_trimmed(line), SPACE_RUN)) >= MIN_WORDS
+    return line.rlike(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (MIN_WORDS - 1))
 
 
 def line_sites(docs: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def boilerplate(spark: SparkSession, occurrences: DataFrame, sites: int = SITES)
 def cut_lines(spark: SparkSession, docs: DataFrame, sites: int = SITES) -> DataFrame:
     """``docs`` with new text, and _lines, _removed (lines before, lines cut), _emptied."""
     release_shuffles(spark)
-    occurrences = line_sites(docs)
+    occurrences = materialize(spark, line_sites(docs), "line-sites")
     common = materialize(spark, boilerplate(spark, occurrences, sites), "boilerplate")
     # both sides come from a shuffle, so a line of a third of all documents is split;
     # a document's list is no longer than the document

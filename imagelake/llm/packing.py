@@ -14,7 +14,7 @@ buckets before.
 
 Tokenising works on the runs between spaces (a piece of text that the tokenizer
 never merges across) through a bounded cache, so each distinct run is encoded once
-per task.
+per Python worker while the cache holds it.
 
 Defined cases: null and empty texts have no ids but the end id, a piece of length 1;
 repeated rows and null doc_ids are packed row by row; an empty table gives an empty
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,32 +37,59 @@ from imagelake.llm.common import materialize, pow2_at_least
 
 CAPACITY = 2048
 END_ID = 0
-#: Distinct runs kept by a task; beyond it the cache starts anew.
-CACHE_RUNS = 400_000
+#: Distinct runs kept by a worker; beyond it a cache starts anew.
+CACHE_RUNS = 1_000_000
+#: Closing marks that are looked up apart from the letters before them.
+MARKS = ".,;:!?"
 #: Pieces per bucket of the rank count, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
-def run_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
-    """Function from whole texts (UTF-8) to their ids as little-endian uint32 bytes."""
+@lru_cache(maxsize=1)
+def run_encoder(tokenizer_path: str) -> Callable[[bytes], bytes]:
+    """Function from a whole text (UTF-8) to its ids as little-endian uint32 bytes.
+    One per Python worker, so its caches serve all tasks of the worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path)
-    cache: dict[bytes, bytes] = {}
-
-    def encode(texts: list[bytes]) -> list[bytes]:
-        if len(cache) > CACHE_RUNS:
-            cache.clear()
-        out = []
-        for text in texts:
-            runs = text.split()  # bytes split at space and U+0009 to U+000D only
-            new = [r for r in dict.fromkeys(runs) if r not in cache]
-            if new:
-                for r, e in zip(new, tok.encode_batch([r.decode("utf-8", "replace") for r in new], add_special_tokens=False)):
-                    cache[r] = np.asarray(e.ids, "<u4").tobytes()
-            out.append(b"".join(map(cache.__getitem__, runs)))
-        return out
+    runs_cache: dict[bytes, bytes] = {}
+    letters_cache: dict[str, bytes] = {}
+
+    def parts(run: bytes) -> tuple[str, str]:
+        """Letters and closing marks of a run, or ("", "") if it is made otherwise. The
+        tokenizer always parts letters from marks."""
+        text = run.decode("utf-8", "replace")
+        stem = text.rstrip(MARKS)
+        if not stem.isalpha():
+            return "", ""
+        return stem.lower() if stem.isascii() else stem, text[len(stem):]
+
+    def learn(runs: list[bytes]) -> None:
+        split = [(r, *parts(r)) for r in runs]
+        stems = [x for x in dict.fromkeys(stem for _, stem, _ in split if stem) if x not in letters_cache]
+        if stems:
+            # stems in one text, each a word of its own to the tokenizer
+            e = tok.encode(" ".join(stems), add_special_tokens=False)
+            ids, n = np.asarray(e.ids, "<u4"), np.bincount(np.asarray(e.word_ids), minlength=len(stems))
+            for stem, part in zip(stems, np.split(ids, np.cumsum(n)[:-1])):
+                letters_cache[stem] = part.tobytes()
+        other = [r.decode("utf-8", "replace") for r, stem, _ in split if not stem]
+        marks = list(dict.fromkeys(m for _, stem, m in split if stem and m))
+        encoded = {t: np.asarray(e.ids, "<u4").tobytes() for t, e in zip(
+            other + marks, tok.encode_batch(other + marks, add_special_tokens=False))}
+        for r, stem, m in split:
+            runs_cache[r] = letters_cache[stem] + (encoded[m] if m else b"") if stem else encoded[r.decode("utf-8", "replace")]
+
+    def encode(text: bytes) -> bytes:
+        for cache in (runs_cache, letters_cache):
+            if len(cache) > CACHE_RUNS:
+                cache.clear()
+        runs = text.split()  # bytes split at space and U+0009 to U+000D only
+        new = [r for r in dict.fromkeys(runs) if r not in runs_cache]
+        if new:
+            learn(new)
+        return b"".join(map(runs_cache.__getitem__, runs))
 
     return encode
 
@@ -78,7 +106,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
             cols: list[list] = [[] for _ in range(5 + with_ids)]
             texts = batch.column("text").cast(pa.binary())
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                ids = encode([texts[i].as_py() or b""])[0] + end
+                ids = encode(texts[i].as_py() or b"") + end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     row = (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part)

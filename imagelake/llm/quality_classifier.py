@@ -24,7 +24,7 @@ from imagelake.llm.word_models import BUCKETS, Examples, mean_word_score, sample
 
 SIZES = (3, 4, 5)
 DIM = 8
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 3000
 EPOCHS = 5
 BATCH = 32
 RATE = 0.3
@@ -78,6 +78,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_R
     held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out")
     if len(set(y.tolist())) < 2:
         return docs.select("doc_id", held_out, F.lit(float(y.mean()) if len(y) else 0.5).alias("score"))
-    weights, bias = fit(Examples([tokens(text) for text, _ in got], SIZES), y)
+    weights, bias = fit(Examples((tokens(text) for text, _ in got), SIZES), y)
     scored = mean_word_score(docs, weights, SIZES, tokens)
     return scored.select("doc_id", held_out, (1 / (1 + F.exp(-F.col("mean") - bias))).alias("score"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from imagelake.llm.word_models import BUCKETS, Examples, mean_word_score, sample
 
 SIZES = (4, 5)
-TRAIN_ROWS = 9000
+TRAIN_ROWS = 8000
 EPOCHS = 10
 BATCH = 64
 RATE = 0.5
@@ -88,7 +88,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> t
     y = np.array([label for _, label in got], int)
     if len(set(y.tolist())) < 2:
         return None
-    examples = Examples([tokens(text) for text, _ in got], SIZES)
+    examples = Examples((tokens(text) for text, _ in got), SIZES)
     w, _ = fit(examples, y, np.zeros(BUCKETS))
     x = np.array([np.sum(w[f] * v) for _, f, v in (examples.batch(np.array([i])) for i in range(len(got)))])
     grades = y + ((y == 1) & (x > np.median(x[y == 1])))

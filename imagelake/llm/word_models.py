@@ -9,8 +9,9 @@ its words, whatever its length.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,18 +32,22 @@ def ngrams(word: bytes, sizes: tuple[int, ...]) -> list[int]:
 class Examples:
     """Training documents as distinct words with counts, and words as features."""
 
-    def __init__(self, docs: list[list[bytes]], sizes: tuple[int, ...]):
+    def __init__(self, docs: Iterable[list[bytes]], sizes: tuple[int, ...]):
         index: dict[bytes, int] = {}
         self.rows = []
         for words in docs:
             c = Counter(words)
-            ids = np.fromiter((index.setdefault(w, len(index)) for w in c), np.int64, len(c))
-            share = np.fromiter(c.values(), np.float64, len(c)) / max(1, len(words))
+            ids = np.fromiter((index.setdefault(w, len(index)) for w in c), np.int32, len(c))
+            share = np.fromiter(c.values(), np.float32, len(c)) / max(1, len(words))
             self.rows.append((ids, share))
-        feats = [ngrams(w, sizes) for w in index]
-        self.sizes = np.fromiter(map(len, feats), np.int64, len(feats))
+        counts, features = array("i"), array("i")
+        for w in index:
+            f = ngrams(w, sizes)
+            counts.append(len(f))
+            features.extend(f)
+        self.sizes = np.frombuffer(counts, np.int32).astype(np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.features = np.fromiter((f for x in feats for f in x), np.int64, int(self.sizes.sum()))
+        self.features = np.frombuffer(features, np.int32)
 
     def batch(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in the batch, feature, value) of every feature of these documents;
