@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without lines found across sites, and without documents of nothing else."""
+    """All documents, without the lines found across sites."""
     tune(spark)
     return line_dedup.remove_boilerplate(spark, docs)
 

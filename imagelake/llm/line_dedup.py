@@ -11,8 +11,8 @@ is near the threshold (within ``NEAR`` of it) get exact distinct counts, from
 distinct (line, site) pairs. Lines are told apart by 64-bit xxHash and length.
 
 Defined cases: null and empty texts have no lines and stay as they are; null source
-is no site; lines of fewer words always stay; a document whose every word went has
-an empty text (``emptied``); null doc_id counts as the largest id; rows that share a
+is no site; lines of fewer words always stay; a document of nothing but such lines
+keeps its text (whole copies are the business of document dedup); null doc_id counts as the largest id; rows that share a
 doc_id are treated alike; an empty table gives an empty result; other columns,
 whatever their names, are kept by ``remove_boilerplate`` and otherwise not read.
 """
@@ -70,7 +70,7 @@ def boilerplate(spark: SparkSession, occurrences: DataFrame, sites: int = SITES)
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sites: int = SITES) -> DataFrame:
-    """``docs`` with new text, and _lines, _removed (lines before, lines cut), _emptied."""
+    """``docs`` with new text, and _lines, _removed (lines before, lines cut)."""
     release_shuffles(spark)
     occurrences = materialize(spark, line_sites(docs), "line-sites")
     common = materialize(spark, boilerplate(spark, occurrences, sites), "boilerplate")
@@ -83,20 +83,21 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sites: int = SITES) -> DataF
     d = d.withColumn("_all", F.split("text", "\n"))
     stays = lambda x: ~(_counts(x) & F.array_contains("_lost", _line_hash(x)))
     d = d.withColumn("_left", F.when(F.col("_lost").isNull(), F.col("_all")).otherwise(F.filter("_all", stays)))
-    text = F.when(F.col("_lost").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))
-    d = d.withColumn("_lines", F.coalesce(F.size("_all"), F.lit(0))).withColumn("_cut", F.col("_lost").isNotNull())
+    # whole copies are left to document dedup
+    cut = F.col("_lost").isNotNull() & (_trimmed(F.array_join("_left", "\n")) != "")
+    d = d.withColumn("_lines", F.coalesce(F.size("_all"), F.lit(0))).withColumn("_cut", cut)
     d = d.withColumn("_removed", F.when(F.col("_cut"), F.size("_all") - F.size("_left")).otherwise(F.lit(0)))
-    return d.withColumn("text", text).withColumn("_emptied", F.col("_cut") & (_trimmed(F.col("text")) == "")).select(
-        *docs.columns, "_lines", "_removed", "_emptied")
+    text = F.when(F.col("_cut"), F.array_join("_left", "\n")).otherwise(F.col("text"))
+    return d.withColumn("text", text).select(*docs.columns, "_lines", "_removed")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sites: int = SITES) -> DataFrame:
-    """doc_id, n_lines, n_removed, emptied, text (what is left) per row of ``docs``."""
+    """doc_id, n_lines, n_removed, text (what is left) per row of ``docs``."""
     cut = cut_lines(spark, docs.select("doc_id", "source", "text"), sites)
     return cut.select("doc_id", F.col("_lines").cast("long").alias("n_lines"),
-                      F.col("_removed").cast("long").alias("n_removed"), F.col("_emptied").alias("emptied"), "text")
+                      F.col("_removed").cast("long").alias("n_removed"), "text")
 
 
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sites: int = SITES) -> DataFrame:
-    """``docs``, all columns, without boilerplate lines and without documents of nothing else."""
-    return cut_lines(spark, docs, sites).where(~F.col("_emptied")).select(*docs.columns)
+    """``docs``, all rows and columns, without boilerplate lines."""
+    return cut_lines(spark, docs, sites).select(*docs.columns)

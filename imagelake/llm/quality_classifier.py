@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from imagelake.llm.word_models import BUCKETS, Examples, mean_word_score, sample
 
-SIZES = (3, 4, 5)
+SIZES = (3, 4)
 DIM = 8
 TRAIN_ROWS = 3000
 EPOCHS = 5

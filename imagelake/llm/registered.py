@@ -158,7 +158,7 @@ def op9_toxicity(spark, sf_dir):
 def op7_line_dedup(spark, sf_dir):
     from imagelake.llm.line_dedup import line_dedup
     return line_dedup(spark, table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_lines", "n_removed", "emptied", F.sha2("text", 256).alias("kept_sha256"))
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
 @register("op1_url_filters")

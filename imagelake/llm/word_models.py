@@ -2,16 +2,18 @@
 
 Both models are linear in the average over a document's words, so a trained model
 is one number per word: the sum over its features, computed once per distinct word
-and task and kept in a bounded cache. A document's value is the average over all
+and Python worker while a bounded cache holds it. A document's value is the average over all
 its words, whatever its length.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 18
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 
 def ngrams(word: bytes, sizes: tuple[int, ...]) -> list[int]:
@@ -72,15 +74,22 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, where: Col
     return [(bytes(r["text"]), int(r["_label"])) for r in sorted(got, key=lambda r: (r["doc_id"], bytes(r["text"])))]
 
 
+@lru_cache(maxsize=1)
+def word_cache(model: str) -> dict[bytes, float]:
+    """Scores of words under a model, kept for all tasks of a Python worker."""
+    return {}
+
+
 def mean_word_score(docs: DataFrame, weights: np.ndarray, sizes: tuple[int, ...],
                     split: Callable[[bytes], list[bytes]]) -> DataFrame:
     """doc_id, n_words and ``mean``: the average over the words of a whole text of the
     average weight of their features (0 for texts without words)."""
+    model = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # BUCKETS numbers
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
-        cache: dict[bytes, float] = {}
+        cache = word_cache(model)
         for batch in batches:
             out: list[list] = [[], []]
             for text in batch.column("text").cast(pa.binary()):
