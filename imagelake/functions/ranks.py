@@ -7,6 +7,10 @@ partitions by its order columns; per-(partition, group) counts - a small table
 with one row per partition a group spans - are turned into starting offsets,
 and each row's number is its offset plus its position inside the sorted
 partition (``monotonically_increasing_id`` taken right after the sort).
+
+The sorted rows are checkpointed with their partition numbers before anything is
+counted: the boundaries of a range shuffle are sampled anew each time its plan
+runs, so numbers from two runs of it must never be joined.
 """
 
 from __future__ import annotations
@@ -14,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 def group_row_number(df: DataFrame, keys: list[str], order: list[str | Column],
                      out_col: str = "row_no") -> DataFrame:
@@ -23,6 +29,8 @@ def group_row_number(df: DataFrame, keys: list[str], order: list[str | Column],
     ranked = (df.repartitionByRange(*keys, *order_cols).sortWithinPartitions(*keys, *order_cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
+    checkpoint_dir(df.sparkSession)
+    ranked = ranked.checkpoint()
     parts = ranked.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_mid0"))
     # this window runs over `parts`: one row per (group, partition it spans)
     offsets = parts.withColumn(

@@ -32,10 +32,11 @@ def split_stats(catalog: DataFrame) -> DataFrame:
 
 
 def one_per_class(df: DataFrame, label_col: str = "label", order_col: str = "path") -> DataFrame:
-    """One sample per label (H3): the first path in order, as a bounded aggregate."""
+    """One sample per label (H3): the first path in order, as a bounded aggregate;
+    equal paths are told apart by the other columns."""
     others = [c for c in df.columns if c not in (label_col,)]
     first = df.groupBy(label_col).agg(
-        F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_s"))
+        F.min_by(F.struct(*[F.col(c) for c in others]), F.struct(order_col, *others)).alias("_s"))
     return first.select(label_col, "_s.*")
 
 

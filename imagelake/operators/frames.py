@@ -1,17 +1,16 @@
 """Sampled inference over frame sequences (E7, batch form).
 
 The camera scores every n-th frame (by its frame counter) and shows the last
-result on the frames in between; an error result is carried the same way. The
-carried result of frame ``f`` is the one of frame ``n * floor(f / n)``, so the
-batch form is an equi-join of every frame with the scored frames on
-``(stream_id, n * floor(frame_no / n))`` - no window over a stream, so a stream
-holding a third of all frames still spreads over many tasks (AQE splits the
-skewed join partition). The streaming form lives in ``streaming.frames``.
+result on the frames in between; an error result is carried the same way, also
+over scored frames that are missing. Only blocks of ``n`` frames, one row each,
+pass a window per stream; every frame then joins its block, so a stream holding a
+third of all frames spreads over many tasks. The streaming form lives in
+``streaming.frames``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_EVERY = 10  # fixed value: the live view scores every 10th frame (3 in the desktop view)
@@ -21,9 +20,15 @@ def sampled_inference(frames: DataFrame, n: int = SAMPLE_EVERY,
                       result_cols: tuple[str, ...] = ("y_pred", "confidence", "is_error")) -> DataFrame:
     """Every frame with the result of the last scored frame (``source_frame``) and
     ``scored`` telling whether it was scored itself."""
-    src = (F.floor(F.col("frame_no") / n) * n).cast("long")
-    scored = frames.where(F.col("frame_no") % n == 0).select(
-        "stream_id", F.col("frame_no").alias("source_frame"), *result_cols)
-    base = frames.select("stream_id", "frame_no", "ts", src.alias("source_frame"))
-    return (base.join(scored, ["stream_id", "source_frame"], "left")
-                .withColumn("scored", F.col("frame_no") == F.col("source_frame")))
+    block = F.floor(F.col("frame_no") / n).cast("long")
+    own = F.struct(F.col("frame_no").alias("source_frame"), *result_cols)
+    # the scored frame of a block, if any, is its first one
+    blocks = frames.groupBy("stream_id", block.alias("_block")).agg(
+        F.max(F.when(F.col("frame_no") % n == 0, own)).alias("_own"))
+    carried = F.last("_own", ignorenulls=True).over(Window.partitionBy("stream_id").orderBy("_block"))
+    blocks = blocks.select("stream_id", "_block", carried.alias("_r"))
+    base = frames.select("stream_id", "frame_no", "ts", block.alias("_block"))
+    return base.join(blocks, ["stream_id", "_block"]).select(
+        "stream_id", F.col("_r.source_frame").alias("source_frame"), "frame_no", "ts",
+        *[F.col(f"_r.{c}").alias(c) for c in result_cols],
+        F.coalesce(F.col("frame_no") == F.col("_r.source_frame"), F.lit(False)).alias("scored"))

@@ -107,6 +107,10 @@ def prepare_pictures(df: DataFrame, steps: list[str], size: tuple[int, int] | No
             for i, shape in enumerate(zip(pdf["height"], pdf["width"], pdf["n_channels"])):
                 groups.setdefault(tuple(int(v) for v in shape), []).append(i)
             for (h, w, c), idx in groups.items():  # one stack per picture shape
+                if min(h, w, c) <= 0:  # undecodable: passed through unchanged
+                    for i in idx:
+                        pics[i], hs[i], ws[i], cs[i] = pdf[px].iat[i], h, w, c
+                    continue
                 imgs = np.stack([np.asarray(pdf[px].iat[i], dtype=np.float64) for i in idx]).reshape(-1, h, w, c)
                 for s in steps:
                     imgs = _np_step(imgs, s, size, bilinear)

@@ -88,17 +88,20 @@ def request_completeness(requests: DataFrame, results: DataFrame, key: str = "re
                          timeout_s: int = RESULT_TIMEOUT_S) -> DataFrame:
     """Status per request (G7): ``done`` / ``error`` when a result arrived within
     ``timeout_s`` after the request, else ``timed out`` (the same interval as the
-    streaming form). Results are reduced to the first one per request before the
-    join."""
-    first = results.groupBy(key).agg(
-        F.min_by(F.struct("processed_at", "error"), F.col("processed_at")).alias("_r")
-    ).select(key, F.col("_r.processed_at").alias("processed_at"), F.col("_r.error").alias("error"))
+    streaming form). Results outside that interval do not count; the others are
+    reduced to the first one per request before the join."""
+    asked = requests.select(key, F.col("received_at").alias("_asked"))
+    deadline = F.col("_asked") + F.make_dt_interval(secs=F.lit(timeout_s))
+    in_time = results.select(key, "processed_at", "error").join(asked, key).where(
+        F.col("processed_at").between(F.col("_asked"), deadline))
+    # of results at one instant, a success comes before an error
+    first = in_time.groupBy(key).agg(F.min_by(
+        F.struct("processed_at", "error"), F.struct("processed_at", F.coalesce("error", F.lit("")))).alias("_r"))
     j = requests.join(first, key, "left")
-    deadline = F.col("received_at") + F.make_dt_interval(secs=F.lit(timeout_s))
-    in_time = F.col("processed_at").between(F.col("received_at"), deadline)
-    status = (F.when(in_time & F.col("error").isNotNull(), "error")
-              .when(in_time, "done").otherwise("timed out"))
-    return j.withColumn("status", status)
+    status = (F.when(F.col("_r").isNull(), "timed out")
+              .when(F.col("_r.error").isNotNull(), "error").otherwise("done"))
+    return j.select(*requests.columns, F.col("_r.processed_at").alias("processed_at"),
+                    F.col("_r.error").alias("error"), status.alias("status"))
 
 
 def session_completeness(per_request: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ printed error that would commit a lost batch.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,17 +55,22 @@ def error_rows(scored: DataFrame) -> DataFrame:
 
 
 def write_jdbc_idempotent(rows: DataFrame, jdbc: dict, table: str) -> None:
-    """Append only rows whose ``id`` is not in ``table``; the existing ids are read
-    for the batch's request-time range only (the filter is pushed to the database)."""
+    """Append only rows whose ``id`` is not in ``table``, each id once; the existing
+    ids are read for the batch's request-time range and for rows without a time (the
+    filter is pushed to the database). Only a missing table counts as empty; any
+    other failure to read it fails the batch."""
     spark = rows.sparkSession
-    rng = rows.agg(F.min("received_at").alias("lo"), F.max("received_at").alias("hi")).first()
-    if rng is None or rng["lo"] is None:
-        return
+    rows = rows.dropDuplicates(["id"])
+    lo, hi = rows.agg(F.min("received_at"), F.max("received_at")).first()
+    seen = F.col("received_at").isNull()
+    if lo is not None:
+        seen = seen | F.col("received_at").between(lo, hi)
     try:
-        existing = (spark.read.format("jdbc").options(**jdbc).option("dbtable", table).load()
-                    .where(F.col("received_at").between(rng["lo"], rng["hi"])).select("id"))
+        existing = spark.read.format("jdbc").options(**jdbc).option("dbtable", table).load().where(seen).select("id")
         fresh = rows.join(existing, "id", "left_anti")
-    except Exception:  # noqa: BLE001 - the table does not exist yet
+    except Exception as e:  # noqa: BLE001 - drivers raise their own classes
+        if not re.search(r"does(n't| not) exist|not found|42X05|42P01", str(e)):
+            raise
         fresh = rows
     types = ", ".join(f"{c} {t}" for c, t in JDBC_TYPES.items() if c in rows.columns)
     (fresh.write.format("jdbc").options(**jdbc).option("dbtable", table)

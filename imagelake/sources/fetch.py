@@ -22,21 +22,12 @@ def image_fetch(requests: DataFrame, images: DataFrame, key="object_key") -> Dat
     return j.withColumn("fetch_error", F.when(F.col("_found").isNull(), F.lit("not found"))).drop("_found")
 
 
-MAX_DATES = 400  # distinct upload dates read back to the driver for partition pruning
-
-
-def landed_for(requests: DataFrame, landed: DataFrame, date_col: str = "upload_date",
-               max_dates: int = MAX_DATES) -> DataFrame:
-    """The landing table restricted to the dates the requests mention. The distinct
-    dates of a micro-batch are a handful of values (at most ``max_dates`` are read
-    back), and filtering on them as literals prunes the landing table's
-    ``upload_date`` partitions at planning time. With more dates than that, a
-    semi-join on the dates gives the same rows without pruning (adaptive
-    execution picks its strategy from the measured size)."""
-    found = [r[0] for r in requests.select(date_col).distinct().limit(max_dates + 1).collect()]
-    if len(found) <= max_dates:
-        return landed.where(F.col(date_col).isin(found))
-    return landed.join(requests.select(date_col).distinct(), date_col, "left_semi")
+def landed_for(requests: DataFrame, landed: DataFrame, date_col: str = "upload_date") -> DataFrame:
+    """The landing table restricted to the range of dates the requests mention: one
+    row comes back to the driver, and the literal range prunes the landing table's
+    ``upload_date`` partitions at planning time. The join on the key is exact."""
+    lo, hi = requests.agg(F.min(date_col), F.max(date_col)).first()
+    return landed.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
 
 
 def predictions_scan(spark: SparkSession, path: str | None = None, jdbc: dict | None = None,

@@ -65,14 +65,11 @@ def sampled_inference_stream(frames: DataFrame, n: int = SAMPLE_EVERY) -> DataFr
         for i, (name, col) in enumerate(carried.items()):
             v = pd.Series(col.to_numpy(), dtype="object").where(scored).ffill()
             out[name] = v.where(v.notna(), prev[i]).to_numpy()
-        # a result counts only for the frames its scored frame covers; a frame whose
-        # scored frame has not been seen (late delivery) gets no result, as in the
-        # batch form, instead of an older frame's result
-        expected = (out["frame_no"] // n) * n
-        known = out["source_frame"].notna() & (out["source_frame"] == expected)
-        for name in ("y_pred", "confidence", "is_error"):
+        # the last result stays on also over scored frames that are missing; a frame
+        # that comes after a newer one was scored does not get that newer result
+        known = out["source_frame"].notna() & (out["source_frame"] <= out["frame_no"])
+        for name in carried:
             out[name] = out[name].where(known, None)
-        out["source_frame"] = expected.to_numpy()
         out["scored"] = scored
         if scored.any():  # remember the newest scored frame seen so far
             i = int(np.flatnonzero(scored)[-1])

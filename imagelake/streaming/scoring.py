@@ -6,9 +6,9 @@ requests (A3) -> parse (A4) -> type (A5) -> foreachBatch:
 
 The stream itself is stateless. Pictures are looked up inside each micro-batch
 with a join on ``(upload_date, object_key)``. ``upload_date`` is the partition
-column of the landing table and the batch's dates are semi-joined to it first,
-so dynamic partition pruning reads only the dates the batch mentions; uploads
-that landed after the stream started are seen.
+column of the landing table; the range of the batch's dates becomes a literal
+filter on it, so only those dates are listed and read, and uploads that landed
+after the stream started are seen.
 A request whose picture is not there yet becomes ``error='not found'``.
 """
 
@@ -65,14 +65,20 @@ def object_key(url_col: str = "image_url") -> F.Column:
 
 def score_requests(requests: DataFrame, landed: DataFrame, spec: ModelSpec, classes: DataFrame,
                    shape: tuple[int, int, int]) -> DataFrame:
-    """Batch core of E6: requests -> scored rows (``error`` null) plus error rows."""
+    """Batch core of E6: one row per request, scored (``error`` null) or with its error.
+
+    A malformed message is an error row like any other; a key that landed twice
+    counts once."""
     h, w, c = shape
+    malformed = requests.where(F.coalesce("is_malformed", F.lit(True))).select(
+        "session_id", "filename", "image_url", "received_at", F.lit("malformed message").alias("error"))
     reqs = (requests.where(~F.col("is_malformed"))
                     .withColumn("object_key", object_key())
                     .withColumn("upload_date", F.regexp_extract("object_key", r"^uploads/(\d{8})/", 1)))
-    imgs = landed_for(reqs, landed).select("upload_date", "object_key", "height", "width", "n_channels", "pixels")
+    imgs = landed_for(reqs, landed).select("upload_date", "object_key", "height", "width", "n_channels", "pixels").dropDuplicates(
+        ["upload_date", "object_key"])
     fetched = image_fetch(reqs, imgs, key=["upload_date", "object_key"])
-    ok_shape = has_shape("pixels", h, w, c)
+    ok_shape = F.coalesce(has_shape("pixels", h, w, c), F.lit(False))
     good = fetched.where(F.col("fetch_error").isNull() & ok_shape)
     bad = fetched.where(F.col("fetch_error").isNotNull() | ~ok_shape).select(
         "session_id", "filename", "image_url", "received_at",
@@ -83,7 +89,7 @@ def score_requests(requests: DataFrame, landed: DataFrame, spec: ModelSpec, clas
     scored = score_batch(feats, spec, "features", keep=keep, input_scaling=spec.scaling)
     named = decode_label(scored.drop("probs"), classes, id_col="class_id", out_col="fruit").drop("class_id")
     named = named.withColumn("error", F.lit(None).cast("string"))
-    return named.unionByName(bad, allowMissingColumns=True).withColumn("processed_at", F.current_timestamp())
+    return named.unionByName(bad.unionByName(malformed), allowMissingColumns=True).withColumn("processed_at", F.current_timestamp())
 
 
 def start_scoring(spark: SparkSession, job: ScoringJob, classes: DataFrame,

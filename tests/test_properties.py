@@ -122,3 +122,39 @@ def test_group_row_number_equals_window_with_hot_key(spark):
     w = Window.partitionBy("key").orderBy("t")
     want = {(r.key, r.t): r.rn for r in df.select("key", "t", (F.row_number().over(w) - 1).alias("rn")).collect()}
     assert got == want
+
+
+def test_carry_forward_over_a_missing_scored_frame(spark):
+    from imagelake.operators.frames import sampled_inference
+    rows = [("a", f, None, f, 0.5, False) for f in range(1, 35) if f not in (10, 20)] + [("b", 3, None, 1, 0.1, True)]
+    frames = spark.createDataFrame(rows + [("a", 0, None, 0, 0.5, False)],
+                                   "stream_id string, frame_no long, ts timestamp, y_pred int, confidence double, is_error boolean")
+    got = {(r.stream_id, r.frame_no): (r.source_frame, r.y_pred, r.scored) for r in sampled_inference(frames, 10).collect()}
+    assert got[("a", 12)] == (0, 0, False) and got[("a", 29)] == (0, 0, False)
+    assert got[("a", 30)] == (30, 30, True) and got[("a", 34)] == (30, 30, False)
+    assert got[("b", 3)] == (None, None, False)
+
+
+def test_row_numbers_with_payload_and_hot_key(spark):
+    from pyspark.sql import Window
+    from imagelake.functions.ranks import group_row_number
+    n = 400_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).alias("k"),
+                               F.xxhash64("id").alias("o"), "id", F.repeat(F.lit("x"), 20).alias("payload"))
+    got = group_row_number(df, ["k"], ["o"])
+    want = df.withColumn("want", F.row_number().over(Window.partitionBy("k").orderBy("o")) - 1)
+    assert got.count() == n
+    assert got.select("id", "row_no").join(want.select("id", "want"), "id").where("row_no <> want").count() == 0
+
+
+def test_completeness_counts_only_results_in_time(spark):
+    from datetime import datetime, timedelta
+    from imagelake.operators.sessions import request_completeness
+    t = datetime(2024, 1, 1)
+    requests = spark.createDataFrame([(i, "s", t) for i in range(4)], "request_id long, session_id string, received_at timestamp")
+    at = lambda s: t + timedelta(seconds=s)
+    results = spark.createDataFrame(
+        [(0, at(-5), "early"), (0, at(9), None), (0, at(9), "tie"), (1, at(61), None), (2, at(3), "bad"), (2, at(4), None)],
+        "request_id long, processed_at timestamp, error string")
+    got = {r.request_id: r.status for r in request_completeness(requests, results).collect()}
+    assert got == {0: "done", 1: "timed out", 2: "error", 3: "timed out"}
