@@ -311,12 +311,11 @@ def q_g6(spark, sf):
 
 G7_SQL = cte("pred_log") + """
 , per_request AS (
-  SELECT event_id AS request_id, session_id, received_at, processed_at,
-    CASE WHEN is_error THEN 'bad image' END AS error,
-    CASE WHEN processed_at BETWEEN received_at AND received_at + INTERVAL 60 SECOND AND is_error THEN 'error'
-         WHEN processed_at BETWEEN received_at AND received_at + INTERVAL 60 SECOND THEN 'done'
-         ELSE 'timed out' END AS status
-  FROM pred_log)"""
+  SELECT event_id AS request_id, session_id, received_at,
+    CASE WHEN in_time THEN processed_at END AS processed_at,
+    CASE WHEN in_time AND is_error THEN 'bad image' END AS error,
+    CASE WHEN in_time AND is_error THEN 'error' WHEN in_time THEN 'done' ELSE 'timed out' END AS status
+  FROM (SELECT *, processed_at BETWEEN received_at AND received_at + INTERVAL 60 SECOND AS in_time FROM pred_log) AS x)"""
 
 
 def _g7(spark, sf):
