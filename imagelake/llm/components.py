@@ -11,8 +11,8 @@ from imagelake.llm.common import materialize
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, component: smallest node reachable) of every node in ``edges`` (a, b).
 
-    Every round each node hooks onto the first of itself and its neighbours in a
-    random order of that round, edges are renamed to the nodes hooked onto, and
+    Every round each node hooks onto the first of itself and its neighbours, in the
+    order of ids in round one and in a random order in each later round; edges are renamed to the nodes hooked onto, and
     edges within a node go. A constant share of the nodes goes each round, whatever
     the graph's shape. A hub's edges are never gathered: the hook is a partial
     aggregate, and both sides of each join are shuffled tables that can be split.
@@ -23,7 +23,9 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     turn = 0
     while not left.isEmpty():
         turn += 1
-        first = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("o"), F.col(c).alias("to"))  # noqa: E731, B023
+        # first by id, which settles stars around their smallest node at once
+        place = lambda c: F.xxhash64(F.lit(turn), c) if turn > 1 else F.lit(0).cast("long")  # noqa: E731, B023
+        first = lambda c: F.struct(place(c).alias("o"), F.col(c).alias("to"))  # noqa: E731, B023
         hooks = materialize(spark, left.groupBy("a").agg(F.min(first("b")).alias("b")).select(
             F.col("a").alias("was"), F.least(first("a"), F.col("b"))["to"].alias("now")), "hooks")
         names = materialize(spark, names.join(hooks, names["root"] == hooks["was"], "left").select(
