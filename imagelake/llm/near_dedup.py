@@ -33,6 +33,7 @@ not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from imagelake.llm.common import materialize, release_shuffles, split_join
 from imagelake.llm.components import components
-from imagelake.llm.substring_dedup import NULL_ID, WordHashes, rolling
+from imagelake.llm.substring_dedup import NULL_ID, rolling
 
 SHINGLE = 5
 #: Link at 100 * intersection >= PERCENT * union.
@@ -60,16 +61,56 @@ _ADD = _RNG.integers(0, 2 ** 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
 _ODD = 0xD6E8FEB86659FD93
 #: A-Z to a-z, every other byte as it is (no byte of a longer UTF-8 sequence is in A-Z).
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Bytes whose words are hashed at once.
+STRETCH = 1 << 17
+_SOLID = ~np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_OF_BYTE = _RNG.integers(0, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = 0x9FB21C651E98DF25
+
+
+@lru_cache(maxsize=1)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n - 1 of _STEP and of its inverse, modulo 2**64."""
+    both = []
+    for x in (_STEP, pow(_STEP, -1, 2 ** 64)):
+        p = np.full(n, x, np.uint64)
+        p[0] = 1
+        both.append(np.cumprod(p, dtype=np.uint64))
+    return both[0], both[1]
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of ``data`` (bytes) begins, and its 64-bit hash: a polynomial
+    modulo 2**64 over one random number per byte value, then mixed."""
+    solid = np.zeros(len(data) + 2, bool)
+    solid[1:-1] = _SOLID[data]
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    h = np.empty(len(starts), np.uint64)
+    lo = 0
+    while lo < len(starts):
+        first = starts[lo]
+        hi = max(lo + 1, int(np.searchsorted(ends, first + STRETCH, "right")))
+        n = int(ends[hi - 1] - first)
+        up, down = powers(max(n, STRETCH))
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_OF_BYTE[data[first:first + n]] * up[:n], dtype=np.uint64, out=sums[1:])
+        s = starts[lo:hi] - first
+        h[lo:hi] = (sums[ends[lo:hi] - first] - sums[s]) * down[s]
+        lo = hi
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(_ODD)
+    return starts, h ^ (h >> np.uint64(29))
 
 
-def shingle_sets(texts: list[bytes | None], shingle: int, cache: WordHashes) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[bytes | None], shingle: int) -> Iterator[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text."""
-    docs = [(t or b"").translate(_LOWER).split() for t in texts]
-    h, _ = cache.of([w for d in docs for w in d])
+    data = b"\n".join(t or b"" for t in texts).translate(_LOWER)
+    starts, h = word_hashes(np.frombuffer(data, np.uint8))
     windows = rolling(h, shingle, _ODD)
+    ends = np.cumsum([len(t or b"") + 1 for t in texts])
     at = 0
-    for d in docs:
-        n = len(d)
+    for n in np.diff(np.searchsorted(starts, ends), prepend=0).tolist():
         if n >= shingle:
             yield np.unique(windows[at:at + n - shingle + 1])
         else:
@@ -105,10 +146,9 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
-        cache = WordHashes()
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                sets = list(shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), shingle, cache))
+                sets = list(shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), shingle))
                 full = [s for s in sets if len(s)]
                 rows = iter(registers(full) if full else ())
                 regs = [next(rows).tobytes() if len(s) else None for s in sets]
@@ -183,10 +223,9 @@ def confirmed(pairs: DataFrame) -> DataFrame:
 
 def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), shingle, cache)
+                sets = shingle_sets(part.column("text").cast(pa.binary()).to_pylist(), shingle)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())],
                                                  ["doc_id", "hashes"])
 
