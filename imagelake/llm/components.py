@@ -19,19 +19,22 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     left = materialize(spark, both.where("a <> b").distinct(), "edges")
-    names = materialize(spark, left.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct(), "names")
+    names = None
     turn = 0
-    while not left.isEmpty():
+    while turn == 0 or not left.isEmpty():
         turn += 1
         # first by id, which settles stars around their smallest node at once
         place = lambda c: F.xxhash64(F.lit(turn), c) if turn > 1 else F.lit(0).cast("long")  # noqa: E731, B023
         first = lambda c: F.struct(place(c).alias("o"), F.col(c).alias("to"))  # noqa: E731, B023
         hooks = materialize(spark, left.groupBy("a").agg(F.min(first("b")).alias("b")).select(
             F.col("a").alias("was"), F.least(first("a"), F.col("b"))["to"].alias("now")), "hooks")
-        names = materialize(spark, names.join(hooks, names["root"] == hooks["was"], "left").select(
-            "node", F.coalesce("now", "root").alias("root")), "names")
+        if names is None:  # the first hooks name every node
+            names = hooks.select(F.col("was").alias("node"), F.col("now").alias("root"))
+        else:
+            names = materialize(spark, names.join(hooks, names["root"] == hooks["was"], "left").select(
+                "node", F.coalesce("now", "root").alias("root")), "names")
         left = left.join(hooks.select(F.col("was").alias("a"), F.col("now").alias("a2")), "a").join(
             hooks.select(F.col("was").alias("b"), F.col("now").alias("b2")), "b")
         left = materialize(spark, left.where("a2 <> b2").select(F.col("a2").alias("a"), F.col("b2").alias("b")).distinct(), "edges")
-    least = materialize(spark, names.groupBy("root").agg(F.min("node").alias("component")), "least")
+    least = names.groupBy("root").agg(F.min("node").alias("component"))
     return names.join(least, "root").select("node", "component")

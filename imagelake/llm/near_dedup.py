@@ -21,8 +21,8 @@ members are all in one component is settled. In the others the members outside t
 bucket's most common component meet the members of other components, a sample of
 16, 256, ... of them at a time until all have, or all are in one component.
 So every candidate pair is compared or already linked, and a bucket of n copies
-takes about n comparisons. Confirming runs in turns, too: each document checks its
-most likely partner first, then its next sixteen, and so on, of other components.
+takes about n comparisons. Confirming runs in two turns: each document checks its
+most likely partner first, then its others of other components.
 
 Defined cases: null, empty and blank texts have no shingle and link with nothing;
 null doc_id counts as the largest id; rows that share a doc_id share its verdict;
@@ -259,27 +259,31 @@ class Linker:
         self.labels = materialize(spark, renamed.select("node", F.coalesce("now", "was").alias("component")), "labels")
 
     def compare(self, pairs: DataFrame) -> None:
-        """Link the pairs (a < b, distinct) that are similar; each is looked at once."""
+        """Link the pairs (a < b, distinct) that are similar; each is looked at once.
+        Each document's most likely partner is checked first, then the others that
+        this has not linked."""
         spark = self.spark
         pairs = materialize(spark, pairs if self.seen is None else pairs.join(self.seen, ["a", "b"], "left_anti"), "pairs")
-        self.seen = pairs if self.seen is None else materialize(spark, self.seen.unionByName(pairs), "seen")
+        self.seen = pairs if self.seen is None else self.seen.unionByName(pairs)
         side = lambda x: self.classes.select(F.col("doc_id").alias(x), F.col("n_shingles").alias("n" + x),
                                              F.col("registers").alias("r" + x))
-        likely = materialize(spark, likeliest(pairs.join(side("a"), "a").join(side("b"), "b"))
-                             .where(F.col("estimate") >= MIN_ESTIMATE), "likely")
-        sets, most = self.sets, 1
         by_estimate = Window.partitionBy("b").orderBy(F.desc("estimate"), "a")
-        while not likely.isEmpty():
-            best = likely.withColumn("nth", F.row_number().over(by_estimate)).where(F.col("nth") <= most)
-            best = materialize(spark, best.select("a", "b"), "best")
-            linked = best.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("sa")), "a").join(
-                sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("sb")), "b")
-            links = materialize(spark, confirmed(linked), "links")
-            if not links.isEmpty():
-                self.link(links)
-            rest = self.labelled(self.labelled(likely.join(best, ["a", "b"], "left_anti"), "a", "la"), "b", "lb")
-            likely = materialize(spark, rest.where("la <> lb").select("a", "b", "estimate"), "likely")
-            most *= 16
+        likely = materialize(spark, likeliest(pairs.join(side("a"), "a").join(side("b"), "b"))
+                             .where(F.col("estimate") >= MIN_ESTIMATE)
+                             .select("a", "b", F.row_number().over(by_estimate).alias("nth")), "likely")
+        if likely.isEmpty():
+            return
+        self.check(likely.where("nth = 1"))
+        others = self.labelled(self.labelled(likely.where("nth > 1"), "a", "la"), "b", "lb")
+        self.check(others.where("la <> lb"))
+
+    def check(self, pairs: DataFrame) -> None:
+        """Link those of the pairs (a, b) whose full sets are similar."""
+        links = materialize(self.spark, confirmed(
+            pairs.join(self.sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("sa")), "a").join(
+                self.sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("sb")), "b")), "links")
+        if not links.isEmpty():
+            self.link(links)
 
 
 def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
