@@ -207,7 +207,8 @@ def likeliest(pairs: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose full sets (sa, sb: sorted hashes) reach the similarity."""
+    """Components (a, b) of the pairs (components la, lb) whose full sets (sa, sb: sorted
+    hashes) reach the similarity."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,9 +217,9 @@ def confirmed(pairs: DataFrame) -> DataFrame:
                 x, y = (np.frombuffer(z.as_py(), np.uint64) for z in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["la", "lb"]).rename_columns(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    return pairs.select("la", "lb", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
 def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -249,10 +250,9 @@ class Linker:
         return df.join(n, col, "left").withColumn(out, F.coalesce(out, col))
 
     def link(self, links: DataFrame) -> None:
-        """Merge the components that the confirmed pairs (a, b) connect."""
+        """Merge the components a and b of each row."""
         spark = self.spark
-        named = self.labelled(self.labelled(links, "a", "la"), "b", "lb")
-        merged = materialize(spark, components(spark, named.select(F.col("la").alias("a"), F.col("lb").alias("b"))), "merged")
+        merged = materialize(spark, components(spark, links), "merged")
         known = self.labels.unionByName(merged.select("node", F.col("node").alias("component"))).groupBy("node").agg(
             F.min("component").alias("was"))
         renamed = known.join(merged.select(F.col("node").alias("was"), F.col("component").alias("now")), "was", "left")
@@ -262,26 +262,25 @@ class Linker:
         """Link the pairs (a < b, distinct) that are similar; each is looked at once.
         Each document's most likely partner is checked first, then the others that
         this has not linked."""
-        spark = self.spark
-        pairs = materialize(spark, pairs if self.seen is None else pairs.join(self.seen, ["a", "b"], "left_anti"), "pairs")
-        self.seen = pairs if self.seen is None else self.seen.unionByName(pairs)
+        if self.seen is not None:
+            pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
         side = lambda x: self.classes.select(F.col("doc_id").alias(x), F.col("n_shingles").alias("n" + x),
                                              F.col("registers").alias("r" + x))
         by_estimate = Window.partitionBy("b").orderBy(F.desc("estimate"), "a")
-        likely = materialize(spark, likeliest(pairs.join(side("a"), "a").join(side("b"), "b"))
-                             .where(F.col("estimate") >= MIN_ESTIMATE)
-                             .select("a", "b", F.row_number().over(by_estimate).alias("nth")), "likely")
-        if likely.isEmpty():
-            return
-        self.check(likely.where("nth = 1"))
-        others = self.labelled(self.labelled(likely.where("nth > 1"), "a", "la"), "b", "lb")
-        self.check(others.where("la <> lb"))
+        judged = materialize(self.spark, likeliest(pairs.join(side("a"), "a").join(side("b"), "b")).select(
+            "a", "b", "estimate", F.row_number().over(by_estimate).alias("nth")), "judged")
+        looked = judged.select("a", "b")
+        self.seen = looked if self.seen is None else self.seen.unionByName(looked)
+        likely = judged.where(F.col("estimate") >= MIN_ESTIMATE)
+        for part in ("nth = 1", "nth > 1"):
+            if not likely.where(part).isEmpty():
+                self.check(likely.where(part))
 
     def check(self, pairs: DataFrame) -> None:
-        """Link those of the pairs (a, b) whose full sets are similar."""
-        links = materialize(self.spark, confirmed(
-            pairs.join(self.sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("sa")), "a").join(
-                self.sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("sb")), "b")), "links")
+        """Link those of the pairs (a, b) of two components whose full sets are similar."""
+        apart = self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").where("la <> lb")
+        sets = lambda x: self.sets.select(F.col("doc_id").alias(x), F.col("hashes").alias("s" + x))
+        links = materialize(self.spark, confirmed(apart.join(sets("a"), "a").join(sets("b"), "b")), "links")
         if not links.isEmpty():
             self.link(links)
 
