@@ -58,12 +58,13 @@ def run_encoder(tokenizer_path: str) -> Callable[[bytes], bytes]:
 
     def parts(run: bytes) -> tuple[str, str]:
         """Letters and closing marks of a run, or ("", "") if it is made otherwise. The
-        tokenizer always parts letters from marks."""
+        tokenizer always parts letters from marks. Other letters than A-Z may become a
+        letter and a combining mark in its normal form, so their runs stay whole."""
         text = run.decode("utf-8", "replace")
         stem = text.rstrip(MARKS)
-        if not stem.isalpha():
+        if not (stem.isascii() and stem.isalpha()):
             return "", ""
-        return stem.lower() if stem.isascii() else stem, text[len(stem):]
+        return stem.lower(), text[len(stem):]
 
     def learn(runs: list[bytes]) -> None:
         split = [(r, *parts(r)) for r in runs]
@@ -71,8 +72,12 @@ def run_encoder(tokenizer_path: str) -> Callable[[bytes], bytes]:
         if stems:
             # stems in one text, each a word of its own to the tokenizer
             e = tok.encode(" ".join(stems), add_special_tokens=False)
-            ids, n = np.asarray(e.ids, "<u4"), np.bincount(np.asarray(e.word_ids), minlength=len(stems))
-            for stem, part in zip(stems, np.split(ids, np.cumsum(n)[:-1])):
+            ids, n = np.asarray(e.ids, "<u4"), np.bincount(np.asarray(e.word_ids))
+            if len(n) == len(stems):
+                parted = np.split(ids, np.cumsum(n)[:-1])
+            else:
+                parted = [np.asarray(x.ids, "<u4") for x in tok.encode_batch(stems, add_special_tokens=False)]
+            for stem, part in zip(stems, parted):
                 letters_cache[stem] = part.tobytes()
         other = [r.decode("utf-8", "replace") for r, stem, _ in split if not stem]
         marks = list(dict.fromkeys(m for _, stem, m in split if stem and m))

@@ -96,6 +96,17 @@ def test_pieces_are_the_tokenizers_ids(spark, docs):
         assert got[i] == np.asarray(tok.encode(t, add_special_tokens=False).ids + [0], "<u4").tobytes()
 
 
+def test_letters_of_several_tokenizer_words_shift_no_ids(spark, docs):
+    from tokenizers import Tokenizer
+    import numpy as np
+    texts = ["hello, \u0130stanbul, world, again", "world again \u0130. a\u0130! \u0915\u0958\u0915 \u09dc\u0995, \ufb2a? hello", "again, world"]
+    tok = Tokenizer.from_file(registered.tokenizer_path())
+    got = {r["doc_id"]: bytes(r["ids"]) for r in pack_documents(
+        spark, docs(texts).coalesce(1), registered.tokenizer_path(), with_ids=True).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == np.asarray(tok.encode(t, add_special_tokens=False).ids + [0], "<u4").tobytes()
+
+
 def test_substring_dedup_brute_force(spark, docs, awkward):
     rng = random.Random(7)
     passages = [prose(rng, n) for n in (49, 50, 51, 120)]
