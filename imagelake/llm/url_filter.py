@@ -1,9 +1,8 @@
 """URL filter: per-host path-template trees judged by smoothed labelled purity.
 
-* Templates. Level by level, a path segment stays literal if it has ``MIN_SHARE`` of
-  the pages below its parent (and ``MIN_PAGES`` pages); the others become ``*``. So
-  a node has at most 1 / MIN_SHARE literal children. Segments beyond ``DEPTH`` are
-  one closing ``**``.
+* Templates. Level by level, a path segment stays literal if it has ``MIN_PAGES``
+  pages below its parent, whatever the size of the host; the others become ``*``.
+  Segments beyond ``DEPTH`` are one closing ``**``.
 * Merging. From the deepest level up, a literal branch merges into ``*`` if its rate
   of bad labels differs from that of its siblings with the same rest by less than
   ``Z`` standard errors.
@@ -33,7 +32,6 @@ from pyspark.sql import functions as F
 from imagelake.llm.common import materialize
 
 DEPTH = 4
-MIN_SHARE = 0.02
 MIN_PAGES = 5
 Z = 2.0
 #: Weight of the host (and of all pages for the host) in labelled pages.
@@ -70,10 +68,7 @@ def templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
         here = rows.withColumn("_s", segment)
         children = here.where("_s IS NOT NULL").groupBy("host", "template", "_s").agg(F.count(F.lit(1)).alias("n"))
         children = materialize(spark, children, "url-children")
-        parents = children.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        literal = children.join(parents, ["host", "template"]).where(
-            (F.col("n") >= MIN_PAGES) & (F.col("n") >= MIN_SHARE * F.col("total"))).select(
-            "host", "template", "_s", F.lit(True).alias("_literal"))
+        literal = children.where(F.col("n") >= MIN_PAGES).select("host", "template", "_s", F.lit(True).alias("_literal"))
         named = here.join(materialize(spark, literal, "url-literals"), ["host", "template", "_s"], "left")
         step = F.when(F.col("_s").isNull(), F.lit("")).when(F.col("_literal"), F.concat(F.lit("/"), "_s")).otherwise(F.lit("/*"))
         rows = named.select(*pages.columns, "_segments", F.concat("template", step).alias("template"))

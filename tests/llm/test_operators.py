@@ -214,6 +214,14 @@ def test_url_filter(spark):
     assert url_filter(spark, empty, labels, rules).count() == 0
 
 
+def test_url_filter_judges_small_sections_of_a_large_host(spark):
+    urls = [f"http://big.example.org/s{i % 100}/{i}" for i in range(2000)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i % 100 == 7)) for i in range(2000)], "page_id long, bad int")
+    got = {r["page_id"]: r["verdict"] for r in url_filter(spark, pages, labels, []).collect()}
+    assert got == {i: "block" if i % 100 == 7 else "allow" for i in range(2000)}
+
+
 def test_pipeline_stages(spark, awkward, tmp_path):
     import corpus_pipeline
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "mixing", "packing"]
