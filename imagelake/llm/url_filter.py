@@ -2,7 +2,9 @@
 
 * Templates. Level by level, a path segment stays literal if it has ``MIN_PAGES``
   pages below its parent, whatever the size of the host; the others become ``*``.
-  Segments beyond ``DEPTH`` are one closing ``**``.
+  The levels go on to the end of the longest path; only beyond ``DEPTH`` a node of
+  fewer than ``MIN_PAGES`` pages, which nothing below can split, ends in one
+  closing ``**``.
 * Merging. From the deepest level up, a literal branch merges into ``*`` if its rate
   of bad labels differs from that of its siblings with the same rest by less than
   ``Z`` standard errors.
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 
 from imagelake.llm.common import materialize
 
+#: Levels that are taken apart however few pages a node has.
 DEPTH = 4
 MIN_PAGES = 5
 Z = 2.0
@@ -63,7 +66,19 @@ def templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
     rows = pages.withColumn("_segments", segments).withColumn("template", F.lit(""))
     rows = materialize(spark, rows, "url-rows")
     deepest = rows.agg(F.max(F.size("_segments"))).first()[0] or 0
-    for level in range(min(DEPTH, deepest)):
+    settled = []
+    for level in range(deepest):
+        if level >= DEPTH:
+            nodes = rows.where(F.size("_segments") > level).groupBy("host", "template").agg(F.count(F.lit(1)).alias("n"))
+            nodes = materialize(spark, nodes.where(F.col("n") >= MIN_PAGES), "url-nodes").select(
+                "host", "template", F.lit(True).alias("_splits"))
+            splits = F.coalesce("_splits", F.lit(False)) & (F.size("_segments") > level)
+            parted = materialize(spark, rows.join(nodes, ["host", "template"], "left").withColumn("_splits", splits), "url-parted")
+            tail = F.when(F.size("_segments") > level, F.lit("/**")).otherwise(F.lit(""))
+            settled.append(parted.where("NOT _splits").withColumn("template", F.concat("template", tail)).select(rows.columns))
+            rows = parted.where("_splits").select(rows.columns)
+            if rows.isEmpty():
+                break
         segment = F.get("_segments", F.lit(level))
         here = rows.withColumn("_s", segment)
         children = here.where("_s IS NOT NULL").groupBy("host", "template", "_s").agg(F.count(F.lit(1)).alias("n"))
@@ -73,14 +88,16 @@ def templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
         step = F.when(F.col("_s").isNull(), F.lit("")).when(F.col("_literal"), F.concat(F.lit("/"), "_s")).otherwise(F.lit("/*"))
         rows = named.select(*pages.columns, "_segments", F.concat("template", step).alias("template"))
         rows = materialize(spark, rows, "url-rows")
-    tail = F.when(F.size("_segments") > DEPTH, F.lit("/**")).otherwise(F.lit(""))
-    return rows.select(*pages.columns, F.concat("template", tail).alias("template"))
+    for part in settled:
+        rows = rows.unionByName(part)
+    return rows.select(*pages.columns, "template")
 
 
 def merged(spark: SparkSession, stats: DataFrame) -> DataFrame:
     """Add ``merged`` to (host, template, labelled, bad)."""
     cur = stats.withColumn("merged", F.col("template"))
-    for level in range(DEPTH, 0, -1):
+    deepest = stats.agg(F.max(F.size(F.split("template", "/")) - 1)).first()[0] or 0
+    for level in range(deepest, 0, -1):
         # position ``level`` of the split template is the segment of that level
         parts = F.split("merged", "/")
         mine = F.get(parts, F.lit(level))

@@ -222,6 +222,17 @@ def test_url_filter_judges_small_sections_of_a_large_host(spark):
     assert got == {i: "block" if i % 100 == 7 else "allow" for i in range(2000)}
 
 
+def test_url_filter_judges_deep_paths(spark):
+    urls = [f"http://deep.example.org/a/b/c/d/e/f/{'spam' if i % 2 else 'news'}/{i}" for i in range(120)]
+    urls += ["http://deep.example.org/a/b/c/d/x/y/z", "http://deep.example.org/a/b/c/d"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "page_id long, bad int")
+    got = {r["page_id"]: r for r in url_filter(spark, pages, labels, []).collect()}
+    assert [got[i]["verdict"] for i in range(120)] == ["allow", "block"] * 60
+    assert len(got) == 122 and "/spam/" in got[1]["template"]
+    assert got[120]["template"].endswith("/**") and got[121]["template"].count("/") == 4
+
+
 def test_pipeline_stages(spark, awkward, tmp_path):
     import corpus_pipeline
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "mixing", "packing"]
