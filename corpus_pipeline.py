@@ -11,21 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imagelake.llm import line_dedup, mixing, near_dedup, packing, registered, toxicity
-from imagelake.llm.common import materialize, table
+from imagelake.llm.common import materialize, table, text_key
 from imagelake.session import tune
 
 #: The stages train a model, hash 64-bit shingles and tokenise: no SQL twin.
 ORACLE_SQL = None
 
 
+def without(spark: SparkSession, docs: DataFrame, out: DataFrame, label: str) -> DataFrame:
+    """``docs`` without the rows (doc_id, row: key of the text) of ``out``."""
+    out = materialize(spark, out.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct(), label)
+    same = docs["doc_id"].eqNullSafe(out["_doc"]) & (text_key(docs["text"]) == out["_row"])
+    return docs.join(out, same, "left_anti").select(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the toxicity model rejects (rows of a null doc_id stay
-    unless one of them is rejected)."""
+    """Without the documents that the toxicity model rejects, row by row."""
     tune(spark)
-    bad = toxicity.toxicity(docs, table(spark, sf_dir, "labels")).where("rejected").select(
-        F.col("doc_id").alias("_doc")).distinct()
-    bad = materialize(spark, bad, "toxic")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_doc"]), "left_anti").select(*docs.columns)
+    rows = docs.select("doc_id", "text", text_key(docs["text"]).alias("row"))
+    bad = toxicity.toxicity(rows, table(spark, sf_dir, "labels"), keys=("doc_id", "row")).where("rejected")
+    return without(spark, docs, bad, "toxic")
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +42,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (the smallest doc_id)."""
     tune(spark)
-    out = near_dedup.near_dedup(spark, docs).where(~F.col("kept")).select(F.col("doc_id").alias("_doc")).distinct()
-    out = materialize(spark, out, "near-duplicates")
-    return docs.join(out, docs["doc_id"].eqNullSafe(out["_doc"]), "left_anti").select(*docs.columns)
+    return without(spark, docs, near_dedup.verdicts(spark, docs).where(~F.col("kept")), "near-duplicates")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,12 @@ def words(text: Column) -> Column:
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPACE_RUN))
 
 
+def text_key(text: Column) -> Column:
+    """64-bit hash of a text. With doc_id it tells rows of one id, or of none, apart; rows
+    equal in both are equal to the operators."""
+    return F.xxhash64(text, F.length(text))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"

@@ -13,8 +13,8 @@ over the whole line per range of the sort (``running_totals``). Only what has on
 row per source, per bucket or per range is summed in a plain window.
 
 Defined cases: null text has size 0; null source is the last source; rows that
-share doc_id and source are one document of their summed size; a null doc_id is an
-id like any other; documents of size 0 are taken 0 times; an empty table gives an
+share doc_id, source and text are one document of their summed size; rows of a null
+doc_id are told apart by their texts; documents of size 0 are taken 0 times; an empty table gives an
 empty result; other columns, whatever their names, are not read. Reruns agree.
 """
 
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from imagelake.llm.common import materialize, running_totals, words
+from imagelake.llm.common import materialize, running_totals, text_key, words
 
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -37,23 +37,28 @@ def _key(source: Column) -> Column:
 
 
 def shuffled(spark: SparkSession, docs: DataFrame, seed: str) -> DataFrame:
-    """doc_id, source, skey, size, place (shuffled order) and words of the source before each."""
-    units = docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size")) \
-        .groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
+    """doc_id, source, row (key of the text), skey, size, place (shuffled order) and words of the source before each."""
+    units = docs.select("doc_id", "source", text_key(F.col("text")).alias("row"), F.size(words(F.col("text"))).cast("long").alias("size")) \
+        .groupBy("doc_id", "source", "row").agg(F.sum("size").alias("size"))
     place = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    units = materialize(spark, units.select("*", _key(F.col("source")).alias("skey"), place.alias("place")), "mix-units")
+    units = materialize(spark, units.select("*", _key(F.col("source")).alias("skey"), place.alias("place"),
+                                             F.lpad(F.hex("row"), 16, "0").alias("tie")), "mix-units")
     digits = 1
     n = units.count()
     while 16 ** digits * BUCKET_ROWS < n:
         digits += 1
-    units = units.withColumn("_bucket", F.substring("place", 1, digits))
+    # rows without id share one place; their buckets, after those before it, go on by text
+    no_id = F.md5(F.lit(seed + ":"))
+    units = units.withColumn("_bucket", F.concat(F.substring("place", 1, digits), F.when(
+        F.col("doc_id").isNull(), F.concat(F.lit("m"), F.substring("tie", 1, digits))).when(
+        F.col("place") > no_id, F.lit("z")).otherwise(F.lit(""))))
     by_source = Window.partitionBy("skey").orderBy("_bucket")  # one row per bucket of a source
     starts = units.groupBy("skey", "_bucket").agg(F.sum("size").alias("_n")).select(
         "skey", "_bucket", (F.sum("_n").over(by_source) - F.col("_n")).alias("_start"))
-    own = F.sum("size").over(Window.partitionBy("skey", "_bucket").orderBy("place", "doc_id")
+    own = F.sum("size").over(Window.partitionBy("skey", "_bucket").orderBy("place", "doc_id", "tie")
                              .rowsBetween(Window.unboundedPreceding, 0))
     return materialize(spark, units.select("*", own.alias("_own")).join(starts, ["skey", "_bucket"]).select(
-        "doc_id", "source", "skey", "size", "place", (F.col("_start") + F.col("_own")).alias("source_words")), "mix-line")
+        "doc_id", "source", "row", "skey", "size", "place", (F.col("_start") + F.col("_own")).alias("source_words")), "mix-line")
 
 
 def targets(spark: SparkSession, line: DataFrame) -> DataFrame:
@@ -82,12 +87,12 @@ def targets(spark: SparkSession, line: DataFrame) -> DataFrame:
 
 
 def mixed_line(spark: SparkSession, docs: DataFrame, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
-    """The mix as its copies in order (doc_id, source, epoch, size, finish, end: words
+    """The mix as its copies in order (doc_id, source, row, epoch, size, finish, end: words
     of the mix up to its end), and the documents with their source's size and target."""
     line = shuffled(spark, docs, seed)
     if line.isEmpty():
         empty = line.withColumns({"source_size": F.lit(0).cast("long"), "target": F.lit(0.0)})
-        return line.select("doc_id", "source", F.lit(0).alias("epoch"), "size", F.lit(0.0).alias("finish"),
+        return line.select("doc_id", "source", "row", F.lit(0).alias("epoch"), "size", F.lit(0.0).alias("finish"),
                            F.lit(0).cast("long").alias("end")), empty
     by_source = materialize(spark, targets(spark, line), "mix-targets")
     budget, slack = by_source.agg(F.sum("source_size"), 2 * F.sum("longest")).first()
@@ -98,27 +103,28 @@ def mixed_line(spark: SparkSession, docs: DataFrame, seed: str = "mix") -> tuple
     copies = (units.where(F.col("size") > 0)
               .withColumn("epoch", F.explode(F.array(*map(F.lit, range(MAX_EPOCHS)))))
               .where(before < F.col("target") + F.lit(slack))
-              .select("doc_id", "source", "skey", "place", "epoch", "size",
+              .select("doc_id", "source", "row", "skey", "place", "epoch", "size",
                       ((before + F.col("size")) / F.col("weight")).alias("finish")))
-    queue = running_totals(spark, copies, ["finish", "skey", "place", "doc_id", "epoch"], {"end": "size"}, "mix-queue")
-    return queue.where(F.col("end") <= F.lit(budget)).select("doc_id", "source", "epoch", "size", "finish", "end"), units
+    queue = running_totals(spark, copies, ["finish", "skey", "place", "doc_id", "row", "epoch"], {"end": "size"}, "mix-queue")
+    return queue.where(F.col("end") <= F.lit(budget)).select("doc_id", "source", "row", "epoch", "size", "finish", "end"), units
 
 
 def mix_counts(spark: SparkSession, docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """doc_id, source, size, source_size, target, copies (times taken), taken (words)."""
+    """doc_id, source, size, source_size, target, copies (times taken), taken (words), row."""
     mix, units = mixed_line(spark, docs, seed)
-    copies = mix.groupBy("doc_id", _key(F.col("source")).alias("skey")).agg(F.count(F.lit(1)).alias("copies"))
-    copies = copies.withColumnsRenamed({"doc_id": "_doc", "skey": "_skey"})
+    copies = mix.groupBy("doc_id", _key(F.col("source")).alias("skey"), "row").agg(F.count(F.lit(1)).alias("copies"))
+    copies = copies.withColumnsRenamed({"doc_id": "_doc", "skey": "_skey", "row": "_row"})
     n = F.coalesce("copies", F.lit(0).cast("long"))
-    return units.join(copies, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("skey") == F.col("_skey")), "left").select(
-        "doc_id", "source", "size", "source_size", "target", n.alias("copies"), (F.col("size") * n).alias("taken"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("skey") == F.col("_skey")) & (F.col("row") == F.col("_row"))
+    return units.join(copies, same, "left").select(
+        "doc_id", "source", "size", "source_size", "target", n.alias("copies"), (F.col("size") * n).alias("taken"), "row")
 
 
 def mix_documents(spark: SparkSession, docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it."""
     take = mix_counts(spark, docs, seed).where("copies > 0").select(
-        F.col("doc_id").alias("_doc"), _key(F.col("source")).alias("_skey"), F.col("copies").alias("_copies"))
+        F.col("doc_id").alias("_doc"), _key(F.col("source")).alias("_skey"), F.col("row").alias("_row"), F.col("copies").alias("_copies"))
     rows = docs.join(materialize(spark, take, "mix-take"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (
-        _key(F.col("source")) == F.col("_skey")))
+        _key(F.col("source")) == F.col("_skey")) & (text_key(docs["text"]) == F.col("_row")))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(
         *[docs[c] for c in docs.columns])

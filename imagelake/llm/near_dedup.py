@@ -2,7 +2,8 @@
 
 A document is the set of its distinct shingles of ``shingle`` words (A-Z lower-cased;
 fewer words are one shingle; no words, the empty set). Documents of equal sets form
-a class, known by its smallest doc_id; only classes are compared.
+a class, numbered in the order of its smallest row (doc_id, then key of the text);
+only classes are compared.
 
 * SetSketch. Register j of a set is K = floor(1 - log_b(x / SPREAD)), truncated to 16
   bits, with x the least of one exponential variate per shingle. Registers of a
@@ -25,7 +26,8 @@ takes about n comparisons. Confirming runs in two turns: each document checks it
 most likely partner first, then its others of other components.
 
 Defined cases: null, empty and blank texts have no shingle and link with nothing;
-null doc_id counts as the largest id; rows that share a doc_id share its verdict;
+null doc_id counts as the largest id; rows that share a doc_id, or
+have none, are told apart by their texts, and rows equal in both share a verdict;
 an empty table gives an empty result; other columns, whatever their names, are
 not read.
 """
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from imagelake.llm.common import materialize, release_shuffles, split_join
+from imagelake.llm.common import materialize, release_shuffles, split_join, text_key, width
 from imagelake.llm.components import components
 from imagelake.llm.substring_dedup import NULL_ID, rolling
 
@@ -54,7 +56,7 @@ SPREAD = 64.0
 MIN_ESTIMATE = 0.64
 #: Shingles sketched at once: they stay in a core's cache.
 BLOCK = 60_000
-SKETCH = "doc_id long, n_shingles long, digest binary, registers binary"
+SKETCH = "doc_id long, row long, n_shingles long, digest binary, registers binary"
 _RNG = np.random.default_rng(20240229)
 _MULTIPLY = _RNG.integers(0, 2 ** 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 2 ** 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
@@ -142,7 +144,7 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, registers (null for the empty set)."""
+    """doc_id, row, n_shingles, digest of the set, registers (null for the empty set)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -153,11 +155,11 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 rows = iter(registers(full) if full else ())
                 regs = [next(rows).tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    part.column("doc_id"), part.column("row"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "digest", "registers"])
+                    pa.array(regs, pa.binary())], ["doc_id", "row", "n_shingles", "digest", "registers"])
 
-    return docs.select("doc_id", "text").mapInArrow(sketch, SKETCH)
+    return docs.select("doc_id", "row", "text").mapInArrow(sketch, SKETCH)
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -236,11 +238,11 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
 class Linker:
     """Compares candidate pairs and keeps the components of what is confirmed."""
 
-    def __init__(self, spark: SparkSession, docs: DataFrame, classes: DataFrame, members: DataFrame, shingle: int):
+    def __init__(self, spark: SparkSession, texts: DataFrame, classes: DataFrame, members: DataFrame, shingle: int):
         self.spark, self.classes = spark, classes
         # full sets of the classes that share a bucket with another, one text each
         wanted = members.select("doc_id").distinct()
-        texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        texts = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         self.sets = materialize(spark, full_sets(texts, shingle), "full-sets")
         self.labels = spark.createDataFrame([], "node long, component long")
         self.seen: DataFrame | None = None
@@ -285,13 +287,14 @@ class Linker:
             self.link(links)
 
 
-def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
-    """(node, component) of the classes that are linked with another."""
+def link_classes(spark: SparkSession, texts: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """(node, component) of the classes that are linked with another. ``texts`` and
+    ``classes`` have the number of a class as doc_id."""
     rows = bands(classes)
     groups = rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
     groups = materialize(spark, groups, "buckets")
     members = materialize(spark, rows.join(groups, "key"), "members")
-    linker = Linker(spark, docs, classes, members, shingle)
+    linker = Linker(spark, texts, classes, members, shingle)
     fits = lambda x, y: 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
     sizes = classes.select(F.col("doc_id").alias("least"), F.col("n_shingles").alias("n_least"))
     stars = members.where("doc_id <> least").select("least", "doc_id", "n").distinct().join(sizes, "least")
@@ -317,24 +320,40 @@ def link_classes(spark: SparkSession, docs: DataFrame, classes: DataFrame, shing
         turn += 1
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable), kept per row."""
+def verdicts(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, row (key of the text), n_shingles, component_id (smallest doc_id reachable),
+    kept per row."""
     release_shuffles(spark)
-    docs = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.col("text"))
+    docs = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), text_key(F.col("text")).alias("row"), "text")
     drawn = materialize(spark, sketches(docs, shingle), "sketches")
     full = drawn.where("digest IS NOT NULL")
     groups = materialize(spark, full.groupBy("digest").agg(
-        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("size")), "classes")
-    ids = groups.select(F.col("class_id").alias("doc_id"))
-    classes = materialize(spark, full.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(
-        "doc_id", "n_shingles", "registers"), "class-sketches")
-    labels = link_classes(spark, docs, classes, shingle)
-    whole = groups.join(labels.select(F.col("node").alias("class_id"), "component"), "class_id", "left").select(
-        "digest", "size", F.coalesce("component", "class_id").alias("component_id"))
+        F.min(F.struct("doc_id", "row")).alias("least"), F.count(F.lit(1)).alias("size")).select(
+        "digest", "size", "least.doc_id", "least.row"), "class-rows")
+    # numbers in the order of the rows, written, so that they stay
+    groups = materialize(spark, groups.repartitionByRange(width(spark), "doc_id", "row").sortWithinPartitions(
+        "doc_id", "row").withColumn("class_id", F.monotonically_increasing_id()), "classes")
+    number = F.col("class_id").alias("doc_id")
+    classes = materialize(spark, full.join(groups.drop("size"), ["digest", "doc_id", "row"]).dropDuplicates(
+        ["class_id"]).select(number, "n_shingles", "registers"), "class-sketches")
+    texts = docs.join(groups.select("doc_id", "row", "class_id"), ["doc_id", "row"]).select(number, "text")
+    labels = link_classes(spark, texts, classes, shingle)
+    first = labels.groupBy("component").agg(F.count(F.lit(1)).alias("nodes")).join(groups.select(
+        F.col("class_id").alias("component"), F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row")), "component")
+    first = materialize(spark, first, "component-rows")
+    linked = split_join(labels.select(F.col("node").alias("class_id"), "component"), first, "component", "nodes", labels.count())
+    whole = groups.join(linked.select("class_id", "keep_id", "keep_row"), "class_id", "left").select(
+        "digest", "size", F.coalesce("keep_id", "doc_id").alias("component_id"), F.coalesce("keep_row", "row").alias("keep_row"))
     whole = materialize(spark, whole, "class-components")
-    linked = split_join(full.select("doc_id", "n_shingles", "digest"), whole, "digest", "size", full.count())
-    alone = drawn.where("digest IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    out = linked.select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    mine = ["doc_id", "row", "n_shingles"]
+    out = split_join(full.select(*mine, "digest"), whole, "digest", "size", full.count()).select(
+        *mine, "component_id", "keep_row").unionByName(drawn.where("digest IS NULL").select(
+            *mine, F.col("doc_id").alias("component_id"), F.col("row").alias("keep_row")))
     back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
-    return out.select(back("doc_id"), "n_shingles", back("component_id"),
-                      (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.select(back("doc_id"), "row", "n_shingles", back("component_id"), (
+        (F.col("doc_id") == F.col("component_id")) & (F.col("row") == F.col("keep_row"))).alias("kept"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable), kept per row."""
+    return verdicts(spark, docs, shingle).drop("row")

@@ -95,13 +95,14 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> t
     return fit(examples, grades, w)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """doc_id, severity (expected grade, 0 to 2), rejected per row of ``docs``."""
+def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
+             keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keys`` (long columns of ``docs``), severity (expected grade, 0 to 2), rejected per row of ``docs``."""
     model = train(docs, labels, train_rows)
     if model is None:
-        return docs.select("doc_id", F.lit(0.0).alias("severity"), F.lit(False).alias("rejected"))
+        return docs.select(*keys, F.lit(0.0).alias("severity"), F.lit(False).alias("rejected"))
     weights, cuts = model
-    scored = mean_word_score(docs, weights, SIZES, tokens)
+    scored = mean_word_score(docs, weights, SIZES, tokens, keys)
     chances = [1 / (1 + F.exp(F.lit(float(c)) - F.col("mean") * SCALE)) for c in cuts]
-    return scored.select("doc_id", sum(chances[1:], chances[0]).alias("severity")).select(
-        "doc_id", "severity", (F.col("severity") >= REJECT).alias("rejected"))
+    return scored.select(*keys, sum(chances[1:], chances[0]).alias("severity")).select(
+        *keys, "severity", (F.col("severity") >= REJECT).alias("rejected"))

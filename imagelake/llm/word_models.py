@@ -81,8 +81,8 @@ def word_cache(model: str) -> dict[bytes, float]:
 
 
 def mean_word_score(docs: DataFrame, weights: np.ndarray, sizes: tuple[int, ...],
-                    split: Callable[[bytes], list[bytes]]) -> DataFrame:
-    """doc_id, n_words and ``mean``: the average over the words of a whole text of the
+                    split: Callable[[bytes], list[bytes]], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keys`` (long columns of ``docs``), n_words and ``mean``: the average over the words of a whole text of the
     average weight of their features (0 for texts without words)."""
     model = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # BUCKETS numbers
@@ -104,7 +104,8 @@ def mean_word_score(docs: DataFrame, weights: np.ndarray, sizes: tuple[int, ...]
                     total += s
                 out[0].append(len(words))
                 out[1].append(total / len(words) if words else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64())],
-                                             ["doc_id", "n_words", "mean"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keys), pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64())],
+                                             [*keys, "n_words", "mean"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, n_words long, mean double")
+    schema = "".join(f"{k} long, " for k in keys) + "n_words long, mean double"
+    return docs.select(*keys, "text").mapInArrow(score, schema)

@@ -162,6 +162,27 @@ def test_near_dedup_brute_force(spark, docs, awkward):
     assert near_dedup(spark, docs([])).count() == 0
 
 
+def test_rows_without_id_are_judged_one_by_one(spark, docs, tmp_path):
+    import corpus_pipeline
+    rng = random.Random(13)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    texts, ids = [a, a, b, c, b + " end", c, "x y"], [1, None, None, None, None, 9, 9]
+    got = sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0, r["kept"]) for r in near_dedup(
+        spark, docs(texts, ids=ids), shingle=2).collect())
+    assert sum(r[3] for r in got) == 4 and [r[2] for r in got if r[0] == 0].count(1) == 1
+    left = corpus_pipeline.drop_near_duplicates(spark, docs(texts, ids=ids), str(tmp_path))
+    rows = sorted((r["doc_id"] or 0, r["text"]) for r in left.collect())
+    assert len(rows) == 4 and {(1, a), (9, c), (9, "x y")} < set(rows) and rows[0][1] in (b, b + " end")
+    units = mix_counts(spark, docs([a, b, a, None], ids=[None, None, 3, None])).collect()
+    assert sorted(r["size"] for r in units) == [0, 60, 60, 60]
+    # an id-less toxic row takes no other id-less row with it
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    texts = [prose(rng, 40) + (" vile scoundrel" * 8 if i % 2 else "") for i in range(42)]
+    left = corpus_pipeline.drop_toxic(spark, docs(texts, ids=[*range(40), None, None]), str(tmp_path))
+    assert [r["text"] for r in left.where("doc_id IS NULL").collect()] == [texts[40]]
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 200)]
     got = {r["node"]: r["component"] for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
