@@ -138,6 +138,17 @@ def test_line_dedup(spark, docs, awkward):
     assert line_dedup(spark, docs([])).count() == 0
 
 
+def test_line_dedup_of_short_lines_and_boilerplate_pages(spark, docs):
+    lines = ["Read more", "all rights reserved by us", "home about contact help", "Share this"]
+    texts = ["\n".join(lines)] + ["\n".join([*rng.sample(lines, 4), ""] * (1 + i)) for i, rng in enumerate(map(random.Random, range(12)))]
+    texts += ["Read more\nown words of number one", "Read more\nShare this", "Read more\nShare this"]
+    got = by_id(line_dedup(spark, docs(texts, [f"s{i}" for i in range(16)])), "n_removed", "text")
+    assert got[0] == (0, texts[0])
+    assert all(got[i][0] == 4 * i and not got[i][1].strip() for i in range(1, 13))
+    assert got[13] == (1, "own words of number one")
+    assert got[14] == got[15] == (0, "Read more\nShare this")
+
+
 def test_near_dedup_brute_force(spark, docs, awkward):
     rng = random.Random(11)
     base = [prose(rng, 120) for _ in range(6)]
