@@ -20,8 +20,9 @@ third of all documents reaches its bucket once per task batch, not once per
 document. Buckets are numbered after the size of the corpus; a task holds one.
 
 Defined cases: null and empty texts have no words; null doc_id counts as the largest
-id; rows that share a doc_id never remove each other's words; an empty table gives
-an empty result; other columns, whatever their names, are not read.
+id; rows that share a doc_id, or have none, never remove each other's words, and each
+keeps its own runs (rows are known by a 64-bit hash of doc_id and text); an empty
+table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ BATCH_WORDS = 1_000_000
 BUCKET_WORDS = 1_000_000
 CACHE_WORDS = 400_000
 NULL_ID = 2 ** 63 - 1
-ROUTED = "bucket int, payload binary, doc_id long, starts array<int>, ends array<int>"
-RUNS = "doc_id long, starts array<int>, ends array<int>"
+ROUTED = "bucket int, payload binary, row long, starts array<int>, ends array<int>"
+RUNS = "row long, starts array<int>, ends array<int>"
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -83,8 +84,8 @@ def rolling(hashes: np.ndarray, length: int, odd: int) -> np.ndarray:
 class Chunk:
     """Documents of one batch laid end to end."""
 
-    def __init__(self, ids: list[int], docs: list[list[bytes]], cache: WordHashes):
-        self.ids = np.asarray(ids, np.int64)
+    def __init__(self, ids: list[int], rows: list[int], docs: list[list[bytes]], cache: WordHashes):
+        self.ids, self.rows = np.asarray(ids, np.int64), np.asarray(rows, np.int64)
         self.sizes = np.fromiter(map(len, docs), np.int64, len(docs))
         self.ends = np.cumsum(self.sizes)
         self.begins = self.ends - self.sizes
@@ -102,25 +103,27 @@ def chunks(batches: Iterator[pa.RecordBatch], extra: list[str]) -> Iterator[tupl
     """Batches of about BATCH_WORDS words, with the further columns of their rows."""
     cache = WordHashes()
     ids: list[int] = []
+    rows: list[int] = []
     docs: list[list[bytes]] = []
     more: list[list] = [[] for _ in extra]
     n = 0
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
-        doc_ids = batch.column("doc_id").to_pylist()
+        doc_ids, keys = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
         cols = [batch.column(c) for c in extra]
         for i, doc_id in enumerate(doc_ids):
             words = (texts[i].as_py() or b"").split()
             ids.append(doc_id)
+            rows.append(keys[i])
             docs.append(words)
             for m, c in zip(more, cols):
                 m.append(c[i].values.to_numpy() if c[i].is_valid else None)
             n += len(words)
             if n >= BATCH_WORDS:
-                yield Chunk(ids, docs, cache), more
-                ids, docs, more, n = [], [], [[] for _ in extra], 0
+                yield Chunk(ids, rows, docs, cache), more
+                ids, rows, docs, more, n = [], [], [], [[] for _ in extra], 0
     if ids:
-        yield Chunk(ids, docs, cache), more
+        yield Chunk(ids, rows, docs, cache), more
 
 
 def same_groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,12 +144,12 @@ def per_group(ufunc: np.ufunc, values: np.ndarray, group: np.ndarray) -> np.ndar
     return ufunc.reduceat(values, starts)[group]
 
 
-def run_rows(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str, pa.Array]:
-    """One row per id with its runs; ``ids`` must be sorted."""
-    at = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.empty(0, int)
-    offsets = pa.array(np.r_[at, len(ids)].astype(np.int32))
+def run_rows(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str, pa.Array]:
+    """One row per entry of ``rows``, which must be sorted, with its runs."""
+    at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, int)
+    offsets = pa.array(np.r_[at, len(rows)].astype(np.int32))
     lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (starts, ends)]
-    return {"doc_id": pa.array(ids[at], pa.int64()), "starts": lists[0], "ends": lists[1]}
+    return {"row": pa.array(rows[at], pa.int64()), "starts": lists[0], "ends": lists[1]}
 
 
 def merged_runs(ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,38 +162,38 @@ def merged_runs(ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nda
     return ids[at], places[at], places[last.astype(int)] + 1 if len(at) else places[at]
 
 
-def routed(bucket: np.ndarray, buckets: int, ids: np.ndarray, places: np.ndarray, keys: list[np.ndarray],
+def routed(bucket: np.ndarray, buckets: int, ids: np.ndarray, rows: np.ndarray, places: np.ndarray, keys: list[np.ndarray],
            settled: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
     """Rows to send: a packed array per bucket, and what is settled here already."""
     order = np.argsort(bucket.astype(np.uint16), kind="stable")
-    bucket, ids, places, keys = bucket[order], ids[order], places[order], [k[order] for k in keys]
+    bucket, ids, rows, places, keys = bucket[order], ids[order], rows[order], places[order], [k[order] for k in keys]
     cuts = np.searchsorted(bucket, np.arange(buckets + 1))
     payloads, sent = [], []
     for b in range(buckets):
         lo, hi = cuts[b], cuts[b + 1]
         if lo == hi:
             continue
-        d, p = ids[lo:hi], places[lo:hi].astype(np.uint32)
-        at = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-        parts = [np.asarray([hi - lo, len(at)], np.int32), d[at], np.diff(np.r_[at, hi - lo]).astype(np.uint32),
+        d, r, p = ids[lo:hi], rows[lo:hi], places[lo:hi].astype(np.uint32)
+        at = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+        parts = [np.asarray([hi - lo, len(at)], np.int32), d[at], r[at], np.diff(np.r_[at, hi - lo]).astype(np.uint32),
                  (p & np.uint32(0xFFFF)).astype(np.uint16), (p >> np.uint32(16)).astype(np.uint16)]
         parts += [k[lo:hi] for k in keys]
         payloads.append(b"".join(x.tobytes() for x in parts))
         sent.append(b)
     runs = run_rows(*merged_runs(*settled))
-    n, m = len(sent), len(runs["doc_id"])
-    spread = runs["doc_id"].to_numpy().astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(33)
+    n, m = len(sent), len(runs["row"])
+    spread = runs["row"].to_numpy().astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(33)
     return pa.RecordBatch.from_arrays([
         pa.array(np.r_[np.asarray(sent, np.int32), (spread % np.uint64(buckets)).astype(np.int32)], pa.int32()),
         pa.concat_arrays([pa.array(payloads, pa.binary()), pa.nulls(m, pa.binary())]),
-        pa.concat_arrays([pa.nulls(n, pa.int64()), runs["doc_id"]]),
+        pa.concat_arrays([pa.nulls(n, pa.int64()), runs["row"]]),
         pa.concat_arrays([pa.nulls(n, runs["starts"].type), runs["starts"]]),
         pa.concat_arrays([pa.nulls(n, runs["ends"].type), runs["ends"]])],
-        ["bucket", "payload", "doc_id", "starts", "ends"])
+        ["bucket", "payload", "row", "starts", "ends"])
 
 
 def unpacked(payload: bytes, types: list[str]) -> tuple[np.ndarray, ...]:
-    """ids, places and keys of a packed array."""
+    """ids, rows, places and keys of a packed array."""
     n, docs = np.frombuffer(payload, np.int32, 2)
     at = 8
 
@@ -200,10 +203,10 @@ def unpacked(payload: bytes, types: list[str]) -> tuple[np.ndarray, ...]:
         at += x.nbytes
         return x
 
-    ids, times = take("i8", docs), take("u4", docs)
+    ids, rows, times = take("i8", docs), take("i8", docs), take("u4", docs)
     low, high = take("u2", n), take("u2", n)
     places = low.astype(np.int64) | (high.astype(np.int64) << 16)
-    return np.repeat(ids, times), places, *[take(t, n) for t in types]
+    return np.repeat(ids, times), np.repeat(rows, times), places, *[take(t, n) for t in types]
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -219,13 +222,14 @@ def meet(routed_rows: DataFrame, types: list[str], decide: Callable[..., np.ndar
         def done() -> Iterator[pa.RecordBatch]:
             if held:
                 cols = [np.concatenate(x) for x in zip(*held)]
-                take = decide(*cols)
-                yield pa.RecordBatch.from_pydict(run_rows(*merged_runs(cols[0][take], cols[1][take])))
+                ids, rows, places, *keys = cols
+                take = decide(ids, *keys)
+                yield pa.RecordBatch.from_pydict(run_rows(*merged_runs(rows[take], places[take])))
 
         for batch in batches:
             passed = batch.filter(pa.compute.is_null(batch.column("payload")))
             if passed.num_rows:
-                yield passed.select(["doc_id", "starts", "ends"])
+                yield passed.select(["row", "starts", "ends"])
             for b, payload in zip(batch.column("bucket").to_pylist(), batch.column("payload")):
                 if payload.is_valid:
                     if b != now:
@@ -236,19 +240,19 @@ def meet(routed_rows: DataFrame, types: list[str], decide: Callable[..., np.ndar
 
     import pyarrow.compute  # noqa: F401
     rows = routed_rows.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, RUNS)
-    # an id's runs are no more than its words
-    return rows.groupBy("doc_id").agg(F.flatten(F.collect_list("starts")).alias("starts"),
+    # a row's runs are no more than its words
+    return rows.groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"),
                                       F.flatten(F.collect_list("ends")).alias("ends"))
 
 
 def anchor_hits(docs: DataFrame, buckets: int, parts: int, block: int) -> DataFrame:
-    """Step 1 and 2: per doc_id the starts of blocks that are hits, as runs."""
+    """Step 1 and 2: per row the starts of blocks that are hits, as runs."""
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, _ in chunks(batches, []):
             row, at = chunk.windows(block)
             h = rolling(chunk.h1, block, _ODD[0])[at]
-            ids, places = chunk.ids[row], at - chunk.begins[row]
+            ids, rows, places = chunk.ids[row], chunk.rows[row], at - chunk.begins[row]
             order, group = same_groups(h)
             least, most = (per_group(f, ids[order], group) for f in (np.minimum, np.maximum))
             indexed = per_group(np.bitwise_or, (places[order] % block == 0).astype(np.uint8), group)
@@ -257,11 +261,11 @@ def anchor_hits(docs: DataFrame, buckets: int, parts: int, block: int) -> DataFr
             shared[order], smallest[order] = least != most, ids[order] == least
             key = (h & np.uint64(0x3FFFFFFFFFFF)) << np.uint64(2) | flags
             s = smallest
-            yield routed(bucket_of(h[s], buckets), buckets, ids[s], places[s],
+            yield routed(bucket_of(h[s], buckets), buckets, ids[s], rows[s], places[s],
                          [(key[s] & np.uint64(0xFFFFFFFF)).astype(np.uint32), (key[s] >> np.uint64(32)).astype(np.uint16)],
-                         (ids[shared], places[shared]))
+                         (rows[shared], places[shared]))
 
-    def decide(ids, places, low, high):
+    def decide(ids, low, high):
         key = low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
         order, group = same_groups(key >> np.uint64(2))
         flags = per_group(np.bitwise_or, (key[order] & np.uint64(3)).astype(np.uint8), group)
@@ -272,7 +276,7 @@ def anchor_hits(docs: DataFrame, buckets: int, parts: int, block: int) -> DataFr
 
 
 def repeated_windows(docs_with_hits: DataFrame, buckets: int, parts: int, window: int, block: int) -> DataFrame:
-    """Step 3: per doc_id the starts of windows that a smaller document has too, as runs."""
+    """Step 3: per row the starts of windows that a smaller document has too, as runs."""
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, (starts, ends) in chunks(batches, ["starts", "ends"]):
@@ -287,14 +291,14 @@ def repeated_windows(docs_with_hits: DataFrame, buckets: int, parts: int, window
             chosen = near[at]
             row, at = row[chosen], at[chosen]
             h1, h2 = rolling(chunk.h1, window, _ODD[0])[at], rolling(chunk.h2, window, _ODD[1])[at]
-            ids, places = chunk.ids[row], at - chunk.begins[row]
+            ids, rows, places = chunk.ids[row], chunk.rows[row], at - chunk.begins[row]
             order, group = same_groups(h1, h2)
             first = np.empty(len(h1), bool)
             first[order] = ids[order] == per_group(np.minimum, ids[order], group)
-            yield routed(bucket_of(h1[first], buckets), buckets, ids[first], places[first], [h1[first], h2[first]],
-                         (ids[~first], places[~first]))
+            yield routed(bucket_of(h1[first], buckets), buckets, ids[first], rows[first], places[first], [h1[first], h2[first]],
+                         (rows[~first], places[~first]))
 
-    def decide(ids, places, h1, h2):
+    def decide(ids, h1, h2):
         order, group = same_groups(h1, h2)
         return order[ids[order] != per_group(np.minimum, ids[order], group)]
 
@@ -309,10 +313,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
     release_shuffles(spark)
     parts = width(spark)
     docs = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select("doc_id", F.xxhash64("doc_id", "text", F.length("text")).alias("row"), "text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = min(65536, max(4 * parts, -(-chars // (6 * BUCKET_WORDS))))
     hits = materialize(spark, anchor_hits(docs, buckets, parts, block), "anchor-hits")
-    again = docs.join(hits, "doc_id")
+    again = docs.join(hits, "row")
     repeats = materialize(spark, repeated_windows(again, buckets, parts, window, block), "repeats")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,7 +332,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
                     for k in np.argsort(s, kind="stable"):
                         a, b = int(s[k]), int(e[k]) + window - 1
                         if b > len(words):
-                            continue  # rows that share a doc_id share its runs; this one is shorter
+                            continue
                         if runs and a <= runs[-1][1]:
                             runs[-1][1] = max(runs[-1][1], b)
                         else:
@@ -344,6 +349,6 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
                 pa.array(out[2], pa.list_(pa.list_(pa.int32()))), pa.array(out[3], pa.binary()).cast(pa.string())],
                 ["doc_id", "n_words", "n_removed", "removed", "kept_text"])
 
-    return docs.join(repeats, "doc_id", "left").mapInArrow(
+    return docs.join(repeats, "row", "left").mapInArrow(
         cut, "doc_id long, n_words long, n_removed long, removed array<array<int>>, kept_text string").withColumn(
         "doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))

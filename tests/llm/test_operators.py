@@ -124,6 +124,14 @@ def test_substring_dedup_brute_force(spark, docs, awkward):
     assert substring_dedup(spark, docs([])).count() == 0
 
 
+def test_substring_dedup_keeps_runs_apart_without_id(spark, docs):
+    rng = random.Random(17)
+    passage, mine, other = (prose(rng, 80, 10 ** 6) for _ in range(3))
+    texts = [passage, f"start {passage}", other, f"{mine} {passage}"]
+    rows = substring_dedup(spark, docs(texts, ids=[1, None, None, None])).collect()
+    assert sorted(r["kept_text"] for r in rows) == sorted([passage, "start", other, mine])
+
+
 def test_line_dedup(spark, docs, awkward):
     line = "all rights reserved by us"
     texts = [f"{line}\nown words of number {i}" for i in range(12)]
