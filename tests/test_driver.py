@@ -9,7 +9,7 @@ import subprocess
 import sys
 import tempfile
 
-from conftest import ROOT
+from sf_dirs import ROOT
 
 SCRIPT = f"""
 import sys

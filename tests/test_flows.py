@@ -9,7 +9,7 @@ import os
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from imagelake import fixtures as fx
 from imagelake.dims import class_dim
 from imagelake.operators.scoring import rule_head

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from imagelake import fixtures as fx
 from imagelake.sinks.predictions import predictions_sink
 from imagelake.sources.fetch import predictions_scan

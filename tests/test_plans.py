@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from imagelake import fixtures as fx
 from imagelake.operators.sessions import session_preview
 from imagelake.plans.session_report import session_report

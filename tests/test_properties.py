@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from imagelake import fixtures as fx
 from imagelake.dims import CLASS_NAMES
 from imagelake.functions import tensors as D

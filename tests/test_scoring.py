@@ -123,7 +123,7 @@ def test_augment_dataset_is_repeatable(spark):
 
 
 def test_sql_and_numpy_picture_engines_agree(spark):
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     from imagelake import fixtures as fx
     from imagelake.operators.resize import prepare_pictures, resize_bilinear_array
     both = (fx.pix3(spark, SF_SMALL).withColumn("src", F.lit(3))
