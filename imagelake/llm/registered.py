@@ -173,3 +173,38 @@ def op1_url_filters(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(bad).alias("bad"))
     rules = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
     return url_filter(spark, pages, shown.join(labels, "doc_id").select("page_id", "bad"), rules)
+
+
+#: Labels of an id, whatever their number of rows.
+_FLAGS = """flags AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+    max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id)"""
+
+
+@register("op11_filter_audit", f"""
+WITH RECURSIVE {_FLAGS},
+words AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '{_SPACES}'), lambda x: x <> '') AS ws FROM documents),
+masked AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(ws) < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END) AS mask
+    FROM words w LEFT JOIN flags f ON w.doc_id = f.doc_id),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+prefixes AS (SELECT letter AS prefix, letter, bit, 0 AS before, bit AS applied FROM letters
+    UNION ALL SELECT prefix || l.letter, l.letter, l.bit, p.applied, p.applied | l.bit
+    FROM prefixes p JOIN letters l ON p.applied & l.bit = 0),
+found AS (SELECT part, prefix, letter,
+    count(*) FILTER (mask & applied = 0) AS kept, count(*) FILTER (mask & before = 0 AND mask & bit <> 0) AS removed,
+    count(*) FILTER (mask & before <> 0 AND mask & bit <> 0) AS redundant, count(*) FILTER (mask = bit) AS unique_fails,
+    count(*) FILTER (mask & before = 0 AND mask & bit <> 0 AND good = 1) AS good_lost,
+    count(*) FILTER (mask & before = 0 AND mask & bit <> 0 AND toxic = 1) AS toxic_lost
+    FROM masked, prefixes GROUP BY part, prefix, letter),
+steps AS (SELECT f.part, o.prefix AS filter_order, CAST(length(f.prefix) AS INTEGER) AS step, f.* EXCLUDE (part, prefix)
+    FROM found f JOIN prefixes o ON length(o.prefix) = 5 AND starts_with(o.prefix, f.prefix))
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM steps
+""")
+def op11_filter_audit(spark, sf_dir):
+    from imagelake.llm.filter_audit import filter_audit
+    return filter_audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
