@@ -208,3 +208,41 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 def op11_filter_audit(spark, sf_dir):
     from imagelake.llm.filter_audit import filter_audit
     return filter_audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op12_embedding_near_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_dot_product(a.e, b.e) >= 0.93 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counts USING (vec_id)
+""")
+def op12_embedding_near_dedup(spark, sf_dir):
+    from imagelake.llm.embedding_dedup import embedding_dedup
+    return embedding_dedup(spark, table(spark, sf_dir, "embeddings"))
+
+
+@register("op13_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r
+    FROM s WHERE same) AS x WHERE r <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    WHERE 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+""")
+def op13_hard_negatives(spark, sf_dir):
+    from imagelake.llm.hard_negatives import hard_negatives
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives(spark, vectors, F.col("vec_id") % 100 == 0)
