@@ -9,10 +9,11 @@ label form a class (``vec_id`` order gives its number); only classes are compare
 2. Index. Every class goes to the inverted list of its label and nearest centre, with
    one byte per subspace for its residual and the length of what the code leaves out.
 3. Probes. A class visits every list whose border with its own is nearer than
-   ``margin``. A link's two ends lie at most ``REACH`` apart, so with ``margin=REACH``
-   each end visits the other's list whatever the data; the default leaves out only
-   pairs whose difference points almost straight across the border, from both sides.
-   There is no fixed number of probes.
+   ``margin``; there is no fixed number of probes. Two linked ends are at most ``REACH``
+   apart, so the border between their lists is within REACH / 2 of one of them: with
+   ``margin=EXACT`` no link can be missed. The default saves two thirds of those visits
+   and misses only pairs of which more than 2 * MARGIN of the difference points
+   straight across the border (in 64 numbers, four standard deviations).
 4. Distances. In a list, the distances of a visitor to the coded members are sums of
    table entries, one table per subspace. A member whose coded distance exceeds REACH
    by more than its code left out cannot be linked (triangle inequality); all others
@@ -54,7 +55,8 @@ SAMPLE = 16_384
 LIST_ROWS = 1_024
 MAX_LISTS = 4_096
 SUBSPACES, CODES = 8, 256
-MARGIN = 0.22
+MARGIN = 0.1
+EXACT = REACH / 2
 BLOCK_ROWS = 2_048
 #: Visitors compared at once.
 STEP = 512
