@@ -8,6 +8,7 @@ lost executor never takes them away and nothing is computed twice.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,41 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of text a Python worker takes apart at once.
+CHUNK_BYTES = 2_000_000
+
+
+class Recent:
+    """A cache of what was used lately: two generations of at most ``size`` entries each."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
+def text_chunks(texts: Iterable[bytes | None]) -> Iterator[list[bytes]]:
+    """The texts in order (null as empty), in lists of about CHUNK_BYTES."""
+    chunk, n = [], 0
+    for text in texts:
+        chunk.append(text or b"")
+        n += len(chunk[-1])
+        if n >= CHUNK_BYTES:
+            yield chunk
+            chunk, n = [], 0
+    if chunk:
+        yield chunk
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

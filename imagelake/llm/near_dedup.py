@@ -16,14 +16,14 @@ only classes are compared.
   J is below ``MIN_ESTIMATE`` (five standard deviations under 0.8) go.
 * Check. The others are compared on their full sets.
 
-Buckets of a band are never expanded into all pairs. First each member meets the
-smallest of its bucket. From what is confirmed, components follow. A bucket whose
-members are all in one component is settled. In the others the members outside the
-bucket's most common component meet the members of other components, a sample of
-16, 256, ... of them at a time until all have, or all are in one component.
-So every candidate pair is compared or already linked, and a bucket of n copies
-takes about n comparisons. Confirming runs in two turns: each document checks its
-most likely partner first, then its others of other components.
+Buckets of a band are never expanded into rows of pairs. First each member meets the
+smallest of its bucket; of those pairs components follow, and a bucket whose members are
+all in one component is settled. In the others, members outside the bucket's most
+common component meet all members in place: blocks of them, with their registers and
+full sets, come together in a task, which tells apart or links the pairs of different
+components and returns only links that connect. A pair is judged in the first band
+that it shares, so nothing is judged twice and no list of judged pairs is kept. The rows
+that move grow with the members, and a hot bucket is cut into pairs of blocks.
 
 Defined cases: null, empty and blank texts have no shingle and link with nothing;
 null doc_id counts as the largest id; rows that share a doc_id, or
@@ -35,7 +35,6 @@ not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +43,7 @@ from pyspark.sql import functions as F
 
 from imagelake.llm.common import materialize, release_shuffles, split_join, text_key, width
 from imagelake.llm.components import components
-from imagelake.llm.substring_dedup import NULL_ID, rolling
+from imagelake.llm.word_hashes import rolling, word_hashes, word_places
 
 SHINGLE = 5
 #: Link at 100 * intersection >= PERCENT * union.
@@ -54,6 +53,8 @@ REGISTERS = BANDS * ROWS
 BASE = 1.02
 SPREAD = 64.0
 MIN_ESTIMATE = 0.64
+#: Members of a bucket per block, members that meet a block at once, and pairs judged at once.
+BLOCK_ROWS, MEMBERS, PAIRS = 1_024, 256, 20_000
 #: Shingles sketched at once: they stay in a core's cache.
 BLOCK = 60_000
 SKETCH = "doc_id long, row long, n_shingles long, digest binary, registers binary"
@@ -61,54 +62,16 @@ _RNG = np.random.default_rng(20240229)
 _MULTIPLY = _RNG.integers(0, 2 ** 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 2 ** 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
 _ODD = 0xD6E8FEB86659FD93
+NULL_ID = 2 ** 63 - 1
 #: A-Z to a-z, every other byte as it is (no byte of a longer UTF-8 sequence is in A-Z).
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-#: Bytes whose words are hashed at once.
-STRETCH = 1 << 17
-_SOLID = ~np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
-_OF_BYTE = _RNG.integers(0, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = 0x9FB21C651E98DF25
-
-
-@lru_cache(maxsize=1)
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n - 1 of _STEP and of its inverse, modulo 2**64."""
-    both = []
-    for x in (_STEP, pow(_STEP, -1, 2 ** 64)):
-        p = np.full(n, x, np.uint64)
-        p[0] = 1
-        both.append(np.cumprod(p, dtype=np.uint64))
-    return both[0], both[1]
-
-
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each word of ``data`` (bytes) begins, and its 64-bit hash: a polynomial
-    modulo 2**64 over one random number per byte value, then mixed."""
-    solid = np.zeros(len(data) + 2, bool)
-    solid[1:-1] = _SOLID[data]
-    edges = np.flatnonzero(solid[1:] != solid[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    h = np.empty(len(starts), np.uint64)
-    lo = 0
-    while lo < len(starts):
-        first = starts[lo]
-        hi = max(lo + 1, int(np.searchsorted(ends, first + STRETCH, "right")))
-        n = int(ends[hi - 1] - first)
-        up, down = powers(max(n, STRETCH))
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_OF_BYTE[data[first:first + n]] * up[:n], dtype=np.uint64, out=sums[1:])
-        s = starts[lo:hi] - first
-        h[lo:hi] = (sums[ends[lo:hi] - first] - sums[s]) * down[s]
-        lo = hi
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(_ODD)
-    return starts, h ^ (h >> np.uint64(29))
 
 
 def shingle_sets(texts: list[bytes | None], shingle: int) -> Iterator[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text."""
-    data = b"\n".join(t or b"" for t in texts).translate(_LOWER)
-    starts, h = word_hashes(np.frombuffer(data, np.uint8))
+    data = np.frombuffer(b"\n".join(t or b"" for t in texts).translate(_LOWER), np.uint8)
+    starts, stops = word_places(data)
+    h = word_hashes(data, starts, stops)
     windows = rolling(h, shingle, _ODD)
     ends = np.cumsum([len(t or b"") + 1 for t in texts])
     at = 0
@@ -163,7 +126,7 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """key, doc_id, n: one row per band of each class."""
+    """key, band, doc_id, n: one row per band of each class."""
 
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,32 +138,43 @@ def bands(classes: DataFrame) -> DataFrame:
                 h = (h ^ r[:, :, k]) * np.uint64(_ODD)
                 h ^= h >> np.uint64(32)
             yield pa.RecordBatch.from_arrays([
-                pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(batch.column("doc_id").to_numpy(), BANDS)),
-                pa.array(np.repeat(batch.column("n_shingles").to_numpy(), BANDS))], ["key", "doc_id", "n"])
+                pa.array(h.ravel().view(np.int64)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(h))),
+                pa.array(np.repeat(batch.column("doc_id").to_numpy(), BANDS)),
+                pa.array(np.repeat(batch.column("n_shingles").to_numpy(), BANDS))], ["key", "band", "doc_id", "n"])
+
+    return classes.select("doc_id", "n_shingles", "registers").mapInArrow(band, "key long, band int, doc_id long, n long")
+
+
+def estimates(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """The Jaccard similarity under which two sketches (rows of ``ra`` and ``rb``, of sets
+    of ``na`` and ``nb`` shingles) are most likely."""
+    grid = np.linspace(0, 1, 101)
+    equal_chance = lambda x: -np.log1p(-x * (BASE - 1) / BASE) / np.log(BASE)
+    na, nb = na.astype(float)[:, None], nb.astype(float)[:, None]
+    more, less = ((ra > rb).sum(1)[:, None], (ra < rb).sum(1)[:, None])
+    u, v = na / (na + nb), nb / (na + nb)
+    possible = np.minimum(na, nb) / np.maximum(na, nb) + 1e-9  # J can't exceed it
+    up, down = equal_chance(np.maximum(u - v * grid, 1e-12)), equal_chance(np.maximum(v - u * grid, 1e-12))
+    chance = more * np.log(up) + less * np.log(down) + (REGISTERS - more - less) * np.log(np.maximum(1 - up - down, 1e-12))
+    return grid[np.where(grid <= possible, chance, -np.inf).argmax(1)]
 
-    return classes.select("doc_id", "n_shingles", "registers").mapInArrow(band, "key long, doc_id long, n long")
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two full sets (sorted hashes) reach the similarity."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
 def likeliest(pairs: DataFrame) -> DataFrame:
-    """Add ``estimate``: the Jaccard similarity under which the two sketches of a pair
-    (ra, rb; set sizes na, nb) are most likely."""
+    """Add ``estimate`` to the pairs (a, b) with their sketches (ra, rb) and set sizes (na, nb)."""
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grid = np.linspace(0, 1, 101)
-        equal_chance = lambda x: -np.log1p(-x * (BASE - 1) / BASE) / np.log(BASE)
         for batch in batches:
             best = []
             for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
                 ra, rb = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
                           for c in ("ra", "rb"))
-                na, nb = (part.column(c).to_numpy().astype(float)[:, None] for c in ("na", "nb"))
-                more, less = ((ra > rb).sum(1)[:, None], (ra < rb).sum(1)[:, None])
-                u, v = na / (na + nb), nb / (na + nb)
-                possible = np.minimum(na, nb) / np.maximum(na, nb) + 1e-9  # J can't exceed it
-                up, down = equal_chance(np.maximum(u - v * grid, 1e-12)), equal_chance(np.maximum(v - u * grid, 1e-12))
-                chance = more * np.log(up) + less * np.log(down) + (
-                    REGISTERS - more - less) * np.log(np.maximum(1 - up - down, 1e-12))
-                best.append(grid[np.where(grid <= possible, chance, -np.inf).argmax(1)])
+                best.append(estimates(ra, rb, part.column("na").to_numpy(), part.column("nb").to_numpy()))
             yield pa.RecordBatch.from_arrays([
                 *(batch.column(c) for c in ("a", "b")), pa.array(np.concatenate(best) if best else [], pa.float64())],
                 ["a", "b", "estimate"])
@@ -214,11 +188,8 @@ def confirmed(pairs: DataFrame) -> DataFrame:
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = (np.frombuffer(z.as_py(), np.uint64) for z in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            keep = [similar(*(np.frombuffer(z.as_py(), np.uint64) for z in (x, y)))
+                    for x, y in zip(batch.column("sa"), batch.column("sb"))]
             yield batch.select(["la", "lb"]).rename_columns(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.select("la", "lb", "sa", "sb").mapInArrow(check, "a long, b long")
@@ -235,6 +206,75 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(make, "doc_id long, hashes binary")
 
 
+class Block:
+    """Members of a bucket, and the components that were found to be one when others met them."""
+
+    def __init__(self, batch: pa.Table | pa.RecordBatch):
+        self.root: dict[int, int] = {}
+        self.band = batch.column("band")[0].as_py()
+        self.ids, self.label, self.n = (batch.column(c).to_numpy() for c in ("doc_id", "label", "n"))
+        self.registers = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        self.sets = [np.frombuffer(x, np.uint64) for x in batch.column("hashes").to_pylist()]
+
+    def find(self, label: int) -> int:
+        while (up := self.root.get(label, label)) != label:
+            label = up
+        return label
+
+    def meet(self, other: Block, main: int, least: int) -> list[tuple[int, int]]:
+        """Links (components a, b) that connect what was apart, between this block and other members."""
+        n, m = self.n[:, None], other.n[None, :]
+        open_ = (self.label[:, None] != other.label) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
+        # of two members outside, the pair counts once; the least of a bucket has met all
+        open_ &= (other.label == main) | (self.ids[:, None] < other.ids)
+        open_ &= (self.ids[:, None] != least) & (other.ids != least)
+        links = []
+        a, b = np.nonzero(open_)
+        for lo in range(0, len(a), PAIRS):
+            x, y = a[lo:lo + PAIRS], b[lo:lo + PAIRS]
+            ra, rb = self.registers[x], other.registers[y]
+            same = (ra == rb).reshape(-1, BANDS, ROWS).all(2)
+            first = same.argmax(1) == self.band  # all of them share this band
+            x, y = x[first], y[first]
+            guess = estimates(ra[first], rb[first], self.n[x], other.n[y])
+            for k in np.argsort(-guess, kind="stable"):
+                if guess[k] < MIN_ESTIMATE:
+                    break
+                p, q = self.find(int(self.label[x[k]])), self.find(int(other.label[y[k]]))
+                if p != q and similar(self.sets[x[k]], other.sets[y[k]]):
+                    links.append((p, q))
+                    self.root[max(p, q)] = min(p, q)
+        return links
+
+
+def links_in_place(meetings: DataFrame) -> DataFrame:
+    """a, b: links between components, of every pair of a bucket's blocks that meets."""
+    key = ["key", "block", "part"]
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, gathered, block = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in (*key, "role")], 1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(keys)]):
+                part, (*at, role) = batch.slice(lo, hi - lo), keys[lo].tolist()
+                if at != now:
+                    now, gathered, block = at, [], None
+                if role == 0:
+                    gathered.append(part)
+                elif gathered or block is not None:
+                    if block is None:
+                        block, gathered = Block(pa.Table.from_batches(gathered)), []
+                    links = [x for i in range(0, part.num_rows, MEMBERS) for x in block.meet(
+                        Block(part.slice(i, MEMBERS)), part.column("main")[0].as_py(), part.column("least")[0].as_py())]
+                    yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    rows = meetings.repartition(*key).sortWithinPartitions(*key, "role")
+    return rows.mapInArrow(judge, "a long, b long")
+
+
 class Linker:
     """Compares candidate pairs and keeps the components of what is confirmed."""
 
@@ -245,7 +285,6 @@ class Linker:
         texts = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         self.sets = materialize(spark, full_sets(texts, shingle), "full-sets")
         self.labels = spark.createDataFrame([], "node long, component long")
-        self.seen: DataFrame | None = None
 
     def labelled(self, df: DataFrame, col: str, out: str) -> DataFrame:
         n = self.labels.select(F.col("node").alias(col), F.col("component").alias(out))
@@ -260,20 +299,14 @@ class Linker:
         renamed = known.join(merged.select(F.col("node").alias("was"), F.col("component").alias("now")), "was", "left")
         self.labels = materialize(spark, renamed.select("node", F.coalesce("now", "was").alias("component")), "labels")
 
-    def compare(self, pairs: DataFrame) -> None:
-        """Link the pairs (a < b, distinct) that are similar; each is looked at once.
-        Each document's most likely partner is checked first, then the others that
-        this has not linked."""
-        if self.seen is not None:
-            pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
+    def stars(self, pairs: DataFrame) -> None:
+        """Link the pairs (a < b, distinct) that are similar. Each document's most likely partner
+        is checked first, then the others that this has not linked."""
         side = lambda x: self.classes.select(F.col("doc_id").alias(x), F.col("n_shingles").alias("n" + x),
                                              F.col("registers").alias("r" + x))
         by_estimate = Window.partitionBy("b").orderBy(F.desc("estimate"), "a")
-        judged = materialize(self.spark, likeliest(pairs.join(side("a"), "a").join(side("b"), "b")).select(
-            "a", "b", "estimate", F.row_number().over(by_estimate).alias("nth")), "judged")
-        looked = judged.select("a", "b")
-        self.seen = looked if self.seen is None else self.seen.unionByName(looked)
-        likely = judged.where(F.col("estimate") >= MIN_ESTIMATE)
+        judged = likeliest(pairs.join(side("a"), "a").join(side("b"), "b")).where(F.col("estimate") >= MIN_ESTIMATE)
+        likely = materialize(self.spark, judged.select("a", "b", F.row_number().over(by_estimate).alias("nth")), "likely")
         for part in ("nth = 1", "nth > 1"):
             if not likely.where(part).isEmpty():
                 self.check(likely.where(part))
@@ -286,6 +319,27 @@ class Linker:
         if not links.isEmpty():
             self.link(links)
 
+    def meetings(self, members: DataFrame) -> DataFrame:
+        """Pairs of blocks of every bucket of several components: members outside the most common
+        one (role 0) and all members (role 1), with registers and full sets."""
+        # two members have met as a star
+        now = materialize(self.spark, self.labelled(members.where("size > 2"), "doc_id", "label"), "labelled")
+        count = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+        main = count.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"),
+                                        F.max("c").alias("most")).where(F.col("all") > F.col("most"))
+        blocks = lambda c: F.ceil(c / BLOCK_ROWS).cast("int")
+        main = materialize(self.spark, main.select("key", "main", "all", blocks(F.col("all") - F.col("most")).alias("blocks"),
+                                                   blocks(F.col("all")).alias("parts")), "open-buckets")
+        open_ = split_join(now, main, "key", "all", now.count())
+        mine = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        columns = ["key", "block", "part", "role", "band", "least", "main", "doc_id", "n", "label"]
+        outside = open_.where("label <> main").withColumn("role", F.lit(0)).withColumn("block", mine("blocks")).withColumn(
+            "part", every("parts"))
+        everyone = open_.withColumn("role", F.lit(1)).withColumn("part", mine("parts")).withColumn("block", every("blocks"))
+        rows = outside.select(columns).unionByName(everyone.select(columns))
+        return rows.join(self.classes.select("doc_id", "registers"), "doc_id").join(self.sets, "doc_id")
+
 
 def link_classes(spark: SparkSession, texts: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     """(node, component) of the classes that are linked with another. ``texts`` and
@@ -293,31 +347,16 @@ def link_classes(spark: SparkSession, texts: DataFrame, classes: DataFrame, shin
     rows = bands(classes)
     groups = rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
     groups = materialize(spark, groups, "buckets")
-    members = materialize(spark, rows.join(groups, "key"), "members")
+    members = materialize(spark, split_join(rows, groups, "key", "size", BANDS * classes.count()), "members")
     linker = Linker(spark, texts, classes, members, shingle)
-    fits = lambda x, y: 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
+    fits = 100 * F.least("n", "n_least") >= PERCENT * F.greatest("n", "n_least")
     sizes = classes.select(F.col("doc_id").alias("least"), F.col("n_shingles").alias("n_least"))
-    stars = members.where("doc_id <> least").select("least", "doc_id", "n").distinct().join(sizes, "least")
-    linker.compare(stars.where(fits(F.col("n"), F.col("n_least"))).select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
-    turn = 1
-    while True:
-        now = linker.labelled(members, "doc_id", "label")
-        count = now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-        main = count.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.sum("c").alias("all"),
-                                        F.max("c").alias("most")).where(F.col("all") > F.col("most"))
-        open_ = materialize(spark, now.join(main, "key").select(
-            "key", "doc_id", "n", "label", "main", (F.col("all") - F.col("most")).alias("others")), "open")
-        # a member's place in the sampling order, the same in every turn
-        place = F.pmod(F.xxhash64("key", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        share = F.lit(16.0 ** turn) / F.col("others")
-        centres = open_.where((F.col("label") != F.col("main")) & (place < share)).select(
-            "key", F.col("doc_id").alias("c"), F.col("n").alias("cn"), F.col("label").alias("cl"))
-        x, y = F.col("c"), F.col("doc_id")
-        pairs = open_.join(centres, "key").where((F.col("label") != F.col("cl")) & fits(F.col("n"), F.col("cn")))
-        linker.compare(pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
-        if open_.where(share < 1).isEmpty():
-            return linker.labels
-        turn += 1
+    stars = members.where("doc_id <> least").select("least", "doc_id", "n").distinct().join(sizes, "least").where(fits)
+    linker.stars(stars.select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
+    links = materialize(spark, links_in_place(linker.meetings(members)), "links-in-place")
+    if not links.isEmpty():
+        linker.link(links)
+    return linker.labels
 
 
 def verdicts(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -14,7 +14,7 @@ buckets before.
 
 Tokenising works on the runs between spaces (a piece of text that the tokenizer
 never merges across) through a bounded cache, so each distinct run is encoded once
-per Python worker while the cache holds it.
+per Python worker while the cache holds it. New runs of many texts are encoded together.
 
 Defined cases: null and empty texts have no ids but the end id, a piece of length 1;
 repeated rows and null doc_ids are packed row by row; an empty table gives an empty
@@ -24,6 +24,8 @@ result; other columns, whatever their names, are not read.
 from __future__ import annotations
 
 import os
+import string
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -33,68 +35,72 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from imagelake.llm.common import materialize, pow2_at_least
+from imagelake.llm.common import Recent, materialize, pow2_at_least, text_chunks
 
 CAPACITY = 2048
 END_ID = 0
-#: Distinct runs kept by a worker; beyond it a cache starts anew.
-CACHE_RUNS = 1_000_000
+#: Runs, and pieces of runs, per generation of a worker's cache (some 30 and 20 MB).
+CACHE_RUNS, CACHE_PIECES = 150_000, 100_000
+#: Pieces that go through the tokenizer at once.
+LEARN_PIECES = 20_000
 #: Closing marks that are looked up apart from the letters before them.
-MARKS = ".,;:!?"
+MARKS = string.punctuation
 #: Pieces per bucket of the rank count, about.
 BUCKET_ROWS = 2_000
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
 @lru_cache(maxsize=1)
-def run_encoder(tokenizer_path: str) -> Callable[[bytes], bytes]:
-    """Function from a whole text (UTF-8) to its ids as little-endian uint32 bytes.
+def run_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
+    """Function from whole texts (UTF-8) to their ids as little-endian uint32 bytes.
     One per Python worker, so its caches serve all tasks of the worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path)
-    runs_cache: dict[bytes, bytes] = {}
-    letters_cache: dict[str, bytes] = {}
+    runs_cache, pieces_cache = Recent(CACHE_RUNS), Recent(CACHE_PIECES)
 
-    def parts(run: bytes) -> tuple[str, str]:
-        """Letters and closing marks of a run, or ("", "") if it is made otherwise. The
-        tokenizer always parts letters from marks. Other letters than A-Z may become a
-        letter and a combining mark in its normal form, so their runs stay whole."""
+    def parts(run: bytes) -> list[str]:
+        """Letters and closing marks of a run apart, which the tokenizer always parts. A letter
+        that becomes a letter and a combining mark in its normal form joins with the marks,
+        so such a run stays whole."""
         text = run.decode("utf-8", "replace")
         stem = text.rstrip(MARKS)
-        if not (stem.isascii() and stem.isalpha()):
-            return "", ""
-        return stem.lower(), text[len(stem):]
-
-    def learn(runs: list[bytes]) -> None:
-        split = [(r, *parts(r)) for r in runs]
-        stems = [x for x in dict.fromkeys(stem for _, stem, _ in split if stem) if x not in letters_cache]
-        if stems:
-            # stems in one text, each a word of its own to the tokenizer
-            e = tok.encode(" ".join(stems), add_special_tokens=False)
-            ids, n = np.asarray(e.ids, "<u4"), np.bincount(np.asarray(e.word_ids))
-            if len(n) == len(stems):
-                parted = np.split(ids, np.cumsum(n)[:-1])
-            else:
-                parted = [np.asarray(x.ids, "<u4") for x in tok.encode_batch(stems, add_special_tokens=False)]
-            for stem, part in zip(stems, parted):
-                letters_cache[stem] = part.tobytes()
-        other = [r.decode("utf-8", "replace") for r, stem, _ in split if not stem]
-        marks = list(dict.fromkeys(m for _, stem, m in split if stem and m))
-        encoded = {t: np.asarray(e.ids, "<u4").tobytes() for t, e in zip(
-            other + marks, tok.encode_batch(other + marks, add_special_tokens=False))}
-        for r, stem, m in split:
-            runs_cache[r] = letters_cache[stem] + (encoded[m] if m else b"") if stem else encoded[r.decode("utf-8", "replace")]
-
-    def encode(text: bytes) -> bytes:
-        for cache in (runs_cache, letters_cache):
-            if len(cache) > CACHE_RUNS:
-                cache.clear()
-        runs = text.split()  # bytes split at space and U+0009 to U+000D only
-        new = [r for r in dict.fromkeys(runs) if r not in runs_cache]
-        if new:
-            learn(new)
-        return b"".join(map(runs_cache.__getitem__, runs))
+        plain = stem.lower() if stem.isascii() else unicodedata.normalize("NFC", stem).lower()
+        if not plain.isalpha():
+            return [text]
+        stem = plain if stem.isascii() else stem
+        return [stem, text[len(stem):]] if len(stem) < len(text) else [stem]
+
+    def encoded(pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. All go through the tokenizer as one text; a token belongs to
+        the piece in which its first character stands."""
+        e = tok.encode(" ".join(pieces), add_special_tokens=False)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
+        begins = np.cumsum(sizes) - sizes
+        at = np.fromiter((first for first, _ in e.offsets), np.int64, len(e.ids))
+        cuts = (4 * np.searchsorted(at, begins)).tolist() + [4 * len(at)]
+        ids = np.asarray(e.ids, "<u4").tobytes()
+        return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+
+    def learn(runs: list[bytes]) -> list[bytes]:
+        split = [parts(r) for r in runs]
+        known = {p: pieces_cache.get(p) for p in dict.fromkeys(p for x in split for p in x)}
+        new = [p for p, ids in known.items() if ids is None]
+        for lo in range(0, len(new), LEARN_PIECES):
+            some = new[lo:lo + LEARN_PIECES]
+            for p, ids in zip(some, encoded(some)):
+                known[p] = ids
+                pieces_cache.put(p, ids)
+        return [b"".join(map(known.__getitem__, x)) for x in split]
+
+    def encode(texts: list[bytes]) -> list[bytes]:
+        parted = [t.split() for t in texts]  # bytes split at space and U+0009 to U+000D only
+        known = {r: runs_cache.get(r) for r in dict.fromkeys(r for runs in parted for r in runs)}
+        new = [r for r, ids in known.items() if ids is None]
+        for r, ids in zip(new, learn(new)):
+            known[r] = ids
+            runs_cache.put(r, ids)
+        return [b"".join(map(known.__getitem__, runs)) for runs in parted]
 
     return encode
 
@@ -109,9 +115,8 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
         encode, end, step = run_encoder(tokenizer_path), np.asarray([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             cols: list[list] = [[] for _ in range(5 + with_ids)]
-            texts = batch.column("text").cast(pa.binary())
-            for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                ids = encode(texts[i].as_py() or b"") + end
+            texts = text_chunks(t.as_py() for t in batch.column("text").cast(pa.binary()))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), (x + end for chunk in texts for x in encode(chunk))):
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     row = (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part)
@@ -163,11 +168,11 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 def with_ranks(spark: SparkSession, pieces: DataFrame) -> DataFrame:
     """Add ``rank``: place of a piece among the pieces of its length, from 0."""
     buckets = pow2_at_least(pieces.count() / BUCKET_ROWS)
-    d = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    d = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(buckets)))
     by_length = Window.partitionBy("length").orderBy("_bucket")  # one row per bucket
     starts = d.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
         "length", "_bucket", (F.sum("_n").over(by_length) - F.col("_n")).alias("_start"))
-    own = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece"))
+    own = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "ids_crc32"))
     return d.withColumn("_own", own).join(starts, ["length", "_bucket"]).select(
         *pieces.columns, (F.col("_start") + F.col("_own") - 1).alias("rank"))
 

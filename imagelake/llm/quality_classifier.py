@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from imagelake.llm.word_models import BUCKETS, Examples, mean_word_score, sample
+from imagelake.llm.word_models import BUCKETS, Examples, sample, with_word_scores
 
 SIZES = (3, 4)
 DIM = 8
@@ -79,5 +79,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_R
     if len(set(y.tolist())) < 2:
         return docs.select("doc_id", held_out, F.lit(float(y.mean()) if len(y) else 0.5).alias("score"))
     weights, bias = fit(Examples((tokens(text) for text, _ in got), SIZES), y)
-    scored = mean_word_score(docs, weights, SIZES, tokens)
-    return scored.select("doc_id", held_out, (1 / (1 + F.exp(-F.col("mean") - bias))).alias("score"))
+    scored = with_word_scores(docs.select("doc_id", "text"), weights, SIZES, tokens, "_word")
+    return scored.select("doc_id", held_out, (1 / (1 + F.exp(-F.col("_word.mean") - bias))).alias("score"))

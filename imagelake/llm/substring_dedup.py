@@ -35,95 +35,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imagelake.llm.common import materialize, release_shuffles, width
+from imagelake.llm.word_hashes import rolling, word_hashes, word_places
 
 WINDOW = 50
 BLOCK = 25
-#: Windows a task settles at once, and windows per bucket, about.
-BATCH_WORDS = 1_000_000
+#: Text whose windows a task settles at once, and windows per bucket, about.
+BATCH_BYTES = 2_000_000
 BUCKET_WORDS = 1_000_000
-CACHE_WORDS = 400_000
 NULL_ID = 2 ** 63 - 1
 ROUTED = "bucket int, payload binary, row long, starts array<int>, ends array<int>"
 RUNS = "row long, starts array<int>, ends array<int>"
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-class WordHashes(dict):
-    """Two 64-bit hashes per word (bytes), computed once while the cache holds it."""
-
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        import xxhash
-        h = xxhash.xxh3_128_intdigest(word)
-        self[word] = h = (h >> 64, h & (2 ** 64 - 1))
-        return h
-
-    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        both = np.fromiter((x for w in words for x in self[w]), np.uint64, 2 * len(words))
-        return both[::2], both[1::2]
-
-
-def rolling(hashes: np.ndarray, length: int, odd: int) -> np.ndarray:
-    """Hash of each window of ``length`` entries: a polynomial modulo 2**64, then mixed."""
-    n = len(hashes)
-    if n < length:
-        return np.empty(0, np.uint64)
-    up = np.full(n, odd, np.uint64)
-    up[0] = 1
-    down = np.full(n, pow(odd, -1, 2 ** 64), np.uint64)
-    down[0] = 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(hashes * np.cumprod(up, dtype=np.uint64), dtype=np.uint64, out=sums[1:])
-    h = (sums[length:] - sums[:-length]) * np.cumprod(down, dtype=np.uint64)[:n - length + 1]
-    h ^= h >> np.uint64(31)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
-
-
 class Chunk:
     """Documents of one batch laid end to end."""
 
-    def __init__(self, ids: list[int], rows: list[int], docs: list[list[bytes]], cache: WordHashes):
+    def __init__(self, ids: list[int], rows: list[int], texts: list[bytes], hashes: int):
         self.ids, self.rows = np.asarray(ids, np.int64), np.asarray(rows, np.int64)
-        self.sizes = np.fromiter(map(len, docs), np.int64, len(docs))
-        self.ends = np.cumsum(self.sizes)
+        data = np.frombuffer(b"\n".join(texts), np.uint8)
+        starts, stops = word_places(data)
+        text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        self.ends = np.searchsorted(starts, text_ends)
+        self.sizes = np.diff(self.ends, prepend=0)
         self.begins = self.ends - self.sizes
-        self.h1, self.h2 = cache.of([w for d in docs for w in d])
+        self.words = [word_hashes(data, starts, stops, which) for which in range(hashes)]
 
     def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Row of its document, and place in the batch, of each window of ``length`` words."""
         counts = np.maximum(self.sizes - length + 1, 0)
-        row = np.repeat(np.arange(len(counts)), counts)
+        row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         first = np.cumsum(counts) - counts
-        return row, np.arange(counts.sum()) - np.repeat(first, counts) + np.repeat(self.begins, counts)
+        return row, np.arange(counts.sum()) - np.repeat(first - self.begins, counts)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], extra: list[str]) -> Iterator[tuple[Chunk, list[list]]]:
-    """Batches of about BATCH_WORDS words, with the further columns of their rows."""
-    cache = WordHashes()
+def chunks(batches: Iterator[pa.RecordBatch], hashes: int, extra: list[str]) -> Iterator[tuple[Chunk, list[list]]]:
+    """Batches of about BATCH_BYTES of text, with the further columns of their rows."""
     ids: list[int] = []
     rows: list[int] = []
-    docs: list[list[bytes]] = []
+    texts: list[bytes] = []
     more: list[list] = [[] for _ in extra]
     n = 0
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
+        column = batch.column("text").cast(pa.binary())
         doc_ids, keys = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
         cols = [batch.column(c) for c in extra]
         for i, doc_id in enumerate(doc_ids):
-            words = (texts[i].as_py() or b"").split()
+            texts.append(column[i].as_py() or b"")
             ids.append(doc_id)
             rows.append(keys[i])
-            docs.append(words)
             for m, c in zip(more, cols):
                 m.append(c[i].values.to_numpy() if c[i].is_valid else None)
-            n += len(words)
-            if n >= BATCH_WORDS:
-                yield Chunk(ids, rows, docs, cache), more
-                ids, rows, docs, more, n = [], [], [], [[] for _ in extra], 0
+            n += len(texts[-1])
+            if n >= BATCH_BYTES:
+                yield Chunk(ids, rows, texts, hashes), more
+                ids, rows, texts, more, n = [], [], [], [[] for _ in extra], 0
     if ids:
-        yield Chunk(ids, rows, docs, cache), more
+        yield Chunk(ids, rows, texts, hashes), more
 
 
 def same_groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,9 +121,11 @@ def run_rows(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str
 
 
 def merged_runs(ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Consecutive places of an id as runs [start, end); sorted by id."""
+    """Consecutive places of an id as runs [start, end); sorted by id. Places may repeat."""
     order = np.lexsort((places, ids))
     ids, places = ids[order], places[order]
+    new = np.r_[True, (ids[1:] != ids[:-1]) | (places[1:] != places[:-1])] if len(ids) else np.empty(0, bool)
+    ids, places = ids[new], places[new]
     first = np.r_[True, (ids[1:] != ids[:-1]) | (places[1:] != places[:-1] + 1)] if len(ids) else np.empty(0, bool)
     at = np.flatnonzero(first)
     last = np.r_[at[1:], len(ids)] - 1
@@ -165,26 +135,22 @@ def merged_runs(ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nda
 def routed(bucket: np.ndarray, buckets: int, ids: np.ndarray, rows: np.ndarray, places: np.ndarray, keys: list[np.ndarray],
            settled: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
     """Rows to send: a packed array per bucket, and what is settled here already."""
-    order = np.argsort(bucket.astype(np.uint16), kind="stable")
+    order = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")  # short numbers sort faster
     bucket, ids, rows, places, keys = bucket[order], ids[order], rows[order], places[order], [k[order] for k in keys]
-    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-    payloads, sent = [], []
-    for b in range(buckets):
-        lo, hi = cuts[b], cuts[b + 1]
-        if lo == hi:
-            continue
+    cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)] if len(bucket) else np.zeros(1, int)
+    payloads, sent = [], bucket[cuts[:-1]].astype(np.int32)
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         d, r, p = ids[lo:hi], rows[lo:hi], places[lo:hi].astype(np.uint32)
         at = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
         parts = [np.asarray([hi - lo, len(at)], np.int32), d[at], r[at], np.diff(np.r_[at, hi - lo]).astype(np.uint32),
                  (p & np.uint32(0xFFFF)).astype(np.uint16), (p >> np.uint32(16)).astype(np.uint16)]
         parts += [k[lo:hi] for k in keys]
         payloads.append(b"".join(x.tobytes() for x in parts))
-        sent.append(b)
     runs = run_rows(*merged_runs(*settled))
     n, m = len(sent), len(runs["row"])
     spread = runs["row"].to_numpy().astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(33)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.r_[np.asarray(sent, np.int32), (spread % np.uint64(buckets)).astype(np.int32)], pa.int32()),
+        pa.array(np.r_[sent, (spread % np.uint64(buckets)).astype(np.int32)], pa.int32()),
         pa.concat_arrays([pa.array(payloads, pa.binary()), pa.nulls(m, pa.binary())]),
         pa.concat_arrays([pa.nulls(n, pa.int64()), runs["row"]]),
         pa.concat_arrays([pa.nulls(n, runs["starts"].type), runs["starts"]]),
@@ -210,7 +176,7 @@ def unpacked(payload: bytes, types: list[str]) -> tuple[np.ndarray, ...]:
 
 
 def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)
+    return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
 def meet(routed_rows: DataFrame, types: list[str], decide: Callable[..., np.ndarray], parts: int) -> DataFrame:
@@ -240,8 +206,8 @@ def meet(routed_rows: DataFrame, types: list[str], decide: Callable[..., np.ndar
 
     import pyarrow.compute  # noqa: F401
     rows = routed_rows.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, RUNS)
-    # a row's runs are no more than its words
-    return rows.groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"),
+    # a row's runs are no more than its words; equal rows have equal runs
+    return rows.distinct().groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"),
                                       F.flatten(F.collect_list("ends")).alias("ends"))
 
 
@@ -249,9 +215,9 @@ def anchor_hits(docs: DataFrame, buckets: int, parts: int, block: int) -> DataFr
     """Step 1 and 2: per row the starts of blocks that are hits, as runs."""
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, _ in chunks(batches, []):
+        for chunk, _ in chunks(batches, 1, []):
             row, at = chunk.windows(block)
-            h = rolling(chunk.h1, block, _ODD[0])[at]
+            h = rolling(chunk.words[0], block, _ODD[0])[at]
             ids, rows, places = chunk.ids[row], chunk.rows[row], at - chunk.begins[row]
             order, group = same_groups(h)
             least, most = (per_group(f, ids[order], group) for f in (np.minimum, np.maximum))
@@ -279,9 +245,9 @@ def repeated_windows(docs_with_hits: DataFrame, buckets: int, parts: int, window
     """Step 3: per row the starts of windows that a smaller document has too, as runs."""
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, (starts, ends) in chunks(batches, ["starts", "ends"]):
+        for chunk, (starts, ends) in chunks(batches, 2, ["starts", "ends"]):
             # a window is a candidate if a hit block lies within it
-            mark = np.zeros(len(chunk.h1) + 1, np.int32)
+            mark = np.zeros(len(chunk.words[0]) + 1, np.int32)
             for size, begin, s, e in zip(chunk.sizes, chunk.begins, starts, ends):
                 if size >= window:
                     np.add.at(mark, begin + np.clip(s - (window - block), 0, size - window + 1), 1)
@@ -290,7 +256,7 @@ def repeated_windows(docs_with_hits: DataFrame, buckets: int, parts: int, window
             row, at = chunk.windows(window)
             chosen = near[at]
             row, at = row[chosen], at[chosen]
-            h1, h2 = rolling(chunk.h1, window, _ODD[0])[at], rolling(chunk.h2, window, _ODD[1])[at]
+            h1, h2 = (rolling(h, window, odd)[at] for h, odd in zip(chunk.words, _ODD))
             ids, rows, places = chunk.ids[row], chunk.rows[row], at - chunk.begins[row]
             order, group = same_groups(h1, h2)
             first = np.empty(len(h1), bool)
@@ -315,7 +281,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
     docs = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.select("doc_id", F.xxhash64("doc_id", "text", F.length("text")).alias("row"), "text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = min(65536, max(4 * parts, -(-chars // (6 * BUCKET_WORDS))))
+    buckets = max(4 * parts, -(-chars // (6 * BUCKET_WORDS)))
     hits = materialize(spark, anchor_hits(docs, buckets, parts, block), "anchor-hits")
     again = docs.join(hits, "row")
     repeats = materialize(spark, repeated_windows(again, buckets, parts, window, block), "repeats")

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from imagelake.llm.word_models import BUCKETS, Examples, mean_word_score, sample
+from imagelake.llm.word_models import BUCKETS, Examples, sample, with_word_scores
 
 SIZES = (4, 5)
 TRAIN_ROWS = 8000
@@ -95,14 +95,24 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> t
     return fit(examples, grades, w)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
-             keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keys`` (long columns of ``docs``), severity (expected grade, 0 to 2), rejected per row of ``docs``."""
+def with_severity(docs: DataFrame, labels: DataFrame, name: str, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """``docs``, all columns, and ``name``: the expected grade of the text, 0 to 2. Rows stay where they are."""
     model = train(docs, labels, train_rows)
     if model is None:
-        return docs.select(*keys, F.lit(0.0).alias("severity"), F.lit(False).alias("rejected"))
+        return docs.withColumn(name, F.lit(0.0))
     weights, cuts = model
-    scored = mean_word_score(docs, weights, SIZES, tokens, keys)
-    chances = [1 / (1 + F.exp(F.lit(float(c)) - F.col("mean") * SCALE)) for c in cuts]
-    return scored.select(*keys, sum(chances[1:], chances[0]).alias("severity")).select(
-        *keys, "severity", (F.col("severity") >= REJECT).alias("rejected"))
+    scored = with_word_scores(docs, weights, SIZES, tokens, name)
+    mean = F.col(name)["mean"]
+    chances = [1 / (1 + F.exp(F.lit(float(c)) - mean * SCALE)) for c in cuts]
+    return scored.withColumn(name, sum(chances[1:], chances[0]))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """doc_id, severity (expected grade, 0 to 2), rejected per row of ``docs``."""
+    scored = with_severity(docs.select("doc_id", "text"), labels, "severity", train_rows)
+    return scored.select("doc_id", "severity", (F.col("severity") >= REJECT).alias("rejected"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not rejected."""
+    return with_severity(docs, labels, "_severity", train_rows).where(F.col("_severity") < REJECT).select(*docs.columns)

@@ -12,7 +12,7 @@ import uuid
 import zlib
 from array import array
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -20,15 +20,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from imagelake.llm.common import Recent, text_chunks
+
 BUCKETS = 1 << 18
-CACHE_WORDS = 1_000_000
+#: Words per generation of a worker's cache (some 20 MB).
+CACHE_WORDS = 100_000
+#: Longest text that may enter a training sample.
+TRAIN_TEXT_BYTES = 65_536
 
 
 def ngrams(word: bytes, sizes: tuple[int, ...]) -> list[int]:
-    """Hash buckets of the whole word and of its character n-grams (bytes of UTF-8)."""
+    """Hash buckets of the whole word and of its n-grams of characters (code points)."""
     w = b"<" + word + b">"
-    return [zlib.crc32(w) % BUCKETS] + [zlib.crc32(w[i:i + n]) % BUCKETS
-                                        for n in sizes for i in range(len(w) - n + 1) if n < len(w)]
+    if word.isascii():
+        grams = [w[i:i + n] for n in sizes for i in range(len(w) - n + 1) if n < len(w)]
+    else:
+        letters = w.decode("utf-8", "replace")
+        grams = [letters[i:i + n].encode() for n in sizes for i in range(len(letters) - n + 1) if n < len(letters)]
+    return [zlib.crc32(g) % BUCKETS for g in (w, *grams)]
 
 
 class Examples:
@@ -62,50 +71,49 @@ class Examples:
         return np.repeat(doc, n), self.features[at], np.repeat(share / np.maximum(n, 1), n)
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, where: Column | None = None) -> list[tuple[bytes, int]]:
-    """Whole texts and labels of at most ``rows`` labelled documents, in hash order of
-    their ids. Only that many ids are broadcast, only that many texts collected."""
+def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, where: Column | None = None,
+           text_bytes: int = TRAIN_TEXT_BYTES) -> list[tuple[bytes, int]]:
+    """Whole texts and labels of at most ``rows`` labelled documents of at most ``text_bytes``
+    each, in hash order of their ids: no more comes to the driver, however often an id repeats."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     if where is not None:
         known = known.where(where)
     ids = known.groupBy("doc_id").agg(F.max(label).alias("_label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    picked = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
-    got = picked.select("doc_id", F.encode("text", "utf-8").alias("text"), "_label").collect()
+    text = F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("text")
+    picked = docs.select("doc_id", text).where(F.octet_length("text") <= text_bytes).join(F.broadcast(ids), "doc_id")
+    got = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).collect()
     return [(bytes(r["text"]), int(r["_label"])) for r in sorted(got, key=lambda r: (r["doc_id"], bytes(r["text"])))]
 
 
 @lru_cache(maxsize=1)
-def word_cache(model: str) -> dict[bytes, float]:
+def word_cache(model: str) -> Recent:
     """Scores of words under a model, kept for all tasks of a Python worker."""
-    return {}
+    return Recent(CACHE_WORDS)
 
 
-def mean_word_score(docs: DataFrame, weights: np.ndarray, sizes: tuple[int, ...],
-                    split: Callable[[bytes], list[bytes]], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keys`` (long columns of ``docs``), n_words and ``mean``: the average over the words of a whole text of the
-    average weight of their features (0 for texts without words)."""
+def with_word_scores(docs: DataFrame, weights: np.ndarray, sizes: tuple[int, ...],
+                     split: Callable[[bytes], list[bytes]], name: str) -> DataFrame:
+    """``docs`` and a struct column ``name``: n_words and mean, the average over the words of a whole
+    text of the average weight of their features (0 for texts without words)."""
     model = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # BUCKETS numbers
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
-        cache = word_cache(model)
-        for batch in batches:
-            out: list[list] = [[], []]
-            for text in batch.column("text").cast(pa.binary()):
-                words = split(text.as_py() or b"")
-                if len(cache) > CACHE_WORDS:
-                    cache.clear()
-                total = 0.0
-                for word in words:
-                    s = cache.get(word)
-                    if s is None:
-                        s = cache[word] = float(w[ngrams(word, sizes)].mean())
-                    total += s
-                out[0].append(len(words))
-                out[1].append(total / len(words) if words else 0.0)
-            yield pa.RecordBatch.from_arrays([*map(batch.column, keys), pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64())],
-                                             [*keys, "n_words", "mean"])
-
-    schema = "".join(f"{k} long, " for k in keys) + "n_words long, mean double"
-    return docs.select(*keys, "text").mapInArrow(score, schema)
+    @F.arrow_udf("struct<n_words: long, mean: double>")
+    def score(texts: pa.Array) -> pa.Array:
+        w, cache = shared.value, word_cache(model)
+        counts, means = [], []
+        for chunk in text_chunks(t.as_py() for t in texts.cast(pa.binary())):
+            parted = [split(text) for text in chunk]
+            known = {}
+            for word in dict.fromkeys(x for words in parted for x in words):
+                s = cache.get(word)
+                if s is None:
+                    s = float(w[ngrams(word, sizes)].mean())
+                    cache.put(word, s)
+                known[word] = s
+            for words in parted:
+                counts.append(len(words))
+                means.append(sum(map(known.__getitem__, words)) / len(words) if words else 0.0)
+        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(means, pa.float64())], ["n_words", "mean"])
+
+    return docs.withColumn(name, score("text"))
