@@ -18,19 +18,10 @@ from imagelake.session import tune
 ORACLE_SQL = None
 
 
-def without(spark: SparkSession, docs: DataFrame, out: DataFrame, label: str) -> DataFrame:
-    """``docs`` without the rows (doc_id, row: key of the text) of ``out``."""
-    out = materialize(spark, out.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct(), label)
-    same = docs["doc_id"].eqNullSafe(out["_doc"]) & (text_key(docs["text"]) == out["_row"])
-    return docs.join(out, same, "left_anti").select(*docs.columns)
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the toxicity model rejects, row by row."""
     tune(spark)
-    rows = docs.select("doc_id", "text", text_key(docs["text"]).alias("row"))
-    bad = toxicity.toxicity(rows, table(spark, sf_dir, "labels"), keys=("doc_id", "row")).where("rejected")
-    return without(spark, docs, bad, "toxic")
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +33,10 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (the smallest doc_id)."""
     tune(spark)
-    return without(spark, docs, near_dedup.verdicts(spark, docs).where(~F.col("kept")), "near-duplicates")
+    out = near_dedup.verdicts(spark, docs).where(~F.col("kept"))
+    out = materialize(spark, out.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct(), "near-duplicates")
+    same = docs["doc_id"].eqNullSafe(out["_doc"]) & (text_key(docs["text"]) == out["_row"])
+    return docs.join(out, same, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
