@@ -43,7 +43,8 @@ BLOCK = 25
 BATCH_BYTES = 2_000_000
 BUCKET_WORDS = 1_000_000
 NULL_ID = 2 ** 63 - 1
-ROUTED = "bucket int, payload binary, row long, starts array<int>, ends array<int>"
+#: kind 0: windows to be decided; kind 1: runs of rows that are settled
+ROUTED = "bucket int, kind int, payload binary"
 RUNS = "row long, starts array<int>, ends array<int>"
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -113,7 +114,18 @@ def per_group(ufunc: np.ufunc, values: np.ndarray, group: np.ndarray) -> np.ndar
 
 
 def run_rows(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> dict[str, pa.Array]:
-    """One row per entry of ``rows``, which must be sorted, with its runs."""
+    """One row per entry of ``rows`` with its runs, in order and merged where they overlap."""
+    order = np.lexsort((starts, rows))
+    rows, starts, ends = rows[order], starts[order].astype(np.int64), ends[order].astype(np.int64)
+    at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, int)
+    nth = np.zeros(len(rows), np.int64)
+    nth[at[1:]] = 1
+    base = np.cumsum(nth) << 32  # a row's places lie beyond those of the rows before
+    upto = np.maximum.accumulate(base + ends)
+    new = np.r_[True, base[1:] + starts[1:] > upto[:-1]] if len(rows) else np.empty(0, bool)
+    first = np.flatnonzero(new)
+    last = np.r_[first[1:], len(rows)] - 1
+    rows, starts, ends = rows[first], starts[first], (upto - base)[last] if len(rows) else ends
     at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.empty(0, int)
     offsets = pa.array(np.r_[at, len(rows)].astype(np.int32))
     lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (starts, ends)]
@@ -132,30 +144,41 @@ def merged_runs(ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nda
     return ids[at], places[at], places[last.astype(int)] + 1 if len(at) else places[at]
 
 
+def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """An order that brings buckets together, the buckets that occur, and where each lies in it."""
+    small = len(bucket) and bucket.max() < 65536  # short numbers sort faster
+    order = np.argsort(bucket.astype(np.uint16) if small else bucket, kind="stable")
+    bucket = bucket[order]
+    at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, int)
+    return order, bucket[at].astype(np.int32), list(zip(at.tolist(), np.r_[at[1:], len(bucket)].tolist()))
+
+
+def packed_runs(rows: np.ndarray, places: np.ndarray, buckets: int) -> tuple[np.ndarray, list[bytes]]:
+    """Places of rows as runs, packed for the buckets of the rows."""
+    rows, starts, ends = merged_runs(rows, places)
+    spread = (rows.astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(33)) % np.uint64(buckets)
+    order, sent, spans = by_bucket(spread)
+    cols = rows[order], starts[order].astype(np.int32), ends[order].astype(np.int32)
+    return sent, [b"".join(c[lo:hi].tobytes() for c in cols) for lo, hi in spans]
+
+
 def routed(bucket: np.ndarray, buckets: int, ids: np.ndarray, rows: np.ndarray, places: np.ndarray, keys: list[np.ndarray],
            settled: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
     """Rows to send: a packed array per bucket, and what is settled here already."""
-    order = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")  # short numbers sort faster
-    bucket, ids, rows, places, keys = bucket[order], ids[order], rows[order], places[order], [k[order] for k in keys]
-    cuts = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(bucket)] if len(bucket) else np.zeros(1, int)
-    payloads, sent = [], bucket[cuts[:-1]].astype(np.int32)
-    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+    order, sent, spans = by_bucket(bucket)
+    ids, rows, places, keys = ids[order], rows[order], places[order], [k[order] for k in keys]
+    payloads = []
+    for lo, hi in spans:
         d, r, p = ids[lo:hi], rows[lo:hi], places[lo:hi].astype(np.uint32)
         at = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
         parts = [np.asarray([hi - lo, len(at)], np.int32), d[at], r[at], np.diff(np.r_[at, hi - lo]).astype(np.uint32),
                  (p & np.uint32(0xFFFF)).astype(np.uint16), (p >> np.uint32(16)).astype(np.uint16)]
         parts += [k[lo:hi] for k in keys]
         payloads.append(b"".join(x.tobytes() for x in parts))
-    runs = run_rows(*merged_runs(*settled))
-    n, m = len(sent), len(runs["row"])
-    spread = runs["row"].to_numpy().astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(33)
+    done, runs = packed_runs(*settled, buckets)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.r_[sent, (spread % np.uint64(buckets)).astype(np.int32)], pa.int32()),
-        pa.concat_arrays([pa.array(payloads, pa.binary()), pa.nulls(m, pa.binary())]),
-        pa.concat_arrays([pa.nulls(n, pa.int64()), runs["row"]]),
-        pa.concat_arrays([pa.nulls(n, runs["starts"].type), runs["starts"]]),
-        pa.concat_arrays([pa.nulls(n, runs["ends"].type), runs["ends"]])],
-        ["bucket", "payload", "row", "starts", "ends"])
+        pa.array(np.r_[sent, done], pa.int32()), pa.array(np.repeat([0, 1], [len(sent), len(done)]), pa.int32()),
+        pa.array(payloads + runs, pa.binary())], ["bucket", "kind", "payload"])
 
 
 def unpacked(payload: bytes, types: list[str]) -> tuple[np.ndarray, ...]:
@@ -179,36 +202,47 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def meet(routed_rows: DataFrame, types: list[str], decide: Callable[..., np.ndarray], parts: int) -> DataFrame:
-    """Bring buckets together; ``decide`` says which of a bucket's windows to return (RUNS)."""
+def meet(routed_rows: DataFrame, types: list[str], decide: Callable[..., np.ndarray], parts: int, buckets: int) -> DataFrame:
+    """Bring buckets together; ``decide`` says which of a bucket's windows to return. The runs of
+    all buckets then meet by row, packed again (RUNS, one row per row of the documents)."""
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def held_buckets(batches: Iterator[pa.RecordBatch]):
+        """(bucket, payloads) of the windows, and (bucket, None, payload) of settled runs as they come."""
         now, held = None, []
+        for batch in batches:
+            for b, kind, payload in zip(*(batch.column(c) for c in ("bucket", "kind", "payload"))):
+                if kind.as_py():
+                    yield b.as_py(), None, payload.as_py()
+                    continue
+                if b.as_py() != now:
+                    if held:
+                        yield now, held, None
+                    now, held = b.as_py(), []
+                held.append(payload.as_py())
+        if held:
+            yield now, held, None
 
-        def done() -> Iterator[pa.RecordBatch]:
-            if held:
-                cols = [np.concatenate(x) for x in zip(*held)]
-                ids, rows, places, *keys = cols
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, held, payload in held_buckets(batches):
+            if held is None:
+                sent, runs = [bucket], [payload]
+            else:
+                ids, rows, places, *keys = (np.concatenate(x) for x in zip(*(unpacked(p, types) for p in held)))
                 take = decide(ids, *keys)
-                yield pa.RecordBatch.from_pydict(run_rows(*merged_runs(rows[take], places[take])))
+                sent, runs = packed_runs(rows[take], places[take], buckets)
+            yield pa.RecordBatch.from_arrays([pa.array(sent, pa.int32()), pa.array([0] * len(runs), pa.int32()),
+                                              pa.array(runs, pa.binary())], ["bucket", "kind", "payload"])
 
-        for batch in batches:
-            passed = batch.filter(pa.compute.is_null(batch.column("payload")))
-            if passed.num_rows:
-                yield passed.select(["row", "starts", "ends"])
-            for b, payload in zip(batch.column("bucket").to_pylist(), batch.column("payload")):
-                if payload.is_valid:
-                    if b != now:
-                        yield from done()
-                        now, held = b, []
-                    held.append(unpacked(payload.as_py(), types))
-        yield from done()
-
-    import pyarrow.compute  # noqa: F401
-    rows = routed_rows.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, RUNS)
-    # a row's runs are no more than its words; equal rows have equal runs
-    return rows.distinct().groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts"),
-                                      F.flatten(F.collect_list("ends")).alias("ends"))
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held, _ in held_buckets(batches):
+            cols = []
+            for p in held:
+                n = len(p) // 16
+                cols.append((np.frombuffer(p, np.int64, n), np.frombuffer(p, np.int32, n, 8 * n), np.frombuffer(p, np.int32, n, 12 * n)))
+            yield pa.RecordBatch.from_pydict(run_rows(*(np.concatenate(x) for x in zip(*cols))))
+
+    together = lambda df: df.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
+    return together(together(routed_rows).mapInArrow(settle, ROUTED)).mapInArrow(gather, RUNS)
 
 
 def anchor_hits(docs: DataFrame, buckets: int, parts: int, block: int) -> DataFrame:
@@ -238,7 +272,7 @@ def anchor_hits(docs: DataFrame, buckets: int, parts: int, block: int) -> DataFr
         two = per_group(np.minimum, ids[order], group) != per_group(np.maximum, ids[order], group)
         return order[((flags & 1) > 0) & (two | ((flags & 2) > 0))]
 
-    return meet(docs.mapInArrow(probes, ROUTED), ["u4", "u2"], decide, parts)
+    return meet(docs.mapInArrow(probes, ROUTED), ["u4", "u2"], decide, parts, buckets)
 
 
 def repeated_windows(docs_with_hits: DataFrame, buckets: int, parts: int, window: int, block: int) -> DataFrame:
@@ -268,7 +302,7 @@ def repeated_windows(docs_with_hits: DataFrame, buckets: int, parts: int, window
         order, group = same_groups(h1, h2)
         return order[ids[order] != per_group(np.minimum, ids[order], group)]
 
-    return meet(docs_with_hits.mapInArrow(candidates, ROUTED), ["u8", "u8"], decide, parts)
+    return meet(docs_with_hits.mapInArrow(candidates, ROUTED), ["u8", "u8"], decide, parts, buckets)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
