@@ -101,10 +101,12 @@ def pix8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pix3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """4x4x3 pictures: the first 48 values of pix8."""
-    return pix8(spark, sf_dir).select(
-        "vec_id", "label", F.lit(4).alias("height"), F.lit(4).alias("width"),
-        F.lit(3).alias("n_channels"), F.slice("pixels", 1, 48).alias("pixels"))
+    """8x8x3 pictures of all values of pix8: the second and third channel start 21 and 42
+    values further on."""
+    p = pix8(spark, sf_dir)
+    three = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.array(
+        *[F.element_at("pixels", (i + shift) % 64 + 1) for shift in (0, 21, 42)])))
+    return p.select("vec_id", "label", "height", "width", F.lit(3).alias("n_channels"), three.alias("pixels"))
 
 
 def slices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,12 +119,12 @@ def slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten raw class scores per embedding: the sums of ten fixed 6-value slices."""
+    """Ten raw class scores per embedding: score k sums the values k, k + 10, k + 20, ..."""
     emb = table(spark, sf_dir, "embeddings")
     return emb.select(
         F.col("vec_id").alias("item_id"),
         F.transform(F.sequence(F.lit(0), F.lit(9)),
-                    lambda k: F.aggregate(F.slice("embedding", k * 6 + 1, 6), F.lit(0.0).cast("double"),
+                    lambda k: F.aggregate(F.filter("embedding", lambda x, i: i % 10 == k), F.lit(0.0).cast("double"),
                                           lambda acc, x: acc + x.cast("double"))).alias("scores"),
         F.col("label").alias("y_true"))
 

@@ -4,15 +4,15 @@ Input ``eval(run_id, item_id, y_true, y_pred, confidence)``; everything is
 grouped by ``run_id`` so many runs evaluate in one job. Per-class numbers come
 from one partial aggregate over a stacked (true, pred) view; the class grid is
 generated from the class list (``inline`` of literals), so no join multiplies
-rows. Quantiles use the exact distributed ranks of ``functions.quantiles``.
+rows. Quantiles are exact (``functions.quantiles``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import exact_quantiles, quantiles_of, value_bins
 from ..functions.skew import salted_join
 
 # fixed values: accuracy tiers and confidence bands of the evaluation report.
@@ -95,42 +95,64 @@ def classification_report(ev: DataFrame, class_names: list[str]) -> DataFrame:
     return per.select(*cols).unionByName(summary.select(*cols))
 
 
+OTHER = -1  # class id of anything outside the class list
+
+
+def listed(class_id: str, n: int) -> Column:
+    """The class id where the list has it, else ``OTHER`` (also for null)."""
+    return F.when(F.col(class_id).between(0, n - 1), F.col(class_id)).otherwise(F.lit(OTHER)).cast("int")
+
+
 def confusion_matrix(ev: DataFrame, class_names: list[str]) -> DataFrame:
     """Long confusion matrix (I3): one row per (run, true class, predicted class),
-    zeros kept for every pair of the class list."""
-    counts = ev.groupBy("run_id", "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
+    zeros kept for every pair of the class list. Class ids outside the list are counted as class
+    ``OTHER``; its pairs appear only where there are some."""
     n = len(class_names)
-    pairs = F.array(*[F.struct(F.lit(i).cast("int").alias("y_true"), F.lit(j).cast("int").alias("y_pred"))
-                      for i in range(n) for j in range(n)])
-    grid = ev.select("run_id").distinct().select("run_id", F.inline(pairs))
-    return (grid.join(counts, ["run_id", "y_true", "y_pred"], "left")
-                .select("run_id", "y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    counts = ev.select("run_id", listed("y_true", n).alias("y_true"), listed("y_pred", n).alias("y_pred")).groupBy(
+        "run_id", "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
+    pair = lambda t, p: t * (n + 1) + p
+    # a run's pairs, at most (n + 1)^2, as one map: the grid needs neither a join nor a second scan
+    runs = counts.groupBy("run_id").agg(F.map_from_entries(F.collect_list(
+        F.struct(pair(F.col("y_true"), F.col("y_pred")), "n"))).alias("_n"))
+    ids = ", ".join(map(str, (*range(n), OTHER)))
+    grid = F.expr(f"inline(flatten(transform(array({ids}), t -> transform(array({ids}), "
+                  "p -> named_struct('y_true', t, 'y_pred', p)))))")
+    rows = runs.select("run_id", "_n", grid).withColumn(
+        "n", F.coalesce(F.try_element_at("_n", pair(F.col("y_true"), F.col("y_pred"))), F.lit(0)).cast("long"))
+    return rows.where((F.col("n") > 0) | ((F.col("y_true") != OTHER) & (F.col("y_pred") != OTHER))).select(
+        "run_id", "y_true", "y_pred", "n")
 
 
 def confusion_wide(ev: DataFrame, class_names: list[str]) -> DataFrame:
     """Wide confusion matrix (I3): rows true class, one column ``pred_<id>`` per class."""
     long = confusion_matrix(ev, class_names)
-    ids = list(range(len(class_names)))
-    wide = long.groupBy("run_id", "y_true").pivot("y_pred", ids).agg(F.sum("n"))
-    return wide.select("run_id", "y_true", *[F.col(str(i)).alias(f"pred_{i}") for i in ids])
+    return long.groupBy("run_id", "y_true").agg(*[F.sum(F.when(F.col("y_pred") == i, F.col("n"))).alias(f"pred_{i}")
+                                                  for i in range(len(class_names))])
 
 
 def class_accuracy(ev: DataFrame, class_names: list[str]) -> DataFrame:
-    """Recall per class (diagonal / row sum, 0 without support) and its tier (I4)."""
-    counts = per_class_counts(ev)
-    grid = class_grid(ev.select("run_id").distinct(), class_names)
-    j = grid.join(counts, ["run_id", "class_id"], "left")
-    sup = F.coalesce("support", F.lit(0)).cast("long")
-    hits = F.coalesce("hits", F.lit(0)).cast("long")
-    acc = _ratio(hits, sup)
+    """Recall per class (diagonal / row sum, 0 without support) and its tier (I4). Rows whose
+    true class is outside the list are one more class, ``OTHER``, named ``other``."""
+    names = [*class_names, "other"]
+    counts = ev.groupBy("run_id", listed("y_true", len(class_names)).alias("class_id")).agg(
+        F.count(F.lit(1)).alias("support"), F.sum(_hit()).alias("hits"))
+    # one map per run, bounded by the class list: no join and no second scan for the grid
+    runs = counts.groupBy("run_id").agg(F.map_from_entries(F.collect_list(
+        F.struct("class_id", F.struct("support", "hits")))).alias("_of"))
+    grid = F.array(*[F.struct(F.lit(i).alias("class_id"), F.lit(c).alias("name"))
+                     for i, c in zip((*range(len(class_names)), OTHER), names)])
+    of = F.try_element_at("_of", F.col("class_id"))
+    j = runs.select("run_id", "_of", F.inline(grid)).withColumn("support", F.coalesce(of["support"], F.lit(0)).cast("long")).withColumn(
+        "correct", F.coalesce(of["hits"], F.lit(0)).cast("long"))
+    acc = _ratio(F.col("correct"), F.col("support"))
     tier = F.when(acc >= TIER_GREEN, "green").when(acc >= TIER_YELLOW, "yellow").otherwise("red")
-    return j.select("run_id", "class_id", "name", hits.alias("correct"), sup.alias("support"),
-                    acc.alias("accuracy"), tier.alias("tier"))
+    return j.where((F.col("class_id") != OTHER) | (F.col("support") > 0)).select(
+        "run_id", "class_id", "name", "correct", "support", acc.alias("accuracy"), tier.alias("tier"))
 
 
 def best_worst(ev: DataFrame, class_names: list[str]) -> DataFrame:
     """Mean, best and worst class accuracy per run (I5); ties go to the first class id."""
-    ca = class_accuracy(ev, class_names)
+    ca = class_accuracy(ev, class_names).where(F.col("class_id") != OTHER)
     return ca.groupBy("run_id").agg(
         F.round(F.avg("accuracy"), AVG_DIGITS).alias("mean_class_accuracy"),
         F.max_by("name", F.struct(F.col("accuracy"), -F.col("class_id"))).alias("best_class"),
@@ -139,17 +161,32 @@ def best_worst(ev: DataFrame, class_names: list[str]) -> DataFrame:
         F.min("accuracy").alias("worst_accuracy"))
 
 
+def moments(bins: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
+    """run_id, n, mean, std, min, max of all values, from their bins (``value_bins``): the
+    squares of a bin are taken around its own mean, so nothing cancels."""
+    run = Window.partitionBy("run_id")  # over bins
+    mean = F.sum("total").over(run) / F.sum("n").over(run)
+    apart = F.col("total") / F.col("n") - F.col("_mean")
+    return bins.withColumn("_mean", mean).groupBy("run_id").agg(
+        F.sum("n").alias("n"), F.first("_mean", ignorenulls=True).alias("mean"),
+        F.sqrt(F.sum(F.col("n") * (F.col("var") + apart * apart)) / F.sum("n")).alias("std"),
+        F.min("lo").alias("min"), F.max("hi").alias("max"), *[c.alias(k) for k, c in (extra or {}).items()])
+
+
 def confidence_describe(ev: DataFrame, exact: bool = True) -> DataFrame:
     """Mean, median, population std (rounded to 6), min, max per run.
-    ``exact`` uses distributed ranks; otherwise ``percentile_approx``."""
-    base = ev.groupBy("run_id").agg(
-        F.count("confidence").alias("n"), F.avg("confidence").alias("mean"),
-        F.round(F.stddev_pop("confidence"), 6).alias("std"),
-        F.min("confidence").alias("min"), F.max("confidence").alias("max"))
+    ``exact`` reads the rows twice (value bins, and the bin of the median); otherwise
+    ``percentile_approx``."""
     if exact:
-        med = exact_quantiles(ev, ["run_id"], "confidence", {"median": 0.5})
+        bins = value_bins(ev, ["run_id"], "confidence")
+        med = quantiles_of(ev, bins, ["run_id"], "confidence", {"median": 0.5})
+        base = moments(bins).select("run_id", "n", "mean", F.round("std", 6).alias("std"), "min", "max")
     else:
         med = ev.groupBy("run_id").agg(F.percentile_approx("confidence", 0.5, 10000).alias("median"))
+        base = ev.groupBy("run_id").agg(
+            F.count("confidence").alias("n"), F.avg("confidence").alias("mean"),
+            F.round(F.stddev_pop("confidence"), 6).alias("std"),
+            F.min("confidence").alias("min"), F.max("confidence").alias("max"))
     return base.join(med, "run_id", "left").select("run_id", "n", "mean", "median", "std", "min", "max")
 
 

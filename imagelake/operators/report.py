@@ -10,25 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import exact_quantiles
-from .evaluate import class_accuracy
+from ..functions.quantiles import quantiles_of, value_bins
+from .evaluate import class_accuracy, moments
 from .training import best_epoch
 
 
 def report_columns(ev: DataFrame, history: DataFrame, class_names: list[str]) -> DataFrame:
     """Flat per-run columns of the report (leaf values)."""
-    # test metrics (I1) and confidence statistics (I6) in one pass over the rows
+    # test metrics (I1) and confidence statistics (I6) from one pass over the rows
     hit = (F.col("y_true") == F.col("y_pred")).cast("long")
-    base = ev.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("predictions_total"), F.sum(hit).alias("predictions_correct"),
-        F.avg("confidence").alias("conf_mean"), F.round(F.stddev_pop("confidence"), 6).alias("conf_std"),
-        F.min("confidence").alias("conf_min"), F.max("confidence").alias("conf_max"))
+    bins = value_bins(ev, ["run_id"], "confidence", {"rows": F.count(F.lit(1)), "hits": F.sum(hit)})
+    base = moments(bins, {"predictions_total": F.sum("rows"), "predictions_correct": F.sum("hits")})
     acc = base.select(
         "run_id", (F.col("predictions_correct") / F.col("predictions_total")).alias("test_accuracy"),
         "predictions_total", "predictions_correct",
         (F.col("predictions_total") - F.col("predictions_correct")).alias("predictions_incorrect"),
-        "conf_mean", "conf_std", "conf_min", "conf_max")
-    med = exact_quantiles(ev, ["run_id"], "confidence", {"conf_median": 0.5})
+        F.col("mean").alias("conf_mean"), F.round("std", 6).alias("conf_std"), F.col("min").alias("conf_min"),
+        F.col("max").alias("conf_max"))
+    med = quantiles_of(ev, bins, ["run_id"], "confidence", {"conf_median": 0.5})
     per = class_accuracy(ev, class_names).groupBy("run_id").agg(
         F.map_from_entries(F.collect_list(F.struct("name", "accuracy"))).alias("per_class_accuracy"))
     # collect_list runs over one run's class rows: bounded by the class count

@@ -103,6 +103,14 @@ def confidence_guard(df: DataFrame, col: str = "confidence") -> DataFrame:
     return df.where(F.col(col).between(0.0, 1.0))
 
 
+def confidence_rejects(df: DataFrame, col: str = "confidence") -> DataFrame:
+    """The rows that ``confidence_guard`` leaves out (C6), with the ``reason``: with it they are all rows."""
+    c = F.col(col)
+    reason = (F.when(c.isNull(), "no confidence").when(F.isnan(c), "not a number")
+              .when(c < 0, "below 0").when(c > 1, "above 1"))
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def decode_outcome(df: DataFrame, col: str = "outcome") -> DataFrame:
     """Split ``fruit|confidence`` / ``error|message`` text into typed columns (C7):
     ``fruit``, ``confidence`` (``try_cast``), ``error``. A confidence that does not

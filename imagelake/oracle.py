@@ -80,14 +80,16 @@ PIX8 = """SELECT vec_id, label, 8 AS height, 8 AS width, 1 AS n_channels,
   list_transform(embedding, lambda x: CAST(floor((CAST(x AS DOUBLE) + 1) * 127.5) AS DOUBLE)) AS pixels
 FROM embeddings"""
 
-PIX3 = """SELECT vec_id, label, 4 AS height, 4 AS width, 3 AS n_channels, pixels[1:48] AS pixels FROM pix8"""
+PIX3 = """SELECT vec_id, label, height, width, 3 AS n_channels,
+  flatten(list_transform(range(0, 64), lambda i: [pixels[i + 1], pixels[(i + 21) % 64 + 1], pixels[(i + 42) % 64 + 1]])) AS pixels
+FROM pix8"""
 
 SLICES = """SELECT vec_id, CAST(s AS INTEGER) AS slice_id, embedding[s * 8 + 1 : s * 8 + 8] AS vals
 FROM embeddings, range(0, 8) r(s)"""
 
 RAW_SCORES = """SELECT vec_id AS item_id,
   list_transform(range(0, 10), lambda k:
-    list_reduce(embedding[k * 6 + 1 : k * 6 + 6], lambda acc, x: acc + CAST(x AS DOUBLE), CAST(0.0 AS DOUBLE))) AS scores,
+    list_reduce(list_filter(embedding, lambda x, i: (i - 1) % 10 = k), lambda acc, x: acc + CAST(x AS DOUBLE), CAST(0.0 AS DOUBLE))) AS scores,
   label AS y_true
 FROM embeddings"""
 

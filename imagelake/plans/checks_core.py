@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..dims import class_dim, price_dim
+from ..dims import CLASS_NAMES, class_dim, price_dim
 from ..functions.names import basename, capitalize, title
 from ..operators import enrich, sessions, validate
 from ..oracle import cte
@@ -131,6 +131,14 @@ def q_c6(spark, sf):
     return validate.confidence_guard(log)
 
 
+@register("C6_confidence_rejects", cte("pred_log") + """
+SELECT event_id, c AS confidence, CASE WHEN c < 0 THEN 'below 0' ELSE 'above 1' END AS reason
+FROM (SELECT event_id, (confidence - 0.5) * 2.5 AS c FROM pred_log) AS x WHERE c < 0 OR c > 1""")
+def q_c6r(spark, sf):
+    log = fx.pred_log(spark, sf).select("event_id", ((F.col("confidence") - 0.5) * 2.5).alias("confidence"))
+    return validate.confidence_rejects(log)
+
+
 @register("C7_decode_outcome", cte("outcomes") + ", " + TYPED + """
 SELECT event_id, fruit, confidence, error FROM typed""")
 def q_c7(spark, sf):
@@ -265,7 +273,7 @@ def q_g3(spark, sf):
 
 @register("G4_session_summary", G4_SQL)
 def q_g4(spark, sf):
-    return sessions.session_summary(priced_results(spark, sf))
+    return sessions.session_summary(priced_results(spark, sf), CLASS_NAMES)
 
 
 @register("G5_class_distribution", LOG_CTE + """

@@ -231,12 +231,12 @@ def q_a7(spark, sf):
 
 
 def _e6_inputs(spark, sf):
-    """Requests: one message per log row, pointing at picture ``event_id % 600``;
-    landed pictures: the 4x4x3 pix3 pictures (ids >= the embedding count are
-    never landed, so some requests miss)."""
+    """Requests: one message per log row, pointing at picture ``7 * user_id``;
+    landed pictures: the 8x8x3 pix3 pictures (ids from the embedding count on
+    are never landed, so some requests miss)."""
     log = fx.pred_log(spark, sf)
     url = F.concat(F.lit("https://store.example/uploads/20240101/cam/"),
-                   (F.col("event_id") % 600).cast("string"), F.lit(".png"))
+                   (F.col("user_id") * 7).cast("string"), F.lit(".png"))
     msgs = log.select("event_id", url.alias("image_url"), "session_id", "filename", "received_at")
     vals = message_value(msgs, ts_col="received_at", keep=["event_id"]).drop("key")
     reqs = type_messages(parse_messages(vals))
@@ -252,15 +252,15 @@ E6_SCORES = """list_transform(range(0, 15), lambda k: list_reduce(list_transform
 
 
 @register("E6_score_requests", cte("pred_log", "pix3", "class_dim") + f"""
-, reqs AS (SELECT event_id, session_id, filename, CAST(event_id % 600 AS BIGINT) AS vec_id FROM pred_log),
+, reqs AS (SELECT event_id, session_id, filename, CAST(user_id * 7 AS BIGINT) AS vec_id FROM pred_log),
 fetched AS (SELECT r.*, p.pixels FROM reqs r LEFT JOIN pix3 p ON r.vec_id = p.vec_id),
 scored AS (
   SELECT event_id, list_transform(e, lambda x: x / list_reduce(e, lambda a, y: a + y, CAST(0 AS DOUBLE))) AS probs
   FROM (SELECT event_id, list_transform(s, lambda x: exp(x - list_max(s))) AS e
-        FROM (SELECT event_id, {E6_SCORES} AS s FROM fetched WHERE pixels IS NOT NULL AND len(pixels) = 48)))
+        FROM (SELECT event_id, {E6_SCORES} AS s FROM fetched WHERE pixels IS NOT NULL AND len(pixels) = 192)))
 SELECT f.session_id, f.filename, c.name AS fruit,
   round(list_max(s.probs), 6) AS confidence,
-  CASE WHEN f.pixels IS NULL THEN 'not found' WHEN len(f.pixels) <> 48 THEN 'bad shape' END AS error
+  CASE WHEN f.pixels IS NULL THEN 'not found' WHEN len(f.pixels) <> 192 THEN 'bad shape' END AS error
 FROM fetched f LEFT JOIN scored s ON f.event_id = s.event_id
 LEFT JOIN class_dim c ON c.class_id = CAST(list_position(s.probs, list_max(s.probs)) - 1 AS INTEGER)""")
 def q_e6(spark, sf):
@@ -269,7 +269,7 @@ def q_e6(spark, sf):
     from ..operators.scoring import rule_head
     from ..streaming.scoring import score_requests
     reqs, landed = _e6_inputs(spark, sf)
-    out = score_requests(reqs, landed, rule_head(48, 15), class_dim(spark), (4, 4, 3))
+    out = score_requests(reqs, landed, rule_head(192, 15), class_dim(spark), (8, 8, 3))
     return out.select("session_id", "filename", "fruit", F.round("confidence", 6).alias("confidence"), "error")
 
 
@@ -290,17 +290,17 @@ D13_SQL = cte("pix3") + f"""
   FROM pix3, range(1, 3) t(variant)),
 m AS (SELECT *, cos(angle * (pi() / 180.0)) AS ca, sin(angle * (pi() / 180.0)) AS sa FROM params)
 SELECT vec_id, variant, angle,
-  list_transform(range(0, 48), lambda j: pixels[(
-      CAST(least(greatest(round_even(ca * (j // 12) - sa * ((j // 3) % 4) + (1.5 - ca * 1.5 + sa * 1.5), 0), 0), 3)
-           AS BIGINT) * 4
-    + CAST(least(greatest(round_even(sa * (j // 12) + ca * ((j // 3) % 4) + (1.5 - sa * 1.5 - ca * 1.5), 0), 0), 3)
+  list_transform(range(0, 192), lambda j: pixels[(
+      CAST(least(greatest(round_even(ca * (j // 24) - sa * ((j // 3) % 8) + (3.5 - ca * 3.5 + sa * 3.5), 0), 0), 7)
+           AS BIGINT) * 8
+    + CAST(least(greatest(round_even(sa * (j // 24) + ca * ((j // 3) % 8) + (3.5 - sa * 3.5 - ca * 3.5), 0), 0), 7)
            AS BIGINT)) * 3 + j % 3 + 1]) AS pixels
 FROM m"""
 
 
 @register("D13_affine_warp", D13_SQL)
 def q_d13(spark, sf):
-    """Seeded rotations of the 4x4x3 pictures (NumPy inverse map per Arrow batch)."""
+    """Seeded rotations of the 8x8x3 pictures (NumPy inverse map per Arrow batch)."""
     from ..operators.augment import affine
     p3 = fx.pix3(spark, sf).withColumn("split", F.lit("train"))
     params = augment_params(p3, 2, seed=5)
@@ -318,7 +318,7 @@ px AS (
   SELECT vec_id, variant, hue, sat, val, p,
     pixels[3 * p + 1] AS r0, pixels[3 * p + 2] AS g0, pixels[3 * p + 3] AS b0,
     pixels[3 * p + 1] / 255.0 AS r, pixels[3 * p + 2] / 255.0 AS g, pixels[3 * p + 3] / 255.0 AS b
-  FROM params, range(0, 16) q(p)),
+  FROM params, range(0, 64) q(p)),
 h1 AS (SELECT *, greatest(r, g, b) AS v, greatest(r, g, b) - least(r, g, b) AS c FROM px),
 h2 AS (SELECT *, CASE WHEN v > 0 THEN c / v ELSE 0.0 END AS s,
          CASE WHEN c > 0 THEN c ELSE 1.0 END AS safe FROM h1),
@@ -347,7 +347,7 @@ FROM out GROUP BY vec_id, variant, hue, sat, val"""
 
 @register("D14_hsv_shift", D14_SQL)
 def q_d14(spark, sf):
-    """Seeded hue / saturation / value shifts of the 4x4x3 pictures (NumPy per Arrow batch)."""
+    """Seeded hue / saturation / value shifts of the 8x8x3 pictures (NumPy per Arrow batch)."""
     from ..operators.augment import hsv_shift
     p3 = fx.pix3(spark, sf).withColumn("split", F.lit("train"))
     params = augment_params(p3, 2, seed=6)

@@ -74,12 +74,12 @@ def q_d6(spark, sf):
 
 @register("D7_shape_check", cte("pix3") + """
 SELECT vec_id, n_channels, height > 0 AND len(pixels) = height * width * n_channels AS ok,
-  len(pixels) = 4 * 4 * 3 AS is_4x4x3
+  len(pixels) = 8 * 8 * 3 AS is_8x8x3
 FROM (SELECT * FROM pix3 UNION ALL SELECT * FROM pix8)""")
 def q_d7(spark, sf):
     both = fx.pix3(spark, sf).unionByName(fx.pix8(spark, sf))
     return both.select("vec_id", "n_channels", D.has_shape("pixels", "height", "width", "n_channels").alias("ok"),
-                       D.has_shape("pixels", 4, 4, 3).alias("is_4x4x3"))
+                       D.has_shape("pixels", 8, 8, 3).alias("is_8x8x3"))
 
 
 @register("D8_minmax_normalize", cte("slices") + """
@@ -110,7 +110,7 @@ SELECT vec_id,
   list_transform(range(0, 3), lambda k: list_reduce(list_filter(pixels, lambda x, i: (i - 1) % 3 = k),
       lambda a, x: a + x, CAST(0 AS DOUBLE)) / len(list_filter(pixels, lambda x, i: (i - 1) % 3 = k))) AS avg_pool,
   list_transform(range(0, 3), lambda k: list_max(list_filter(pixels, lambda x, i: (i - 1) % 3 = k))) AS max_pool,
-  list_transform(range(0, 16), lambda p: list_reduce(pixels[p * 3 + 1 : p * 3 + 3],
+  list_transform(range(0, 64), lambda p: list_reduce(pixels[p * 3 + 1 : p * 3 + 3],
       lambda a, x: a + x, CAST(0 AS DOUBLE)) / 3) AS channel_mean
 FROM pix3""")
 def q_d10(spark, sf):
@@ -202,6 +202,26 @@ def q_e2(spark, sf):
     return extract_features(emb, rule_mlp(64, 16, len(CLASS_NAMES), exact_sums=True), upto=1, keep=["vec_id"])
 
 
+@register("E7_gapped_frames", cte("pred_log") + """
+, gapped AS (SELECT concat('cam', CAST(user_id AS VARCHAR)) AS stream_id, CASE WHEN NOT is_error THEN event_id END AS frame_no,
+    received_at AS ts, y_pred, confidence, is_error FROM pred_log)
+SELECT stream_id, frame_no, ts, coalesce(last_value(CASE WHEN frame_no % 10 = 0 THEN frame_no END IGNORE NULLS) OVER w, -1) AS source_frame,
+  coalesce(last_value(CASE WHEN frame_no % 10 = 0 THEN y_pred END IGNORE NULLS) OVER w, -1) AS y_pred,
+  last_value(CASE WHEN frame_no % 10 = 0 THEN confidence END IGNORE NULLS) OVER w AS confidence, frame_no % 10 = 0 AS scored
+FROM gapped WHERE frame_no IS NOT NULL
+WINDOW w AS (PARTITION BY stream_id ORDER BY frame_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+UNION ALL SELECT stream_id, -1, ts, -1, -1, NULL, false FROM gapped WHERE frame_no IS NULL""", ts_cols=("ts",))
+def q_e7_gaps(spark, sf):
+    """A camera's counter runs over all cameras, so most scored frames are missing; errors have lost it."""
+    log = fx.pred_log(spark, sf)
+    gapped = log.select(F.concat(F.lit("cam"), F.col("user_id").cast("string")).alias("stream_id"),
+                        F.when(~F.col("is_error"), F.col("event_id")).alias("frame_no"), F.col("received_at").alias("ts"),
+                        "y_pred", "confidence", "is_error")
+    minus = lambda c: F.coalesce(c, F.lit(-1)).alias(c)
+    return sampled_inference(gapped, 10).select(
+        "stream_id", minus("frame_no"), "ts", minus("source_frame"), minus("y_pred"), "confidence", "scored")
+
+
 @register("E7_sampled_inference", cte("frames") + """
 SELECT stream_id, frame_no, ts, CAST(floor(frame_no / 10) * 10 AS BIGINT) AS source_frame,
   last_value(CASE WHEN frame_no % 10 = 0 THEN y_pred END IGNORE NULLS) OVER w AS y_pred,
@@ -242,9 +262,9 @@ def _bilinear_sql(h: int, w: int, c: int, oh: int, ow: int) -> str:
 
 
 @register("D6_resize_bilinear", cte("pix3") + f"""
-SELECT vec_id, 6 AS height, 5 AS width, 3 AS n_channels, {_bilinear_sql(4, 4, 3, 6, 5)} AS pixels FROM pix3""")
+SELECT vec_id, 6 AS height, 5 AS width, 3 AS n_channels, {_bilinear_sql(8, 8, 3, 6, 5)} AS pixels FROM pix3""")
 def q_d6b(spark, sf):
-    """Bilinear resize of the 4x4x3 pictures to 6x5 (NumPy per Arrow batch; the SQL
+    """Bilinear resize of the 8x8x3 pictures to 6x5 (NumPy per Arrow batch; the SQL
     engine covers nearest-neighbour only)."""
     from ..operators.resize import prepare_pictures
     return prepare_pictures(fx.pix3(spark, sf).select("vec_id", "height", "width", "n_channels", "pixels"),

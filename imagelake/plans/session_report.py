@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..dims import class_dim, price_dim
+from ..dims import CLASS_NAMES, class_dim, price_dim
 from ..operators.enrich import price_lookup
 from ..operators.sessions import session_summary
 from ..operators.validate import confidence_guard, decode_outcome
@@ -27,4 +27,4 @@ def priced_results(spark: SparkSession, sf_dir: str, catalog: str = "app") -> Da
 
 
 def session_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return session_summary(priced_results(spark, sf_dir))
+    return session_summary(priced_results(spark, sf_dir), CLASS_NAMES)

@@ -22,10 +22,9 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# column types for a table created by the JDBC sink (strings as VARCHAR so that
-# filters on them push down to any database)
-JDBC_TYPES = {"id": "VARCHAR(64)", "session_id": "VARCHAR(100)", "filename": "VARCHAR(255)",
-              "image_url": "VARCHAR(2048)", "fruit": "VARCHAR(50)", "error": "VARCHAR(1024)"}
+# column types for a table created by the JDBC sink; URLs and messages have no limit and take the
+# database's own text type
+JDBC_TYPES = {"id": "VARCHAR(64)", "session_id": "VARCHAR(100)", "filename": "VARCHAR(255)", "fruit": "VARCHAR(50)"}
 
 LOG_COLUMNS = ["id", "session_id", "filename", "image_url", "fruit", "confidence",
                "received_at", "processed_at"]

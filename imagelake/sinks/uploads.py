@@ -15,7 +15,16 @@ def land_uploads(df: DataFrame, base_url: str, ts_col: str = "uploaded_at") -> D
               .withColumn("image_url", F.concat(F.lit(base_url.rstrip("/") + "/"), key)))
 
 
-def write_uploads(df: DataFrame, root: str, mode: str = "append") -> None:
+def content_id(df: DataFrame) -> str:
+    """Name of a set of rows by its content: the same rows, in any order, have the same name."""
+    row = F.xxhash64(*df.columns)
+    n, both, total = df.agg(F.count(F.lit(1)), F.bit_xor(row), F.sum(row.cast("decimal(38,0)"))).first()
+    return f"{n}-{(both or 0) & (2 ** 64 - 1):016x}-{int(total or 0) & (2 ** 64 - 1):016x}"
+
+
+def write_uploads(df: DataFrame, root: str) -> None:
     """Write landed uploads partitioned by ``upload_date`` (the session id stays a
-    column: it has far too many values to be a partition)."""
-    df.write.mode(mode).partitionBy("upload_date").parquet(root)
+    column: it has far too many values to be a partition) and ``landing``, the batch's name
+    by content. A retry replaces its own partitions and no others, so it leaves equal rows."""
+    named = df.withColumn("landing", F.lit(content_id(df)))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upload_date", "landing").parquet(root)

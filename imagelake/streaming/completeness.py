@@ -3,9 +3,10 @@
 A stream-stream left outer join of requests and results on the request key
 with the time bound ``processed_at BETWEEN received_at AND received_at + 60 s``.
 Both sides carry watermarks, so state is dropped once a request can no longer
-match, and an unmatched request is emitted (as ``timed out``) when the
-watermark passes its deadline. The batch form is
-``operators.sessions.request_completeness``.
+match. An aggregate per request then keeps the first of its matches, so a request
+with several results in time is one row, as in the batch form
+(``operators.sessions.request_completeness``). It is emitted when the watermark
+has passed the request's deadline, matched or not.
 """
 
 from __future__ import annotations
@@ -25,12 +26,16 @@ def completeness_stream(requests: DataFrame, results: DataFrame, key: str = "req
     cond = ((F.col("q." + key) == F.col("r._rkey"))
             & (F.col("r.processed_at") >= F.col("q.received_at"))
             & (F.col("r.processed_at") <= F.col("q.received_at") + F.expr(f"INTERVAL {int(timeout_s)} SECONDS")))
-    j = req.join(res, cond, "leftOuter")
-    status = (F.when(F.col("r._rkey").isNull(), "timed out")
-              .when(F.col("r.error").isNotNull(), "error").otherwise("done"))
-    return j.select(F.col("q." + key).alias(key), F.col("q.session_id").alias("session_id"),
-                    F.col("q.received_at").alias("received_at"), F.col("r.processed_at").alias("processed_at"),
-                    F.col("r.error").alias("error"), status.alias("status"))
+    j = req.join(res, cond, "leftOuter").select(
+        F.col("q." + key).alias(key), F.col("q.session_id").alias("session_id"), F.col("q.received_at").alias("received_at"),
+        F.when(F.col("r._rkey").isNotNull(), F.struct(F.col("r.processed_at"), F.col("r.error"))).alias("_r"))
+    # of results at one instant, a success comes before an error
+    order = F.when(F.col("_r").isNotNull(), F.struct("_r.processed_at", F.coalesce("_r.error", F.lit(""))))
+    first = j.groupBy(key, "session_id", "received_at").agg(F.min_by("_r", order).alias("_r"))
+    status = (F.when(F.col("_r").isNull(), "timed out")
+              .when(F.col("_r.error").isNotNull(), "error").otherwise("done"))
+    return first.select(key, "session_id", "received_at", F.col("_r.processed_at").alias("processed_at"),
+                        F.col("_r.error").alias("error"), status.alias("status"))
 
 
 def start_completeness(requests: DataFrame, results: DataFrame, target: str, checkpoint: str,

@@ -91,6 +91,10 @@ def test_session_cap_rejects_a_hot_session_whole(spark):
 # Windows allowed over raw rows, and why.
 RAW_WINDOWS = {
     "G8_session_preview": "row_number() <= k, planned with a partial WindowGroupLimit",
+    "E7_sampled_inference": "one row per block of frames, within a range of a written range shuffle",
+    "E7_gapped_frames": "as E7_sampled_inference",
+    "I6_confidence_describe": "over written bin counts", "I10_box_stats": "over written bin counts",
+    "I13_model_report": "over written bin counts", "I13_per_class_map_size": "over written bin counts",
     "E9_early_stop": "per-run training history, bounded by the epoch count",
 }
 

@@ -128,7 +128,8 @@ def test_sampled_inference_stream_equals_batch(spark, scratch):
     folder = os.path.join(scratch, "frames")
     _write_stream_files(frames, folder, "ts", range(1, 31))
     stream = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 3).parquet(folder)
-    q = (sampled_inference_stream(stream, 3).writeStream.format("memory").queryName("e7_stream")
+    ten_years = 10 * 366 * 86400  # a camera of this fixture sends a frame every few hours
+    q = (sampled_inference_stream(stream, 3, idle_s=ten_years).writeStream.format("memory").queryName("e7_stream")
          .outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck"))
          .trigger(availableNow=True).start())
     q.awaitTermination(300)
@@ -215,3 +216,71 @@ def test_frame_stream_carries_the_last_result_seen(spark, scratch):
     assert got[1] == (0, 0) and got[2] == (0, 0) and got[3] == (3, 3)
     assert got[4] == (0, 0) and got[5] == (0, 0)   # scored frame 3 not seen yet: the last result stays
     assert got[6] == (6, 6)
+
+
+def test_an_idle_camera_is_forgotten(spark, scratch):
+    from datetime import datetime, timedelta
+    start = datetime(2024, 1, 1)
+    schema = "stream_id string, frame_no long, ts timestamp, y_pred int, confidence double, is_error boolean"
+    folder = os.path.join(scratch, "frames")
+    # camera a is silent for two hours, camera b sends on; a frame without a counter has no result
+    parts = [[("a", 0, 0), ("a", 1, 1), ("b", 0, 1), ("b", None, 2)], [("b", k, 600 * k) for k in range(1, 12)],
+             [("b", 12, 7200), ("a", 2, 7201)], [("a", 3, 7202), ("a", 4, 7203), ("b", 13, 7204)]]
+    for k, part in enumerate(parts):
+        rows = [(c, f, start + timedelta(seconds=t), 7 if f is None else f, 0.5, False) for c, f, t in part]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        for f in os.listdir(folder):
+            path = os.path.join(folder, f)
+            if f.endswith(".parquet") and os.path.getmtime(path) > 1_700_001_000:
+                os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    q = (sampled_inference_stream(stream, 3, idle_s=3600, delay="1 minute").writeStream.format("memory").queryName("e7_idle")
+         .outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = {(r.stream_id, r.frame_no): r.source_frame for r in spark.table("e7_idle").collect()}
+    assert got["a", 1] == 0 and got["b", 11] == 9 and got["b", 13] == 12 and got["b", None] is None
+    assert got["a", 2] is None            # frame 0 is forgotten
+    assert got["a", 3] == 3 and got["a", 4] == 3
+
+
+def test_several_results_in_time_give_one_row(spark, scratch):
+    from datetime import datetime, timedelta
+    t = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
+    req = spark.createDataFrame([(1, "s", t(0)), (2, "s", t(5)), (3, "s", t(6)), (9, "s", t(4000))],
+                                "request_id long, session_id string, received_at timestamp")
+    res = spark.createDataFrame([(1, t(20), "bad image"), (1, t(10), None), (1, t(30), None), (2, t(80), None), (2, t(5), "bad image"),
+                                 (2, t(5), None), (9, t(4001), None)], "request_id long, processed_at timestamp, error string")
+    rq, rs = os.path.join(scratch, "req"), os.path.join(scratch, "res")
+    req.coalesce(1).write.parquet(rq)
+    res.coalesce(1).write.parquet(rs)
+    q = (completeness_stream(spark.readStream.schema(req.schema).parquet(rq), spark.readStream.schema(res.schema).parquet(rs))
+         .writeStream.format("memory").queryName("g7_once").option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = sorted(map(tuple, spark.table("g7_once").collect()))
+    want = sorted(map(tuple, request_completeness(req, res).select("request_id", "session_id", "received_at", "processed_at",
+                                                                   "error", "status").where("request_id < 9").collect()))
+    assert got == want
+    assert [(r[0], r[5]) for r in got] == [(1, "done"), (2, "done"), (3, "timed out")]
+
+
+def test_scoring_job_hands_its_database_to_the_sink(spark, scratch, monkeypatch):
+    from imagelake.sinks import predictions
+    from imagelake.streaming import scoring
+    df, landing = _landing(spark, scratch, 6)
+    src = _requests(df, scratch, 1)
+    rows = {}
+
+    def write(batch, jdbc, table):
+        rows.setdefault((jdbc["url"], table), []).extend(batch.select("filename").collect())
+
+    monkeypatch.setattr(predictions, "write_jdbc_idempotent", write)
+    job = ScoringJob(source_options={"path": src}, landing_root=landing, target=None, errors_target=None,
+                     checkpoint=os.path.join(scratch, "ckpt"), spec=rule_head(48, 15), shape=(4, 4, 3), source_format="text",
+                     jdbc={"url": "jdbc:test"}, table="p", errors_table="e")
+    q = scoring.start_scoring(spark, job, class_dim(spark))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert len(rows["jdbc:test", "p"]) == 6 and [r.filename for r in rows["jdbc:test", "e"]] == [None]
