@@ -95,6 +95,7 @@ RAW_WINDOWS = {
     "E7_gapped_frames": "as E7_sampled_inference",
     "I6_confidence_describe": "over written bin counts", "I10_box_stats": "over written bin counts",
     "I13_model_report": "over written bin counts", "I13_per_class_map_size": "over written bin counts",
+    "B6_report_sink": "over written bin counts",
     "E9_early_stop": "per-run training history, bounded by the epoch count",
 }
 
