@@ -39,8 +39,8 @@ from imagelake.llm.common import Recent, materialize, pow2_at_least, text_chunks
 
 CAPACITY = 2048
 END_ID = 0
-#: Runs, and pieces of runs, per generation of a worker's cache (some 30 and 20 MB).
-CACHE_RUNS, CACHE_PIECES = 150_000, 100_000
+#: Runs, and pieces of runs, per generation of a worker's cache (some 80 and 40 MB).
+CACHE_RUNS, CACHE_PIECES = 400_000, 200_000
 #: Pieces that go through the tokenizer at once.
 LEARN_PIECES = 20_000
 #: Closing marks that are looked up apart from the letters before them.
