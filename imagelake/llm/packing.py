@@ -28,6 +28,7 @@ import string
 import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -77,7 +78,7 @@ def run_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
         e = tok.encode(" ".join(pieces), add_special_tokens=False)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
         begins = np.cumsum(sizes) - sizes
-        at = np.fromiter((first for first, _ in e.offsets), np.int64, len(e.ids))
+        at = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(e.ids))[::2]
         cuts = (4 * np.searchsorted(at, begins)).tolist() + [4 * len(at)]
         ids = np.asarray(e.ids, "<u4").tobytes()
         return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
