@@ -96,6 +96,9 @@ RAW_WINDOWS = {
     "I6_confidence_describe": "over written bin counts", "I10_box_stats": "over written bin counts",
     "I13_model_report": "over written bin counts", "I13_per_class_map_size": "over written bin counts",
     "B6_report_sink": "over written bin counts",
+    "op4_best_fit_packing": "ranks within a length and hash bucket of some 2,000 written rows",
+    "op5_mixing": "sums within a source's bucket of some 4,000 written rows, and within a range of the sort",
+    "pipeline": "ends with op4_best_fit_packing",
     "E9_early_stop": "per-run training history, bounded by the epoch count",
 }
 
