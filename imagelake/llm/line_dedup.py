@@ -9,7 +9,7 @@ by partial aggregation; a hot line sends one sketch per task. Lines whose estima
 is near the threshold (within ``NEAR`` of it) get exact distinct counts, from
 distinct (line, site) pairs. Lines are told apart by 64-bit xxHash and length.
 
-Defined cases: null and empty texts have no lines and stay as they are; null source
+Defined cases: a null text has no lines, an empty one is one blank line, and both stay as they are; null source
 is no site; blank lines always stay; a document that would lose every line keeps its
 text only if another row has the same whole text (whole copies are the business of
 document dedup); null doc_id counts as the largest id; rows that share a doc_id never

@@ -165,9 +165,9 @@ def op7_line_dedup(spark, sf_dir):
 def op1_url_filters(spark, sf_dir):
     from imagelake.llm.url_filter import host_and_path, url_filter
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    # the last number of a path is the document that the page shows
+    # the last number of a path is the document that the page shows; one beyond a long is none
     _, path = host_and_path(F.col("url"))
-    number = F.regexp_extract(path, r"(\d{1,18})\D*$", 1)
+    number = F.regexp_extract(path, r"(\d+)\D*$", 1)
     shown = pages.select("page_id", number.try_cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(bad).alias("bad"))
