@@ -2,9 +2,13 @@
 
 Each document gets counts over its whole text. A few counts have fixed bounds (the
 base rules). For the others every (language, source) gets its own bounds: the
-rates of its documents go into a mergeable quantile sketch, the quartiles of the
-sketch give Tukey fences, and the documents are joined with the fences of their
-group and filtered.
+rates of its documents go into a mergeable quantile sketch, the sketch gives the
+fences, and the documents are joined with the fences of their group and filtered.
+
+A fence lies ``FENCE`` spreads beyond its quartile. The spread of a side is the
+distance of the quartiles or, if longer, that from the quartile to the outer decile
+of that side, so a long tail of a group widens its own bounds. Nothing else sets the
+width but the resolution of the sketch: a spread is one cell at least.
 
 The sketch is a log-linear histogram: a rate is counted in the cell of its leading
 ``SKETCH_BITS`` binary digits, so a quantile is off by one part in 32 at most. Two
@@ -32,11 +36,13 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 SKETCH_BITS = 6
 MIN_GROUP = 100
-#: Quartile distances beyond a quartile that are still accepted.
-FENCE = 3
-#: rate -> least quartile distance to reckon with, so that a group whose documents
-#: are all alike does not reject the first that differs a little.
-RATES = {"symbol_rate": 10, "upper_rate": 50, "word_length": 150, "dup_line_rate": 200}
+#: Spreads beyond a quartile that are still accepted.
+FENCE = 4
+#: Rates with fences. A document's first repeated line is no rate yet: in a text of few
+#: lines it alone would be a large one.
+RATES = ("symbol_rate", "upper_rate", "word_length", "dup_line_rate")
+#: Quantiles that the fences need, in per cent.
+QUANTILES = (10, 25, 75, 90)
 
 
 def _covered(starts: Column) -> Column:
@@ -84,15 +90,24 @@ def with_rates(counts: DataFrame) -> DataFrame:
         div(F.col("n_symbols") * 1000, chars).alias("symbol_rate"),
         div(F.col("n_upper") * 1000, chars).alias("upper_rate"),
         div(F.col("word_chars") * 100, n).alias("word_length"),
-        div(F.col("n_dup_lines") * 1000, F.greatest("n_lines", F.lit(1))).alias("dup_line_rate"))
+        div(F.greatest(F.col("n_dup_lines") - 1, F.lit(0)) * 1000, F.greatest("n_lines", F.lit(1))).alias("dup_line_rate"))
+
+
+def _dropped_bits(rate: Column) -> Column:
+    return F.greatest(F.length(F.bin(rate)) - SKETCH_BITS, F.lit(0))
 
 
 def sketch_cell(rate: Column) -> Column:
     """The leading SKETCH_BITS binary digits of ``rate``, the rest set to 0."""
-    shift = F.greatest(F.length(F.bin(rate)) - SKETCH_BITS, F.lit(0))
+    shift = _dropped_bits(rate)
     return F.call_function("shiftleft", F.call_function("shiftright", rate, shift), shift)
 
 
+def cell_width(cell: Column) -> Column:
+    """How many rates share the cell."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), _dropped_bits(cell))
+
+
 def sketches(rated: DataFrame) -> DataFrame:
     """Mergeable sketches: lang, source, rate, cell, n (documents in the cell)."""
     cells = F.array(*[F.struct(F.lit(r).alias("rate"), sketch_cell(F.col(r)).alias("cell")) for r in RATES])
@@ -105,26 +120,26 @@ def fences(cells: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     langs = cells.groupBy("lang", "rate", "cell").agg(F.sum("n").alias("n"))
     everything = langs.groupBy("rate", "cell").agg(F.sum("n").alias("n"))
 
-    def quartiles(c: DataFrame, keys: list[str], name: str) -> DataFrame:
+    def quantiles(c: DataFrame, keys: list[str], name: str) -> DataFrame:
         w = Window.partitionBy(*keys, "rate")  # a few hundred cells of a sketch
         run = c.select(*keys, "rate", "cell", F.sum("n").over(w).alias("total"), F.sum("n").over(
             w.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)).alias("cum"))
         return run.groupBy(*keys, "rate").agg(F.struct(
             F.max("total").alias("n"),
-            F.min(F.when(4 * F.col("cum") >= F.col("total"), F.col("cell"))).alias("q1"),
-            F.min(F.when(4 * F.col("cum") >= 3 * F.col("total"), F.col("cell"))).alias("q3")).alias(name))
+            *[F.min(F.when(100 * F.col("cum") >= q * F.col("total"), F.col("cell"))).alias(f"q{q}") for q in QUANTILES]
+        ).alias(name))
 
-    own, lang, top = (quartiles(c, k, n) for c, k, n in (
+    own, lang, top = (quantiles(c, k, n) for c, k, n in (
         (cells, ["lang", "source"], "own"), (langs, ["lang"], "by_lang"), (everything, [], "top")))
     lang = lang.select(F.col("lang").alias("_lang"), F.col("rate").alias("_rate"), "by_lang")
     q = own.join(lang, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("rate") == F.col("_rate"))).drop("_lang", "_rate")
     q = q.join(F.broadcast(top), "rate")  # one row per rate
     pick = F.when(F.col("own.n") >= min_group, F.col("own")).when(
         F.col("by_lang.n") >= min_group, F.col("by_lang")).otherwise(F.col("top"))
-    floor = F.create_map(*[x for r, f in RATES.items() for x in (F.lit(r), F.lit(f).cast("long"))])
-    q = q.select("lang", "source", "rate", pick.alias("p"), floor[F.col("rate")].alias("f"))
-    reach = FENCE * F.greatest(F.col("p.q3") - F.col("p.q1"), F.col("f"))
-    q = q.select("lang", "source", "rate", (F.col("p.q1") - reach).alias("lo"), (F.col("p.q3") + reach).alias("hi"))
+    q = q.select("lang", "source", "rate", pick.alias("p")).select("lang", "source", "rate", "p.*")
+    below = F.greatest(F.col("q75") - F.col("q25"), F.col("q25") - F.col("q10"), cell_width(F.col("q25")))
+    above = F.greatest(F.col("q75") - F.col("q25"), F.col("q90") - F.col("q75"), cell_width(F.col("q75")))
+    q = q.select("lang", "source", "rate", (F.col("q25") - FENCE * below).alias("lo"), (F.col("q75") + FENCE * above).alias("hi"))
     return q.groupBy("lang", "source").agg(*[
         F.max(F.when(F.col("rate") == r, F.col(b))).alias(f"{b}_{r}") for r in RATES for b in ("lo", "hi")])
 

@@ -36,16 +36,19 @@ def op2_exact_dedup(spark, sf_dir):
 _SPACES = r"[\x20\x09-\x0D]+"
 _SYMBOLS = r"[#*$%&|<>]"
 _CELL = "(({r} >> greatest(length(bin({r})) - 6, 0)) << greatest(length(bin({r})) - 6, 0))"
+_CELL_WIDTH = "(CAST(1 AS BIGINT) << greatest(length(bin({r})) - 6, 0))"
 
 
 def _op3_sql() -> str:
-    from imagelake.llm.quality_rules import RATES
+    from imagelake.llm.quality_rules import FENCE, QUANTILES, RATES
     rates = " UNION ALL ".join(
-        f"SELECT doc_id, lang, source, '{r}' AS rate, {r} AS v, {f} AS floor_, {_CELL.format(r=r)} AS cell FROM rated"
-        for r, f in RATES.items())
-    quart = ("min(cell) FILTER (4 * cum >= n) AS q1, min(cell) FILTER (4 * cum >= 3 * n) AS q3, max(n) AS n FROM "
+        f"SELECT doc_id, lang, source, '{r}' AS rate, {r} AS v, {_CELL.format(r=r)} AS cell FROM rated"
+        for r in RATES)
+    quant = (", ".join(f"min(cell) FILTER (100 * cum >= {q} * n) AS q{q}" for q in QUANTILES) + ", max(n) AS n FROM "
              "(SELECT *, count(*) OVER (PARTITION BY {k}) AS n, count(*) OVER (PARTITION BY {k} ORDER BY cell) AS cum "
              "FROM long_) AS x GROUP BY {k}")
+    chosen = ", ".join(
+        f"CASE WHEN o.n >= 100 THEN o.q{q} WHEN b.n >= 100 THEN b.q{q} ELSE t.q{q} END AS q{q}" for q in QUANTILES)
     return f"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, list_filter(string_split_regex(text, '{_SPACES}'), lambda x: x <> '') AS ws,
@@ -62,18 +65,18 @@ counts AS (SELECT w.doc_id, lang, source, len(ws) AS n_words, len(ls) AS n_lines
   FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
 rated AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
   n_symbols * 1000 // greatest(word_chars, 1) AS symbol_rate, n_upper * 1000 // greatest(word_chars, 1) AS upper_rate,
-  word_chars * 100 // greatest(n_words, 1) AS word_length, n_dup_lines * 1000 // greatest(n_lines, 1) AS dup_line_rate
+  word_chars * 100 // greatest(n_words, 1) AS word_length, greatest(n_dup_lines - 1, 0) * 1000 // greatest(n_lines, 1) AS dup_line_rate
   FROM counts),
 long_ AS ({rates}),
-own AS (SELECT lang, source, rate, {quart.format(k='lang, source, rate')}),
-by_lang AS (SELECT lang, rate, {quart.format(k='lang, rate')}),
-top AS (SELECT rate, {quart.format(k='rate')}),
-bad AS (SELECT DISTINCT doc_id FROM (SELECT l.doc_id, l.v, l.floor_,
-    CASE WHEN o.n >= 100 THEN o.q1 WHEN b.n >= 100 THEN b.q1 ELSE t.q1 END AS q1,
-    CASE WHEN o.n >= 100 THEN o.q3 WHEN b.n >= 100 THEN b.q3 ELSE t.q3 END AS q3
+own AS (SELECT lang, source, rate, {quant.format(k='lang, source, rate')}),
+by_lang AS (SELECT lang, rate, {quant.format(k='lang, rate')}),
+top AS (SELECT rate, {quant.format(k='rate')}),
+bad AS (SELECT DISTINCT doc_id FROM (SELECT l.doc_id, l.v,
+    {chosen}
   FROM long_ l JOIN own o ON l.lang IS NOT DISTINCT FROM o.lang AND l.source IS NOT DISTINCT FROM o.source AND l.rate = o.rate
   JOIN by_lang b ON l.lang IS NOT DISTINCT FROM b.lang AND l.rate = b.rate JOIN top t ON l.rate = t.rate) AS z
-  WHERE v < q1 - 3 * greatest(q3 - q1, floor_) OR v > q3 + 3 * greatest(q3 - q1, floor_))
+  WHERE v < q25 - {FENCE} * greatest(q75 - q25, q25 - q10, {_CELL_WIDTH.format(r='q25')})
+     OR v > q75 + {FENCE} * greatest(q75 - q25, q90 - q75, {_CELL_WIDTH.format(r='q75')}))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM rated
 """

@@ -12,7 +12,7 @@ from imagelake.llm.mixing import mix_counts, mix_documents
 from imagelake.llm.near_dedup import near_dedup
 from imagelake.llm.packing import pack_documents, plan
 from imagelake.llm.quality_classifier import quality_scores
-from imagelake.llm.quality_rules import quality_rules
+from imagelake.llm.quality_rules import FENCE, RATES, count_features, fences, quality_rules, sketches, with_rates
 from imagelake.llm.substring_dedup import substring_dedup
 from imagelake.llm.toxicity import toxicity
 from imagelake.llm.url_filter import url_filter
@@ -49,6 +49,29 @@ def test_quality_rules_edges(spark, docs, awkward):
     assert (row["n_words"], row["n_repeat_words"], row["base_failed"]) == (11, 10, True)
 
 
+def test_quality_fences_follow_their_group(spark, docs):
+    rng = random.Random(11)
+    text = lambda symbols: " ".join(f"w{i}" for i in rng.sample(range(1000, 2000), 40)) + " " + "#" * symbols
+    # source a holds code with 10 to 20 symbols a text, source b prose with none
+    texts = [text(rng.randrange(10, 21)) for _ in range(150)] + [text(0) for _ in range(150)]
+    probes = [text(18), text(90), text(18)]
+    d = docs(texts + probes, ["a"] * 150 + ["b"] * 150 + ["a", "a", "b"])
+    verdicts = by_id(quality_rules(spark, d), "adaptive_failed", "symbol_rate")
+    assert [verdicts[300 + i][0] for i in range(3)] == [False, True, True]
+    assert not any(verdicts[i][0] for i in range(300))
+
+    # the fences against the definition: quartiles and outer deciles of the sketch cells
+    rated = with_rates(count_features(d)).collect()
+    (a,) = [r for r in fences(sketches(with_rates(count_features(d)))).collect() if r["source"] == "a"]
+    for rate in RATES:
+        kept_bits = lambda v: max(v.bit_length() - 6, 0)
+        cells = sorted(r[rate] >> kept_bits(r[rate]) << kept_bits(r[rate]) for r in rated if r["source"] == "a")
+        q10, q25, q75, q90 = (cells[-(-q * len(cells) // 100) - 1] for q in (10, 25, 75, 90))
+        below = max(q75 - q25, q25 - q10, 1 << kept_bits(q25))
+        above = max(q75 - q25, q90 - q75, 1 << kept_bits(q75))
+        assert (a[f"lo_{rate}"], a[f"hi_{rate}"]) == (q25 - FENCE * below, q75 + FENCE * above)
+
+
 def test_mixing_targets(spark, docs, awkward):
     rng = random.Random(3)
     d = docs([prose(rng, rng.randrange(1, 40)) for _ in range(600)], [rng.choice("aabbbbbbbbc") for _ in range(600)])
