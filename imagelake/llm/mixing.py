@@ -13,8 +13,8 @@ over the whole line per range of the sort (``running_totals``). Only what has on
 row per source, per bucket or per range is summed in a plain window.
 
 Defined cases: null text has size 0; null source is the last source; rows that
-share doc_id, source and text are one document of their summed size; rows of a null
-doc_id are told apart by their texts; documents of size 0 are taken 0 times; an empty table gives an
+share doc_id, source and text are taken together, equally often, and each is returned
+with its own size; rows of a null doc_id are told apart by their texts; documents of size 0 are taken 0 times; an empty table gives an
 empty result; other columns, whatever their names, are not read. Reruns agree.
 """
 
@@ -37,9 +37,10 @@ def _key(source: Column) -> Column:
 
 
 def shuffled(spark: SparkSession, docs: DataFrame, seed: str) -> DataFrame:
-    """doc_id, source, row (key of the text), skey, size, place (shuffled order) and words of the source before each."""
+    """doc_id, source, row (key of the text), rows (equal in all three), skey, size (of all these
+    rows), place (shuffled order) and source_words (of the source up to the end of these)."""
     units = docs.select("doc_id", "source", text_key(F.col("text")).alias("row"), F.size(words(F.col("text"))).cast("long").alias("size")) \
-        .groupBy("doc_id", "source", "row").agg(F.sum("size").alias("size"))
+        .groupBy("doc_id", "source", "row").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
     place = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     units = materialize(spark, units.select("*", _key(F.col("source")).alias("skey"), place.alias("place"),
                                              F.lpad(F.hex("row"), 16, "0").alias("tie")), "mix-units")
@@ -58,7 +59,7 @@ def shuffled(spark: SparkSession, docs: DataFrame, seed: str) -> DataFrame:
     own = F.sum("size").over(Window.partitionBy("skey", "_bucket").orderBy("place", "doc_id", "tie")
                              .rowsBetween(Window.unboundedPreceding, 0))
     return materialize(spark, units.select("*", own.alias("_own")).join(starts, ["skey", "_bucket"]).select(
-        "doc_id", "source", "row", "skey", "size", "place", (F.col("_start") + F.col("_own")).alias("source_words")), "mix-line")
+        "doc_id", "source", "row", "rows", "skey", "size", "place", (F.col("_start") + F.col("_own")).alias("source_words")), "mix-line")
 
 
 def targets(spark: SparkSession, line: DataFrame) -> DataFrame:
@@ -109,20 +110,29 @@ def mixed_line(spark: SparkSession, docs: DataFrame, seed: str = "mix") -> tuple
     return queue.where(F.col("end") <= F.lit(budget)).select("doc_id", "source", "row", "epoch", "size", "finish", "end"), units
 
 
-def mix_counts(spark: SparkSession, docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """doc_id, source, size, source_size, target, copies (times taken), taken (words), row."""
+def unit_counts(spark: SparkSession, docs: DataFrame, seed: str = "mix") -> DataFrame:
+    """doc_id, source, row, rows (equal rows), size (of one of them), source_size, target and
+    copies (times the mix takes each)."""
     mix, units = mixed_line(spark, docs, seed)
     copies = mix.groupBy("doc_id", _key(F.col("source")).alias("skey"), "row").agg(F.count(F.lit(1)).alias("copies"))
     copies = copies.withColumnsRenamed({"doc_id": "_doc", "skey": "_skey", "row": "_row"})
     n = F.coalesce("copies", F.lit(0).cast("long"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("skey") == F.col("_skey")) & (F.col("row") == F.col("_row"))
     return units.join(copies, same, "left").select(
-        "doc_id", "source", "size", "source_size", "target", n.alias("copies"), (F.col("size") * n).alias("taken"), "row")
+        "doc_id", "source", "row", "rows", F.expr("size DIV rows").alias("size"), "source_size", "target", n.alias("copies"))
+
+
+def mix_counts(spark: SparkSession, docs: DataFrame, seed: str = "mix") -> DataFrame:
+    """doc_id, source, size, source_size, target, copies (times taken), taken (words), row
+    per row of ``docs``."""
+    each = unit_counts(spark, docs, seed).withColumn("_each", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+    return each.select("doc_id", "source", "size", "source_size", "target", "copies",
+                       (F.col("size") * F.col("copies")).alias("taken"), "row")
 
 
 def mix_documents(spark: SparkSession, docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mix takes it."""
-    take = mix_counts(spark, docs, seed).where("copies > 0").select(
+    take = unit_counts(spark, docs, seed).where("copies > 0").select(
         F.col("doc_id").alias("_doc"), _key(F.col("source")).alias("_skey"), F.col("row").alias("_row"), F.col("copies").alias("_copies"))
     rows = docs.join(materialize(spark, take, "mix-take"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (
         _key(F.col("source")) == F.col("_skey")) & (text_key(docs["text"]) == F.col("_row")))

@@ -85,6 +85,14 @@ def test_mixing_targets(spark, docs, awkward):
     assert sorted(map(tuple, out)) == sorted(map(tuple, mix_counts(spark, d).collect()))
     assert mix_counts(spark, docs([])).count() == 0
     assert mix_documents(spark, awkward).columns == awkward.columns
+    assert mix_counts(spark, awkward).count() == awkward.count()
+
+
+def test_mixing_returns_each_repeated_row(spark, docs):
+    repeated = docs(["one two three"] * 3 + ["four five"], ["a"] * 4, [1, 1, 1, None])
+    out = sorted((r["size"], r["source_size"], r["copies"], r["taken"]) for r in mix_counts(spark, repeated).collect())
+    assert out == [(2, 11, 1, 2)] + [(3, 11, 1, 3)] * 3
+    assert mix_documents(spark, repeated).count() == 4
 
 
 def test_packing_plan_and_pieces(spark, docs, awkward):
