@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from imagelake.llm.word_models import BUCKETS, Examples, sample, with_word_scores
+from imagelake.llm.word_models import BUCKETS, Examples, ngrams, sample, with_word_scores
 
 SIZES = (3, 4)
 DIM = 8
@@ -71,6 +71,11 @@ def fit(examples: Examples, y: np.ndarray, seed: int = 11) -> tuple[np.ndarray,
     return vectors @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0])
 
 
+def weigh(weights: np.ndarray, word: bytes) -> float:
+    """Average of the weights of a word's features."""
+    return float(weights[ngrams(word, SIZES)].mean())
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, held_out, score (chance of quality 1) per row of ``docs``."""
     got = sample(docs, labels, "quality", train_rows, fold(F.col("doc_id")) != 0)
@@ -79,5 +84,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_R
     if len(set(y.tolist())) < 2:
         return docs.select("doc_id", held_out, F.lit(float(y.mean()) if len(y) else 0.5).alias("score"))
     weights, bias = fit(Examples((tokens(text) for text, _ in got), SIZES), y)
-    scored = with_word_scores(docs.select("doc_id", "text"), weights, SIZES, tokens, "_word")
-    return scored.select("doc_id", held_out, (1 / (1 + F.exp(-F.col("_word.mean") - bias))).alias("score"))
+    scored = with_word_scores(docs.select("doc_id", "text"), weights.astype(np.float32), weigh, tokens, "_word")
+    mean = F.col("_word.total") / F.greatest(F.col("_word.n_words"), F.lit(1))
+    return scored.select("doc_id", held_out, (1 / (1 + F.exp(-mean - bias))).alias("score"))

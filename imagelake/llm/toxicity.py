@@ -1,15 +1,18 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
-Features are hashed words (lower case, outer punctuation off) and character n-grams,
-averaged over the distinct words. One weight vector serves all severity grades; grade k or
-more has the chance sigmoid(w . x - t_k) with ordered thresholds t_1 < t_2 < ... .
-The expected severity is the sum of those chances.
+Features are hashed words (lower case, outer punctuation off) and character n-grams; a
+document's value for a feature is the number of its distinct words that have it. Only
+features that the two labels do not share alike (``MIN_G2``, a likelihood-ratio statistic
+over documents) enter the fit: texts hold far more rare words than there are labels, and a
+weight for each would learn the training rows by heart. One weight vector serves all
+severity grades; grade k or more has the chance sigmoid(w . x - t_k) with ordered
+thresholds t_1 < t_2 < ... . The expected severity is the sum of those chances.
 
 Labels say toxic or not. Grades come from a first fit on those two: toxic training
 documents whose score is above their median are grade 2, the others grade 1.
 
-The fit takes a bounded sample of labelled rows (``train_rows``) by numpy mini-batch
-gradient steps on the driver. Every row of ``docs`` is scored over its whole text.
+The fit takes a bounded sample of labelled rows (``train_rows``) by numpy gradient
+steps on the driver. Every row of ``docs`` is scored over its whole text.
 
 Defined cases: null and empty texts have severity by the thresholds alone (a clean
 text's); without labels of both kinds nothing is rejected and severity is 0; labels
@@ -23,15 +26,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from imagelake.llm.word_models import BUCKETS, Examples, sample, with_word_scores
+from imagelake.llm.word_models import Examples, ngrams, sample, with_word_scores
 
-SIZES = (4, 5)
+SIZES = (4, 5, 6)
+BUCKETS = 1 << 22
 TRAIN_ROWS = 8000
-EPOCHS = 10
-BATCH = 64
-RATE = 0.5
-#: Averages over words are small; one offending word in fifty must count.
-SCALE = 50.0
+#: Least likelihood ratio of a feature; 20 is passed by chance by one feature in 130,000.
+MIN_G2 = 20.0
+STEPS = 300
+RATE = 0.05
+RIDGE = 0.05
 #: Documents of this expected severity are rejected.
 REJECT = 0.4
 _OUTER = b".,;:!?\"'()[]{}<>*#$%&|-"
@@ -42,57 +46,84 @@ def tokens(text: bytes) -> list[bytes]:
     return list({w.strip(_OUTER): None for w in text.lower().split()})
 
 
+def weigh(weights: dict[int, float], word: bytes) -> float:
+    """Sum of the weights of a word's features."""
+    return sum(weights.get(f, 0.0) for f in ngrams(word, SIZES, BUCKETS))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def fit(examples: Examples, grades: np.ndarray, weights: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (starting from ``weights``) and increasing thresholds, by Adagrad steps."""
-    rng, top = np.random.default_rng(seed), int(grades.max())
-    w, seen = weights.copy(), np.full(BUCKETS, 1e-6)
+def telling(found: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """G2 of each feature: ``found[label, feature]`` documents of ``size[label]`` have it."""
+    found = found.astype(float)
+    share = found.sum(0) / size.sum()
+    out = np.zeros(found.shape[1])
+    for have, n in zip(found, size):
+        for seen, expected in ((have, n * share), (n - have, n * (1 - share))):
+            out += 2 * seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, expected, 1))
+    return out
+
+
+def features(examples: Examples, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chosen features, and (document, number of a chosen feature) for each distinct word that has one."""
+    found = np.zeros((2, BUCKETS), np.int32)
+    for i, label in enumerate(y):
+        found[label, np.unique(examples.batch(np.array([i]))[1])] += 1
+    seen = np.flatnonzero(found.any(0))
+    chosen = seen[telling(found[:, seen], np.bincount(y, minlength=2)) >= MIN_G2]
+    number = np.full(BUCKETS, -1, np.int32)
+    number[chosen] = np.arange(len(chosen))
+    doc, col = [], []
+    for i in range(len(y)):
+        at = number[examples.batch(np.array([i]))[1]]
+        at = at[at >= 0]
+        doc.append(np.full(len(at), i))
+        col.append(at)
+    return chosen, np.concatenate(doc), np.concatenate(col)
+
+
+def fit(doc: np.ndarray, col: np.ndarray, grades: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (starting from ``weights``) and increasing thresholds, by Adam steps with a ridge penalty."""
+    top, n = int(grades.max()), len(weights)
     # thresholds as a first one and positive steps, so that they stay in order
-    t = np.concatenate([[1.0], np.full(top - 1, np.log(1.0))])
-    t_seen = np.full(top, 1e-6)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(grades))
-        for lo in range(0, len(order), BATCH):
-            rows = order[lo:lo + BATCH]
-            doc, feature, value = examples.batch(rows)
-            x = np.bincount(doc, w[feature] * value, len(rows)) * SCALE
-            cut = np.cumsum(np.concatenate([t[:1], np.exp(t[1:])]))
-            above = _sigmoid(x[:, None] - cut)  # chance of grade k or more
-            y = grades[rows]
-            full = np.concatenate([np.ones((len(rows), 1)), above, np.zeros((len(rows), 1))], 1)
-            at = np.arange(len(rows))
-            hi, lower = full[at, y], full[at, y + 1]
-            p = np.maximum(hi - lower, 1e-9)
-            d_hi, d_lo = hi * (1 - hi) / p, lower * (1 - lower) / p  # of log p, by the two cut distances
-            d_x = -(d_hi - d_lo) / len(rows)
-            d_cut = np.zeros(top)
-            np.add.at(d_cut, y[y > 0] - 1, d_hi[y > 0] / len(rows))
-            np.add.at(d_cut, y[y < top], -d_lo[y < top] / len(rows))
-            d_t = np.cumsum(d_cut[::-1])[::-1] * np.concatenate([[1.0], np.exp(t[1:])])
-            g = np.bincount(feature, d_x[doc] * value * SCALE, BUCKETS)
-            seen += g * g
-            w -= RATE * g / np.sqrt(seen)
-            t_seen += d_t * d_t
-            t -= 0.1 * d_t / np.sqrt(t_seen)
-    return w, np.cumsum(np.concatenate([t[:1], np.exp(t[1:])]))
-
-
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray] | None:
-    """Weights and thresholds, or None without labels of both kinds."""
+    p = np.concatenate([weights, [1.0], np.zeros(top - 1)])
+    m, v = np.zeros(len(p)), np.zeros(len(p))
+    at = np.arange(len(grades))
+    for step in range(1, STEPS + 1):
+        x = np.bincount(doc, p[col], len(grades))
+        gaps = np.concatenate([[1.0], np.exp(p[n + 1:])])
+        cut = np.cumsum(np.concatenate([p[n:n + 1], gaps[1:]]))
+        above = _sigmoid(x[:, None] - cut)  # chance of grade k or more
+        full = np.concatenate([np.ones((len(grades), 1)), above, np.zeros((len(grades), 1))], 1)
+        hi, lower = full[at, grades], full[at, grades + 1]
+        chance = np.maximum(hi - lower, 1e-9)
+        d_hi, d_lo = hi * (1 - hi) / chance, lower * (1 - lower) / chance  # of log chance, by the two cut distances
+        d_cut = np.zeros(top)
+        np.add.at(d_cut, grades[grades > 0] - 1, d_hi[grades > 0])
+        np.add.at(d_cut, grades[grades < top], -d_lo[grades < top])
+        g = np.concatenate([np.bincount(col, (d_lo - d_hi)[doc], n) + RIDGE * p[:n],
+                            np.cumsum(d_cut[::-1])[::-1] * gaps])
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        p -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
+    return p[:n], np.cumsum(np.concatenate([p[n:n + 1], np.exp(p[n + 1:])]))
+
+
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[dict[int, float], np.ndarray] | None:
+    """Weights by feature and thresholds, or None without labels of both kinds."""
     # a fixed part of the rows for each label, so that rare toxic documents are seen
     got = [x for v, part in ((0, train_rows * 4 // 5), (1, train_rows // 5))
            for x in sample(docs, labels, "toxic", part, F.col("toxic") == v)]
     y = np.array([label for _, label in got], int)
     if len(set(y.tolist())) < 2:
         return None
-    examples = Examples((tokens(text) for text, _ in got), SIZES)
-    w, _ = fit(examples, y, np.zeros(BUCKETS))
-    x = np.array([np.sum(w[f] * v) for _, f, v in (examples.batch(np.array([i])) for i in range(len(got)))])
+    chosen, doc, col = features(Examples((tokens(text) for text, _ in got), SIZES, BUCKETS), y)
+    w, _ = fit(doc, col, y, np.zeros(len(chosen)))
+    x = np.bincount(doc, w[col], len(y))
     grades = y + ((y == 1) & (x > np.median(x[y == 1])))
-    return fit(examples, grades, w)
+    w, cuts = fit(doc, col, grades, w)
+    return dict(zip(chosen.tolist(), w.tolist())), cuts
 
 
 def with_severity(docs: DataFrame, labels: DataFrame, name: str, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -101,9 +132,9 @@ def with_severity(docs: DataFrame, labels: DataFrame, name: str, train_rows: int
     if model is None:
         return docs.withColumn(name, F.lit(0.0))
     weights, cuts = model
-    scored = with_word_scores(docs, weights, SIZES, tokens, name)
-    mean = F.col(name)["mean"]
-    chances = [1 / (1 + F.exp(F.lit(float(c)) - mean * SCALE)) for c in cuts]
+    scored = with_word_scores(docs, weights, weigh, tokens, name)
+    total = F.col(name)["total"]
+    chances = [1 / (1 + F.exp(F.lit(float(c)) - total)) for c in cuts]
     return scored.withColumn(name, sum(chances[1:], chances[0]))
 
 

@@ -1,9 +1,9 @@
 """What the two text classifiers share: hashed word features and per-word scores.
 
-Both models are linear in the average over a document's words, so a trained model
-is one number per word: the sum over its features, computed once per distinct word
-and Python worker while a bounded cache holds it. A document's value is the average over all
-its words, whatever its length.
+Both models are linear in a document's words, so a trained model is one number per
+word, computed from its features once per distinct word and Python worker while a bounded
+cache holds it. A document's value is the sum or the average over all its words, whatever
+its length.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ CACHE_WORDS = 100_000
 TRAIN_TEXT_BYTES = 65_536
 
 
-def ngrams(word: bytes, sizes: tuple[int, ...]) -> list[int]:
+def ngrams(word: bytes, sizes: tuple[int, ...], buckets: int = BUCKETS) -> list[int]:
     """Hash buckets of the whole word and of its n-grams of characters (code points)."""
     w = b"<" + word + b">"
     if word.isascii():
@@ -37,13 +37,13 @@ def ngrams(word: bytes, sizes: tuple[int, ...]) -> list[int]:
     else:
         letters = w.decode("utf-8", "replace")
         grams = [letters[i:i + n].encode() for n in sizes for i in range(len(letters) - n + 1) if n < len(letters)]
-    return [zlib.crc32(g) % BUCKETS for g in (w, *grams)]
+    return [zlib.crc32(g) % buckets for g in (w, *grams)]
 
 
 class Examples:
     """Training documents as distinct words with counts, and words as features."""
 
-    def __init__(self, docs: Iterable[list[bytes]], sizes: tuple[int, ...]):
+    def __init__(self, docs: Iterable[list[bytes]], sizes: tuple[int, ...], buckets: int = BUCKETS):
         index: dict[bytes, int] = {}
         self.rows = []
         for words in docs:
@@ -53,7 +53,7 @@ class Examples:
             self.rows.append((ids, share))
         counts, features = array("i"), array("i")
         for w in index:
-            f = ngrams(w, sizes)
+            f = ngrams(w, sizes, buckets)
             counts.append(len(f))
             features.extend(f)
         self.sizes = np.frombuffer(counts, np.int32).astype(np.int64)
@@ -91,29 +91,29 @@ def word_cache(model: str) -> Recent:
     return Recent(CACHE_WORDS)
 
 
-def with_word_scores(docs: DataFrame, weights: np.ndarray, sizes: tuple[int, ...],
+def with_word_scores(docs: DataFrame, model: object, weigh: Callable[[object, bytes], float],
                      split: Callable[[bytes], list[bytes]], name: str) -> DataFrame:
-    """``docs`` and a struct column ``name``: n_words and mean, the average over the words of a whole
-    text of the average weight of their features (0 for texts without words)."""
-    model = uuid.uuid4().hex
-    shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))  # BUCKETS numbers
+    """``docs`` and a struct column ``name``: n_words, and total, the sum over the words of a whole text of
+    ``weigh(model, word)``. ``model`` is broadcast: it must be bounded by its training, not by the rows."""
+    key = uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<n_words: long, mean: double>")
+    @F.arrow_udf("struct<n_words: long, total: double>")
     def score(texts: pa.Array) -> pa.Array:
-        w, cache = shared.value, word_cache(model)
-        counts, means = [], []
+        fitted, cache = shared.value, word_cache(key)
+        counts, totals = [], []
         for chunk in text_chunks(t.as_py() for t in texts.cast(pa.binary())):
             parted = [split(text) for text in chunk]
             known = {}
             for word in dict.fromkeys(x for words in parted for x in words):
                 s = cache.get(word)
                 if s is None:
-                    s = float(w[ngrams(word, sizes)].mean())
+                    s = weigh(fitted, word)
                     cache.put(word, s)
                 known[word] = s
             for words in parted:
                 counts.append(len(words))
-                means.append(sum(map(known.__getitem__, words)) / len(words) if words else 0.0)
-        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(means, pa.float64())], ["n_words", "mean"])
+                totals.append(float(sum(map(known.__getitem__, words))))
+        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(totals, pa.float64())], ["n_words", "total"])
 
     return docs.withColumn(name, score("text"))

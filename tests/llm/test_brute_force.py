@@ -156,7 +156,6 @@ def test_toxicity_leaves_unseen_clean_rows(unseen_toxicity):
     assert len(clean) > 500 and sum(clean) <= 0.02 * len(clean)
 
 
-@pytest.mark.xfail(strict=True, reason="open: the fit learns its own rows by heart, 60 of 97 unseen toxic rows are caught")
 def test_toxicity_catches_unseen_toxic_rows(unseen_toxicity):
     found = [rejected for rejected, toxic in unseen_toxicity if toxic]
     assert sum(found) >= 0.9 * len(found)
