@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,6 +42,13 @@ class Recent:
         self.young[key] = value
 
 
+@lru_cache(maxsize=1)
+def worker_caches(owner: str, *sizes: int) -> tuple[Recent, ...]:
+    """Caches of a Python worker, kept for all its tasks of one owner. Another owner's
+    take their place, so that a worker never holds those of two stages."""
+    return tuple(Recent(n) for n in sizes)
+
+
 def text_chunks(texts: Iterable[bytes | None]) -> Iterator[list[bytes]]:
     """The texts in order (null as empty), in lists of about CHUNK_BYTES."""
     chunk, n = [], 0

@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from imagelake.llm.common import Recent, materialize, pow2_at_least, text_chunks
+from imagelake.llm.common import Recent, materialize, pow2_at_least, text_chunks, worker_caches
 
 CAPACITY = 2048
 END_ID = 0
-#: Runs, and pieces of runs, per generation of a worker's cache (some 80 and 40 MB).
-CACHE_RUNS, CACHE_PIECES = 400_000, 200_000
+#: Runs per generation of a worker's cache (some 80 MB), beside half as many pieces of runs (some 40 MB).
+CACHE_RUNS = 400_000
 #: Pieces that go through the tokenizer at once.
 LEARN_PIECES = 20_000
 #: Closing marks that are looked up apart from the letters before them.
@@ -52,13 +52,12 @@ PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
 @lru_cache(maxsize=1)
-def run_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
-    """Function from whole texts (UTF-8) to their ids as little-endian uint32 bytes.
-    One per Python worker, so its caches serve all tasks of the worker."""
+def run_encoder(tokenizer_path: str) -> Callable[[list[bytes], Recent, Recent], list[bytes]]:
+    """Function from whole texts (UTF-8), and caches of runs and of pieces, to the texts' ids as
+    little-endian uint32 bytes. One per Python worker: the tokenizer is loaded once."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path)
-    runs_cache, pieces_cache = Recent(CACHE_RUNS), Recent(CACHE_PIECES)
 
     def parts(run: bytes) -> list[str]:
         """Letters and closing marks of a run apart, which the tokenizer always parts. A letter
@@ -83,7 +82,7 @@ def run_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
         ids = np.asarray(e.ids, "<u4").tobytes()
         return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
-    def learn(runs: list[bytes]) -> list[bytes]:
+    def learn(runs: list[bytes], pieces_cache: Recent) -> list[bytes]:
         split = [parts(r) for r in runs]
         known = {p: pieces_cache.get(p) for p in dict.fromkeys(p for x in split for p in x)}
         new = [p for p, ids in known.items() if ids is None]
@@ -94,11 +93,11 @@ def run_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
                 pieces_cache.put(p, ids)
         return [b"".join(map(known.__getitem__, x)) for x in split]
 
-    def encode(texts: list[bytes]) -> list[bytes]:
+    def encode(texts: list[bytes], runs_cache: Recent, pieces_cache: Recent) -> list[bytes]:
         parted = [t.split() for t in texts]  # bytes split at space and U+0009 to U+000D only
         known = {r: runs_cache.get(r) for r in dict.fromkeys(r for runs in parted for r in runs)}
         new = [r for r, ids in known.items() if ids is None]
-        for r, ids in zip(new, learn(new)):
+        for r, ids in zip(new, learn(new, pieces_cache)):
             known[r] = ids
             runs_cache.put(r, ids)
         return [b"".join(map(known.__getitem__, runs)) for runs in parted]
@@ -107,17 +106,19 @@ def run_encoder(tokenizer_path: str) -> Callable[[list[bytes]], list[bytes]]:
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-                     with_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids: little-endian uint32) per piece."""
+                     with_ids: bool = False, cache_runs: int = CACHE_RUNS) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 (and ids: little-endian uint32) per piece.
+    ``cache_runs``: runs per generation of a Python worker's cache; ids do not depend on it."""
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
         encode, end, step = run_encoder(tokenizer_path), np.asarray([end_id], "<u4").tobytes(), 4 * capacity
+        caches = worker_caches(tokenizer_path, cache_runs, cache_runs // 2)
         for batch in batches:
             cols: list[list] = [[] for _ in range(5 + with_ids)]
             texts = text_chunks(t.as_py() for t in batch.column("text").cast(pa.binary()))
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), (x + end for chunk in texts for x in encode(chunk))):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), (x + end for chunk in texts for x in encode(chunk, *caches))):
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     row = (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part)
@@ -195,7 +196,7 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY) -> Da
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, cache_runs: int = CACHE_RUNS) -> DataFrame:
     """Pieces of all documents with their sequence and place in it."""
-    return pack(spark, materialize(spark, tokenized_pieces(docs, tokenizer_path, capacity, with_ids=with_ids),
-                                   "pieces"), capacity)
+    found = tokenized_pieces(docs, tokenizer_path, capacity, with_ids=with_ids, cache_runs=cache_runs)
+    return pack(spark, materialize(spark, found, "pieces"), capacity)

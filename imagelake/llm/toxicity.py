@@ -33,6 +33,8 @@ BUCKETS = 1 << 22
 TRAIN_ROWS = 8000
 #: Least likelihood ratio of a feature; 20 is passed by chance by one feature in 130,000.
 MIN_G2 = 20.0
+#: Features judged at once on the driver.
+BLOCK = 1 << 17
 STEPS = 300
 RATE = 0.05
 RIDGE = 0.05
@@ -72,7 +74,9 @@ def features(examples: Examples, y: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     for i, label in enumerate(y):
         found[label, np.unique(examples.batch(np.array([i]))[1])] += 1
     seen = np.flatnonzero(found.any(0))
-    chosen = seen[telling(found[:, seen], np.bincount(y, minlength=2)) >= MIN_G2]
+    size = np.bincount(y, minlength=2)
+    blocks = [seen[lo:lo + BLOCK] for lo in range(0, len(seen), BLOCK)] or [seen]
+    chosen = np.concatenate([b[telling(found[:, b], size) >= MIN_G2] for b in blocks])
     number = np.full(BUCKETS, -1, np.int32)
     number[chosen] = np.arange(len(chosen))
     doc, col = [], []

@@ -13,18 +13,17 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from imagelake.llm.common import Recent, text_chunks
+from imagelake.llm.common import text_chunks, worker_caches
 
 BUCKETS = 1 << 18
-#: Words per generation of a worker's cache (some 20 MB).
-CACHE_WORDS = 100_000
+#: Words per generation of a worker's cache (some 10 MB).
+CACHE_WORDS = 50_000
 #: Longest text that may enter a training sample.
 TRAIN_TEXT_BYTES = 65_536
 
@@ -85,12 +84,6 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, where: Col
     return [(bytes(r["text"]), int(r["_label"])) for r in sorted(got, key=lambda r: (r["doc_id"], bytes(r["text"])))]
 
 
-@lru_cache(maxsize=1)
-def word_cache(model: str) -> Recent:
-    """Scores of words under a model, kept for all tasks of a Python worker."""
-    return Recent(CACHE_WORDS)
-
-
 def with_word_scores(docs: DataFrame, model: object, weigh: Callable[[object, bytes], float],
                      split: Callable[[bytes], list[bytes]], name: str) -> DataFrame:
     """``docs`` and a struct column ``name``: n_words, and total, the sum over the words of a whole text of
@@ -100,7 +93,7 @@ def with_word_scores(docs: DataFrame, model: object, weigh: Callable[[object, by
 
     @F.arrow_udf("struct<n_words: long, total: double>")
     def score(texts: pa.Array) -> pa.Array:
-        fitted, cache = shared.value, word_cache(key)
+        fitted, (cache,) = shared.value, worker_caches(key, CACHE_WORDS)
         counts, totals = [], []
         for chunk in text_chunks(t.as_py() for t in texts.cast(pa.binary())):
             parted = [split(text) for text in chunk]
