@@ -16,6 +16,8 @@ from imagelake.session import tune
 
 #: The stages train a model, hash 64-bit shingles and tokenise: no SQL twin.
 ORACLE_SQL = None
+#: Runs that a worker of the last stage remembers; the heap that earlier stages filled leaves less room than in a job of its own.
+CACHE_RUNS = 80_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their training sequence and place in it."""
     tune(spark)
-    return packing.pack_documents(spark, docs, registered.tokenizer_path())
+    return packing.pack_documents(spark, docs, registered.tokenizer_path(), cache_runs=CACHE_RUNS)
 
 
 STAGES = [
