@@ -17,7 +17,9 @@ Both meetings send packed arrays (some 10 bytes a window) rather than rows. Befo
 sending, a task settles what it can among its own documents: of windows that
 repeat there, only those of the smallest document travel. So a passage shared by a
 third of all documents reaches its bucket once per task batch, not once per
-document. Buckets are numbered after the size of the corpus; a task holds one.
+document. Buckets are numbered after the size of the corpus; a task holds one. What it
+decides leaves a task as runs, packed once per destination, not per bucket: at most
+tasks x destinations rows, however many rows share a passage.
 
 Defined cases: null and empty texts have no words; null doc_id counts as the largest
 id; rows that share a doc_id, or have none, never remove each other's words, and each
@@ -42,6 +44,8 @@ BLOCK = 25
 #: Text whose windows a task settles at once, and windows per bucket, about.
 BATCH_BYTES = 2_000_000
 BUCKET_WORDS = 1_000_000
+#: Runs a task gathers before it sends them on (some 10 MB).
+HELD_RUNS = 500_000
 NULL_ID = 2 ** 63 - 1
 #: kind 0: windows to be decided; kind 1: runs of rows that are settled
 ROUTED = "bucket int, kind int, payload binary"
@@ -153,16 +157,21 @@ def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[in
     return order, bucket[at].astype(np.int32), list(zip(at.tolist(), np.r_[at[1:], len(bucket)].tolist()))
 
 
-def packed_runs(rows: np.ndarray, places: np.ndarray, buckets: int) -> tuple[np.ndarray, list[bytes]]:
-    """Places of rows as runs, packed for the buckets of the rows."""
-    rows, starts, ends = merged_runs(rows, places)
-    spread = (rows.astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(33)) % np.uint64(buckets)
-    order, sent, spans = by_bucket(spread)
+def packed_runs(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, spread: int) -> tuple[np.ndarray, list[bytes]]:
+    """Runs, packed for the destinations (``spread`` of them) of their rows."""
+    to = (rows.astype(np.uint64) * np.uint64(_ODD[0]) >> np.uint64(33)) % np.uint64(spread)
+    order, sent, spans = by_bucket(to)
     cols = rows[order], starts[order].astype(np.int32), ends[order].astype(np.int32)
     return sent, [b"".join(c[lo:hi].tobytes() for c in cols) for lo, hi in spans]
 
 
-def routed(bucket: np.ndarray, buckets: int, ids: np.ndarray, rows: np.ndarray, places: np.ndarray, keys: list[np.ndarray],
+def unpacked_runs(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, starts and ends of packed runs."""
+    n = len(payload) // 16
+    return np.frombuffer(payload, np.int64, n), np.frombuffer(payload, np.int32, n, 8 * n), np.frombuffer(payload, np.int32, n, 12 * n)
+
+
+def routed(bucket: np.ndarray, spread: int, ids: np.ndarray, rows: np.ndarray, places: np.ndarray, keys: list[np.ndarray],
            settled: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
     """Rows to send: a packed array per bucket, and what is settled here already."""
     order, sent, spans = by_bucket(bucket)
@@ -175,7 +184,7 @@ def routed(bucket: np.ndarray, buckets: int, ids: np.ndarray, rows: np.ndarray,
                  (p & np.uint32(0xFFFF)).astype(np.uint16), (p >> np.uint32(16)).astype(np.uint16)]
         parts += [k[lo:hi] for k in keys]
         payloads.append(b"".join(x.tobytes() for x in parts))
-    done, runs = packed_runs(*settled, buckets)
+    done, runs = packed_runs(*merged_runs(*settled), spread)
     return pa.RecordBatch.from_arrays([
         pa.array(np.r_[sent, done], pa.int32()), pa.array(np.repeat([0, 1], [len(sent), len(done)]), pa.int32()),
         pa.array(payloads + runs, pa.binary())], ["bucket", "kind", "payload"])
@@ -202,50 +211,74 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def meet(routed_rows: DataFrame, types: list[str], decide: Callable[..., np.ndarray], parts: int, buckets: int) -> DataFrame:
+def held_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes] | None, bytes | None]]:
+    """(bucket, payloads, None) of the windows, and (destination, None, payload) of settled runs as they come."""
+    now, held = None, []
+    for batch in batches:
+        for b, kind, payload in zip(*(batch.column(c) for c in ("bucket", "kind", "payload"))):
+            if kind.as_py():
+                yield b.as_py(), None, payload.as_py()
+                continue
+            if b.as_py() != now:
+                if held:
+                    yield now, held, None
+                now, held = b.as_py(), []
+            held.append(payload.as_py())
+    if held:
+        yield now, held, None
+
+
+def settled_runs(batches: Iterator[pa.RecordBatch], types: list[str], decide: Callable[..., np.ndarray],
+                 spread: int) -> Iterator[pa.RecordBatch]:
+    """Runs of the windows that ``decide`` chooses in each bucket, and those that came settled: those
+    of all buckets of a task together, one packed array per destination."""
+    found: list[tuple[np.ndarray, ...]] = []
+    n = 0
+
+    def packed() -> pa.RecordBatch:
+        sent, runs = packed_runs(*(np.concatenate(x) for x in zip(*found)), spread)
+        return pa.RecordBatch.from_arrays([pa.array(sent, pa.int32()), pa.array([0] * len(runs), pa.int32()),
+                                           pa.array(runs, pa.binary())], ["bucket", "kind", "payload"])
+
+    for _, held, payload in held_buckets(batches):
+        if held is None:
+            runs = unpacked_runs(payload)
+        else:
+            ids, rows, places, *keys = (np.concatenate(x) for x in zip(*(unpacked(p, types) for p in held)))
+            take = decide(ids, *keys)
+            rows, starts, ends = merged_runs(rows[take], places[take])
+            runs = rows, starts.astype(np.int32), ends.astype(np.int32)
+        found.append(runs)
+        n += len(runs[0])
+        if n >= HELD_RUNS:
+            yield packed()
+            found, n = [], 0
+    if n:
+        yield packed()
+
+
+def meet(routed_rows: DataFrame, types: list[str], decide: Callable[..., np.ndarray], parts: int, spread: int) -> DataFrame:
     """Bring buckets together; ``decide`` says which of a bucket's windows to return. The runs of
     all buckets then meet by row, packed again (RUNS, one row per row of the documents)."""
 
-    def held_buckets(batches: Iterator[pa.RecordBatch]):
-        """(bucket, payloads) of the windows, and (bucket, None, payload) of settled runs as they come."""
-        now, held = None, []
-        for batch in batches:
-            for b, kind, payload in zip(*(batch.column(c) for c in ("bucket", "kind", "payload"))):
-                if kind.as_py():
-                    yield b.as_py(), None, payload.as_py()
-                    continue
-                if b.as_py() != now:
-                    if held:
-                        yield now, held, None
-                    now, held = b.as_py(), []
-                held.append(payload.as_py())
-        if held:
-            yield now, held, None
-
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, held, payload in held_buckets(batches):
-            if held is None:
-                sent, runs = [bucket], [payload]
-            else:
-                ids, rows, places, *keys = (np.concatenate(x) for x in zip(*(unpacked(p, types) for p in held)))
-                take = decide(ids, *keys)
-                sent, runs = packed_runs(rows[take], places[take], buckets)
-            yield pa.RecordBatch.from_arrays([pa.array(sent, pa.int32()), pa.array([0] * len(runs), pa.int32()),
-                                              pa.array(runs, pa.binary())], ["bucket", "kind", "payload"])
+        return settled_runs(batches, types, decide, spread)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held, _ in held_buckets(batches):
-            cols = []
-            for p in held:
-                n = len(p) // 16
-                cols.append((np.frombuffer(p, np.int64, n), np.frombuffer(p, np.int32, n, 8 * n), np.frombuffer(p, np.int32, n, 12 * n)))
-            yield pa.RecordBatch.from_pydict(run_rows(*(np.concatenate(x) for x in zip(*cols))))
+            yield pa.RecordBatch.from_pydict(run_rows(*(np.concatenate(x) for x in zip(*map(unpacked_runs, held)))))
 
     together = lambda df: df.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
     return together(together(routed_rows).mapInArrow(settle, ROUTED)).mapInArrow(gather, RUNS)
 
 
-def anchor_hits(docs: DataFrame, buckets: int, parts: int, block: int) -> DataFrame:
+def with_runs(docs: DataFrame, runs: DataFrame, how: str) -> DataFrame:
+    """``docs`` and the runs of their rows. Runs are as many as rows, so they are never broadcast:
+    a join that is so at some sizes only takes disk for the texts all of a sudden."""
+    return docs.join(runs.hint("merge"), "row", how)
+
+
+def anchor_hits(docs: DataFrame, buckets: int, spread: int, parts: int, block: int) -> DataFrame:
     """Step 1 and 2: per row the starts of blocks that are hits, as runs."""
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +294,7 @@ def anchor_hits(docs: DataFrame, buckets: int, parts: int, block: int) -> DataFr
             shared[order], smallest[order] = least != most, ids[order] == least
             key = (h & np.uint64(0x3FFFFFFFFFFF)) << np.uint64(2) | flags
             s = smallest
-            yield routed(bucket_of(h[s], buckets), buckets, ids[s], rows[s], places[s],
+            yield routed(bucket_of(h[s], buckets), spread, ids[s], rows[s], places[s],
                          [(key[s] & np.uint64(0xFFFFFFFF)).astype(np.uint32), (key[s] >> np.uint64(32)).astype(np.uint16)],
                          (rows[shared], places[shared]))
 
@@ -272,10 +305,10 @@ def anchor_hits(docs: DataFrame, buckets: int, parts: int, block: int) -> DataFr
         two = per_group(np.minimum, ids[order], group) != per_group(np.maximum, ids[order], group)
         return order[((flags & 1) > 0) & (two | ((flags & 2) > 0))]
 
-    return meet(docs.mapInArrow(probes, ROUTED), ["u4", "u2"], decide, parts, buckets)
+    return meet(docs.mapInArrow(probes, ROUTED), ["u4", "u2"], decide, parts, spread)
 
 
-def repeated_windows(docs_with_hits: DataFrame, buckets: int, parts: int, window: int, block: int) -> DataFrame:
+def repeated_windows(docs_with_hits: DataFrame, buckets: int, spread: int, parts: int, window: int, block: int) -> DataFrame:
     """Step 3: per row the starts of windows that a smaller document has too, as runs."""
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,14 +328,14 @@ def repeated_windows(docs_with_hits: DataFrame, buckets: int, parts: int, window
             order, group = same_groups(h1, h2)
             first = np.empty(len(h1), bool)
             first[order] = ids[order] == per_group(np.minimum, ids[order], group)
-            yield routed(bucket_of(h1[first], buckets), buckets, ids[first], rows[first], places[first], [h1[first], h2[first]],
+            yield routed(bucket_of(h1[first], buckets), spread, ids[first], rows[first], places[first], [h1[first], h2[first]],
                          (rows[~first], places[~first]))
 
     def decide(ids, h1, h2):
         order, group = same_groups(h1, h2)
         return order[ids[order] != per_group(np.minimum, ids[order], group)]
 
-    return meet(docs_with_hits.mapInArrow(candidates, ROUTED), ["u8", "u8"], decide, parts, buckets)
+    return meet(docs_with_hits.mapInArrow(candidates, ROUTED), ["u8", "u8"], decide, parts, spread)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -315,10 +348,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
     docs = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.select("doc_id", F.xxhash64("doc_id", "text", F.length("text")).alias("row"), "text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = max(4 * parts, -(-chars // (6 * BUCKET_WORDS)))
-    hits = materialize(spark, anchor_hits(docs, buckets, parts, block), "anchor-hits")
-    again = docs.join(hits, "row")
-    repeats = materialize(spark, repeated_windows(again, buckets, parts, window, block), "repeats")
+    full = -(-chars // (6 * BUCKET_WORDS))
+    buckets, spread = max(4 * parts, full), max(2 * parts, full)
+    hits = materialize(spark, anchor_hits(docs, buckets, spread, parts, block), "anchor-hits")
+    again = with_runs(docs, hits, "inner")
+    repeats = materialize(spark, repeated_windows(again, buckets, spread, parts, window, block), "repeats")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,6 +383,6 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
                 pa.array(out[2], pa.list_(pa.list_(pa.int32()))), pa.array(out[3], pa.binary()).cast(pa.string())],
                 ["doc_id", "n_words", "n_removed", "removed", "kept_text"])
 
-    return docs.join(repeats, "row", "left").mapInArrow(
+    return with_runs(docs, repeats, "left").mapInArrow(
         cut, "doc_id long, n_words long, n_removed long, removed array<array<int>>, kept_text string").withColumn(
         "doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))

@@ -163,6 +163,31 @@ def test_substring_dedup_keeps_runs_apart_without_id(spark, docs):
     assert sorted(r["kept_text"] for r in rows) == sorted([passage, "start", other, mine])
 
 
+def test_substring_dedup_sends_one_row_per_destination(spark):
+    import numpy as np
+    import pyarrow as pa
+    from imagelake.llm import substring_dedup as sd
+    n, buckets, spread = 6000, 40, 7
+    rows, bucket = np.arange(n), np.arange(n) % buckets
+    sent = sd.routed(bucket, spread, rows, rows, np.full(n, 3), [np.zeros(n, np.uint64)], (rows[:50], np.full(50, 9)))
+    table = pa.Table.from_batches([sent]).sort_by([("bucket", "ascending"), ("kind", "ascending")])
+    out = list(sd.settled_runs(iter(table.to_batches()), ["u8"], lambda ids, key: np.arange(len(ids)), spread))
+    assert sum(b.num_rows for b in out) == spread  # not buckets x spread
+    runs = {x for b in out for p in b.column("payload") for x in zip(*(c.tolist() for c in sd.unpacked_runs(p.as_py())))}
+    assert runs == {(i, 3, 4) for i in range(n)} | {(i, 9, 10) for i in range(50)}
+
+
+def test_substring_dedup_never_broadcasts_runs(spark, docs):
+    from imagelake.llm import substring_dedup as sd
+    runs = spark.createDataFrame([(1, [0], [1])], sd.RUNS)
+    rows = docs(["a", "b"]).withColumnRenamed("doc_id", "row").select("row", "text")
+    for how in ("inner", "left"):
+        joined = sd.with_runs(rows, runs, how)
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_line_dedup(spark, docs, awkward):
     line = "all rights reserved by us"
     texts = [f"{line}\nown words of number {i}" for i in range(12)]
