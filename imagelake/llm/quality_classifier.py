@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from imagelake.llm.word_models import BUCKETS, Examples, ngrams, sample, with_word_scores
+from imagelake.llm.word_models import BUCKETS, Examples, many_ngrams, sample, with_word_scores
 
 SIZES = (3, 4)
 DIM = 8
@@ -71,9 +71,15 @@ def fit(examples: Examples, y: np.ndarray, seed: int = 11) -> tuple[np.ndarray,
     return vectors @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0])
 
 
-def weigh(weights: np.ndarray, word: bytes) -> float:
-    """Average of the weights of a word's features."""
-    return float(weights[ngrams(word, SIZES)].mean())
+def weigh(weights: np.ndarray, words: list[bytes]) -> list[float]:
+    """Average of the weights of each word's features."""
+    features, sizes = many_ngrams(words, SIZES)
+    starts = np.cumsum(sizes) - sizes
+    means = np.empty(len(words))
+    order = np.argsort(sizes, kind="stable")
+    for same in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1):  # words of as many features
+        means[same] = weights[features[starts[same][:, None] + np.arange(sizes[same[0]])]].mean(1)
+    return means.tolist()
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:

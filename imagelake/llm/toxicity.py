@@ -22,11 +22,13 @@ whatever their names, are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from imagelake.llm.word_models import Examples, ngrams, sample, with_word_scores
+from imagelake.llm.word_models import Examples, many_ngrams, sample, with_word_scores
 
 SIZES = (4, 5, 6)
 BUCKETS = 1 << 22
@@ -48,9 +50,12 @@ def tokens(text: bytes) -> list[bytes]:
     return list({w.strip(_OUTER): None for w in text.lower().split()})
 
 
-def weigh(weights: dict[int, float], word: bytes) -> float:
-    """Sum of the weights of a word's features."""
-    return sum(weights.get(f, 0.0) for f in ngrams(word, SIZES, BUCKETS))
+def weigh(weights: dict[int, float], words: list[bytes]) -> Iterator[float]:
+    """Sum of the weights of each word's features."""
+    features, sizes = many_ngrams(words, SIZES, BUCKETS)
+    found = [weights.get(f, 0.0) for f in features.tolist()]
+    ends = np.cumsum(sizes)
+    return (sum(found[lo:hi]) for lo, hi in zip((ends - sizes).tolist(), ends.tolist()))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

@@ -292,6 +292,22 @@ def test_classifiers(spark, docs, awkward):
         assert f(docs([]), labels).count() == 0
 
 
+def test_words_are_weighed_many_at_once():
+    import numpy as np
+    from imagelake.llm import quality_classifier, toxicity as tox, word_models as wm
+    rng = random.Random(4)
+    odd = [b"", b"a", b"ab", b"abc", b"\x01again", "é".encode(), "Èonai".encode(), "ñ😀x日本".encode(), b"z" * 5000, "e\u0301".encode()]
+    words = odd + ["".join(rng.choices("abcdeéüß-.,$", k=rng.randrange(1, 14))).encode() for _ in range(2000)]
+    for some in (words, [b"x"], words + [b"caf\xe9", b"\xff\xfe"]):  # the last are not UTF-8
+        features, sizes = wm.many_ngrams(some, (3, 4, 6), 1 << 22)
+        each = [wm.ngrams(w, (3, 4, 6), 1 << 22) for w in some]
+        assert sizes.tolist() == [len(x) for x in each] and features.tolist() == [f for x in each for f in x]
+    weights = np.random.default_rng(1).normal(size=wm.BUCKETS).astype(np.float32)
+    assert quality_classifier.weigh(weights, words) == [float(weights[wm.ngrams(w, quality_classifier.SIZES)].mean()) for w in words]
+    some = {f: rng.uniform(-1, 1) for w in words[::3] for f in wm.ngrams(w, tox.SIZES, tox.BUCKETS)}
+    assert list(tox.weigh(some, words)) == [sum(some.get(f, 0.0) for f in wm.ngrams(w, tox.SIZES, tox.BUCKETS)) for w in words]
+
+
 def test_url_filter(spark):
     urls = [f"http://bad.example.org/spam/{i}" for i in range(60)] + [f"http://bad.example.org/news/{i}" for i in range(60)] + [
         "HTTP://A.NET/x?y", "http://b.net", None, "no url", "https://c.example.net/en/1", "http://D.example.com/de/2#t"]
