@@ -36,6 +36,11 @@ class Recent:
             self.put(key, value)
         return value
 
+    def get_all(self, keys: Iterable) -> dict:
+        """Each different key and what is known of it, or None."""
+        young = self.young.get
+        return {k: self.get(k) if (v := young(k)) is None else v for k in dict.fromkeys(keys)}
+
     def put(self, key, value) -> None:
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}

@@ -14,7 +14,9 @@ buckets before.
 
 Tokenising works on the runs between spaces (a piece of text that the tokenizer
 never merges across) through a bounded cache, so each distinct run is encoded once
-per Python worker while the cache holds it. New runs of many texts are encoded together.
+per Python worker while the cache holds it. New runs of many texts are encoded together;
+plain letters, which normalising and splitting leave as they are but for case, go to the
+tokenizer's model at once.
 
 Defined cases: null and empty texts have no ids but the end id, a piece of length 1;
 repeated rows and null doc_ids are packed row by row; an empty table gives an empty
@@ -46,11 +48,18 @@ CACHE_RUNS = 400_000
 LEARN_PIECES = 20_000
 #: Closing marks that are looked up apart from the letters before them.
 MARKS = string.punctuation
+#: Last of the Latin letters, whose lower case and normal form depend on no neighbour.
+LAST_LETTER = "\u024f"
 #: Pieces per bucket of the rank count, about.
 BUCKET_ROWS = 2_000
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
 
 
+def is_plain(piece: str) -> bool:
+    """Only letters up to LAST_LETTER, none of which lower case takes apart."""
+    return piece.isalpha() and (piece.isascii() or max(piece) <= LAST_LETTER and piece.lower().isalpha())
+
+
 @lru_cache(maxsize=1)
 def run_encoder(tokenizer_path: str) -> Callable[[list[bytes], Recent, Recent], list[bytes]]:
     """Function from whole texts (UTF-8), and caches of runs and of pieces, to the texts' ids as
@@ -58,6 +67,20 @@ def run_encoder(tokenizer_path: str) -> Callable[[list[bytes], Recent, Recent],
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path)
+    tokenize = tok.model.tokenize
+    # the model sees characters that stand for bytes: printable ones for themselves
+    solid = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    stands = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*solid}))}
+
+    def by_model(pieces: list[str]) -> list[bytes]:
+        """Ids of each piece; all are plain."""
+        found, cuts = [], [0]
+        for p in pieces:
+            p = p.lower()
+            found += [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(stands))]
+            cuts.append(4 * len(found))
+        ids = np.asarray(found, "<u4").tobytes()
+        return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
     def parts(run: bytes) -> list[str]:
         """Letters and closing marks of a run apart, which the tokenizer always parts. A letter
@@ -82,20 +105,29 @@ def run_encoder(tokenizer_path: str) -> Callable[[list[bytes], Recent, Recent],
         ids = np.asarray(e.ids, "<u4").tobytes()
         return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
+    # another tokenizer may treat letters otherwise: then all pieces go through the whole of it
+    letters = [c for c in map(chr, range(ord(LAST_LETTER) + 1)) if is_plain(c)]
+    probes = [*letters, *map("".join, zip(letters, letters[1:], letters[2:])), "the", "The", "thing", "THING"]
+    plain_how = by_model if by_model(probes) == encoded(probes) else encoded
+
     def learn(runs: list[bytes], pieces_cache: Recent) -> list[bytes]:
         split = [parts(r) for r in runs]
-        known = {p: pieces_cache.get(p) for p in dict.fromkeys(p for x in split for p in x)}
-        new = [p for p, ids in known.items() if ids is None]
-        for lo in range(0, len(new), LEARN_PIECES):
-            some = new[lo:lo + LEARN_PIECES]
-            for p, ids in zip(some, encoded(some)):
-                known[p] = ids
-                pieces_cache.put(p, ids)
+        known = pieces_cache.get_all(chain.from_iterable(split))
+        new: tuple[list[str], list[str]] = ([], [])
+        for p, ids in known.items():
+            if ids is None:
+                new[is_plain(p)].append(p)
+        for pieces, how in zip(new, (encoded, plain_how)):
+            for lo in range(0, len(pieces), LEARN_PIECES):
+                some = pieces[lo:lo + LEARN_PIECES]
+                for p, ids in zip(some, how(some)):
+                    known[p] = ids
+                    pieces_cache.put(p, ids)
         return [b"".join(map(known.__getitem__, x)) for x in split]
 
     def encode(texts: list[bytes], runs_cache: Recent, pieces_cache: Recent) -> list[bytes]:
         parted = [t.split() for t in texts]  # bytes split at space and U+0009 to U+000D only
-        known = {r: runs_cache.get(r) for r in dict.fromkeys(r for runs in parted for r in runs)}
+        known = runs_cache.get_all(chain.from_iterable(parted))
         new = [r for r, ids in known.items() if ids is None]
         for r, ids in zip(new, learn(new, pieces_cache)):
             known[r] = ids

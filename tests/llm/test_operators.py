@@ -138,6 +138,41 @@ def test_letters_of_several_tokenizer_words_shift_no_ids(spark, docs):
         assert got[i] == np.asarray(tok.encode(t, add_special_tokens=False).ids + [0], "<u4").tobytes()
 
 
+def test_plain_letters_have_the_tokenizers_ids(monkeypatch):
+    from tokenizers import Tokenizer
+    import numpy as np
+    from imagelake.llm import packing
+    from imagelake.llm.common import Recent
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(0x260) if chr(c).isalpha()] + ["\u0130", "\u03a3", "\u1e9e"]
+    assert packing.is_plain("\u00c9paule") and not any(map(packing.is_plain, ["", "a1", "\u0130a", "a\u03a3", "a\u0301", "x."]))
+    words = ["".join(rng.choices(rng.choice([letters, "etaoinshrdlu"]), k=rng.randrange(1, 12))) + rng.choice(["", ".", "!?"]) for _ in range(3000)]
+    text = " ".join(words + [c + "a" for c in letters])
+    tok = Tokenizer.from_file(registered.tokenizer_path())
+    seen = []
+    whole = Tokenizer.encode
+    want = np.asarray(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    class Counted:
+        def __init__(self, tok):
+            self.model, self.tok = tok.model, tok
+
+        def encode(self, text, **kw):
+            seen.append(text)
+            return whole(self.tok, text, **kw)
+
+    import tokenizers
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("T", (), {"from_file": staticmethod(lambda p: Counted(tok))}))
+    packing.run_encoder.cache_clear()
+    try:
+        encode = packing.run_encoder(registered.tokenizer_path())
+        seen.clear()
+        assert encode([text.encode()], Recent(10 ** 6), Recent(10 ** 6)) == [want]
+        assert not any(packing.is_plain(p) for t in seen for p in t.split(" "))  # those went to the model
+    finally:
+        packing.run_encoder.cache_clear()
+
+
 def test_substring_dedup_brute_force(spark, docs, awkward):
     rng = random.Random(7)
     passages = [prose(rng, n) for n in (49, 50, 51, 120)]
