@@ -11,6 +11,8 @@ import uuid
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,10 +27,12 @@ CHUNK_BYTES = 2_000_000
 
 
 class Recent:
-    """A cache of what was used lately: two generations of at most ``size`` entries each."""
+    """A cache of what was used lately: two generations of at most ``size`` entries each, or two
+    columns as long as both."""
 
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
+        self.columns: tuple[pa.Array, pa.Array] | None = None
 
     def get(self, key):
         value = self.young.get(key)
@@ -46,6 +50,24 @@ class Recent:
             self.old, self.young = self.young, {}
         self.young[key] = value
 
+    def get_column(self, keys: pa.Array) -> pa.Array:
+        """What ``put_column`` kept for each of ``keys`` (strings), as bytes, or null. Columns take
+        a fraction of the memory and time of as many objects."""
+        if self.columns is None:
+            return pa.nulls(len(keys), pa.large_binary())
+        kept, values = self.columns
+        return values.take(pc.index_in(keys, value_set=kept))
+
+    def put_column(self, keys: pa.Array, values: pa.Array) -> None:
+        """Keep the values of different keys, and of those kept before the latest that have room
+        beside them in twice ``size``."""
+        n = 2 * self.size
+        keys, values = keys[:n], values[:n]
+        if self.columns is not None:
+            before = pc.invert(pc.is_in(self.columns[0], value_set=keys))
+            keys, values = (pa.concat_arrays([new, old.filter(before)[:n - len(new)]]) for new, old in zip((keys, values), self.columns))
+        self.columns = keys, values
+
 
 @lru_cache(maxsize=1)
 def worker_caches(owner: str, *sizes: int) -> tuple[Recent, ...]:
@@ -54,13 +76,13 @@ def worker_caches(owner: str, *sizes: int) -> tuple[Recent, ...]:
     return tuple(Recent(n) for n in sizes)
 
 
-def text_chunks(texts: Iterable[bytes | None]) -> Iterator[list[bytes]]:
-    """The texts in order (null as empty), in lists of about CHUNK_BYTES."""
+def text_chunks(texts: Iterable[bytes | None], size: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
+    """The texts in order (null as empty), in lists of about ``size`` bytes."""
     chunk, n = [], 0
     for text in texts:
         chunk.append(text or b"")
         n += len(chunk[-1])
-        if n >= CHUNK_BYTES:
+        if n >= size:
             yield chunk
             chunk, n = [], 0
     if chunk:

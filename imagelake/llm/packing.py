@@ -14,9 +14,10 @@ buckets before.
 
 Tokenising works on the runs between spaces (a piece of text that the tokenizer
 never merges across) through a bounded cache, so each distinct run is encoded once
-per Python worker while the cache holds it. New runs of many texts are encoded together;
-plain letters, which normalising and splitting leave as they are but for case, go to the
-tokenizer's model at once.
+per Python worker while the cache holds it. The runs of many texts are told apart, looked up
+and put together in Arrow columns; only new pieces of runs become Python objects. New runs are
+encoded together; plain letters, which normalising and splitting leave as they are but for
+case, go to the tokenizer's model at once.
 
 Defined cases: null and empty texts have no ids but the end id, a piece of length 1;
 repeated rows and null doc_ids are packed row by row; an empty table gives an empty
@@ -26,14 +27,16 @@ result; other columns, whatever their names, are not read.
 from __future__ import annotations
 
 import os
+import re
 import string
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,8 +45,10 @@ from imagelake.llm.common import Recent, materialize, pow2_at_least, text_chunks
 
 CAPACITY = 2048
 END_ID = 0
-#: Runs per generation of a worker's cache (some 80 MB), beside half as many pieces of runs (some 40 MB).
+#: Half of the runs that a worker remembers (some 34 MB in all), beside half as many pieces of runs (some 17 MB).
 CACHE_RUNS = 400_000
+#: Bytes of text whose runs are looked up together, about. Each time costs as much as the caches are large.
+CHUNK_BYTES = 16_000_000
 #: Pieces that go through the tokenizer at once.
 LEARN_PIECES = 20_000
 #: Closing marks that are looked up apart from the letters before them.
@@ -62,25 +67,30 @@ def is_plain(piece: str) -> bool:
 
 @lru_cache(maxsize=1)
 def run_encoder(tokenizer_path: str) -> Callable[[list[bytes], Recent, Recent], list[bytes]]:
-    """Function from whole texts (UTF-8), and caches of runs and of pieces, to the texts' ids as
-    little-endian uint32 bytes. One per Python worker: the tokenizer is loaded once."""
+    """Function from whole texts (UTF-8), and caches of runs and of pieces (used by column), to the
+    texts' ids as little-endian uint32 bytes. One per Python worker: the tokenizer is loaded once."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path)
     tokenize = tok.model.tokenize
     # the model sees characters that stand for bytes: printable ones for themselves
     solid = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    stands = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*solid}))}
+    stands = np.arange(256, dtype="<u4")
+    stands[sorted({*range(256)} - {*solid})] = range(256, 256 + 256 - len(solid))
 
-    def by_model(pieces: list[str]) -> list[bytes]:
+    def column(ids: Iterable[int], cuts: Iterable[int]) -> pa.Array:
+        """The ids as bytes, cut apart."""
+        at, flat = 4 * np.asarray(cuts, np.int64), np.asarray(ids, "<u4")
+        return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(flat)])
+
+    def by_model(pieces: list[str]) -> pa.Array:
         """Ids of each piece; all are plain."""
         found, cuts = [], [0]
-        for p in pieces:
-            p = p.lower()
-            found += [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(stands))]
-            cuts.append(4 * len(found))
-        ids = np.asarray(found, "<u4").tobytes()
-        return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+        whole = np.frombuffer("\n".join(pieces).lower().encode(), np.uint8)
+        for p in stands[whole].tobytes().decode("utf-32-le").split(chr(stands[ord("\n")])):
+            found += [t.id for t in tokenize(p)]
+            cuts.append(len(found))
+        return column(found, cuts)
 
     def parts(run: bytes) -> list[str]:
         """Letters and closing marks of a run apart, which the tokenizer always parts. A letter
@@ -94,63 +104,99 @@ def run_encoder(tokenizer_path: str) -> Callable[[list[bytes], Recent, Recent],
         stem = plain if stem.isascii() else stem
         return [stem, text[len(stem):]] if len(stem) < len(text) else [stem]
 
-    def encoded(pieces: list[str]) -> list[bytes]:
+    def encoded(pieces: list[str]) -> pa.Array:
         """Ids of each piece. All go through the tokenizer as one text; a token belongs to
         the piece in which its first character stands."""
         e = tok.encode(" ".join(pieces), add_special_tokens=False)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1
         begins = np.cumsum(sizes) - sizes
         at = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(e.ids))[::2]
-        cuts = (4 * np.searchsorted(at, begins)).tolist() + [4 * len(at)]
-        ids = np.asarray(e.ids, "<u4").tobytes()
-        return [ids[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+        return column(e.ids, [*np.searchsorted(at, begins).tolist(), len(at)])
 
     # another tokenizer may treat letters otherwise: then all pieces go through the whole of it
     letters = [c for c in map(chr, range(ord(LAST_LETTER) + 1)) if is_plain(c)]
     probes = [*letters, *map("".join, zip(letters, letters[1:], letters[2:])), "the", "The", "thing", "THING"]
-    plain_how = by_model if by_model(probes) == encoded(probes) else encoded
-
-    def learn(runs: list[bytes], pieces_cache: Recent) -> list[bytes]:
-        split = [parts(r) for r in runs]
-        known = pieces_cache.get_all(chain.from_iterable(split))
-        new: tuple[list[str], list[str]] = ([], [])
-        for p, ids in known.items():
-            if ids is None:
-                new[is_plain(p)].append(p)
-        for pieces, how in zip(new, (encoded, plain_how)):
-            for lo in range(0, len(pieces), LEARN_PIECES):
-                some = pieces[lo:lo + LEARN_PIECES]
-                for p, ids in zip(some, how(some)):
-                    known[p] = ids
-                    pieces_cache.put(p, ids)
-        return [b"".join(map(known.__getitem__, x)) for x in split]
+    plain_how = by_model if by_model(probes).equals(encoded(probes)) else encoded
+    plain_letters, marks = f"[{''.join(letters)}]+", f"[{re.escape(MARKS)}]*"
+
+    def piece_ids(pieces: pa.Array, cache: Recent) -> pa.Array:
+        """Ids of each of different pieces."""
+        ids = cache.get_column(pieces)
+        if ids.null_count:
+            new = ids.is_null()
+            some = pieces.filter(new)
+            plain = pc.match_substring_regex(some, f"^{plain_letters}$")
+            found, places = [], []
+            for how, mask in ((plain_how, plain), (encoded, pc.invert(plain))):
+                places.append(np.flatnonzero(mask))
+                of = some.filter(mask).to_pylist()
+                found += [how(of[lo:lo + LEARN_PIECES]) for lo in range(0, len(of), LEARN_PIECES)]
+            back = np.argsort(np.concatenate(places))
+            ids = pc.replace_with_mask(ids, new, pa.concat_arrays(found).take(pa.array(back)))
+        cache.put_column(pieces, ids)
+        return ids
+
+    def learn(runs: pa.Array, cache: Recent) -> pa.Array:
+        """Ids of each of different runs."""
+        found = pc.extract_regex(runs, f"^(?P<stem>{plain_letters})(?P<marks>{marks})$")
+        plain = found.is_valid()
+        split = [parts(r) for r in runs.filter(pc.invert(plain)).view(pa.large_binary()).to_pylist()]
+        found = found.filter(plain)
+        # the first pieces of all runs, those of plain runs before the others, and then the second ones
+        both = pa.concat_arrays([
+            pc.ascii_lower(found.field("stem")), pa.array([x[0] for x in split], pa.large_string()),
+            found.field("marks"), pa.array([x[1] if len(x) > 1 else "" for x in split], pa.large_string())]).dictionary_encode()
+        ids = piece_ids(both.dictionary, cache).take(both.indices)
+        joined = pc.binary_join_element_wise(ids[:len(runs)], ids[len(runs):], pa.scalar(b"", pa.large_binary()))
+        back = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(pc.invert(plain))]))
+        return joined.take(pa.array(back))
 
     def encode(texts: list[bytes], runs_cache: Recent, pieces_cache: Recent) -> list[bytes]:
-        parted = [t.split() for t in texts]  # bytes split at space and U+0009 to U+000D only
-        known = runs_cache.get_all(chain.from_iterable(parted))
-        new = [r for r, ids in known.items() if ids is None]
-        for r, ids in zip(new, learn(new, pieces_cache)):
-            known[r] = ids
-            runs_cache.put(r, ids)
-        return [b"".join(map(known.__getitem__, runs)) for runs in parted]
+        # split at space and U+0009 to U+000D only, byte by byte
+        parted = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        runs = parted.flatten().dictionary_encode()
+        ids = runs_cache.get_column(runs.dictionary)
+        if ids.null_count:
+            new = ids.is_null()
+            ids = pc.replace_with_mask(ids, new, learn(runs.dictionary.filter(new), pieces_cache))
+        runs_cache.put_column(runs.dictionary, ids)
+        ids = ids.take(runs.indices)
+        _, ends, data = ids.buffers()
+        cuts = np.frombuffer(ends, np.int64)[parted.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
 
     return encode
 
 
+def grouped(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The batches in order, as many together as have ``size`` bytes."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
                      with_ids: bool = False, cache_runs: int = CACHE_RUNS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids: little-endian uint32) per piece.
-    ``cache_runs``: runs per generation of a Python worker's cache; ids do not depend on it."""
+    ``cache_runs``: half of the runs that a Python worker remembers; ids do not depend on it."""
     schema = PIECES + (", ids binary" if with_ids else "")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
         encode, end, step = run_encoder(tokenizer_path), np.asarray([end_id], "<u4").tobytes(), 4 * capacity
         caches = worker_caches(tokenizer_path, cache_runs, cache_runs // 2)
-        for batch in batches:
+        for some in grouped(batches, CHUNK_BYTES):
             cols: list[list] = [[] for _ in range(5 + with_ids)]
-            texts = text_chunks(t.as_py() for t in batch.column("text").cast(pa.binary()))
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), (x + end for chunk in texts for x in encode(chunk, *caches))):
+            column = some.column("text").cast(pa.binary())
+            texts = text_chunks((t.as_py() for t in column), column.nbytes // max(1, round(column.nbytes / CHUNK_BYTES)))
+            for doc_id, ids in zip(some.column("doc_id").to_pylist(), (x + end for chunk in texts for x in encode(chunk, *caches))):
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     row = (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part)

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pyarrow as pa
+
 from imagelake.llm import registered
 from imagelake.llm.exact_dedup import DigestIndex, exact_dedup
 from imagelake.llm.common import running_totals, scratch_path
@@ -173,6 +175,44 @@ def test_plain_letters_have_the_tokenizers_ids(monkeypatch):
         packing.run_encoder.cache_clear()
 
 
+def test_runs_are_looked_up_in_columns_not_one_by_one():
+    from tokenizers import Tokenizer
+    import numpy as np
+    from imagelake.llm import packing
+    from imagelake.llm.common import Recent
+
+    class Columns(Recent):
+        def get(self, key):
+            raise AssertionError("a single lookup")
+        put = get_all = get
+
+    rng = random.Random(8)
+    words = ["".join(rng.choices(rng.choice(["etaoinshr", "\u00e9\u00c0\u00dfaT", "\u0130\u0915\u0958x", "a1'|"]), k=rng.randrange(1, 5)))
+             + rng.choice(["", "", ".", "$$$"]) for _ in range(400)]
+    tok = Tokenizer.from_file(registered.tokenizer_path())
+    encode = packing.run_encoder(registered.tokenizer_path())
+    for size in (1, 7, 10 ** 6):
+        caches = Columns(size), Columns(size)
+        for _ in range(4):
+            texts = ["", " \t\n", *(rng.choice(["", " "]) + rng.choice([" ", "\n\t"]).join(rng.choices(words, k=n)) + rng.choice(["", "\n"]) for n in (0, 1, 50, 200)), ""]
+            assert encode([t.encode() for t in texts], *caches) == [
+                np.asarray(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+            assert all(len(c.columns[0]) == len(c.columns[1]) == len(c.columns[0].unique()) <= 2 * size for c in caches)
+        assert encode([], *caches) == [] and encode([b""] * 2, *caches) == [b""] * 2
+    latest = Recent(2)
+    for keys in ("ab", "cd", "be"):
+        latest.put_column(pa.array(list(keys), pa.large_string()), pa.array([k.encode() for k in keys], pa.large_binary()))
+    assert latest.get_column(pa.array(list("abcdef"), pa.large_string())).to_pylist() == [None, b"b", b"c", b"d", b"e", None]
+
+
+def test_batches_of_short_texts_are_taken_together():
+    from imagelake.llm.packing import grouped
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i, i], "text": [t, None]}) for i, t in enumerate(["x" * 10] * 30 + ["y" * 5000, "z"])]
+    groups = list(grouped(iter(batches), 1000))
+    assert pa.concat_tables(groups).equals(pa.Table.from_batches(batches)) and len(groups) <= 4
+    assert list(grouped(iter([]), 1000)) == []
+
+
 def test_substring_dedup_brute_force(spark, docs, awkward):
     rng = random.Random(7)
     passages = [prose(rng, n) for n in (49, 50, 51, 120)]
